@@ -7,25 +7,27 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.text import strip
 
-# (shape of the text, pattern to parse it with), in order. The shape is tested
-# first, so a row is handed to the one parser that fits it and the failing
-# parse attempts a plain coalesce over all patterns would make never happen.
-DATE_SHAPES = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+# The forms of a date. Each bracket is an optional section, so one
+# pass of one formatter tries them in turn, without an error raised per miss.
+DATE_FORMS = (
+    "[yyyy-M-d['T'HH:mm[:ss[.SSSSSS]]][ HH:mm[:ss[.SSSSSS]]]]"
+    "[M/d/yyyy][yyyy/M/d]"
+    "[MMM d, yyyy][MMMM d, yyyy]"
+    "[d-MMM-yyyy][d MMM yyyy][d MMMM yyyy]"
+    "[yyyyMMdd]"
 )
-ISO_WITH_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}"
-SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})$"
 
+# Rewrites for dates with slashes, to month/day/year with four-digit years:
+# 69..99 are 19xx, 00..68 are 20xx, and no month is above 12.
+SLASHES = [
+    (r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)$", "$119$2"),
+    (r"^(\d{1,2}/\d{1,2}/)(\d{2})$", "$120$2"),
+    (r"^(1[3-9]|[2-9]\d)/(\d{1,2})/(\d{4})$", "$2/$1/$3"),
+]
 
-def _slashed_part(text: Column, group: int) -> Column:
-    return F.regexp_extract(text, SLASHED, group).try_cast("int")
+
+def _part(text: Column, separator: str, position: int) -> Column:
+    return F.split_part(text, F.lit(separator), F.lit(position))
 
 
 def parse_date(value: Column) -> Column:
@@ -35,29 +37,20 @@ def parse_date(value: Column) -> Column:
     be above 12.
     """
     text = strip(value)
-    # the formatter wants "Mar", not "MAR" or "mar"
-    named = F.regexp_replace(F.initcap(F.regexp_replace(text, "-", "- ")), "- ", "-")
-    day_first = _slashed_part(text, 1) > 12
-    short_year = F.length(F.regexp_extract(text, SLASHED, 3)) == 2
-    slashed = (
-        F.when(day_first & short_year, F.try_to_date(text, "d/M/yy"))
-        .when(day_first, F.try_to_date(text, "d/M/yyyy"))
-        .when(short_year, F.try_to_date(text, "M/d/yy"))
-        .otherwise(F.try_to_date(text, "M/d/yyyy"))
-    )
-    parsed = F.when(text.rlike(SLASHED), slashed)
-    for shape, pattern in DATE_SHAPES:
-        subject = named if "MMM" in pattern else text
-        parsed = parsed.when(text.rlike(shape), F.try_to_date(subject, pattern))
-    return parsed.when(text.rlike(ISO_WITH_TIME), F.try_to_date(F.regexp_extract(text, r"^[\d-]+", 0), "yyyy-M-d"))
+    slashed = text
+    for form, ordered in SLASHES:
+        slashed = F.regexp_replace(slashed, form, ordered)
+    # a blank would pass, with every section left out
+    present = F.nullif(F.when(text.contains("/"), slashed).otherwise(text), F.lit(""))
+    return F.try_to_date(present, DATE_FORMS)
 
 
 def is_ambiguous_date(value: Column) -> Column:
     """True where month-first and day-first reading both work and differ."""
     text = strip(value)
-    first, second = _slashed_part(text, 1), _slashed_part(text, 2)
+    first, second = (_part(text, "/", i).try_cast("int") for i in (1, 2))
     both_fit = first.between(1, 12) & second.between(1, 12) & (first != second)
-    return F.coalesce(text.rlike(SLASHED) & both_fit, F.lit(False))
+    return F.coalesce(text.rlike(r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})$") & both_fit, F.lit(False))
 
 
 def week_ending(day: Column) -> Column:

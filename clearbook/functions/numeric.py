@@ -20,7 +20,7 @@ def round_half_even(value: Column, digits: int) -> Column:
 
 def parse_money(text: Column) -> Column:
     """``"$1,234.50"`` -> 1234.5; anything that is not a plain number -> null."""
-    digits = F.regexp_replace(strip(text), r"[$,]", "")
+    digits = F.translate(strip(text), "$,", "")
     return F.when(digits.rlike(PLAIN_NUMBER), digits.try_cast("double"))
 
 

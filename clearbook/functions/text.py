@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The white space that trimming removes.
+WHITE_SPACE = " \t\n\r\f\v"
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of white space (``trim`` alone only removes blanks)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -19,7 +23,7 @@ def collapse_spaces(text: Column) -> Column:
 
 def has_text(text: Column) -> Column:
     """True for values worth cleaning: neither null nor blank."""
-    return F.coalesce(text.rlike(r"\S"), F.lit(False))
+    return F.coalesce(strip(text) != "", F.lit(False))
 
 
 def missing_to_null(text: Column, tokens: Sequence[str]) -> Column:
@@ -51,6 +55,11 @@ def digits_of(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
+def literal_table(pairs: Mapping[str, str]) -> Column:
+    """A fixed text-to-text table as one constant, folded when the query is planned."""
+    return F.str_to_map(F.lit("\n".join(f"{key}\t{value}" for key, value in pairs.items())), F.lit("\n"), F.lit("\t"))
+
+
 def first_containing(text: Column, vocabulary: Sequence[str]) -> Column:
     """First vocabulary entry that contains, or is contained in, the lower-cased text."""
     folded = F.lower(text)

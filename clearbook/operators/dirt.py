@@ -7,6 +7,7 @@ cleaning can be tested at any scale, against SQL that knows the truth.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -55,9 +56,7 @@ def dirty_name(name: Column, variant: Column, typo: Column) -> Column:
 
 
 def _dirty_entry(value: Column, spellings: Mapping[str, Sequence[str]], pick: Column) -> Column:
-    table = F.create_map(
-        *[F.lit(part) for entry, variants in spellings.items() for part in (entry, list(variants))]
-    )
+    table = F.from_json(F.lit(json.dumps(spellings)), "map<string, array<string>>")
     variants = F.try_element_at(table, value)
     return F.try_element_at(variants, (pick % F.size(variants) + 1).cast("int"))
 

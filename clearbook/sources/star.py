@@ -71,7 +71,16 @@ def customer_measures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _picked(values: list[str], position: Column) -> Column:
-    return F.try_element_at(F.array(*[F.lit(value) for value in values]), (position + 1).cast("int"))
+    return F.try_element_at(F.split(F.lit("\n".join(values)), "\n"), (position + 1).cast("int"))
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """Deal a table that comes in fewer splits than there are cores out over all cores.
+
+    Only a small table ever does; a large one stays where its splits are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def base_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,7 +89,8 @@ def base_transactions(spark: SparkSession, folder: str) -> DataFrame:
     The true values follow from the keys: company and region from the
     customer, segment from the part.
     """
-    lines = table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice")
+    # the text expressions built on these rows cost far more than moving a small table
+    lines = spread_out(table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", order_day().alias("order_day"))
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
