@@ -1,0 +1,27 @@
+import duckdb
+import pytest
+from conftest import SMALL
+from oracle_check import compare, connect
+
+import __spark_entry__ as entry
+
+
+@pytest.fixture(scope="module")
+def connection() -> duckdb.DuckDBPyConnection:
+    return connect(SMALL)
+
+
+def test_only_the_file_sizes_have_no_twin():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"report_catalog"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_equals_its_sql_twin(spark, connection, name):
+    rows, difference = compare(entry.queries()[name](spark, SMALL), connection, entry.oracle_sql()[name])
+    assert difference is None
+    assert rows > 0
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 150
