@@ -26,10 +26,6 @@ SLASHES = [
 ]
 
 
-def _part(text: Column, separator: str, position: int) -> Column:
-    return F.split_part(text, F.lit(separator), F.lit(position))
-
-
 def parse_date(value: Column) -> Column:
     """Text in any of the known formats -> date; everything else -> null.
 
@@ -48,9 +44,9 @@ def parse_date(value: Column) -> Column:
 def is_ambiguous_date(value: Column) -> Column:
     """True where month-first and day-first reading both work and differ."""
     text = strip(value)
-    first, second = (_part(text, "/", i).try_cast("int") for i in (1, 2))
-    both_fit = first.between(1, 12) & second.between(1, 12) & (first != second)
-    return F.coalesce(text.rlike(r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})$") & both_fit, F.lit(False))
+    either_way = text.rlike(r"^(0?[1-9]|1[0-2])/(0?[1-9]|1[0-2])/(\d{4}|\d{2})$")
+    the_same = text.rlike(r"^0?(\d{1,2})/0?\1/")
+    return F.coalesce(text.contains("/") & either_way & ~the_same, F.lit(False))
 
 
 def week_ending(day: Column) -> Column:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.text import strip
 
-# A plain decimal number; keeps out "1d", "1f", "nan" and "inf", which the JVM
-# or the cast would otherwise accept.
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# What a plain number is written with. Other letters are kept out, since the
+# cast would read "1d", "1f", "nan" and "inf" as numbers.
+NUMBER_CHARACTERS = "0123456789+-.eE"
 
 
 def round_half_even(value: Column, digits: int) -> Column:
@@ -21,7 +21,7 @@ def round_half_even(value: Column, digits: int) -> Column:
 def parse_money(text: Column) -> Column:
     """``"$1,234.50"`` -> 1234.5; anything that is not a plain number -> null."""
     digits = F.translate(strip(text), "$,", "")
-    return F.when(digits.rlike(PLAIN_NUMBER), digits.try_cast("double"))
+    return F.when(F.translate(digits, NUMBER_CHARACTERS, "") == "", digits.try_cast("double"))
 
 
 def to_cents(amount: Column) -> Column:

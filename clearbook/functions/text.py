@@ -63,11 +63,9 @@ def literal_table(pairs: Mapping[str, str]) -> Column:
 def first_containing(text: Column, vocabulary: Sequence[str]) -> Column:
     """First vocabulary entry that contains, or is contained in, the lower-cased text."""
     folded = F.lower(text)
-    hits = [
-        F.when(folded.contains(entry.lower()) | F.lit(entry.lower()).contains(folded), F.lit(entry))
-        for entry in vocabulary
-    ]
-    return F.coalesce(*hits)
+    entries = F.split(F.lit("\n".join(vocabulary)), "\n")
+    hits = F.filter(entries, lambda entry: folded.contains(F.lower(entry)) | F.lower(entry).contains(folded))
+    return F.get(hits, F.lit(0))
 
 
 def fallback_match(text: Column, vocabulary: Sequence[str]) -> Column:

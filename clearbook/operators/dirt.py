@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clearbook.functions.text import grouped_number
+from clearbook.functions.text import grouped_number, literal_table
 from clearbook.functions.vocabulary import NOTES, REGION_SPELLINGS, SEGMENT_SPELLINGS
 
 NAME_VARIANTS = 11
@@ -33,25 +33,32 @@ def _choose(selected: Column, options: Sequence[Column]) -> Column:
     return chosen
 
 
+# Text replacements by variant.
+NAME_SWAPS = {
+    3: ("Corp", "Corporation"),
+    4: ("Inc", "Incorporated"),
+    5: ("LLC", "L.L.C."),
+    6: ("Co", "Company"),
+    8: (" ", "  "),
+    9: ("&", "and"),
+}
+
+
 def dirty_name(name: Column, variant: Column, typo: Column) -> Column:
     """One of eleven spellings of a name; variant 11 leaves out the letter at ``typo`` (1-based)."""
-    substituted = lambda old, new: F.replace(name, F.lit(old), F.lit(new))
-    return _choose(
-        variant,
-        [
-            name,
-            F.upper(name),
-            F.lower(name),
-            substituted("Corp", "Corporation"),
-            substituted("Inc", "Incorporated"),
-            substituted("LLC", "L.L.C."),
-            substituted("Co", "Company"),
-            F.concat(F.lit("  "), name, F.lit("  ")),
-            substituted(" ", "  "),
-            substituted("&", "and"),
-            F.substring(name, F.lit(1), F.greatest(F.length(name) - 1, F.lit(5))),
-            F.concat(F.substring(name, F.lit(1), typo - 1), F.substring(name, typo + 1, F.length(name))),
-        ],
+    old, new = (
+        F.try_element_at(
+            literal_table({str(number): swap[side] for number, swap in NAME_SWAPS.items()}), variant.cast("string")
+        )
+        for side in (0, 1)
+    )
+    return (
+        F.when(variant == 1, F.upper(name))
+        .when(variant == 2, F.lower(name))
+        .when(variant == 7, F.concat(F.lit("  "), name, F.lit("  ")))
+        .when(variant == 10, F.substring(name, F.lit(1), F.greatest(F.length(name) - 1, F.lit(5))))
+        .when(variant == 11, F.concat(F.left(name, typo - 1), F.substring(name, typo + 1, F.length(name))))
+        .otherwise(F.coalesce(F.replace(name, old, new), name))
     )
 
 
@@ -75,7 +82,7 @@ def dirty_date(day: Column, pick: Column) -> Column:
 
 def dirty_revenue(amount: Column, percent: Column) -> Column:
     """3 % missing, 3 % dollar text, 2 % negative, the rest plain; as text. ``percent`` is in 0..99."""
-    plain = lambda value: F.round(value, 2).cast("decimal(18,2)").cast("string")
+    plain = lambda value: value.cast("decimal(18,2)").cast("string")
     return (
         F.when(percent < 3, F.lit(None).cast("string"))
         .when(percent < 6, F.concat(F.lit("$"), grouped_number(amount, 2)))

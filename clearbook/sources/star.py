@@ -74,13 +74,14 @@ def _picked(values: list[str], position: Column) -> Column:
     return F.try_element_at(F.split(F.lit("\n".join(values)), "\n"), (position + 1).cast("int"))
 
 
-def spread_out(df: DataFrame) -> DataFrame:
+def spread_out(df: DataFrame, *keys: str) -> DataFrame:
     """Deal a table that comes in fewer splits than there are cores out over all cores.
 
-    Only a small table ever does; a large one stays where its splits are.
+    Only a small table ever does; a large one stays where its splits are. The
+    keys should identify a row, so that the parts come out even.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def base_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,7 +91,8 @@ def base_transactions(spark: SparkSession, folder: str) -> DataFrame:
     customer, segment from the part.
     """
     # the text expressions built on these rows cost far more than moving a small table
-    lines = spread_out(table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice"))
+    lines = table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice")
+    lines = spread_out(lines, *LINE_KEYS)
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", order_day().alias("order_day"))
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
