@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.dates import parse_date
 from clearbook.functions.numeric import parse_money, round_half_even
-from clearbook.operators.cleaning import clean_transactions, name_mapping
+from clearbook.operators.cleaning import clean_transactions
+from clearbook.operators.names import canonical_names
+from clearbook.sources.staging import stage
 
 DIRTY_COLUMNS = ["customer_name", "region", "industry_segment"]
 
@@ -24,17 +26,22 @@ def dirty_triples(raw: DataFrame) -> DataFrame:
 def cleaning_profile(raw: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """One row: rows, distinct values before and after, missing revenues, unparseable dates.
 
-    The rows are first reduced to the distinct text combinations; cleaning and
-    the six distinct counts then work on those only.
+    The rows are first reduced to the distinct text combinations; name
+    clustering, cleaning and the six distinct counts then work on those only.
     """
-    names = name_mapping(raw) if names is None else names
     money, day = parse_money(F.col("revenue_usd")), parse_date(F.col("order_date"))
-    combinations = raw.groupBy(*DIRTY_COLUMNS).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("revenue_usd").isNull()).alias("no_revenue"),
-        F.count_if(money.isNull()).alias("no_clean_revenue"),
-        F.count_if(day.isNull()).alias("no_date"),
+    combinations = stage(
+        raw.groupBy(*DIRTY_COLUMNS).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("revenue_usd").isNull()).alias("no_revenue"),
+            F.count_if(money.isNull()).alias("no_clean_revenue"),
+            F.count_if(day.isNull()).alias("no_date"),
+        ),
+        "combinations",
     )
+    if names is None:
+        counts = combinations.groupBy(F.col("customer_name").alias("dirty")).agg(F.sum("rows").alias("n"))
+        names = stage(canonical_names(counts), "names")
     spread = combinations.withColumns(
         {
             "transaction_id": F.xxhash64(*DIRTY_COLUMNS),
