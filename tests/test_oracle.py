@@ -1,4 +1,3 @@
-import duckdb
 import pytest
 from conftest import SMALL
 from oracle_check import compare, connect
@@ -7,8 +6,9 @@ import __spark_entry__ as entry
 
 
 @pytest.fixture(scope="module")
-def connection() -> duckdb.DuckDBPyConnection:
-    return connect(SMALL)
+def connection():
+    with connect(SMALL) as opened:
+        yield opened
 
 
 def test_only_the_file_sizes_have_no_twin():
