@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clearbook.llm import bpe
+from clearbook.llm import bpe, simhash, toxicity
 from clearbook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +27,16 @@ def op2_byte_bpe(spark, folder):
     table = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = documents(spark, folder).select("doc_id", "text")
     return bpe.digests(bpe.decode(bpe.encode(docs, table, public_tokenizers.PATTERN), table))
+
+
+@query
+def op4_simhash(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=3, radius=2)
+
+
+@query
+def op6_toxicity(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
