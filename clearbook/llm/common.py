@@ -13,12 +13,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 SLICE_BYTES = 4 << 20
 
+# Letters, digits and all bytes of characters beyond ASCII.
+_IN_WORD = np.ones(256, dtype=bool)
+_IN_WORD[:128] = [chr(b).isalnum() for b in range(128)]
+
 # Bytes that end a word: blank, tab, line feed, vertical tab, form feed, carriage return.
 IS_WHITE = np.zeros(256, dtype=bool)
 IS_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -111,7 +116,22 @@ class Words:
 
 def words_in(data: np.ndarray, offsets: np.ndarray) -> Words:
     """The words of texts given as bytes; no word crosses from one text into the next."""
-    inside = ~IS_WHITE[data]
+    return _runs(data, offsets, ~IS_WHITE[data])
+
+
+def letter_words(texts: pa.Array) -> Words:
+    """Lower-case words of letters and digits; all other ASCII characters part words."""
+    data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    return _runs(data, offsets, _IN_WORD[data])
+
+
+def word_hashes(words: Words) -> np.ndarray:
+    """A 64-bit hash for each word; equal words have equal ones."""
+    codes, distinct = words.coded()
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))[codes]
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
     before, after = np.zeros(len(data), dtype=bool), np.zeros(len(data), dtype=bool)
     if len(data):
         before[1:], after[:-1] = inside[:-1], inside[1:]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clearbook.llm import bpe, simhash, toxicity
+from clearbook.llm import bpe, decontaminate, simhash, toxicity
 from clearbook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,10 @@ def op6_toxicity(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return toxicity.toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op1_decontaminate(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "begin", "size", "equal", "n_items")

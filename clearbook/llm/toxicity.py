@@ -16,13 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from clearbook.llm.common import Words, arrow_schema, text_bytes, text_slices
+from clearbook.llm.common import arrow_schema, letter_words, text_slices, word_hashes
 
 SAMPLE_ROWS = 20_000  # labelled documents that training reads, about
 FEATURE_BITS = 20  # weights number 2 ** FEATURE_BITS at most
@@ -31,10 +29,6 @@ ALPHA, BETA, L1, L2 = 0.1, 1.0, 3.0, 1.0
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
-# Letters, digits and all bytes of longer characters make words; all other ASCII bytes part them.
-_IN_WORD = np.ones(256, dtype=bool)
-_IN_WORD[:128] = [chr(b).isalnum() for b in range(128)]
-
 
 def fold(id_column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
@@ -43,17 +37,8 @@ def fold(id_column: str, folds: int) -> Column:
 
 def features_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of all distinct features of some texts, ordered by row."""
-    data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
-    inside = _IN_WORD[data]
-    before = np.concatenate([[False], inside])[: len(data)]
-    after = np.concatenate([inside[1:], [False]])[: len(data)]
-    edges = offsets[1:-1]
-    before[edges[edges < len(data)]] = False
-    after[edges[edges > 0] - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    words = Words(data, starts, np.flatnonzero(inside & ~after) + 1, np.searchsorted(starts, offsets))
-    codes, distinct = words.coded()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))[codes]
+    words = letter_words(texts)
+    hashes = word_hashes(words)
     rows = words.rows()
 
     shift = np.uint64(64 - FEATURE_BITS)
