@@ -32,6 +32,7 @@ MIN_ITEM = 8  # shorter benchmark items would match ordinary prose and are not l
 SLOT_BITS = 24  # the bitmap of benchmark seeds has 2 ** SLOT_BITS bits (2 MB), whatever the benchmark
 
 _HITS = "key long, region int, start int, tokens binary, hits array<struct<pos:int,seed:long>>"
+_CHECKED = "key long, item long, begin int, size int, equal int"
 
 
 def all_masks(lengths: list[int]) -> list[str]:
@@ -97,6 +98,7 @@ def _item_rows(masks: list[str] | None):
 def _document_rows(masks: list[str], bitmap: bytes):
     """Task over (key, text): for each text the stretches around seeds that may be in the benchmark."""
     reach = WINDOW - 1
+    schema = arrow_schema(_HITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8), bitorder="little").astype(bool)
@@ -132,7 +134,7 @@ def _document_rows(masks: list[str], bitmap: bytes):
                     rows_out["tokens"].append(hashes[left : furthest[b - 1]].tobytes())
                     hits = zip((at[a:b] - words.first[row]).tolist(), seed[a:b].view(np.int64).tolist(), strict=True)
                     rows_out["hits"].append([{"pos": p, "seed": s} for p, s in hits])
-                yield pa.RecordBatch.from_pydict(rows_out, schema=arrow_schema(_HITS))
+                yield pa.RecordBatch.from_pydict(rows_out, schema=schema)
 
     return run
 
@@ -154,15 +156,22 @@ def needed(size: int) -> int:
     return size if size < WINDOW else int(np.ceil(SHARE * size))
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for x in batch.to_pylist():
-            text, item = (np.frombuffer(x[c], dtype=np.uint64) for c in ("tokens", "item_tokens"))
-            equal, at, size = best_overlap(text, item, x["offset"] - x["start"])
-            if equal >= needed(size):
-                rows.append({"key": x["key"], "item": x["item"], "begin": x["start"] + at, "size": size, "equal": equal})
-        yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema("key long, item long, begin int, size int, equal int"))
+def _verifier():
+    """Task over proposed alignments: those that hold."""
+    schema = arrow_schema(_CHECKED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for x in batch.to_pylist():
+                text, item = (np.frombuffer(x[c], dtype=np.uint64) for c in ("tokens", "item_tokens"))
+                equal, at, size = best_overlap(text, item, x["offset"] - x["start"])
+                if equal >= needed(size):
+                    kept = {"key": x["key"], "item": x["item"]}
+                    rows.append(kept | {"begin": x["start"] + at, "size": size, "equal": equal})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return run
 
 
 def _slots(seeds: DataFrame) -> bytes:
@@ -230,7 +239,7 @@ def overlaps(
         proposed.join(regions.select("key", "region", "start", "tokens"), ["key", "region"])
         .join(classes.select("item", F.col("tokens").alias("item_tokens")), "item")
         .select("key", "item", "offset", "start", "tokens", "item_tokens")
-        .mapInArrow(_verify, "key long, item long, begin int, size int, equal int")
+        .mapInArrow(_verifier(), _CHECKED)
         .groupBy("key", "item")
         .agg(F.min_by(F.struct("begin", "size", "equal"), F.struct(-F.col("equal") / F.col("size"), "begin")).alias("best"))
     )
