@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clearbook.llm import bpe, decontaminate, simhash, toxicity
+from clearbook.llm import bpe, decontaminate, pii, simhash, toxicity
 from clearbook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,9 @@ def op1_decontaminate(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
     return found.select("doc_id", "item_id", "begin", "size", "equal", "n_items")
+
+
+@query
+def op8_pii(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    return pii.digests(pii.find(docs, pii.train(docs)))
