@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clearbook.llm import bpe, decontaminate, pii, simhash, toxicity
+from clearbook.llm import bpe, decontaminate, outliers, pii, simhash, toxicity
 from clearbook.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,11 @@ def op1_decontaminate(spark, folder):
 def op8_pii(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
     return pii.digests(pii.find(docs, pii.train(docs)))
+
+
+@query
+def op3_quality_outliers(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text", "lang", "source")
+    return outliers.keep_quality(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
