@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clearbook.llm import bpe, decontaminate, outliers, pii, simhash, toxicity
+from clearbook.llm import bpe, decontaminate, outliers, pii, simhash, token_files, toxicity
 from clearbook.llm.common import documents
+from clearbook.sources.staging import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,3 +62,13 @@ def op3_quality_outliers(spark, folder):
     return outliers.keep_quality(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op10_token_files(spark, folder):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        vocabulary = file.read()
+    path = fresh_path(spark, "tokens")
+    token_files.write(token_files.tokenize(documents(spark, folder).select("doc_id", "text"), vocabulary, end_id=2), path)
+    rows = token_files.checksums(token_files.read(spark, path))
+    return token_files.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
