@@ -160,33 +160,58 @@ def _cut_blocks(kind: int, text_column: str, part_column: str, pattern: str, blo
     return run
 
 
-def _encode_sorted(table: list[bytes], pattern: str):
-    """Task over (block, seq, word) sorted by word: every word is encoded when it first comes."""
+def _encode_sorted(table: list[bytes], pattern: str, flush_rows: int = 500_000):
+    """Task over (block, seq, word) sorted by word: every word is encoded when it first comes.
+
+    The answers for one block leave as few rows: the places in its list, their numbers of ids, the ids.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = {token: rank for rank, token in enumerate(table) if token}
         encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        last, ids = None, b""
+        last, ids = None, []
+        blocks, places, lengths, found = [], [], [], []
+
+        def answers() -> pa.RecordBatch:
+            block, place = np.concatenate(blocks), np.concatenate(places)
+            sizes, flat = np.array(lengths, dtype=np.int64), np.array(found, dtype=np.int32)
+            order = np.lexsort((place, block))
+            block, place = block[order], place[order]
+            begins = np.flatnonzero(np.diff(block, prepend=-1))
+            packed, counts = [], []
+            for a, b in zip(begins, [*begins[1:], len(order)], strict=True):
+                own = order[a:b]
+                whole = np.concatenate([[b - a], np.diff(place[a:b], prepend=0), sizes[own], ragged(sizes, flat, own)])
+                packed.append(_pack(whole))
+                counts.append(len(whole))
+            return pa.record_batch(
+                [pa.array(block[begins]), pa.array(packed, pa.binary()), pa.array(counts, pa.int32())],
+                names=["block", "payload", "size"],
+            )
+
         for batch in batches:
-            found = []
             for word in batch.column("word").to_pylist():
                 if word != last:
                     last = word
-                    ids = np.array(encoding.encode_ordinary(word.decode()), dtype="<i4").tobytes()
-                found.append(ids)
-            yield pa.record_batch(
-                [batch.column("block"), batch.column("seq"), pa.array(found, pa.binary())],
-                names=["block", "seq", "ids"],
-            )
+                    ids = encoding.encode_ordinary(word.decode())
+                lengths.append(len(ids))
+                found.extend(ids)
+            blocks.append(batch.column("block").to_numpy(zero_copy_only=False))
+            places.append(batch.column("seq").to_numpy(zero_copy_only=False))
+            if len(lengths) >= flush_rows:
+                yield answers()
+                blocks, places, lengths, found = [], [], [], []
+        if lengths:
+            yield answers()
 
     return run
 
 
-def _assemble(schema: pa.Schema, ids_name: str):
+def _assemble(schema: pa.Schema):
     """Task over rows sorted by (block, kind, seq): pre-token ids first, then the texts that use them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, pieces, lengths, values = None, [], None, None
+        block, answers, lengths, values = None, [], None, None
         for batch in batches:
             blocks = batch.column("block").to_numpy(zero_copy_only=False)
             kinds = batch.column("kind").to_numpy(zero_copy_only=False)
@@ -194,17 +219,25 @@ def _assemble(schema: pa.Schema, ids_name: str):
             for begin, end in zip(begins, [*begins[1:], batch.num_rows], strict=True):
                 rows = batch.slice(begin, end - begin)
                 if blocks[begin] != block:
-                    block, pieces, lengths, values = blocks[begin], [], None, None
+                    block, answers, lengths, values = blocks[begin], [], None, None
                 if kinds[begin] == WORD:
-                    pieces.append(rows.column("payload"))
+                    sizes = rows.column("size").to_pylist()
+                    answers += [_unpack(p, n) for p, n in zip(rows.column("payload").to_pylist(), sizes, strict=True)]
                     continue
                 if lengths is None:
-                    parts = [piece.cast(pa.large_binary()) for piece in pieces]
-                    data, offsets = bytes_of(pa.concat_arrays(parts) if parts else pa.array([], pa.large_binary()))
-                    values, lengths = data.view("<i4"), np.diff(offsets) // 4
-                    pieces = []
+                    lengths, values = _by_place(answers)
+                    answers = []
                 yield from _texts(rows, lengths, values)
 
+    def _by_place(answers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids, the ids) of all words of a block, in the order of its list."""
+        none = np.empty(0, dtype=np.int64)
+        places = np.concatenate([none, *(np.cumsum(x[1 : 1 + x[0]]) for x in answers)])
+        lengths = np.concatenate([none, *(x[1 + x[0] : 1 + 2 * x[0]] for x in answers)])
+        flat = np.concatenate([none, *(x[1 + 2 * x[0] :] for x in answers)])
+        order = np.argsort(places)
+        return lengths[order], ragged(lengths, flat, order)
+
     def _texts(rows: pa.RecordBatch, lengths: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
         sizes = rows.column("size").to_numpy(zero_copy_only=False)
         before = np.cumsum(sizes, dtype=np.int64) - sizes
@@ -260,7 +293,7 @@ def encode(
     answers = (
         words.repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encode_sorted(table, pattern), "block long, seq int, ids binary")
+        .mapInArrow(_encode_sorted(table, pattern), "block long, payload binary, size int")
     )
 
     text_schema = StructType(
@@ -270,15 +303,14 @@ def encode(
         _cut_blocks(TEXT, text_column, part, pattern, block_tokens, arrow_schema(text_schema)), text_schema
     )
     nothing = F.lit(None).cast(kept)
-    rows = answers.select(
-        "block", F.lit(WORD).alias("kind"), "seq", F.col("ids").alias("payload"), F.lit(0).alias("size"),
-        nothing.alias("carried"),
-    ).unionByName(texts.withColumn("kind", F.lit(TEXT)))
+    rows = answers.withColumns(
+        {"kind": F.lit(WORD), "seq": F.lit(0), "carried": F.lit(None).cast(kept)}
+    ).unionByName(texts.withColumn("kind", F.lit(TEXT)))
     out = StructType([*kept.fields, StructField(ids_column, ArrayType(IntegerType(), True))])
     return (
         rows.repartition("block")
         .sortWithinPartitions("block", "kind", "seq")
-        .mapInArrow(_assemble(arrow_schema(out), ids_column), out)
+        .mapInArrow(_assemble(arrow_schema(out)), out)
     )
 
 
