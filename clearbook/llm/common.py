@@ -125,9 +125,17 @@ def letter_words(texts: pa.Array) -> Words:
     return _runs(data, offsets, _IN_WORD[data])
 
 
-def word_hashes(words: Words) -> np.ndarray:
-    """A 64-bit hash for each word; equal words have equal ones."""
+def cased_words(texts: pa.Array) -> Words:
+    """Words of letters and digits as they are written, so that their places are those of the text."""
+    data, offsets = text_bytes(texts)
+    return _runs(data, offsets, _IN_WORD[data])
+
+
+def word_hashes(words: Words, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash for each word; equal words have equal ones, with ``lower`` whatever their case."""
     codes, distinct = words.coded()
+    if lower:
+        distinct = pc.utf8_lower(distinct.cast(pa.large_string())).cast(pa.large_binary())
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))[codes]
 
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clearbook.llm import bpe, decontaminate, outliers, pii, simhash, token_files, toxicity
+from clearbook.llm import bpe, decontaminate, line_dedup, outliers, pii, simhash, token_files, toxicity
 from clearbook.llm.common import documents
 from clearbook.sources.staging import fresh_path
 
@@ -72,3 +73,18 @@ def op10_token_files(spark, folder):
     token_files.write(token_files.tokenize(documents(spark, folder).select("doc_id", "text"), vocabulary, end_id=2), path)
     rows = token_files.checksums(token_files.read(spark, path))
     return token_files.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op9_line_dedup(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    # passages are copied into the middle of lines, so the units are sentences
+    lost = line_dedup.repeats(docs, unit="sentence")
+    places = F.transform("removed", lambda r: F.concat_ws(":", r["start"].cast("string"), r["end"].cast("string")))
+    chars = F.aggregate("removed", F.lit(0), lambda total, r: total + r["end"] - r["start"])
+    return lost.select(
+        F.col("id").alias("doc_id"),
+        F.size("removed").alias("n_removed"),
+        chars.alias("chars_removed"),
+        F.array_join(places, ",").alias("removed"),
+    )
