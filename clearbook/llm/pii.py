@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clearbook.llm.common import arrow_schema
+from clearbook.llm.common import arrow_schema, unused_name
 from clearbook.sources.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -372,3 +372,9 @@ def digests(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return found.select(
         F.col(f"`{id_column}`"), *counts, F.sha2(listed(strict), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
+
+
+def redacted(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents with all personal data replaced by its kind, all other columns as they are."""
+    spans = unused_name("_spans", documents.columns)
+    return redact(find(documents, train(documents, id_column, text_column), text_column, spans), text_column, spans)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from clearbook.llm.common import arrow_schema, letter_words, text_slices, word_hashes
+from clearbook.llm.common import arrow_schema, letter_words, text_slices, unused_name, word_hashes
 
 SAMPLE_ROWS = 20_000  # labelled documents that training reads, about
 FEATURE_BITS = 20  # weights number 2 ** FEATURE_BITS at most
@@ -181,3 +181,12 @@ def toxicity(
             "predicted": F.when(F.col("score") >= 0.5, 1).otherwise(0),
         }
     )
+
+
+def keep_harmless(
+    documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The documents that score below 0.5, all columns as they are; all labels are learned from."""
+    found = unused_name("_score", documents.columns)
+    scored = score(documents, train(documents, labels, id_column, text_column), text_column, found)
+    return scored.where(F.col(found) < 0.5).drop(found)
