@@ -158,3 +158,14 @@ def ragged(lengths: np.ndarray, values: np.ndarray, picks: np.ndarray) -> np.nda
     total = int(wanted.sum())
     shift = np.repeat(begins[picks] - (np.cumsum(wanted) - wanted), wanted)
     return values[np.arange(total) + shift]
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers of 64 bits as byte planes, compressed: the high bytes of small ones take no room."""
+    return pa.compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, size: int) -> np.ndarray:
+    """``size`` packed numbers as 64-bit integers."""
+    planes = np.frombuffer(pa.decompress(packed, 8 * size, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).ravel()

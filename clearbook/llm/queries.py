@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearbook.llm import bpe, decontaminate, line_dedup, outliers, pii, simhash, token_files, toxicity
+from clearbook.llm import (
+    bpe,
+    context_tree,
+    decontaminate,
+    line_dedup,
+    outliers,
+    pii,
+    revisits,
+    simhash,
+    token_files,
+    toxicity,
+)
 from clearbook.llm.common import documents
 from clearbook.sources.staging import fresh_path
 
@@ -88,3 +99,69 @@ def op9_line_dedup(spark, folder):
         chars.alias("chars_removed"),
         F.array_join(places, ",").alias("removed"),
     )
+
+
+@query
+def op7_revisits(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    lines = F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"]))
+    return revisits.resolve(revisits.captures_of(pages)).select(
+        "record_id", "response_id", "verdict", "payload_digest", F.array_join(lines, "\n").alias("headers")
+    )
+
+
+ORACLES["op7_revisits"] = r"""
+WITH crawl AS (
+  SELECT page_id, url, md5(html) AS digest, '"' || left(md5(html), 16) || '"' AS tag,
+         'day ' || page_id AS day, length(html) AS size,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+  FROM pages
+), parts AS (
+  SELECT *,
+         regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), ':(80|443)?$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid|sessionid)(=.*)?$'))) AS params
+  FROM crawl
+), placed AS (
+  SELECT *, CASE WHEN host <> '' THEN host || path ||
+         CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS page
+  FROM parts
+), revisit AS (
+  SELECT 2 * page_id + 1 AS record_id, page, page_id + 1000 * (1 + page_id % 3) AS time,
+         CASE WHEN page_id % 7 = 3 OR page_id % 11 = 5 THEN NULL WHEN page_id % 5 = 4 THEN '"old"' ELSE tag END AS tag,
+         CASE WHEN page_id % 11 <> 5 THEN day END AS day
+  FROM placed
+), matched AS (
+  SELECT v.record_id, v.time, v.tag AS sent_tag, v.day AS sent_day, r.page_id, r.tag, r.day, r.digest, r.size
+  FROM revisit v ASOF LEFT JOIN placed r ON v.page = r.page AND v.time > r.page_id
+), judged AS (
+  SELECT *, CASE WHEN page_id IS NULL THEN 'missing'
+                 WHEN sent_tag IS NOT NULL THEN CASE WHEN sent_tag = tag THEN 'resolved' ELSE 'mismatch' END
+                 WHEN sent_day IS NOT NULL THEN CASE WHEN sent_day = day THEN 'resolved' ELSE 'mismatch' END
+                 ELSE 'unverified' END AS verdict
+  FROM matched
+)
+SELECT record_id, 2 * page_id AS response_id, verdict,
+       CASE WHEN verdict = 'resolved' THEN digest END AS payload_digest,
+       CASE WHEN verdict = 'resolved' THEN
+         'Content-Type: text/html' || chr(10) || 'Content-Length: ' || size || chr(10) || 'ETag: ' || tag || chr(10) ||
+         'Date: ' || time || chr(10) || 'Cache-Control: max-age=60' END AS headers
+FROM judged
+"""
+
+
+@query
+def op5_context_tree(spark, folder):
+    held_out = F.coalesce(toxicity.fold("doc_id", 7) == 2, F.lit(True))
+    scored = context_tree.score(documents(spark, folder).select("doc_id", "text"), ~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "bits_per_byte",
+    )
