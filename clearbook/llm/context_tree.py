@@ -38,7 +38,7 @@ from pyspark.sql.types import StructField, StructType
 from clearbook.llm.common import LOWER, arrow_schema, pack, text_bytes, text_slices, unpack, words_in
 from clearbook.sources.staging import stage
 
-DEPTH = 4
+DEPTH = 5
 SUBTREE = 2  # levels below the root of a subtree
 BLOCK_BYTES = 32 << 20
 

@@ -24,8 +24,8 @@ from clearbook.llm.common import arrow_schema, letter_words, text_slices, unused
 
 SAMPLE_ROWS = 20_000  # labelled documents that training reads, about
 FEATURE_BITS = 20  # weights number 2 ** FEATURE_BITS at most
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 3.0, 1.0
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 1.0
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -35,8 +35,8 @@ def fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.col(f"`{id_column}`").cast("string").cast("binary")) % folds
 
 
-def features_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) of all distinct features of some texts, ordered by row."""
+def features_of(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of all distinct features of some texts, or of the ``wanted`` ones, ordered by row."""
     words = letter_words(texts)
     hashes = word_hashes(words)
     rows = words.rows()
@@ -49,6 +49,8 @@ def features_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             mixed = first * _MIX[distance] + (second * _MIX[3] if distance else 0)
             slot = ((mixed ^ (mixed >> np.uint64(29))) * _MIX[0]) >> shift
         same = rows[: len(rows) - distance] == rows[distance:]
+        if wanted is not None:
+            same &= wanted[slot]
         keys.append((rows[: len(rows) - distance][same] << FEATURE_BITS) | slot[same].astype(np.int64))
     found = np.unique(np.concatenate(keys))
     return found >> FEATURE_BITS, found & ((1 << FEATURE_BITS) - 1)
@@ -152,9 +154,10 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((1 << FEATURE_BITS) + 1)
         table[slots] = values
+        wanted = table != 0
         for batch in batches:
             for part in text_slices(batch, text_column):
-                rows, features = features_of(part.column(text_column))
+                rows, features = features_of(part.column(text_column), wanted)
                 sums = np.bincount(rows, weights=table[features], minlength=part.num_rows) + table[-1]
                 yield pa.record_batch([*part.columns, pa.array(_sigmoid(sums))], schema=arrow)
 
