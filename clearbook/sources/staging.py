@@ -29,9 +29,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/clearbook/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and return it as a scan of what was written."""
+def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write a frame to the shared folder and return it as a scan of what was written.
+
+    With ``partition_by`` there is a folder for each value of these columns, and
+    a filter on them reads no other.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
