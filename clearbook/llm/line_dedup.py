@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clearbook.llm.common import IS_WHITE, arrow_schema, cased_words, text_bytes, text_slices, word_hashes
+from clearbook.llm.common import IS_WHITE, arrow_schema, cased_words, text_bytes, text_slices, unused_name, word_hashes
 from clearbook.sources.staging import stage
 
 MIN_WORDS = 6  # shorter units repeat by chance and stay
@@ -142,15 +142,14 @@ def remove(
     All rows stay, with all columns; a text that loses nothing is as it was and
     has no places. An older column ``removed`` is replaced.
     """
+    lost_id, lost_digest = (unused_name(name, documents.columns) for name in ("_lost_id", "_lost_digest"))
     lost = repeats(documents, unit, min_words, id_column, text_column).withColumnsRenamed(
-        {"id": "_lost_id", "digest": "_lost_digest"}
+        {"id": lost_id, "digest": lost_digest}
     )
     docs = documents.drop("removed")
     text = F.col(f"`{text_column}`")
-    same = F.col(f"`{id_column}`").eqNullSafe(F.col("_lost_id")) & (
-        F.xxhash64(text.cast("string")) == F.col("_lost_digest")
-    )
-    joined = docs.join(lost, same, "left").drop("_lost_id", "_lost_digest")
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col(lost_id)) & (F.xxhash64(text.cast("string")) == F.col(lost_digest))
+    joined = docs.join(lost, same, "left").drop(lost_id, lost_digest)
     # what stands between two removed places, and before the first and behind the last
     nothing = F.array().cast("array<struct<start:int,end:int>>")
     removed = F.coalesce("removed", nothing)

@@ -295,6 +295,7 @@ def judge(measured: DataFrame, lang_column: str = "lang", source_column: str = "
     fewer than MIN_GROUP texts are pooled; a pool of very few texts still has an
     estimate, because every deviation has a floor.
     """
+    measured = measured.drop("base_failed", "distance", "kept")
     key = unused_name("key", measured.columns)
     rows = stage(
         measured.withColumn("base_failed", base_failed()).withColumn(key, F.monotonically_increasing_id()), "measured"

@@ -65,6 +65,7 @@ _HINTS = {
 }
 _DATE = re.compile(r"(?:19|20)\d\d[-./]\d\d?[-./]\d\d?|\d\d?[-./]\d\d?[-./](?:19|20)?\d\d(?!\d)")
 _NUMBERS = re.compile(r"[0-9]+")
+_DOT_WORD = re.compile(r"\bdot\b", re.IGNORECASE)
 _MAY_HOLD = re.compile(r"[0-9@]|\bdot\b", re.IGNORECASE)
 
 
@@ -140,6 +141,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         _class_of(text[end : end + 1]),
         sum(c.isalpha() for c in span) / len(span),
         float("@" in span),
+        float(bool(_DOT_WORD.search(span))),
         len(tail) if tail.isalpha() else 0,
         len(groups),
         max(groups),
@@ -153,8 +155,11 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
 def _loosened(kind: str, span: str, turn: int) -> str:
     """The same personal data as people write it to please themselves or to hide it."""
     if kind == "email":
+        if turn % 2:  # many addresses have no digits
+            span = _NUMBERS.sub("", span)
         name, _, domain = span.partition("@")
-        return [f"{name} at {domain.replace('.', ' dot ')}", f"{name}(at){domain}", f"{name} @ {domain}"][turn % 3]
+        name = name.strip("._%+-") or "me"
+        return [f"{name} at {domain.replace('.', ' dot ')}", f"{name}(at){domain}", f"{name} @ {domain}"][turn // 2 % 3]
     if kind == "ip":
         return [span.replace(".", "[.]"), span.replace(".", " . "), span.replace(".", ",")][turn % 3]
     digits = _digits(span)
@@ -167,7 +172,7 @@ def _loosened(kind: str, span: str, turn: int) -> str:
 
 def _harmless(digits: str, turn: int) -> str:
     """Number-like text that is no personal data, made from the digits of a span."""
-    d = (digits * 8)[:24]
+    d = (digits * 24)[:24]
     year = 1900 + int(d[:3]) % 130
     return [
         f"{year}-{int(d[3:5]) % 12 + 1:02d}-{int(d[5:7]) % 28 + 1:02d} {int(d[7:9]) % 24:02d}:{int(d[9:11]) % 60:02d}",

@@ -1,0 +1,102 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import SMALL
+
+from clearbook.llm import outliers, queries
+
+
+def stats(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    seen, duplicates = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            duplicates += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), duplicates, len(covered))
+
+
+def test_statistics_of_random_texts():
+    rng = random.Random(2)
+    pieces = ["a", "b", " ", "\n", "\n\n", " \n", "x y z", "\t", "é", "#", "É", "\x1c", "a b a b", ""]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 30))) for _ in range(2000)] + [None, ""]
+    found = outliers.statistics_of(pa.array(texts))
+    assert [tuple(int(column[i]) for column in found[:5]) for i in range(len(texts))] == [stats(t) for t in texts]
+
+
+def test_messy_rows(messy, empty):
+    rows = outliers.keep_quality(messy).collect()
+    truth = {(r.doc_id, r.text): stats(r.text) for r in messy.collect()}
+    assert sorted((str(r.doc_id), r.n_words, r.n_symbols) for r in rows) == sorted((str(i), s[0], s[2]) for (i, _), s in [
+        ((r.doc_id, r.text), truth[r.doc_id, r.text]) for r in messy.collect()
+    ])
+    for r in rows:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert isinstance(r.kept, bool) and not (r.base_failed and r.kept)
+    assert outliers.keep_quality(empty).count() == 0
+
+
+def concentrate(x):
+    """The estimate of one group, by its definition: all rows at hand, sorted where Spark counts bins."""
+    floor = np.array(list(outliers.FLOORS.values()))
+    rounded = np.sort(np.round(x, 2), axis=0)
+    at = lambda share: rounded[int(np.ceil(share * len(x))) - 1]
+    sd = (at(0.75) - at(0.25)) / (2 * 0.6744897501960817)
+    centre, precision = at(0.5), np.diag(1 / (sd**2 + floor**2))
+
+    def distance():
+        gap = x - centre
+        return np.einsum("ni,ij,nj->n", gap, precision, gap)
+
+    def estimate(chosen, share):
+        scatter = np.cov(chosen.T, bias=True) * outliers.consistency(share) + np.diag(floor**2)
+        return chosen.mean(axis=0), np.linalg.inv(scatter)
+
+    for _ in range(outliers.STEPS):
+        bins = np.floor(np.log(np.maximum(distance(), 1e-6)) * outliers.BINS)
+        limit = np.sort(bins)[int(np.ceil(outliers.NEAREST * len(x))) - 1]
+        centre, precision = estimate(x[bins <= limit], outliers.NEAREST)
+    inner = distance() <= outliers.chi_square_bound(outliers.REWEIGHT, outliers.DIM)
+    centre, precision = estimate(x[inner], outliers.REWEIGHT)
+    return distance()
+
+
+def test_distances_against_the_definition(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'")
+    rows = outliers.keep_quality(docs.selectExpr("doc_id", "text", "'en' AS lang", "'one' AS source")).collect()
+    able = [r for r in rows if not r.base_failed]
+    x = np.array([
+        (np.log(r.word_chars / r.n_words), np.log1p(20 * r.n_symbols / r.n_words), r.n_dup_lines / r.n_lines,
+         r.n_repeat_words / r.n_words, np.log(r.n_upper / r.word_chars + 0.02), np.log(r.n_punctuation / r.word_chars + 0.02))
+        for r in able
+    ])
+    assert len(x) > 400
+    np.testing.assert_allclose([r.distance for r in able], concentrate(x), rtol=1e-6)
+
+
+def test_junk_goes_and_clean_texts_stay(spark):
+    folder = "/root/testdata/sf0.1"
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [r for r in queries.op3_quality_outliers(spark, folder).collect() if r.doc_id in quality]
+    assert len(rows) > 3000
+    clean = [r.kept for r in rows if quality[r.doc_id] == 1 and not r.base_failed]
+    junk = [r.kept for r in rows if quality[r.doc_id] == 0]
+    assert np.mean(clean) > 0.99 and np.mean(junk) < 0.01
+
+
+def test_query_statistics(spark):
+    truth = {r.doc_id: stats(r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for r in queries.op3_quality_outliers(spark, SMALL).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == truth[r.doc_id]
+
+
+@pytest.mark.parametrize("share, dim, bound", [(0.95, 2, 5.991), (0.975, 6, 14.449), (0.75, 8, 10.219)])
+def test_chi_square_bounds(share, dim, bound):
+    assert outliers.chi_square_bound(share, dim) == pytest.approx(bound, abs=1e-3)
