@@ -41,6 +41,7 @@ from clearbook.sources.staging import stage
 DEPTH = 5
 SUBTREE = 2  # levels below the root of a subtree
 BLOCK_BYTES = 32 << 20
+SLICE = 2 << 20  # bytes of text that are worked on at once
 
 EDGE = 0xFF  # stands before and behind every text; no byte of UTF-8
 
@@ -83,7 +84,8 @@ def grams_of(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
     padded[at] = LOWER[data]
     whole = np.zeros(len(padded) - depth if rows else 0, dtype=np.int64)
     for k in range(depth + 1):
-        whole = (whole << 8) | padded[k : k + len(whole)]
+        np.left_shift(whole, 8, out=whole)
+        np.bitwise_or(whole, padded[k : k + len(whole)], out=whole)
     # windows that begin in the last places of a text reach into the next
     inside = np.ones(len(whole), dtype=bool)
     begins = offsets[1:-1] + pad * np.arange(1, rows)
@@ -93,38 +95,32 @@ def grams_of(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(code of each gram, the distinct ones in the order they first come)."""
+    """(code of each gram, the distinct ones in the order of their codes)."""
     coded = pa.array(grams).dictionary_encode()
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_numpy(zero_copy_only=False)
 
 
-class _Lists:
-    """The distinct words and grams of a block, numbered in the order they first come; word 0 is the end of a text."""
+class _WordList:
+    """The distinct words of a block, numbered in the order they first come; word 0 is the end of a text."""
 
-    def __init__(self, depth: int) -> None:
-        self.depth = depth
-        self.words: dict[bytes, int] = {b"": 0}
-        self.grams: dict[int, int] = {}
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {b"": 0}
 
-    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(number of each word, first word of each text, number of each gram, first gram of each text)."""
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each word, first word of each text)."""
         data, offsets = text_bytes(texts)
         words = words_in(LOWER[data], offsets)
         codes, distinct = words.coded()
-        numbers = self.words
+        numbers = self.numbers
         known = np.array([numbers.setdefault(w, len(numbers)) for w in distinct.to_pylist()], dtype=np.int64)
-        grams, first_gram = grams_of(texts, self.depth)
-        gram_codes, gram_list = _distinct(grams)
-        places = self.grams
-        seen = np.array([places.setdefault(g, len(places)) for g in gram_list.tolist()], dtype=np.int64)
-        return known[codes], words.first, seen[gram_codes], first_gram
+        return known[codes], words.first
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, int, pa.RecordBatch]]:
     """(block, number of the first row in the task, rows): consecutive rows, a new block after ``limit`` bytes."""
     part, number, size, rows_before = None, 0, 0, 0
     for batch in batches:
-        for rows in text_slices(batch, "text"):
+        for rows in text_slices(batch, "text", SLICE):
             if part is None:
                 part = rows.column("part")[0].as_py()
             if size >= limit:
@@ -138,41 +134,49 @@ def _list_blocks(depth: int, limit: int):
     """Task over documents: the distinct words and grams of each block, with their training counts."""
     schema = arrow_schema(_ASKED)
 
-    def rows_of(block: int, lists: _Lists, counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for kind, keys in ((WORDS, list(lists.words)), (GRAMS, list(lists.grams))):
-            total = _added(counts[kind], len(keys))
-            for begin in range(0, len(keys), 100_000):
-                some = keys[begin : begin + 100_000]
-                end, empty = begin + len(some), pa.nulls(len(some))
+    def rows_of(block: int, words: _WordList, counts: np.ndarray, grams: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys = pa.array(list(words.numbers), pa.binary())
+        total = _added([counts], len(keys))
+        found, at = np.unique(np.concatenate(grams[0]), return_inverse=True)
+        number = np.bincount(at, np.concatenate(grams[1]), len(found)).astype(np.int64)
+        nothing = np.zeros(len(found), dtype=np.int32)
+        for kind, place, word, gram, n in (
+            (WORDS, np.arange(len(keys), dtype=np.int32), keys, pa.nulls(len(keys), pa.int64()), total),
+            (GRAMS, nothing, pa.nulls(len(found), pa.binary()), pa.array(found), number),
+        ):
+            for begin in range(0, len(n), 100_000):
+                some = slice(begin, begin + 100_000)
+                size = len(n[some])
                 yield pa.record_batch(
                     [
-                        pa.array(np.full(len(some), kind, dtype=np.int32)),
-                        pa.array(np.full(len(some), block)),
-                        pa.array(np.arange(begin, end, dtype=np.int32)),
-                        pa.array(some, pa.binary()) if kind == WORDS else empty.cast(pa.binary()),
-                        pa.array(some, pa.int64()) if kind == GRAMS else empty.cast(pa.int64()),
-                        pa.array(total[begin:end]),
+                        pa.array(np.full(size, kind, dtype=np.int32)),
+                        pa.array(np.full(size, block)),
+                        pa.array(place[some]),
+                        word[some],
+                        gram[some],
+                        pa.array(n[some]),
                     ],
                     schema=schema,
                 )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, lists, counts = None, None, None
+        last, words, counts, grams = None, None, None, None
         for block, _, rows in _blocks(batches, limit):
             if block != last:
-                if lists:
-                    yield from rows_of(last, lists, counts)
-                last, lists, counts = block, _Lists(depth), [[], []]
-            words, first_word, grams, first_gram = lists.of(rows.column("text"))
+                if words:
+                    yield from rows_of(last, words, counts, grams)
+                last, words, counts, grams = block, _WordList(), np.zeros(1, dtype=np.int64), ([], [])
             train = rows.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            learned = np.bincount(words[np.repeat(train, np.diff(first_word))], minlength=1)
+            numbers, first = words.of(rows.column("text"))
+            learned = np.bincount(numbers[np.repeat(train, np.diff(first))], minlength=1)
             learned[0] += int(train.sum())
-            counts[WORDS].append(learned)
-            counts[GRAMS].append(np.bincount(grams[np.repeat(train, np.diff(first_gram))], minlength=1))
-            for kind in (WORDS, GRAMS):
-                counts[kind] = [_added(counts[kind], 0)]
-        if lists:
-            yield from rows_of(last, lists, counts)
+            counts = _added([counts, learned], 0)
+            own, first = grams_of(rows.column("text"), depth)
+            codes, distinct = _distinct(own)
+            grams[0].append(distinct)
+            grams[1].append(np.bincount(codes[np.repeat(train, np.diff(first))], minlength=len(distinct)))
+        if words:
+            yield from rows_of(last, words, counts, grams)
 
     return run
 
@@ -327,9 +331,9 @@ def probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def _pack_answers(kind: int):
-    """Task over (block, place, value): the values of each block in few packed rows.
+    """Task over (block, place, value): the values of each block in few packed rows, by place.
 
-    Word rows also say which row of a word is its first; their task adds a row
+    The place of a word is its number, that of a gram the gram itself. Word rows also say which row of a word is its first; their task adds a row
     of block -1 with the number of distinct training words and of all of them.
     """
     schema = arrow_schema(_ANSWER)
@@ -385,14 +389,15 @@ def _mark_blocks(limit: int, schema: pa.Schema):
 def _score(schema: pa.Schema, depth: int, train_tokens: int, train_words: int):
     """Task over rows sorted by (block, kind, seq): a block's word counts and probabilities, then its texts."""
 
-    def by_place(answers: list[np.ndarray], kind) -> np.ndarray:
+    def by_place(answers: list[np.ndarray], kind) -> tuple[np.ndarray, np.ndarray]:
         none = np.empty(0, dtype=np.int64)
         places = np.concatenate([none, *(np.cumsum(x[: len(x) // 2]) for x in answers)])
         values = np.concatenate([none, *(x[len(x) // 2 :] for x in answers)])
-        return values[np.argsort(places)].view(kind)
+        order = np.argsort(places)
+        return places[order], values[order].view(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, lists, answers, tables = None, None, None, None
+        last, words, answers, tables = None, None, None, None
         base = np.log10(train_tokens + train_words + 1)
         for batch in batches:
             blocks, kinds = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("block", "kind"))
@@ -400,25 +405,28 @@ def _score(schema: pa.Schema, depth: int, train_tokens: int, train_words: int):
             for begin, end in zip(begins, [*begins[1:], batch.num_rows], strict=True):
                 rows = batch.slice(begin, end - begin)
                 if blocks[begin] != last:
-                    last, lists, answers, tables = blocks[begin], _Lists(depth), {WORDS: [], GRAMS: []}, None
+                    last, words, answers, tables = blocks[begin], _WordList(), {WORDS: [], GRAMS: []}, None
                 if kinds[begin] != TEXTS:
                     packed = zip(rows.column("payload").to_pylist(), rows.column("size").to_pylist(), strict=True)
                     answers[kinds[begin]] += [unpack(p, n) for p, n in packed]
                     continue
                 if tables is None:
-                    tables = by_place(answers[WORDS], np.int64), by_place(answers[GRAMS], np.float64)
-                    answers = {WORDS: [], GRAMS: []}
-                for some in text_slices(rows, "text"):
-                    words, first_word, grams, first_gram = lists.of(some.column("text"))
-                    if len(lists.words) > len(tables[0]) or len(lists.grams) > len(tables[1]):
+                    _, counts = by_place(answers[WORDS], np.int64)
+                    keys, logs = by_place(answers[GRAMS], np.float64)
+                    tables, answers = True, {WORDS: [], GRAMS: []}
+                for some in text_slices(rows, "text", SLICE):
+                    numbers, first = words.of(some.column("text"))
+                    own, first_gram = grams_of(some.column("text"), depth)
+                    codes, distinct = _distinct(own)
+                    at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
+                    if len(words.numbers) > len(counts) or not len(keys) or (keys[at] != distinct).any():
                         raise RuntimeError("The documents changed between two reads; write them to a table first.")
-                    count = tables[0][words]
-                    end_count = int(tables[0][0])
-                    known = _sums((count > 0).astype(np.int64), first_word) + int(end_count > 0)
-                    tokens = np.diff(first_word) + 1
-                    basic = _sums(np.log10(count + 1.0), first_word) + np.log10(end_count + 1.0) - tokens * base
-                    score = _sums(tables[1][grams], first_gram)
-                    size = np.diff(first_gram)
+                    count = counts[numbers]
+                    end_count = int(counts[0])
+                    known = _sums((count > 0).astype(np.int64), first) + int(end_count > 0)
+                    tokens = np.diff(first) + 1
+                    basic = _sums(np.log10(count + 1.0), first) + np.log10(end_count + 1.0) - tokens * base
+                    score = _sums(logs[at][codes], first_gram)
                     yield pa.record_batch(
                         [
                             some.column("id"),
@@ -426,7 +434,7 @@ def _score(schema: pa.Schema, depth: int, train_tokens: int, train_words: int):
                             pa.array(known),
                             pa.array(basic),
                             pa.array(score),
-                            pa.array(-score * np.log2(10) / size),
+                            pa.array(-score * np.log2(10) / np.diff(first_gram)),
                         ],
                         schema=schema,
                     )
@@ -470,23 +478,23 @@ def score(
         F.col(f"`{text_column}`").cast("string").alias("text"),
         F.coalesce(train, F.lit(False)).alias("train"),
     )
-    asked = stage(docs.drop("id").mapInArrow(_list_blocks(depth, block_bytes), _ASKED), "asked")
+    asked = stage(docs.drop("id").mapInArrow(_list_blocks(depth, block_bytes), _ASKED), "asked", "kind")
 
     per_word = W.partitionBy("word")  # a row for each block that has the word
     words = asked.where(F.col("kind") == WORDS).select(
         "block",
         "place",
         F.sum("n").over(per_word).alias("value"),
-        (F.row_number().over(per_word.orderBy("block")) == 1).alias("first"),
+        (F.col("block") == F.min("block").over(per_word)).alias("first"),
     )
     word_answers = stage(words.mapInArrow(_pack_answers(WORDS), _ANSWER), "word-counts")
     totals = [unpack(r.payload, 2) for r in word_answers.where("block = -1").collect()]  # one row for each task
     train_words, train_tokens = (int(sum(t[i] for t in totals)) for i in (0, 1))
 
-    pairs = asked.where(F.col("kind") == GRAMS).select("block", "place", "gram", "n")
+    pairs = asked.where(F.col("kind") == GRAMS).select("block", "gram", "n")
     counts = stage(pairs.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     model = probabilities(counts, depth)
-    found = pairs.drop("n").join(model, "gram").select("block", "place", F.col("logp").alias("value"))
+    found = pairs.drop("n").join(model, "gram").select("block", F.col("gram").alias("place"), F.col("logp").alias("value"))
     gram_answers = found.mapInArrow(_pack_answers(GRAMS), _ANSWER)
 
     text_schema = StructType(
