@@ -10,16 +10,26 @@ from clearbook.functions.text import strip
 # The forms of a date. Each bracket is an optional section, so one
 # pass of one formatter tries them in turn, without an error raised per miss.
 DATE_FORMS = (
-    "[yyyy-M-d['T'HH:mm[:ss[.SSSSSS]]][ HH:mm[:ss[.SSSSSS]]]]"
+    "[yyyy-M-d['T'HH:mm[:ss[.SSSSSS]]['Z']][ HH:mm[:ss[.SSSSSS]]]]"
     "[M/d/yyyy][yyyy/M/d]"
-    "[MMM d, yyyy][MMMM d, yyyy]"
+    "[MMM d, yyyy][MMMM d, yyyy][MMM d yyyy][MMMM d yyyy]"
     "[d-MMM-yyyy][d MMM yyyy][d MMMM yyyy]"
     "[yyyyMMdd]"
 )
 
-# Rewrites for dates with slashes, to month/day/year with four-digit years:
-# 69..99 are 19xx, 00..68 are 20xx, and no month is above 12.
+# The shape of a text that can be one of these forms, and not two of them in a row.
+ONE_DATE = (
+    r"^(\d{4}-\d{1,2}-\d{1,2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?Z?)?"
+    r"|\d{1,2}/\d{1,2}/\d{4}|\d{4}/\d{1,2}/\d{1,2}"
+    r"|[A-Za-z]{3,9}\.? \d{1,2},? \d{4}|\d{1,2}[- ][A-Za-z]{3,9}[- ]\d{4}|\d{8})$"
+)
+
+# Rewrites for dates of three numbers, to month/day/year with four-digit years:
+# 69..99 are 19xx, 00..68 are 20xx, and no month is above 12. With full stops the
+# day comes first, as in the countries that write them.
 SLASHES = [
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2})$", "$2/$1/$3"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4}|\d{2})$", "$1/$2/$3"),
     (r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)$", "$119$2"),
     (r"^(\d{1,2}/\d{1,2}/)(\d{2})$", "$120$2"),
     (r"^(1[3-9]|[2-9]\d)/(\d{1,2})/(\d{4})$", "$2/$1/$3"),
@@ -29,24 +39,23 @@ SLASHES = [
 def parse_date(value: Column) -> Column:
     """Text in any of the known formats -> date; everything else -> null.
 
-    ``a/b/yyyy`` is read month-first, and day-first only where a month cannot
-    be above 12.
+    ``a/b/yyyy`` and ``a-b-yyyy`` are read month-first, and day-first only where
+    a month cannot be above 12; ``a.b.yyyy`` is day-first.
     """
     text = strip(value)
-    slashed = text
+    numbers = text
     for form, ordered in SLASHES:
-        slashed = F.regexp_replace(slashed, form, ordered)
-    # a blank would pass, with every section left out
-    present = F.nullif(F.when(text.contains("/"), slashed).otherwise(text), F.lit(""))
-    return F.try_to_date(present, DATE_FORMS)
+        numbers = F.regexp_replace(numbers, form, ordered)
+    ordered = F.when(text.rlike(r"^\d{1,2}[-./]"), numbers).otherwise(text)
+    return F.try_to_date(F.when(ordered.rlike(ONE_DATE), ordered), DATE_FORMS)
 
 
 def is_ambiguous_date(value: Column) -> Column:
     """True where month-first and day-first reading both work and differ."""
     text = strip(value)
-    either_way = text.rlike(r"^(0?[1-9]|1[0-2])/(0?[1-9]|1[0-2])/(\d{4}|\d{2})$")
-    the_same = text.rlike(r"^0?(\d{1,2})/0?\1/")
-    return F.coalesce(text.contains("/") & either_way & ~the_same, F.lit(False))
+    either_way = text.rlike(r"^(0?[1-9]|1[0-2])([/-])(0?[1-9]|1[0-2])\2(\d{4}|\d{2})$")
+    the_same = text.rlike(r"^0?(\d{1,2})[/-]0?\1[/-]")
+    return F.coalesce(either_way & ~the_same, F.lit(False))
 
 
 def week_ending(day: Column) -> Column:

@@ -11,6 +11,10 @@ from clearbook.functions.text import strip
 # cast would read "1d", "1f", "nan" and "inf" as numbers.
 NUMBER_CHARACTERS = "0123456789+-.eE"
 
+# Amounts beyond this are no revenue of one transaction. Within it, cents of some
+# hundred thousand transactions of the largest size still add up in a long.
+LARGEST_AMOUNT = 1e11
+
 
 def round_half_even(value: Column, digits: int) -> Column:
     """Round a double the way numpy does: scale, round half to even, unscale."""
@@ -19,14 +23,24 @@ def round_half_even(value: Column, digits: int) -> Column:
 
 
 def parse_money(text: Column) -> Column:
-    """``"$1,234.50"`` -> 1234.5; anything that is not a plain number -> null."""
-    digits = F.translate(strip(text), "$,", "")
-    return F.when(F.translate(digits, NUMBER_CHARACTERS, "") == "", digits.try_cast("double"))
+    """``"$1,234.50"`` -> 1234.5; anything that is not a plain finite number -> null."""
+    digits = strip(F.translate(text, "$,", ""))
+    return F.when(F.translate(digits, NUMBER_CHARACTERS, "") == "", finite(digits.try_cast("double")))
+
+
+def finite(amount: Column) -> Column:
+    """The number itself; null for NaN and the infinities."""
+    return F.when(F.abs(amount) < F.lit(float("inf")), amount)
+
+
+def is_countable(amount: Column) -> Column:
+    """True for amounts that the analysis can add up: there, finite, and not beyond LARGEST_AMOUNT."""
+    return F.coalesce(F.abs(amount) <= LARGEST_AMOUNT, F.lit(False))
 
 
 def to_cents(amount: Column) -> Column:
-    """Whole cents as a long: sums are exact and independent of the partitioning."""
-    return F.rint(amount * 100).cast("long")
+    """Whole cents as a long: sums are exact and independent of the partitioning. Null if not countable."""
+    return F.when(is_countable(amount), F.rint(amount * 100).cast("long"))
 
 
 def cents_to_amount(cents: Column) -> Column:

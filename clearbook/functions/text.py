@@ -8,8 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# The white space that trimming removes.
-WHITE_SPACE = " \t\n\r\f\v"
+# The white space that trimming removes, non-breaking blanks and all others of Unicode included.
+WHITE_SPACE = (
+    " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
@@ -18,7 +21,7 @@ def strip(text: Column) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.regexp_replace(strip(text), r"\s+", " ")
+    return F.regexp_replace(strip(text), rf"[{WHITE_SPACE}]+", " ")
 
 
 def has_text(text: Column) -> Column:

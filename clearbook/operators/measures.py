@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.functions.numeric import to_cents
+from clearbook.functions.numeric import finite, is_countable, to_cents
 
 CUSTOMER = "customer_name_clean"
 REGION = "region_clean"
@@ -30,7 +30,7 @@ def measures_of(
         "revenue_cents": to_cents(revenue),
         "row_count": F.lit(1).cast("long"),
         "transactions": F.when(transaction_id.isNotNull(), 1).otherwise(0).cast("long"),
-        "priced_rows": F.when(revenue.isNotNull(), 1).otherwise(0).cast("long"),
+        "priced_rows": F.when(is_countable(revenue), 1).otherwise(0).cast("long"),
         "first_day": day,
         "last_day": day,
     }
@@ -52,18 +52,22 @@ def roll_up(measures: DataFrame, *keys: str) -> DataFrame:
 
 
 def analyzable(clean: DataFrame, include_refunds: bool = False) -> DataFrame:
-    """Rows the analysis uses: revenue present and, unless refunds are wanted, not negative."""
+    """Rows the analysis uses: revenue countable and, unless refunds are wanted, not negative."""
     revenue = F.col("revenue_usd_clean")
-    return clean.where(revenue.isNotNull() if include_refunds else revenue >= 0)
+    return clean.where(is_countable(revenue) & (F.lit(include_refunds) | (revenue >= 0)))
 
 
 def exclusion_counts(clean: DataFrame, include_refunds: bool = False) -> DataFrame:
-    """One row: how many rows the analysis drops, and why."""
+    """One row: how many rows the analysis drops, and why; the reasons and the rest add up to all rows.
+
+    NaN and the infinities are no revenue, like null.
+    """
     revenue = F.col("revenue_usd_clean")
-    negative = F.lit(0).cast("long") if include_refunds else F.count_if(revenue < 0)
+    counted, dropped = is_countable(revenue), F.lit(not include_refunds) & (revenue < 0)
     return clean.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(revenue.isNull()).alias("null_revenue"),
-        negative.alias("negative_revenue"),
-        F.count_if(revenue.isNotNull() if include_refunds else revenue >= 0).alias("analyzable"),
+        F.count_if(finite(revenue).isNull()).alias("null_revenue"),
+        F.count_if(finite(revenue).isNotNull() & ~counted).alias("oversized_revenue"),
+        F.count_if(counted & dropped).alias("negative_revenue"),
+        F.count_if(counted & ~dropped).alias("analyzable"),
     )

@@ -31,7 +31,7 @@ CLEAN = T.StructType(
 
 WEEKLY = "order_date_clean date, revenue double, transactions long, wow_change_pct double"
 
-MAPPING = "domain string, dirty string, clean string"
+MAPPING = "domain string, dirty string, clean string, stored_at timestamp"
 
 _CUSTOMER_ROW = (
     "struct<customer_name_clean: string, revenue: double, transactions: bigint, avg_order_value: double, "

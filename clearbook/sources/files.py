@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from clearbook import schemas
+from clearbook.functions.numeric import finite
 from clearbook.functions.text import missing_to_null
 from clearbook.functions.vocabulary import MISSING_TOKENS
 
@@ -24,15 +25,43 @@ def _scan(reader, path: str, kind: str, hint: str) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str, hint: str = "", multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    hint: str = "",
+    multi_line: bool = False,
+    missing_tokens: Sequence[str] = (),
 ) -> DataFrame:
-    """Headed CSV with doubled quotes and quoted line breaks.
+    """Headed CSV with doubled quotes: columns by the names in the header, cast to ``schema``.
+
+    A missing column raises before anything is read; further columns are left
+    out, and the order does not matter. All files of a folder need one header:
+    a file with another one stops the job. Values that do not fit their type,
+    ``missing_tokens``, NaN and the infinities become null.
 
-    ``multi_line=False`` lets Spark split large files between tasks; use it
-    where no field holds a line break.
+    Large files are split between tasks. A quoted line break, or a record with
+    too few or too many fields, then stops the job, as a record could be cut in
+    two; ``multi_line=True`` reads such files, each in one task.
     """
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
-    return _scan(reader, path, "csv", hint)
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    # with one column alone, half a record would look like a whole one
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    header = _scan(spark.read.options(**options), path, "csv", hint)
+    schemas.require_columns(header, wanted.fieldNames(), path)
+    options["multiLine"] = multi_line or len(header.columns) == 1
+    if not options["multiLine"]:
+        options |= {"mode": "FAILFAST", "columnPruning": False}
+    texts = StructType([StructField(name, StringType()) for name in header.columns])
+    rows = spark.read.options(**options, enforceSchema=False).schema(texts).csv(path)
+    return rows.select([_typed(field, missing_tokens).alias(field.name) for field in wanted])
+
+
+def _typed(field: StructField, missing_tokens: Sequence[str]) -> Column:
+    value = missing_to_null(F.col(f"`{field.name}`"), missing_tokens) if missing_tokens else F.col(f"`{field.name}`")
+    if isinstance(field.dataType, StringType):
+        return value
+    typed = value.try_cast(field.dataType)
+    return finite(typed) if isinstance(field.dataType, DoubleType) else typed
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -51,25 +80,26 @@ def read_raw_csv(
     spark: SparkSession,
     path: str,
     missing_tokens: Sequence[str] = tuple(MISSING_TOKENS),
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Raw transactions as text, with the usual missing-value texts turned into null."""
-    raw = read_csv(spark, path, schemas.RAW, "Write the raw transactions first.", multi_line)
-    return raw.select([missing_to_null(F.col(name), missing_tokens).alias(name) for name in raw.columns])
+    return read_csv(spark, path, schemas.RAW, "Write the raw transactions first.", multi_line, missing_tokens)
 
 
-def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return read_csv(spark, path, schemas.CLEAN, "Run the cleaning job first.", multi_line)
+def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Clean transactions from CSV; missing-value texts, NaN and the infinities are null."""
+    return read_csv(spark, path, schemas.CLEAN, "Run the cleaning job first.", multi_line, tuple(MISSING_TOKENS))
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    """Clean transactions from parquet, checked for the columns the analysis needs."""
+    """Clean transactions from parquet, checked for the columns the analysis needs; NaN and the infinities are null."""
     clean = _scan(spark.read, path, "parquet", "Run the cleaning job first.")
-    return schemas.require_columns(clean, schemas.CLEAN_COLUMNS, path)
+    checked = schemas.require_columns(clean, schemas.CLEAN_COLUMNS, path)
+    return checked.withColumn("revenue_usd_clean", finite(F.col("revenue_usd_clean").cast("double")))
 
 
 def read_weekly_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.WEEKLY, "Run the analysis job first.", multi_line=False)
+    return read_csv(spark, path, schemas.WEEKLY, "Run the analysis job first.")
 
 
 def write_results(document: DataFrame, path: str) -> None:
