@@ -17,7 +17,8 @@ def revenue_by(measures: DataFrame, dimension: str) -> DataFrame:
     so the shares may add up to less than 100.
     """
     # The distinct count first shuffles by (dimension, customer), so one large
-    # dimension value is spread over many tasks.
+    # dimension value is spread over many tasks. A row for each value is staged,
+    # and the total is read from those rows: a dimension may have many values.
     groups = stage(
         measures.groupBy(dimension).agg(
             F.sum("revenue_cents").alias("revenue_cents"),

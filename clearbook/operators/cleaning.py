@@ -35,14 +35,20 @@ def clean_values(raw: DataFrame) -> DataFrame:
     )
 
 
-def name_mapping(raw: DataFrame) -> DataFrame:
-    """Customer names of a raw table mapped to their company, staged: (dirty, clean, n)."""
-    return stage(canonical_names(distinct_values(raw, "customer_name")), "names")
+def name_mapping(raw: DataFrame, **options) -> DataFrame:
+    """Customer names of a raw table mapped to their company, staged: (dirty, clean, n, merged_by).
+
+    ``options`` are those of ``canonical_names``.
+    """
+    return stage(canonical_names(distinct_values(raw, "customer_name"), **options), "names")
 
 
 def clean_transactions(raw: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Raw transactions plus the five clean columns; ``names`` defaults to clustering the table itself."""
+    """Raw transactions plus the five clean columns.
+
+    ``names`` is (dirty, clean, n) and defaults to clustering the table itself.
+    """
     names = name_mapping(raw) if names is None else names
     return apply_mapping(
-        clean_values(raw), "customer_name", names, "customer_name_clean", spread_by="transaction_id"
+        clean_values(raw), "customer_name", names, "customer_name_clean", spread_by="transaction_id", counts=names
     )

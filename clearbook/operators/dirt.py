@@ -1,8 +1,9 @@
-"""Dirty variants of clean values, as deterministic column expressions.
+"""Input for the cleaning queries: given values written the way people write them.
 
-Each function takes the clean value and selector columns (whole numbers below
-the given bound, see ``selector``). The same rows always get the same dirt, so
-cleaning can be tested at any scale, against SQL that knows the truth.
+Every function takes the clean value and a whole-number selector, so the same
+row always gets the same text. The rules are about form alone (case, blanks,
+marks, one lost letter, date order, currency signs); the values are those of
+the tables.
 """
 
 from __future__ import annotations
@@ -14,11 +15,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clearbook.functions.text import grouped_number, literal_table
-from clearbook.functions.vocabulary import NOTES, REGION_SPELLINGS, SEGMENT_SPELLINGS
-
-NAME_VARIANTS = 11
-DATE_PATTERNS = ["yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "MMM dd, yyyy", "dd-MMM-yyyy"]
+from clearbook.functions.text import grouped_number
+from clearbook.functions.vocabulary import REGION_SPELLINGS, SEGMENT_SPELLINGS
 
 
 def selector(bound: int, *terms: tuple[str, int]) -> Column:
@@ -26,71 +24,52 @@ def selector(bound: int, *terms: tuple[str, int]) -> Column:
     return reduce(lambda a, b: a + b, (F.col(name) * weight for name, weight in terms)) % bound
 
 
-def _choose(selected: Column, options: Sequence[Column]) -> Column:
-    chosen = F.when(selected == 0, options[0])
-    for i, option in enumerate(options[1:], start=1):
-        chosen = chosen.when(selected == i, option)
-    return chosen
-
-
-# Text replacements by variant.
-NAME_SWAPS = {
-    3: ("Corp", "Corporation"),
-    4: ("Inc", "Incorporated"),
-    5: ("LLC", "L.L.C."),
-    6: ("Co", "Company"),
-    8: (" ", "  "),
-    9: ("&", "and"),
-}
-
-
-def dirty_name(name: Column, variant: Column, typo: Column) -> Column:
-    """One of eleven spellings of a name; variant 11 leaves out the letter at ``typo`` (1-based)."""
-    old, new = (
-        F.try_element_at(
-            literal_table({str(number): swap[side] for number, swap in NAME_SWAPS.items()}), variant.cast("string")
-        )
-        for side in (0, 1)
-    )
+def written_name(name: Column, percent: Column, position: Column) -> Column:
+    """Mostly the name itself; else in one case, with blanks, with other marks, or without the letter at ``position``."""
+    lost = F.concat(F.left(name, position - 1), F.substr(name, position + 1))
     return (
-        F.when(variant == 1, F.upper(name))
-        .when(variant == 2, F.lower(name))
-        .when(variant == 7, F.concat(F.lit("  "), name, F.lit("  ")))
-        .when(variant == 10, F.substring(name, F.lit(1), F.greatest(F.length(name) - 1, F.lit(5))))
-        .when(variant == 11, F.concat(F.left(name, typo - 1), F.substring(name, typo + 1, F.length(name))))
-        .otherwise(F.coalesce(F.replace(name, old, new), name))
+        F.when(percent >= 97, lost)
+        .when(percent >= 93, F.replace(name, F.lit("#"), F.lit(" - ")))
+        .when(percent >= 88, F.concat(F.lit("  "), F.replace(name, F.lit("#"), F.lit("  #")), F.lit("\t")))
+        .when(percent >= 80, F.lower(name))
+        .when(percent >= 70, F.upper(name))
+        .otherwise(name)
     )
 
 
-def _dirty_entry(value: Column, spellings: Mapping[str, Sequence[str]], pick: Column) -> Column:
+def _spelling(value: Column, spellings: Mapping[str, Sequence[str]], pick: Column) -> Column:
     table = F.from_json(F.lit(json.dumps(spellings)), "map<string, array<string>>")
-    variants = F.try_element_at(table, value)
-    return F.try_element_at(variants, (pick % F.size(variants) + 1).cast("int"))
+    known = F.try_element_at(table, value)
+    return F.try_element_at(known, (pick % F.size(known) + 1).cast("int"))
 
 
-def dirty_region(region: Column, pick: Column) -> Column:
-    return _dirty_entry(region, REGION_SPELLINGS, pick)
+def written_region(region: Column, pick: Column) -> Column:
+    return _spelling(region, REGION_SPELLINGS, pick)
 
 
-def dirty_segment(segment: Column, pick: Column) -> Column:
-    return _dirty_entry(segment, SEGMENT_SPELLINGS, pick)
+def written_segment(segment: Column, pick: Column) -> Column:
+    return _spelling(segment, SEGMENT_SPELLINGS, pick)
 
 
-def dirty_date(day: Column, pick: Column) -> Column:
-    return _choose(pick, [F.date_format(day, pattern) for pattern in DATE_PATTERNS])
+def written_date(day: Column, pick: Column) -> Column:
+    """ISO, with slashes either way round, with full stops, or with the month's name, by ``pick`` in 0..5."""
+    patterns = ["yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy", "d-MMM-yyyy", "MMMM d, yyyy"]
+    texts = [F.when(pick == i, F.date_format(day, pattern)) for i, pattern in enumerate(patterns)]
+    return F.coalesce(*texts)
 
 
-def dirty_revenue(amount: Column, percent: Column) -> Column:
-    """3 % missing, 3 % dollar text, 2 % negative, the rest plain; as text. ``percent`` is in 0..99."""
-    plain = lambda value: value.cast("decimal(18,2)").cast("string")
+def written_amount(amount: Column, permille: Column) -> Column:
+    """A plain number, a dollar text, a refund, nothing, or what is no number; ``permille`` is in 0..999."""
+    money = amount.cast("decimal(18,2)").cast("string")
+    odd = F.array(*map(F.lit, ["1e20", "5e400", "NaN", "Infinity", "-Infinity", "unknown"]))
     return (
-        F.when(percent < 3, F.lit(None).cast("string"))
-        .when(percent < 6, F.concat(F.lit("$"), grouped_number(amount, 2)))
-        .when(percent < 8, plain(-amount))
-        .otherwise(plain(amount))
+        F.when(permille < 6, F.get(odd, permille.cast("int")))
+        .when(permille < 40, F.lit(None).cast("string"))
+        .when(permille < 55, F.concat(F.lit("-"), money))
+        .when(permille < 100, F.concat(F.lit("$ "), grouped_number(amount, 2)))
+        .otherwise(money)
     )
 
 
-def note(pick: Column) -> Column:
-    """One of the ten fixed notes, three of them empty and one missing."""
-    return _choose(pick, [F.lit(text).cast("string") for text in NOTES])
+def written_note(text: Column, pick: Column) -> Column:
+    return F.when(pick % 7 == 0, F.lit("")).when(pick % 7 != 1, text)

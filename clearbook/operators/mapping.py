@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.text import has_text
+from clearbook.sources.staging import stage
 
 # A value is hot when it holds at least this share of all rows; at most
 # 1 / HOT_SHARE values can, which bounds what apply_mapping broadcasts.
@@ -20,34 +21,42 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(has_text(value)).groupBy(value.alias("dirty")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def apply_mapping(df: DataFrame, column: str, mapping: DataFrame, target: str, spread_by: str) -> DataFrame:
+def one_pair_each(mapping: DataFrame) -> DataFrame:
+    """(dirty, clean) with one row per dirty value, the smallest clean one; null values are left out."""
+    pairs = mapping.where(F.col("dirty").isNotNull() & F.col("clean").isNotNull())
+    return pairs.groupBy("dirty").agg(F.min("clean").alias("clean"))
+
+
+def apply_mapping(
+    df: DataFrame, column: str, mapping: DataFrame, target: str, spread_by: str, counts: DataFrame | None = None
+) -> DataFrame:
     """Add ``target``: the mapped value of ``column``, or the value itself where it has no mapping.
 
-    ``mapping`` is (dirty, clean), optionally with ``n``, the number of rows
-    holding each dirty value. With ``n``, the hot values are looked up in a
-    broadcast of at most 1 / HOT_SHARE rows. Rows settled there, and rows with
-    nothing to look up, enter the second join spread out by ``spread_by`` (a
-    column of many values, such as the row id). So no key of a shuffled join
-    gathers a large share of the rows, whichever value is hot.
+    ``mapping`` is (dirty, clean); a value with several pairs gets the smallest
+    one, so no row is ever doubled. The values that hold at least HOT_SHARE of
+    the rows are looked up in a broadcast of at most 1 / HOT_SHARE rows. Rows
+    settled there, and rows with nothing to look up, enter the second join
+    spread out by ``spread_by`` (a column of many values, such as the row id; by
+    the whole row where it is null). So no key of a shuffled join gathers a
+    large share of the rows, whichever value is hot. ``counts`` is (dirty, n) as
+    ``distinct_values`` gives it, for callers who have it already.
     """
     value = F.col(column)
-    pairs = mapping.select(F.col("dirty").alias("_dirty"), F.col("clean").alias("_clean"))
-    is_open = has_text(value)
-    found = F.lit(None).cast("string")
-    if "n" in mapping.columns:
-        total = mapping.agg(F.sum("n")).scalar()
-        hot = mapping.where(F.col("n") >= total * HOT_SHARE)
-        df = df.join(
-            F.broadcast(hot.select(F.col("dirty").alias("_hot"), F.col("clean").alias("_hot_clean"))),
-            value == F.col("_hot"),
-            "left",
-        )
-        found = F.col("_hot_clean")
-        is_open = is_open & found.isNull()
-    keyed = df.withColumns(
-        {"_open": is_open, "_key": F.when(is_open, value).otherwise(F.col(spread_by).cast("string"))}
+    pairs = one_pair_each(mapping)
+    counts = stage(distinct_values(df, column), "counts") if counts is None else counts.select("dirty", "n")
+    total = counts.agg(F.sum("n")).scalar()
+    hot = counts.where(F.col("n") >= total * HOT_SHARE).select("dirty").join(pairs, "dirty")
+    spread = F.coalesce(F.col(spread_by).cast("string"), F.xxhash64(*df.columns).cast("string"))
+    looked_up = df.join(
+        F.broadcast(hot.select(F.col("dirty").alias("_hot"), F.col("clean").alias("_hot_clean"))),
+        value == F.col("_hot"),
+        "left",
     )
-    joined = keyed.join(pairs, (F.col("_key") == F.col("_dirty")) & F.col("_open"), "left")
+    found = F.col("_hot_clean")
+    is_open = has_text(value) & found.isNull()
+    keyed = looked_up.withColumns({"_open": is_open, "_key": F.when(is_open, value).otherwise(spread)})
+    others = pairs.select(F.col("dirty").alias("_dirty"), F.col("clean").alias("_clean"))
+    joined = keyed.join(others, (F.col("_key") == F.col("_dirty")) & F.col("_open"), "left")
     return joined.withColumn(target, F.coalesce(found, F.col("_clean"), value)).drop(
         "_open", "_key", "_hot", "_hot_clean", "_dirty", "_clean"
     )
@@ -64,8 +73,9 @@ def unmapped_values(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame
 
 
 def merge_mapping(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """All stored pairs plus the new pairs for values not stored yet (the stored pair wins)."""
-    return stored.select("dirty", "clean").unionByName(only_new(new, stored).select("dirty", "clean"))
+    """All stored pairs plus the new ones for values not stored yet: one pair for each value, a stored one wins."""
+    kept = one_pair_each(stored)
+    return kept.unionByName(one_pair_each(only_new(new, kept)))
 
 
 def out_of_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str]) -> DataFrame:

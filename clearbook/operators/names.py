@@ -2,119 +2,168 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clearbook.functions.text import collapse_spaces, digits_of, has_text, name_key
+from clearbook.functions.text import collapse_spaces, has_text, name_key
 from clearbook.sources.staging import stage
 
+# Shorter keys are codes as often as names; one edit makes another of them.
 MIN_FUZZY_LENGTH = 6
 
-# Weight of an already known name: no number of new spellings outvotes it.
-KNOWN_WEIGHT = 2**40
+# A typo is rare next to its head: a key joins a neighbour that has at least so many times its rows.
+RATIO = 3.0
 
+_CHUNK = 1 << 20  # characters that a task works on at once
 
-def _best(count: Column, key: Column) -> Column:
-    """Sort value whose minimum is the most frequent key, ties in key order."""
-    return F.struct((-count).alias("rank"), key.alias("key"))
+_PARTS = "id string, n long, known boolean, start string, high long, low long, at int"
 
 
-def _with_one_left_out(key: Column) -> Column:
-    """The key itself (at -1) and the key without its i-th character, for every i that is not a digit."""
-    cuts = F.transform(
-        F.sequence(F.lit(0), F.length(key) - 1),
-        lambda i: F.struct(
-            i.alias("at"),
-            F.concat(F.substring(key, F.lit(1), i), F.substring(key, i + 2, F.length(key))).alias("rest"),
-            F.substring(key, i + 1, F.lit(1)).alias("cut"),
-        ),
-    )
-    kept = F.filter(cuts, lambda c: ~c["cut"].rlike(r"^\d$"))
-    whole = F.array(F.struct(F.lit(-1).alias("at"), key.alias("rest"), F.lit("").alias("cut")))
-    return F.concat(whole, kept)
+def _mixed(codes: np.ndarray, salt: int) -> np.ndarray:
+    x = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def nearest_names(keys: DataFrame, min_length: int = MIN_FUZZY_LENGTH) -> DataFrame:
-    """(key, parent): the most frequent key within one edit of each key, itself included.
+def _rests(codes: np.ndarray, firsts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all keys, and of every key without each of its characters, in time linear in the text.
 
-    Only keys of ``min_length`` characters and more take part, and only keys
-    with equal digit sequences are near each other. ``keys`` is (key, n).
+    A hash is a polynomial in the places of the characters. Left out of a key, a
+    character takes its own term away and moves those behind it one place down.
+    """
+    whole, left_out = [], []
+    owner = np.repeat(np.arange(len(firsts)), lengths)
+    place = np.arange(len(codes)) - np.repeat(firsts, lengths)
+    for salt, base in ((0x1234567, 0xD6E8FEB86659FD93), (0x89ABCDE, 0xA0761D6478BD642F)):
+        with np.errstate(over="ignore"):
+            values = _mixed(codes, salt)
+            powers = np.full(int(lengths.max(initial=0)) + 1, base, dtype=np.uint64)
+            powers[:1] = 1
+            np.multiply.accumulate(powers, out=powers)
+            here = values * powers[place]
+            moved = np.where(place > 0, values * powers[np.maximum(place - 1, 0)], np.uint64(0))
+            zero = np.zeros(1, dtype=np.uint64)
+            sum_here, sum_moved = (np.concatenate([zero, np.cumsum(v, dtype=np.uint64)]) for v in (here, moved))
+            whole.append(sum_here[firsts + lengths] - sum_here[firsts])
+            before = sum_here[:-1] - sum_here[firsts][owner]
+            left_out.append(before + sum_moved[(firsts + lengths)[owner]] - sum_moved[1:])
+    return np.stack(whole), np.stack(left_out)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task over (id, key, n, known): each key as a whole (at -1) and without each character that is no digit."""
+    for batch in batches:
+        sizes = pc.utf8_length(batch.column("key")).to_numpy(zero_copy_only=False).astype(np.int64)
+        before = np.cumsum(sizes) - sizes
+        begins = np.flatnonzero(np.diff(before // _CHUNK, prepend=-1))
+        for begin, end in zip(begins, [*begins[1:], batch.num_rows], strict=True):
+            rows = batch.slice(begin, end - begin)
+            lengths = sizes[begin:end]
+            codes = np.frombuffer("".join(rows.column("key").to_pylist()).encode("utf-32-le"), dtype=np.uint32)
+            firsts = np.cumsum(lengths) - lengths
+            whole, left_out = _rests(codes, firsts, lengths)
+            cut = np.flatnonzero((codes < ord("0")) | (codes > ord("9")))
+            owner = np.repeat(np.arange(len(lengths)), lengths)[cut]
+            take = pa.array(np.concatenate([np.arange(len(lengths)), owner]))
+            place = np.concatenate([np.full(len(lengths), -1), cut - firsts[owner]])
+            high, low = (np.concatenate([whole[i], left_out[i][cut]]).view(np.int64) for i in (0, 1))
+            start = pc.utf8_slice_codeunits(rows.column("key"), 0, 64)
+            yield pa.record_batch(
+                [
+                    rows.column("id").take(take), rows.column("n").take(take), rows.column("known").take(take),
+                    start.take(take), pa.array(high), pa.array(low), pa.array(place.astype(np.int32)),
+                ],
+                names=["id", "n", "known", "start", "high", "low", "at"],
+            )
+
+
+def nearest_names(keys: DataFrame, min_length: int = MIN_FUZZY_LENGTH, ratio: float = RATIO) -> DataFrame:
+    """(key, parent): the head of each key, which is the key itself or a far more frequent one within one edit.
+
+    ``keys`` is (key, n) and optionally ``known``. Only keys of ``min_length``
+    characters and more take part, and digits are never edited. A key looks at its
+    best neighbour - known ones first, then the most frequent, then in key order -
+    and joins it if that is known or has at least ``ratio`` times its rows, and if
+    that neighbour is a head itself. So frequent names stay apart, nothing is
+    merged over more than one edit, and known keys stay as they are.
 
     Two keys are one edit apart iff leaving out the character at the same
     position gives the same rest (a substitution), or leaving one character
     out of the one gives the other (an insertion or deletion). So every group
     of equal rests is reduced to its best member; pairs are never listed. A
-    group holds one key per way to put one character back into the rest.
+    group holds one key per way to put one character back into the rest. Rests
+    are compared by 128-bit hashes, so a row stays small however long the name.
     """
-    me = _best(F.col("n"), F.col("key"))
-    parts = (
-        keys.where(F.length("key") >= min_length)
-        .withColumn("digits", digits_of(F.col("key")))
-        .select("key", "n", "digits", F.explode(_with_one_left_out(F.col("key"))).alias("part"))
-        .select("key", "n", "digits", "part.at", "part.rest")
-    )
+    if "known" not in keys.columns:
+        keys = keys.withColumn("known", F.lit(False))
+    known = F.coalesce("known", F.lit(False))
+    keys = keys.select(F.md5("key").alias("id"), "key", F.col("n").cast("long").alias("n"), known.alias("known"))
+    parts = keys.where(F.length("key") >= min_length).mapInArrow(_parts, _PARTS)
+    me = F.struct((~F.col("known")).alias("new"), (-F.col("n")).alias("rank"), "start", "id")
     is_whole = F.col("at") == -1
-    same_rest = W.partitionBy("rest", "digits")
-    same_place = W.partitionBy("rest", "digits", "at")
+    same_rest = W.partitionBy("high", "low")
+    same_place = W.partitionBy("high", "low", "at")
     shorter = F.min(F.when(is_whole, me)).over(same_rest)
     longer = F.min(F.when(~is_whole, me)).over(same_rest)
     replaced = F.min(me).over(same_place)
     candidate = F.when(is_whole, F.least(me, longer)).otherwise(F.least(replaced, shorter))
-    best = parts.select("key", candidate.alias("best")).groupBy("key").agg(F.min("best").alias("best"))
-    short = keys.where(F.length("key") < min_length).select("key", F.col("key").alias("parent"))
-    return best.select("key", F.col("best.key").alias("parent")).unionByName(short)
-
+    best = parts.select("id", candidate.alias("best")).groupBy("id").agg(F.min("best").alias("best"))
 
-def follow_to_heads(links: DataFrame) -> DataFrame:
-    """Replace every parent by the last key of its chain of parents: (key, head).
-
-    Only keys whose parent is another key take part. Every step doubles how far
-    a link reaches, so a chain of n links is done after log2(n) steps. Chains
-    end, because every link leads to a better key.
-    """
-    children = links.where("key <> parent").select("key", "parent")
-    while True:
-        ahead = children.select(F.col("key").alias("parent"), F.col("parent").alias("grandparent"))
-        if children.join(ahead, "parent", "left_semi").isEmpty():
-            break
-        children = stage(
-            children.join(ahead, "parent", "left").select(
-                "key", F.coalesce("grandparent", "parent").alias("parent")
-            ),
-            "children",
-        )
-    heads = children.select("key", F.col("parent").alias("_head"))
-    return links.join(heads, "key", "left").select("key", F.coalesce("_head", "key").alias("head"))
+    far_better = (~F.col("best.new")) | (-F.col("best.rank") >= F.col("n") * ratio)
+    joins = ~F.col("known") & (F.col("best.id") != F.col("id")) & far_better
+    wishes = stage(
+        keys.join(best, "id", "left").select("id", "key", F.when(joins, F.col("best.id")).alias("wish")), "wishes"
+    )
+    heads = wishes.where("wish IS NULL").select(F.col("id").alias("wish"), F.col("key").alias("parent"))
+    return wishes.join(heads, "wish", "left").select("key", F.coalesce("parent", "key").alias("parent"))
 
 
 def canonical_names(
-    counts: DataFrame, known: DataFrame | None = None, min_length: int = MIN_FUZZY_LENGTH
+    counts: DataFrame,
+    known: DataFrame | None = None,
+    min_length: int = MIN_FUZZY_LENGTH,
+    ratio: float = RATIO,
 ) -> DataFrame:
-    """Map every spelling to one name per company: (dirty, clean, n).
+    """Map every spelling to one name per company: (dirty, clean, n, merged_by).
 
     ``counts`` is (dirty, n), the distinct spellings with their frequency.
-    Spellings with equal keys, and keys within one edit of a more frequent
+    Spellings with equal keys, and keys within one edit of a far more frequent
     key, are one company. Its name is the most frequent spelling of the head
     key, with white space collapsed. ``known`` (column ``clean``) holds names
-    settled earlier: they are kept as they are and attract new spellings.
+    settled earlier: they are kept as they are and attract new spellings,
+    however frequent those are. ``merged_by`` is ``same`` (the name itself),
+    ``spelling`` (an equal key), ``edit`` (one edit away), or ``short`` where the
+    key was too short to be compared and its spelling is the name.
     """
-    counts = counts.where(has_text(F.col("dirty"))).withColumn("is_new", F.lit(True))
+    counts = counts.where(has_text(F.col("dirty"))).select("dirty", F.col("n").cast("long").alias("n"))
+    counts = counts.withColumn("is_known", F.lit(False))
     if known is not None:
-        settled = known.select(F.col("clean").alias("dirty")).distinct()
-        counts = counts.unionByName(
-            settled.select("dirty", F.lit(KNOWN_WEIGHT).alias("n"), F.lit(False).alias("is_new"))
-        )
+        settled = known.select(F.col("clean").alias("dirty")).where(has_text(F.col("dirty"))).distinct()
+        counts = counts.unionByName(settled.select("dirty", F.lit(0).cast("long").alias("n"), F.lit(True).alias("is_known")))
     spellings = stage(counts.withColumn("key", name_key(F.col("dirty"))), "spellings")
-    keys = spellings.groupBy("key").agg(F.sum("n").alias("n"))
-    links = stage(nearest_names(keys, min_length), "links")
-    heads = follow_to_heads(links)
+    keys = spellings.groupBy("key").agg(F.sum("n").alias("n"), F.bool_or("is_known").alias("known"))
+    heads = stage(nearest_names(keys, min_length, ratio), "heads")
 
+    name = collapse_spaces(F.col("dirty"))
     written = (
-        spellings.groupBy("key", collapse_spaces(F.col("dirty")).alias("clean"))
-        .agg(F.sum("n").alias("n"))
-        .groupBy(F.col("key").alias("head"))
-        .agg(F.min_by("clean", F.struct(-F.col("n"), F.col("clean"))).alias("clean"))
+        spellings.groupBy("key", name.alias("clean"))
+        .agg(F.sum("n").alias("n"), F.bool_or("is_known").alias("known"))
+        .groupBy(F.col("key").alias("parent"))
+        .agg(F.min_by("clean", F.struct(~F.col("known"), -F.col("n"), F.col("clean"))).alias("clean"))
+    )
+    named = heads.join(written, "parent")
+    merged = (
+        F.when(F.col("key") != F.col("parent"), "edit")
+        .when(name != F.col("clean"), "spelling")
+        .when(F.length("key") < min_length, "short")
+        .otherwise("same")
     )
-    named = heads.join(written, "head").select("key", "clean")
-    return spellings.where("is_new").join(named, "key").select("dirty", "clean", "n")
+    rows = spellings.where("NOT is_known").join(named, "key")
+    return rows.select("dirty", "clean", "n", merged.alias("merged_by"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.dates import parse_date
 from clearbook.functions.numeric import parse_money, round_half_even
+from clearbook.functions.vocabulary import REGIONS, SEGMENTS
 from clearbook.operators.cleaning import clean_transactions
+from clearbook.operators.mapping import distinct_values
 from clearbook.operators.names import canonical_names
 from clearbook.sources.staging import stage
 
@@ -49,8 +53,28 @@ def cleaning_profile(raw: DataFrame, names: DataFrame | None = None) -> DataFram
             "revenue_usd": F.lit(None).cast("string"),
         }
     )
-    cleaned = clean_transactions(spread, names)
-    return cleaned.agg(
+    return _counted(clean_transactions(spread, names))
+
+
+def profile_of_clean(clean: DataFrame) -> DataFrame:
+    """The same profile out of a clean table, which holds the old texts beside the new ones."""
+    cleaned = [f"{name}_clean" for name in DIRTY_COLUMNS]
+    return _counted(
+        stage(
+            clean.groupBy(*DIRTY_COLUMNS, *cleaned).agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(F.col("revenue_usd").isNull()).alias("no_revenue"),
+                F.count_if(F.col("revenue_usd_clean").isNull()).alias("no_clean_revenue"),
+                F.count_if(F.col("order_date_clean").isNull()).alias("no_date"),
+            ),
+            "combinations",
+        )
+    )
+
+
+def _counted(combinations: DataFrame) -> DataFrame:
+    """The profile row out of distinct text combinations, old and new, with their row counts."""
+    return combinations.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.count_distinct("customer_name").alias("before_customers"),
         F.count_distinct("region").alias("before_regions"),
@@ -64,6 +88,35 @@ def cleaning_profile(raw: DataFrame, names: DataFrame | None = None) -> DataFram
     )
 
 
+def text_shapes(df: DataFrame, column: str, value: Column) -> DataFrame:
+    """(shape, n, without_value): the forms that a text column comes in, and the rows of each whose ``value`` is null.
+
+    A run of digits is shown as 9, a run of letters as a.
+    """
+    shape = F.regexp_replace(F.regexp_replace(column, "[0-9]+", "9"), "[A-Za-z]+", "a")
+    return df.groupBy(shape.alias("shape")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(value.isNull()).alias("without_value")
+    )
+
+
+def vocabulary_share(df: DataFrame, column: str, vocabulary: Sequence[str]) -> DataFrame:
+    """(dirty, n, in_vocabulary): the distinct values of a column that should be one of a vocabulary."""
+    values = distinct_values(df, column)
+    return values.select("dirty", "n", F.col("dirty").isin(*vocabulary).alias("in_vocabulary"))
+
+
+def needs_cleaning(raw: DataFrame) -> DataFrame:
+    """Per transaction which of its texts are not yet in the form that the analysis takes."""
+    amount = F.col("revenue_usd")
+    return raw.select(
+        "transaction_id",
+        (~F.col("region").isin(*REGIONS)).alias("region"),
+        (~F.col("industry_segment").isin(*SEGMENTS)).alias("industry_segment"),
+        (~F.col("order_date").rlike(r"^\d{4}-\d{2}-\d{2}$")).alias("order_date"),
+        F.coalesce(~amount.rlike(r"^[0-9]+\.[0-9]{2}$"), F.lit(True)).alias("revenue_usd"),
+    )
+
+
 def _reduction(after: str, before: str) -> Column:
     return round_half_even((1 - F.try_divide(F.col(after), F.col(before))) * 100, 1)
 

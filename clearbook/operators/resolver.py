@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.functions.text import title_case
+from clearbook.functions.text import fallback_match, title_case
 
 BATCH_SIZE = 50
 
 Resolver = Callable[[list[str]], dict[str, str]]
 
 
-def resolve_batches(values: DataFrame, resolver: Resolver, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Ask ``resolver`` for the clean form of distinct ``dirty`` values, at most ``batch_size`` per call.
+def ask(values: DataFrame, resolver: Resolver, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """(dirty, answer): what ``resolver`` says to distinct ``dirty`` values, at most ``batch_size`` per call.
 
-    Partitions call it side by side. Values without an answer get their title case.
-    Stage or store the result before using it twice, or the calls repeat.
+    Partitions call it side by side. A value without an answer has null. Stage
+    or store the result before using it twice, or the calls repeat.
     """
 
     def answer(frames):
@@ -29,10 +29,24 @@ def resolve_batches(values: DataFrame, resolver: Resolver, batch_size: int = BAT
             for start in range(0, len(dirty), batch_size):
                 batch = dirty[start : start + batch_size]
                 mapping = resolver(batch)
-                yield pd.DataFrame({"dirty": batch, "clean": [mapping.get(value) for value in batch]})
+                yield pd.DataFrame({"dirty": batch, "answer": [mapping.get(value) for value in batch]})
+
+    return values.select("dirty").mapInPandas(answer, "dirty string, answer string")
 
-    answered = values.select("dirty").mapInPandas(answer, "dirty string, clean string")
-    return answered.select("dirty", F.coalesce("clean", title_case(F.col("dirty"))).alias("clean"))
+
+def resolve_batches(values: DataFrame, resolver: Resolver, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """(dirty, clean) for an open vocabulary: the resolver's answer, else the value in title case."""
+    answered = ask(values, resolver, batch_size)
+    return answered.select("dirty", F.coalesce("answer", title_case(F.col("dirty"))).alias("clean"))
+
+
+def resolve_closed(
+    values: DataFrame, resolver: Resolver, vocabulary: Sequence[str], batch_size: int = BATCH_SIZE
+) -> DataFrame:
+    """(dirty, clean) for a closed vocabulary: an answer outside it, or none, is replaced by the containment match."""
+    answered = ask(values, resolver, batch_size)
+    allowed = F.when(F.col("answer").isin(*vocabulary), F.col("answer"))
+    return answered.select("dirty", F.coalesce(allowed, fallback_match(F.col("dirty"), vocabulary)).alias("clean"))
 
 
 def parse_answer(answer: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clearbook.operators import breakdown, pareto, summary, weekly
 from clearbook.operators.measures import CUSTOMER, DAY, REGION, SEGMENT, roll_up
 from clearbook.sources.files import write_csv, write_results
-from clearbook.sources.staging import stage
+from clearbook.sources.staging import stage, staged_until_done
 
 
 @dataclass(frozen=True)
@@ -61,28 +61,31 @@ def _listed(rows: DataFrame, order_by: str, descending: bool):
     return ordered.select(F.transform("entries", lambda entry: entry["row"])).scalar()
 
 
+LISTED = 50  # rows of a breakdown that the document shows; the breakdown table has all of them
+
+
 def result_document(analysis: Analysis) -> DataFrame:
-    """One nested row: three summaries, the top customers and the two breakdowns.
+    """One nested row: three summaries, the top customers and the head of the two breakdowns.
 
-    The arrays hold the top customers and the rows of two closed vocabularies,
-    so their size does not depend on the data.
+    The arrays hold the top customers and the LISTED largest values of either
+    breakdown, so their size does not depend on the data.
     """
     return analysis.dataset.select(
         F.struct(*analysis.dataset.columns).alias("dataset_summary"),
         _one_struct(analysis.customer_summary).alias("pareto_summary"),
         _one_struct(analysis.week_summary).alias("weekly_summary"),
         _listed(analysis.top, "rank", descending=False).alias("top_customers"),
-        _listed(analysis.segments, "revenue", descending=True).alias("segment_breakdown"),
-        _listed(analysis.regions, "revenue", descending=True).alias("region_breakdown"),
+        _listed(breakdown.top_rows(analysis.segments, LISTED), "revenue", descending=True).alias("segment_breakdown"),
+        _listed(breakdown.top_rows(analysis.regions, LISTED), "revenue", descending=True).alias("region_breakdown"),
     )
 
 
-def run_analysis(by_customer: DataFrame, by_day: DataFrame, folder: str) -> Analysis:
-    """Write the four tables as CSV and the document as JSON into ``folder``."""
-    analysis = analyze(by_customer, by_day)
-    write_csv(analysis.customers.orderBy("rank"), f"{folder}/customer_pareto")
-    write_csv(analysis.segments, f"{folder}/segment_breakdown")
-    write_csv(analysis.regions, f"{folder}/region_breakdown")
-    write_csv(analysis.weeks.orderBy(DAY), f"{folder}/weekly_revenue")
-    write_results(result_document(analysis), f"{folder}/analysis_results")
-    return analysis
+def run_analysis(by_customer: DataFrame, by_day: DataFrame, folder: str) -> None:
+    """Write the four tables as CSV and the document as JSON into ``folder``; what was staged is deleted."""
+    with staged_until_done(by_customer.sparkSession):
+        analysis = analyze(by_customer, by_day)
+        write_csv(analysis.customers.orderBy("rank"), f"{folder}/customer_pareto")
+        write_csv(analysis.segments, f"{folder}/segment_breakdown")
+        write_csv(analysis.regions, f"{folder}/region_breakdown")
+        write_csv(analysis.weeks.orderBy(DAY), f"{folder}/weekly_revenue")
+        write_results(result_document(analysis), f"{folder}/analysis_results")

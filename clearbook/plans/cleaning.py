@@ -2,43 +2,110 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clearbook.operators.cleaning import clean_transactions, name_mapping
-from clearbook.operators.mapping import distinct_values, only_new
+from clearbook.functions.matching import match_closed
+from clearbook.functions.vocabulary import REGIONS, SEGMENTS
+from clearbook.operators.cleaning import REGION_ALIASES, SEGMENT_ALIASES, clean_transactions, clean_values, name_mapping
+from clearbook.operators.mapping import apply_mapping, distinct_values, only_new
 from clearbook.operators.measures import analyzable
 from clearbook.operators.names import canonical_names
-from clearbook.operators.profile import cleaning_profile, cleaning_report, report_document
+from clearbook.operators.profile import cleaning_report, profile_of_clean, report_document
+from clearbook.operators.resolver import Resolver, resolve_batches, resolve_closed
 from clearbook.sources.files import read_clean
 from clearbook.sources.mapping_table import append_mapping, read_mapping
-from clearbook.sources.staging import stage
+from clearbook.sources.staging import stage, staged_until_done
 
 CUSTOMERS = "customers"
 
+# domain: column, vocabulary, known spellings
+CLOSED = {
+    "regions": ("region", REGIONS, REGION_ALIASES),
+    "segments": ("industry_segment", SEGMENTS, SEGMENT_ALIASES),
+}
+
 
-def refresh_names(raw: DataFrame, mapping_path: str) -> DataFrame:
+def refresh_names(raw: DataFrame, mapping_path: str, resolver: Resolver | None = None, **options) -> DataFrame:
     """Bring the stored name mapping up to date with a raw table; only unseen names are worked on.
 
-    Returns the stored mapping together with how often each name occurs in the
-    table: (dirty, clean, n).
+    They are clustered, with ``options`` of ``canonical_names``, or asked of the
+    ``resolver`` if there is one. Returns the stored mapping together with how
+    often each name occurs in the table: (dirty, clean, n).
     """
     spark = raw.sparkSession
     stored = read_mapping(spark, mapping_path, CUSTOMERS)
     values = stage(distinct_values(raw, "customer_name"), "values")
     unseen = only_new(values, stored)
-    append_mapping(canonical_names(unseen, known=stored.select("clean")), mapping_path, CUSTOMERS)
+    if resolver is None:
+        new = canonical_names(unseen, known=stored.select("clean"), **options)
+    else:
+        new = stage(resolve_batches(unseen, resolver), "answers")
+    append_mapping(new, mapping_path, CUSTOMERS)
     return read_mapping(spark, mapping_path, CUSTOMERS).join(values, "dirty").select("dirty", "clean", "n")
 
 
+def refresh_closed(raw: DataFrame, mapping_path: str, domain: str, resolver: Resolver | None = None) -> DataFrame:
+    """The same for a closed vocabulary; an answer outside it is replaced by the containment match."""
+    column, vocabulary, aliases = CLOSED[domain]
+    spark = raw.sparkSession
+    values = stage(distinct_values(raw, column), "values")
+    unseen = only_new(values, read_mapping(spark, mapping_path, domain))
+    if resolver is None:
+        new = unseen.select("dirty", match_closed(F.col("dirty"), vocabulary, aliases).alias("clean"))
+    else:
+        new = stage(resolve_closed(unseen, resolver, vocabulary), "answers")
+    append_mapping(new, mapping_path, domain)
+    return read_mapping(spark, mapping_path, domain).join(values, "dirty").select("dirty", "clean", "n")
+
+
+def clean_with_mappings(raw: DataFrame, names: DataFrame, closed: Mapping[str, DataFrame]) -> DataFrame:
+    """Raw transactions plus the five clean columns, the three texts by their stored mappings (dirty, clean, n)."""
+    cleaned = clean_values(raw)
+    order = cleaned.columns
+    for domain, pairs in closed.items():
+        column = CLOSED[domain][0]
+        cleaned = apply_mapping(
+            cleaned.drop(f"{column}_clean"), column, pairs, f"{column}_clean", "transaction_id", counts=pairs
+        )
+    named = apply_mapping(cleaned, "customer_name", names, "customer_name_clean", "transaction_id", counts=names)
+    return named.select(*order, "customer_name_clean")
+
+
 def run_cleaning(
-    raw: DataFrame, output_path: str, report_path: str, mapping_path: str | None = None
+    raw: DataFrame,
+    output_path: str,
+    report_path: str,
+    mapping_path: str | None = None,
+    resolvers: Mapping[str, Resolver] | None = None,
+    **name_options,
 ) -> DataFrame:
-    """Write the clean table (parquet) and the report (JSON); returns the report read back."""
-    names = name_mapping(raw) if mapping_path is None else refresh_names(raw, mapping_path)
-    clean_transactions(raw, names).write.mode("overwrite").parquet(output_path)
-    report = cleaning_report(cleaning_profile(raw, names))
-    report_document(report).write.mode("overwrite").json(report_path)
-    return raw.sparkSession.read.json(report_path)
+    """Write the clean table (parquet) and the report (JSON); returns the report read back.
+
+    The raw table is read once and landed. With ``mapping_path`` the mappings of
+    all three texts are kept there and only unseen values are worked on;
+    ``resolvers`` may name an external resolver for any of ``customers``,
+    ``regions`` and ``segments`` and needs that path, so that a rerun asks for
+    nothing again. What the job staged is deleted when it ends.
+    """
+    spark, resolvers = raw.sparkSession, resolvers or {}
+    if resolvers and mapping_path is None:
+        raise ValueError("Resolvers need a mapping_path, or every run would ask for all values again.")
+    with staged_until_done(spark):
+        raw = stage(raw, "raw")
+        if mapping_path is None:
+            cleaned = clean_transactions(raw, name_mapping(raw, **name_options))
+        else:
+            names = stage(refresh_names(raw, mapping_path, resolvers.get(CUSTOMERS), **name_options), "names")
+            closed = {d: stage(refresh_closed(raw, mapping_path, d, resolvers.get(d)), d) for d in CLOSED}
+            cleaned = clean_with_mappings(raw, names, closed)
+        cleaned.write.mode("overwrite").parquet(output_path)
+        report = cleaning_report(profile_of_clean(read_clean(spark, output_path)))
+        method = "rules" if not resolvers else "resolver: " + ", ".join(sorted(resolvers))
+        report_document(report, method).write.mode("overwrite").json(report_path)
+    return spark.read.json(report_path)
 
 
 def load_clean(spark: SparkSession, path: str, include_refunds: bool = False) -> DataFrame:

@@ -1,23 +1,42 @@
 """SQL twins of the registered queries, for an independent engine on the same tables.
 
-The twins of the cleaning queries know the true company, region and segment of
-every row, so they state the right answer instead of repeating the cleaning.
+The twins of the cleaning queries know the true region, segment, day and amount of
+every row, so they state the right answer instead of repeating the cleaning. Names
+are clustered anew, by comparing all spellings of a customer number with each other.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from clearbook.functions.vocabulary import (
-    COMPANIES,
-    NOTES,
-    REGION_SPELLINGS,
-    REGIONS,
-    SEGMENT_SPELLINGS,
-    SEGMENTS,
-    alias_table,
-)
-from clearbook.operators.triage import CAUSES, OTHER
+# The vocabularies and spellings, stated here once more, so that a slip in the library's own shows.
+REGIONS = {
+    "Northeast": ["Northeast", "NE", "North East", "north-east", "N.E.", "Northeastern"],
+    "Southeast": ["Southeast", "SE", "South East", "south east", "S.E.", "Southeastern"],
+    "Midwest": ["Midwest", "MW", "Mid-West", "midwest", "Mid West", "Middle West"],
+    "Southwest": ["Southwest", "SW", "South West", "south-west", "S.W."],
+    "West": ["West", "W", "West Coast", "western", "Pacific"],
+    "International": ["International", "INTL", "Intl.", "Global", "Overseas", "intl"],
+}
+
+SEGMENTS = {
+    "Pulp & Paper": ["Pulp & Paper", "Pulp and Paper", "Paper", "P&P", "pulp/paper", "Paper Products"],
+    "Mining": ["Mining", "Mining & Extraction", "mining", "MINING", "Minerals"],
+    "Recycling": ["Recycling", "Recycle", "recycling", "Recyc.", "Waste Management"],
+    "Chemical Processing": ["Chemical Processing", "Chemicals", "Chemical", "Chem Proc", "chem"],
+    "Food & Beverage": ["Food & Beverage", "F&B", "Food/Bev", "Food and Beverage", "food & bev"],
+    "Wood Products": ["Wood Products", "Wood", "Timber", "Lumber", "wood prod"],
+}
+
+# What triage says to a message that holds one of the words, tried in this order.
+CAUSES = [
+    ("authentication", ["unauthorized", "401"], "Authentication failed: check the client id and secret."),
+    ("permission", ["forbidden", "403"], "Signed in, but the permission to write is missing."),
+    ("site", ["not found", "404"], "The site or document library does not exist: check the address."),
+    ("network", ["name resolution", "failed to resolve"], "Network or DNS issue: is the address reachable?"),
+]
+OTHER = ("other", "See the message and check the delivery settings.")
 
 ORACLES: dict[str, str] = {}
 
@@ -151,6 +170,13 @@ marked AS (
   SELECT *, transactions < (SELECT median(transactions) FROM weekly) * 0.4::DOUBLE AS is_partial FROM weekly
 )"""
 
+# a line of 39 characters and its end for each week of a year
+_REPORTS = """
+reports AS (
+  SELECT CAST(year(order_date_clean) AS INTEGER) AS year, make_date(year(order_date_clean), 12, 31) AS report_date,
+         CAST(40 * count(*) AS BIGINT) AS bytes FROM weekly GROUP BY ALL
+)"""
+
 _SEGMENT, _REGION = "industry_segment_clean", "region_clean"
 _TOP = "SELECT * FROM pareto WHERE rank <= 20"
 
@@ -207,16 +233,25 @@ FROM ({_TOP})""",
     scan_results_json=f"""WITH {_PARETO}, {_WEEKLY}, {_WEEKLY_SUMMARY}, {_DATASET}
 SELECT total_revenue, weeks_covered, unique_segments AS segments, p.*
 FROM dataset_summary, weekly_summary, ({_TOP}) p""",
-    report_years=f"""WITH {_TX}, {_WEEKLY}
-SELECT CAST(year(order_date_clean) AS INTEGER) AS year, CAST(1 AS BIGINT) AS reports,
-       max(order_date_clean) AS latest_report FROM weekly GROUP BY 1""",
+    report_catalog=f"""WITH {_TX}, {_WEEKLY}, {_REPORTS}
+SELECT year, report_date, 'weekly_report_' || report_date AS name, bytes, printf('%.1f', bytes / 1024) || ' KB' AS size
+FROM reports""",
+    report_years=f"""WITH {_TX}, {_WEEKLY}, {_REPORTS}
+SELECT year, CAST(count(*) AS BIGINT) AS reports, CAST(sum(bytes) AS BIGINT) AS bytes, max(report_date) AS latest_report
+FROM reports GROUP BY GROUPING SETS ((year), ())""",
+    delivered_report=f"""WITH {_PARETO}
+SELECT rank, customer_name_clean, revenue, pct_of_total / 100 AS share, (SELECT max(day) FROM tx) AS report_date
+FROM ({_TOP})""",
+    delivery_entries=f"""WITH {_TX}
+SELECT 'weekly_report_' || max(day) AS report_path, CAST(max(day) AS VARCHAR) AS report_date,
+       CAST(year(max(day)) AS INTEGER) AS year, 'skipped' AS upload_status FROM tx""",
     latest_report=f"""WITH {_TX}, {_WEEKLY}
 SELECT order_date_clean, revenue, transactions, (SELECT max(order_date_clean) FROM weekly) AS report_date
 FROM weekly WHERE year(order_date_clean) = (SELECT max(year(order_date_clean)) FROM weekly)""",
 )
 
 
-# --- dirty variants and what cleaning makes of them -----------------------------
+# --- texts in need of cleaning, and what cleaning makes of them -----------------
 
 
 def _weighted(bound: int, *weights: int) -> str:
@@ -235,65 +270,96 @@ def _spelling(entry: str, spellings: Mapping[str, Sequence[str]], pick: str) ->
 _BASE = f"""
 base AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS transaction_id,
-         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-         CAST(o_orderdate AS DATE) AS order_day,
-         {_list(COMPANIES)}[CAST(o_custkey % 20 + 1 AS INTEGER)] AS company,
-         {_list(REGIONS)}[CAST((o_custkey // 20) % 6 + 1 AS INTEGER)] AS true_region,
-         {_list(SEGMENTS)}[CAST(l_partkey % 6 + 1 AS INTEGER)] AS true_segment
-  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+         l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, o_orderpriority,
+         CAST(o_orderdate AS DATE) AS order_day, c_name AS company,
+         {_list(list(REGIONS))}[CAST(o_custkey % 6 + 1 AS INTEGER)] AS true_region,
+         {_list(list(SEGMENTS))}[CAST(l_partkey % 6 + 1 AS INTEGER)] AS true_segment
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
 ),
 picked AS (
-  SELECT *,
-         CASE WHEN {_weighted(100, 3, 17, 7, 29)} < 8 THEN {_weighted(12, 5, 3, 11, 7)}
-              ELSE {_weighted(11, 7, 13, 3, 5)} END AS name_variant,
-         l_partkey % (length(company) - 2) + 2 AS typo,
-         {_weighted(5, 1, 2, 3, 4)} AS date_variant,
-         {_weighted(100, 13, 5, 19, 23)} AS revenue_variant
+  SELECT *, {_weighted(100, 31, 17, 7, 13)} AS name_variant, {_weighted(7, 2, 3, 5, 1)} + 2 AS lost,
+         {_weighted(6, 1, 5, 3, 4)} AS date_variant, {_weighted(1000, 13, 57, 19, 23)} AS revenue_variant
   FROM base
 ),
 dirty AS (
   SELECT *,
-         CASE name_variant
-           WHEN 0 THEN company WHEN 1 THEN upper(company) WHEN 2 THEN lower(company)
-           WHEN 3 THEN replace(company, 'Corp', 'Corporation')
-           WHEN 4 THEN replace(company, 'Inc', 'Incorporated')
-           WHEN 5 THEN replace(company, 'LLC', 'L.L.C.')
-           WHEN 6 THEN replace(company, 'Co', 'Company')
-           WHEN 7 THEN '  ' || company || '  '
-           WHEN 8 THEN replace(company, ' ', '  ')
-           WHEN 9 THEN replace(company, '&', 'and')
-           WHEN 10 THEN left(company, length(company) - 1)
-           WHEN 11 THEN left(company, typo - 1) || substr(company, typo + 1)
+         CASE WHEN name_variant < 70 THEN company WHEN name_variant < 80 THEN upper(company)
+              WHEN name_variant < 88 THEN lower(company)
+              WHEN name_variant < 93 THEN '  ' || replace(company, '#', '  #') || chr(9)
+              WHEN name_variant < 97 THEN replace(company, '#', ' - ')
+              ELSE left(company, CAST(lost AS INTEGER) - 1) || substr(company, CAST(lost AS INTEGER) + 1)
          END AS customer_name,
-         {_spelling('true_region', REGION_SPELLINGS, _weighted(30, 7, 1, 13, 11))} AS region,
-         {_spelling('true_segment', SEGMENT_SPELLINGS, f"({_weighted(180, 11, 3, 1, 7)} // 6)")} AS industry_segment,
+         {_spelling('true_region', REGIONS, _weighted(30, 7, 1, 13, 11))} AS region,
+         {_spelling('true_segment', SEGMENTS, f"({_weighted(180, 11, 3, 1, 7)} // 6)")} AS industry_segment,
          CASE date_variant
            WHEN 0 THEN strftime(order_day, '%Y-%m-%d') WHEN 1 THEN strftime(order_day, '%m/%d/%Y')
-           WHEN 2 THEN strftime(order_day, '%d/%m/%Y') WHEN 3 THEN strftime(order_day, '%b %d, %Y')
-           WHEN 4 THEN strftime(order_day, '%d-%b-%Y')
+           WHEN 2 THEN strftime(order_day, '%d/%m/%Y') WHEN 3 THEN strftime(order_day, '%d.%m.%Y')
+           WHEN 4 THEN strftime(order_day, '%-d-%b-%Y') WHEN 5 THEN strftime(order_day, '%B %-d, %Y')
          END AS order_date,
-         CASE WHEN revenue_variant < 3 THEN NULL
-              WHEN revenue_variant < 6 THEN '$' || format('{{:,.2f}}', l_extendedprice)
-              WHEN revenue_variant < 8 THEN CAST(CAST(-l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
+         CASE WHEN revenue_variant < 6
+              THEN ['1e20', '5e400', 'NaN', 'Infinity', '-Infinity', 'unknown'][CAST(revenue_variant + 1 AS INTEGER)]
+              WHEN revenue_variant < 40 THEN NULL
+              WHEN revenue_variant < 55 THEN '-' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
+              WHEN revenue_variant < 100 THEN '$ ' || format('{{:,.2f}}', l_extendedprice)
               ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS revenue_usd,
          -- what the cleaning must come to: a day-first text that reads as month-first is taken as that
          CASE WHEN date_variant = 2 AND day(order_day) <= 12
               THEN make_date(year(order_day), day(order_day), month(order_day)) ELSE order_day END AS clean_day,
-         CASE WHEN revenue_variant < 3 THEN NULL
-              WHEN revenue_variant BETWEEN 6 AND 7 THEN -l_extendedprice ELSE l_extendedprice END AS clean_revenue,
+         CASE WHEN revenue_variant = 0 THEN 1e20::DOUBLE WHEN revenue_variant < 40 THEN NULL
+              WHEN revenue_variant < 55 THEN -l_extendedprice ELSE l_extendedprice END AS clean_revenue,
          date_variant IN (1, 2) AND day(order_day) <= 12 AND day(order_day) <> month(order_day) AS is_ambiguous
   FROM picked
 )"""
 
+_COUNTABLE = "clean_revenue BETWEEN 0 AND 1e11"
+
+# Spellings of one customer number, compared pair by pair: a key joins its most frequent neighbour within one edit if
+# that has three times its rows and joins none itself.
+_NAMES = f"""
+spelled AS (
+  SELECT company, customer_name AS dirty, CAST(count(*) AS BIGINT) AS n,
+         regexp_replace(lower(customer_name), '[^a-z0-9]', '', 'g') AS key,
+         trim(regexp_replace(customer_name, '\\s+', ' ', 'g')) AS written, lower(trim(customer_name, ' ' || chr(9))) AS t
+  FROM dirty GROUP BY company, customer_name
+),
+keyed AS (SELECT company, key, sum(n) AS n FROM spelled GROUP BY company, key),
+wished AS (
+  SELECT a.company, a.key, min(CASE WHEN b.key IS NOT NULL THEN {{'n': -b.n, 'key': b.key}} END) AS best
+  FROM keyed a LEFT JOIN keyed b ON a.company = b.company AND a.key <> b.key AND levenshtein(a.key, b.key) = 1
+    AND b.n >= 3 * a.n
+  GROUP BY a.company, a.key
+),
+headed AS (
+  SELECT w.company, w.key, coalesce(h.key, w.key) AS head FROM wished w
+  LEFT JOIN wished h ON w.company = h.company AND w.best.key = h.key AND h.best IS NULL
+),
+best_written AS (
+  SELECT company, key, written, row_number() OVER (PARTITION BY company, key ORDER BY n DESC, written) AS place
+  FROM (SELECT company, key, written, sum(n) AS n FROM spelled GROUP BY company, key, written)
+),
+names AS (
+  SELECT s.dirty, b.written AS clean, s.n, s.t, s.key,
+         CASE WHEN h.head <> s.key THEN 'edit' WHEN s.written <> b.written THEN 'spelling' ELSE 'same' END AS merged_by
+  FROM spelled s JOIN headed h ON s.company = h.company AND s.key = h.key
+  JOIN best_written b ON b.company = h.company AND b.key = h.head AND b.place = 1
+)"""
+
 _RAW = f"""{_BASE},
 raw AS (
-  SELECT dirty.*, p_brand AS product_sku, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
-         s_name AS sales_rep, {_list(NOTES)}[CAST({_weighted(10, 3, 7, 1, 9)} + 1 AS INTEGER)] AS notes
+  SELECT dirty.*, p_brand AS product_sku, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity, s_name AS sales_rep,
+         CASE WHEN {_weighted(70, 3, 7, 1, 9)} % 7 = 0 THEN '' WHEN {_weighted(70, 3, 7, 1, 9)} % 7 <> 1
+              THEN o_orderpriority END AS notes
   FROM dirty LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
 )"""
 
-_RAW_LIST = """transaction_id, customer_name, region, industry_segment, product_sku, order_date, quantity,
-  revenue_usd, sales_rep, notes"""
+_RAW_COLUMNS = [
+    "transaction_id", "customer_name", "region", "industry_segment", "product_sku", "order_date", "quantity",
+    "revenue_usd", "sales_rep", "notes",
+]
+_RAW_LIST = ", ".join(_RAW_COLUMNS)
+
+# the scan takes an empty note, and the text NaN, as missing
+_MISSING_TEXTS = "nullif(notes, '') AS notes, nullif(revenue_usd, 'NaN') AS revenue_usd"
 
 _KEY = "regexp_replace(lower(dirty), '[^a-z0-9]', '', 'g')"
 
@@ -303,44 +369,50 @@ def _values(pairs: Mapping[str, str], name: str) -> str:
     return f"{name}(dirty, clean) AS (VALUES {rows})"
 
 
-_HALF = _values({spelling: entry for entry in REGIONS[:3] for spelling in REGION_SPELLINGS[entry]}, "half")
+_HALF = _values({spelling: entry for entry in list(REGIONS)[:3] for spelling in REGIONS[entry]}, "half")
 _REGION_VALUES = "regions AS (SELECT region AS dirty, any_value(true_region) AS clean, count(*) AS n FROM dirty GROUP BY 1)"
 
 
-def _fallback(vocabulary: Sequence[str]) -> str:
+def _fallback(value: str, vocabulary: Sequence[str]) -> str:
     branches = " ".join(
-        f"WHEN contains(lower(dirty), {_text(entry.lower())}) OR contains({_text(entry.lower())}, lower(dirty)) "
+        f"WHEN contains(lower({value}), {_text(entry.lower())}) OR contains({_text(entry.lower())}, lower({value})) "
         f"THEN {_text(entry)}"
         for entry in vocabulary
     )
-    return f"CASE {branches} ELSE {_text(vocabulary[0])} END"
+    return f"CASE {branches} ELSE {_text(list(vocabulary)[0])} END"
 
 
-def _canonical(column: str, truth: str, vocabulary: Sequence[str], spellings: Mapping[str, Sequence[str]]) -> str:
+def _canonical(column: str, truth: str, spellings: Mapping[str, Sequence[str]]) -> str:
+    keys = sorted({re.sub("[^a-z0-9]", "", v.lower()) for variants in spellings.values() for v in variants})
     return f"""WITH {_BASE},
 counted AS (SELECT {column} AS dirty, any_value({truth}) AS clean, count(*) AS n FROM dirty GROUP BY 1)
-SELECT dirty, clean, CASE WHEN list_contains({_list(vocabulary)}, dirty) THEN 'exact'
-  WHEN list_contains({_list(list(alias_table(spellings)))}, {_KEY}) THEN 'alias' ELSE 'other' END AS match_method,
+SELECT dirty, clean, CASE WHEN list_contains({_list(list(spellings))}, dirty) THEN 'exact'
+  WHEN list_contains({_list(keys)}, {_KEY}) THEN 'alias' ELSE 'other' END AS match_method,
   CAST(n AS BIGINT) AS n FROM counted"""
 
 
+def _in_vocabulary(column: str, vocabulary: Sequence[str]) -> str:
+    return f"""WITH {_BASE} SELECT {column} AS dirty, CAST(count(*) AS BIGINT) AS n,
+  list_contains({_list(list(vocabulary))}, {column}) AS in_vocabulary FROM dirty GROUP BY {column}"""
+
+
+def _shapes(column: str, missing: str) -> str:
+    return f"""WITH {_BASE} SELECT regexp_replace(regexp_replace({column}, '[0-9]+', '9', 'g'), '[A-Za-z]+', 'a', 'g') AS shape,
+  CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER ({missing}) AS BIGINT) AS without_value FROM dirty GROUP BY 1"""
+
+
 _TITLE = """array_to_string(list_transform(range(1, length(t) + 1),
   lambda i: CASE WHEN i = 1 OR NOT regexp_matches(substr(t, i - 1, 1), '[a-z]')
                  THEN upper(substr(t, i, 1)) ELSE substr(t, i, 1) END), '')"""
 
-_NAMES = """names AS (
-  SELECT customer_name AS dirty, any_value(company) AS clean, CAST(count(*) AS BIGINT) AS n,
-         lower(trim(customer_name)) AS t FROM dirty GROUP BY customer_name
-)"""
-
-_PROFILE = f"""WITH {_BASE},
+_PROFILE = f"""WITH {_BASE}, {_NAMES},
 profile AS (
   SELECT CAST(count(*) AS BIGINT) AS rows,
          CAST(count(DISTINCT customer_name) AS BIGINT) AS before_customers,
          CAST(count(DISTINCT region) AS BIGINT) AS before_regions,
          CAST(count(DISTINCT industry_segment) AS BIGINT) AS before_segments,
          CAST(count(*) - count(revenue_usd) AS BIGINT) AS before_null_revenues,
-         CAST(count(DISTINCT company) AS BIGINT) AS after_customers,
+         (SELECT CAST(count(DISTINCT clean) AS BIGINT) FROM names) AS after_customers,
          CAST(count(DISTINCT true_region) AS BIGINT) AS after_regions,
          CAST(count(DISTINCT true_segment) AS BIGINT) AS after_segments,
          CAST(count(*) - count(clean_revenue) AS BIGINT) AS after_null_revenues,
@@ -354,20 +426,27 @@ def _reduction(name: str) -> str:
     return f"{_round(f'(1 - {share}) * 100.0::DOUBLE', 1)} AS {name}_pct"
 
 
+def _label(name: str) -> str:
+    return " ".join(word.capitalize() for word in name.split("_"))
+
+
+_ANSWERS = {"NE": "Northeast", "Global": "International"}
+
 ORACLES.update(
-    dirty_names=f"WITH {_BASE} SELECT transaction_id, company, customer_name FROM dirty",
-    dirty_regions=f"WITH {_BASE} SELECT transaction_id, true_region, region FROM dirty",
-    dirty_segments=f"WITH {_BASE} SELECT transaction_id, true_segment, industry_segment FROM dirty",
-    dirty_dates=f"WITH {_BASE} SELECT transaction_id, order_day, order_date FROM dirty",
-    dirty_revenue=f"WITH {_BASE} SELECT transaction_id, revenue_usd FROM dirty",
-    dirty_transactions=f"WITH {_RAW} SELECT {_RAW_LIST} FROM raw",
+    dirty_names=f"WITH {_BASE}, {_NAMES} SELECT dirty, key AS name_key, n FROM names",
+    dirty_regions=_in_vocabulary("region", REGIONS),
+    dirty_segments=_in_vocabulary("industry_segment", SEGMENTS),
+    dirty_dates=_shapes("order_date", "clean_day IS NULL"),
+    dirty_revenue=_shapes("revenue_usd", "clean_revenue IS NULL"),
+    dirty_transactions=f"""WITH {_BASE} SELECT transaction_id, NOT list_contains({_list(list(REGIONS))}, region) AS region,
+  NOT list_contains({_list(list(SEGMENTS))}, industry_segment) AS industry_segment, date_variant <> 0 AS order_date,
+  revenue_variant < 100 AS revenue_usd FROM dirty""",
     dirty_triples=f"""WITH {_BASE} SELECT DISTINCT customer_name AS dirty_customer, region AS dirty_region,
   industry_segment AS dirty_segment FROM dirty""",
     distinct_dirty=f"WITH {_BASE} SELECT region AS dirty, CAST(count(*) AS BIGINT) AS n FROM dirty GROUP BY 1",
     parse_dates=f"""WITH {_BASE} SELECT transaction_id, order_date, clean_day AS order_date_clean, is_ambiguous
 FROM dirty""",
-    parse_revenue=f"""WITH {_BASE} SELECT transaction_id, revenue_usd,
-  TRY_CAST(regexp_replace(revenue_usd, '[$,]', '', 'g') AS DOUBLE) AS revenue_usd_clean FROM dirty""",
+    parse_revenue=f"WITH {_BASE} SELECT transaction_id, revenue_usd, clean_revenue AS revenue_usd_clean FROM dirty",
     title_case=f"WITH {_BASE}, {_NAMES} SELECT dirty, {_TITLE} AS title, n FROM names",
     apply_mapping=f"""WITH {_BASE}, {_HALF}
 SELECT transaction_id, region, coalesce(clean, region) AS region_clean FROM dirty LEFT JOIN half ON region = half.dirty""",
@@ -380,14 +459,14 @@ SELECT dirty, clean FROM regions WHERE dirty NOT IN (SELECT dirty FROM half)""",
 SELECT 'regions' AS domain, dirty, clean FROM half UNION ALL
 SELECT 'regions', dirty, clean FROM regions WHERE dirty NOT IN (SELECT dirty FROM half)""",
     out_of_vocab=f"""WITH {_BASE} SELECT region AS dirty, CAST(count(*) AS BIGINT) AS n FROM dirty
-WHERE NOT list_contains({_list(REGIONS)}, region) GROUP BY 1""",
+WHERE NOT list_contains({_list(list(REGIONS))}, region) GROUP BY 1""",
     fallback_match=f"""WITH {_BASE}, {_REGION_VALUES}
-SELECT dirty, {_fallback(REGIONS)} AS fallback, CAST(n AS BIGINT) AS n FROM regions""",
-    canonical_regions=_canonical("region", "true_region", REGIONS, REGION_SPELLINGS),
-    canonical_segments=_canonical("industry_segment", "true_segment", SEGMENTS, SEGMENT_SPELLINGS),
-    canonical_customers=f"WITH {_BASE}, {_NAMES} SELECT dirty, clean, n FROM names",
+SELECT dirty, {_fallback("dirty", REGIONS)} AS fallback, CAST(n AS BIGINT) AS n FROM regions""",
+    canonical_regions=_canonical("region", "true_region", REGIONS),
+    canonical_segments=_canonical("industry_segment", "true_segment", SEGMENTS),
+    canonical_customers=f"WITH {_BASE}, {_NAMES} SELECT dirty, clean, n, merged_by FROM names",
     resolve_batches=f"""WITH {_BASE}, {_NAMES}
-SELECT dirty, CASE WHEN length(dirty) % 2 = 0 THEN upper(trim(dirty)) ELSE {_TITLE} END AS clean FROM names""",
+SELECT dirty, CASE WHEN length(dirty) % 2 = 0 THEN upper(trim(dirty, ' ' || chr(9))) ELSE {_TITLE} END AS clean FROM names""",
     parse_mapping_json=f"""WITH asked AS (
   SELECT lower(c_name) || ' / ' || lower(c_mktsegment) AS dirty, c_name, lower(c_name) || ' / ' || lower(c_mktsegment)
     AS t, c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AS answered FROM customer)
@@ -395,31 +474,45 @@ SELECT dirty, CASE WHEN answered THEN c_name ELSE {_TITLE} END AS clean, answere
     mapping_rows="""SELECT CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 11 <> 0
   THEN lower(c_name) || ' / ' || lower(c_mktsegment) END AS dirty,
   CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 THEN c_name END AS clean FROM customer""",
-    clean_transactions=f"""WITH {_RAW} SELECT {_RAW_LIST}, company AS customer_name_clean,
+    clean_transactions=f"""WITH {_RAW}, {_NAMES} SELECT {_RAW_LIST}, clean AS customer_name_clean,
   true_region AS region_clean, true_segment AS industry_segment_clean, clean_day AS order_date_clean,
-  clean_revenue AS revenue_usd_clean FROM raw""",
+  clean_revenue AS revenue_usd_clean FROM raw JOIN names ON customer_name = names.dirty""",
+    clean_with_resolver=f"""WITH {_BASE} SELECT transaction_id, region, industry_segment,
+  CASE region {" ".join(f"WHEN {_text(a)} THEN {_text(b)}" for a, b in _ANSWERS.items())}
+    ELSE {_fallback("region", REGIONS)} END AS region_clean,
+  CASE industry_segment WHEN 'Timber' THEN 'Wood Products' ELSE {_fallback("industry_segment", SEGMENTS)} END
+    AS industry_segment_clean FROM dirty""",
     cleaning_profile=f"{_PROFILE} SELECT * FROM profile",
     cleaning_report=f"""{_PROFILE}
 SELECT *, {_reduction('customers')}, {_reduction('regions')}, {_reduction('segments')} FROM profile""",
     analyzable_rows=f"""WITH {_BASE} SELECT transaction_id, true_region AS region_clean,
-  clean_day AS order_date_clean, clean_revenue AS revenue_usd_clean FROM dirty WHERE clean_revenue >= 0""",
+  clean_day AS order_date_clean, clean_revenue AS revenue_usd_clean FROM dirty WHERE {_COUNTABLE}""",
     exclusion_counts=f"""WITH {_BASE} SELECT CAST(count(*) AS BIGINT) AS rows,
   CAST(count(*) FILTER (clean_revenue IS NULL) AS BIGINT) AS null_revenue,
+  CAST(count(*) FILTER (clean_revenue > 1e11) AS BIGINT) AS oversized_revenue,
   CAST(count(*) FILTER (clean_revenue < 0) AS BIGINT) AS negative_revenue,
-  CAST(count(*) FILTER (clean_revenue >= 0) AS BIGINT) AS analyzable FROM dirty""",
-    load_clean_rows=f"""WITH {_BASE} SELECT transaction_id, company AS customer_name_clean,
-  true_segment AS industry_segment_clean, clean_revenue AS revenue_usd_clean FROM dirty WHERE clean_revenue >= 0""",
-    cleaned_pareto=f"""WITH {_BASE}, tx AS (
-  SELECT transaction_id, company AS customer_name_clean, CAST(clean_revenue AS DECIMAL(18,2)) AS amount
-  FROM dirty WHERE clean_revenue >= 0
+  CAST(count(*) FILTER ({_COUNTABLE}) AS BIGINT) AS analyzable FROM dirty""",
+    odd_amounts="""SELECT CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (l_orderkey % 50 BETWEEN 1 AND 4) AS BIGINT) AS null_revenue,
+  CAST(count(*) FILTER (l_orderkey % 50 = 0) AS BIGINT) AS oversized_revenue,
+  CAST(count(*) FILTER (l_orderkey % 50 = 5) AS BIGINT) AS negative_revenue,
+  CAST(count(*) FILTER (l_orderkey % 50 > 5) AS BIGINT) AS analyzable,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_orderkey % 50 > 5) AS DOUBLE) AS total_revenue
+FROM lineitem""",
+    load_clean_rows=f"""WITH {_BASE}, {_NAMES} SELECT transaction_id, clean AS customer_name_clean,
+  true_segment AS industry_segment_clean, clean_revenue AS revenue_usd_clean
+FROM dirty JOIN names ON customer_name = names.dirty WHERE {_COUNTABLE}""",
+    cleaned_pareto=f"""WITH {_BASE}, {_NAMES}, tx AS (
+  SELECT transaction_id, clean AS customer_name_clean, CAST(clean_revenue AS DECIMAL(18,2)) AS amount
+  FROM dirty JOIN names ON customer_name = names.dirty WHERE {_COUNTABLE}
 ), {_PARETO_OVER_TX} SELECT * FROM pareto""",
-    dq_checks=f"""WITH {_RAW}, metrics AS (
+    dq_checks=f"""WITH {_BASE}, metrics AS (
   SELECT count(*) AS n, (SELECT count(*) FROM lineitem) AS expected, count(DISTINCT customer_name) AS customers,
          count(DISTINCT region) AS regions, count(*) - count(revenue_usd) AS nulls,
-         count(DISTINCT length(order_date)) AS lengths, bool_or(contains(revenue_usd, '$')) AS dollars FROM raw
+         count(DISTINCT length(order_date)) AS lengths, bool_or(contains(revenue_usd, '$')) AS dollars FROM dirty
 ), checks AS (
   SELECT 'row_count' AS check_name, n = expected AS passed, CAST(n AS VARCHAR) AS detail FROM metrics
-  UNION ALL SELECT 'required_columns', true, '10'
+  UNION ALL SELECT 'required_columns', true, '6'
   UNION ALL SELECT 'messy_customers', customers > 50, CAST(customers AS VARCHAR) FROM metrics
   UNION ALL SELECT 'messy_regions', regions > 15, CAST(regions AS VARCHAR) FROM metrics
   UNION ALL SELECT 'null_revenue_share', nulls BETWEEN n * 0.01 AND n * 0.08, CAST(nulls AS VARCHAR) FROM metrics
@@ -429,16 +522,26 @@ SELECT *, {_reduction('customers')}, {_reduction('regions')}, {_reduction('segme
 SELECT * FROM checks UNION ALL SELECT 'all_passed', bool_and(passed), CAST(count(*) AS VARCHAR) FROM checks""",
     dq_required_columns=f"WITH {_RAW} "
     + " UNION ALL ".join(
-        f"SELECT '{name}' AS column_name, true AS present, CAST(count({name}) AS BIGINT) AS filled_rows FROM raw"
-        for name in [part.strip() for part in _RAW_LIST.split(",")]
+        f"SELECT '{name}' AS column_name, true AS present, CAST(count({name}) AS BIGINT) AS filled_rows, "
+        f"'{_label(name)}' AS label FROM raw"
+        for name in _RAW_COLUMNS
+    ),
+    scan_raw_csv=f"WITH {_RAW} SELECT * REPLACE ({_MISSING_TEXTS}) FROM (SELECT {_RAW_LIST} FROM raw)",
+    scan_csv_reordered=f"WITH {_RAW} SELECT * REPLACE ({_MISSING_TEXTS}) FROM (SELECT {_RAW_LIST} FROM raw)",
+    scan_csv_missing_column=f"WITH {_BASE} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, true AS present, CAST(count({name}) AS BIGINT) AS filled_rows FROM dirty"
+        if name not in ("product_sku", "quantity", "sales_rep", "notes")
+        else f"SELECT '{name}', false, CAST(0 AS BIGINT)"
+        for name in _RAW_COLUMNS
     ),
-    scan_raw_csv=f"WITH {_RAW} SELECT * REPLACE (nullif(notes, '') AS notes) FROM (SELECT {_RAW_LIST} FROM raw)",
     scan_delivery_log="""WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
 lines AS (SELECT day, 'weekly_report_' || CAST(day AS VARCHAR) AS report, day(day) % 5 = 0 AS damaged FROM days)
 SELECT CASE WHEN NOT damaged THEN report END AS report_path, CASE WHEN NOT damaged THEN 'skipped' END AS upload_status,
        CASE WHEN NOT damaged THEN CAST(day AS VARCHAR) END AS delivered_on,
        CASE WHEN damaged THEN left('{"report_path":"' || report, 20) END AS corrupt_record FROM lines""",
 )
+ORACLES["repeated_pairs"] = ORACLES["apply_mapping"]
 
 
 def _triage() -> str:
@@ -450,9 +553,9 @@ def _triage() -> str:
         return "CASE " + " ".join(parts)
 
     return f"""WITH messages AS (
-  SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'Server returned 401 Unauthorized for user '
-    WHEN 1 THEN '403 Forbidden on upload by user ' WHEN 2 THEN '404 Not Found: site asked for by user '
-    WHEN 3 THEN 'Failed to resolve hostname for user ' ELSE 'Connection reset while serving user ' END
+  SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'login refused (401) for user '
+    WHEN 1 THEN 'upload not allowed (403) for user ' WHEN 2 THEN 'no such address (404) asked for by user '
+    WHEN 3 THEN 'the host lookup failed to resolve for user ' ELSE 'the line broke off while serving user ' END
     || CAST(user_id AS VARCHAR) || ' ' || repeat(props, 30) AS message FROM events)
 SELECT event_id, {branches(0)} ELSE {_text(OTHER[0])} END AS cause, {branches(2)} ELSE {_text(OTHER[1])} END AS hint,
        left(message, 200) AS reason FROM messages"""

@@ -25,8 +25,9 @@ from clearbook.operators import (
     triage,
     weekly,
 )
-from clearbook.plans import analysis
-from clearbook.plans.cleaning import load_clean
+from clearbook.plans import analysis, reporting
+from clearbook.plans.cleaning import load_clean, run_cleaning
+from clearbook.schemas import RAW_COLUMNS
 from clearbook.sources import files, publication, star
 from clearbook.sources.mapping_table import append_mapping, read_mapping
 from clearbook.sources.staging import fresh_path, stage
@@ -35,6 +36,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+# Columns of the raw table that follow from line items and orders alone.
+RAW_OF_TEXTS = ["transaction_id", "customer_name", "region", "industry_segment", "order_date", "revenue_usd"]
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -163,42 +167,39 @@ def pareto_curve(spark, folder):
     return report_tables.pareto_curve(top_customers(spark, folder))
 
 
-# --- dirty variants ------------------------------------------------------------
+# --- what needs cleaning ---------------------------------------------------------
 
 
 @query
 def dirty_names(spark, folder):
-    base = star.base_transactions(spark, folder)
-    return base.select("transaction_id", "company", star.dirty_name_column().alias("customer_name"))
+    """The spellings of customers and the key they are compared by."""
+    values = mapping.distinct_values(star.dirty_texts(spark, folder), "customer_name")
+    return values.select("dirty", text.name_key(F.col("dirty")).alias("name_key"), "n")
 
 
 @query
 def dirty_regions(spark, folder):
-    base = star.base_transactions(spark, folder)
-    return base.select("transaction_id", "true_region", star.dirty_region_column().alias("region"))
+    return profile.vocabulary_share(star.dirty_texts(spark, folder), "region", REGIONS)
 
 
 @query
 def dirty_segments(spark, folder):
-    base = star.base_transactions(spark, folder)
-    return base.select("transaction_id", "true_segment", star.dirty_segment_column().alias("industry_segment"))
+    return profile.vocabulary_share(star.dirty_texts(spark, folder), "industry_segment", SEGMENTS)
 
 
 @query
 def dirty_dates(spark, folder):
-    base = star.base_transactions(spark, folder)
-    return base.select("transaction_id", "order_day", star.dirty_date_column().alias("order_date"))
+    return profile.text_shapes(star.dirty_texts(spark, folder), "order_date", dates.parse_date(F.col("order_date")))
 
 
 @query
 def dirty_revenue(spark, folder):
-    base = star.base_transactions(spark, folder)
-    return base.select("transaction_id", star.dirty_revenue_column().alias("revenue_usd"))
+    return profile.text_shapes(star.dirty_texts(spark, folder), "revenue_usd", numeric.parse_money(F.col("revenue_usd")))
 
 
 @query
 def dirty_transactions(spark, folder):
-    return star.dirty_transactions(spark, folder)
+    return profile.needs_cleaning(star.dirty_texts(spark, folder))
 
 
 @query
@@ -259,6 +260,15 @@ def apply_mapping(spark, folder):
     return mapping.apply_mapping(dirty, "region", _half_mapping(spark), "region_clean", "transaction_id")
 
 
+@query
+def repeated_pairs(spark, folder):
+    """A mapping with repeated and conflicting pairs doubles no row."""
+    pairs = _half_mapping(spark)
+    conflicting = pairs.unionByName(pairs).unionByName(pairs.select("dirty", F.concat("clean", F.lit(" 2")).alias("clean")))
+    dirty = star.dirty_texts(spark, folder).select("transaction_id", "region")
+    return mapping.apply_mapping(dirty, "region", conflicting, "region_clean", "transaction_id")
+
+
 @query
 def unmapped_values(spark, folder):
     return mapping.unmapped_values(star.dirty_texts(spark, folder), "region", _half_mapping(spark))
@@ -353,7 +363,25 @@ def mapping_rows(spark, folder):
 
 @query
 def clean_transactions(spark, folder):
-    return cleaning.clean_transactions(star.dirty_transactions(spark, folder))
+    # the names need no more than line items and orders
+    names_found = cleaning.name_mapping(star.dirty_texts(spark, folder))
+    return cleaning.clean_transactions(star.dirty_transactions(spark, folder), names_found)
+
+
+@query
+def clean_with_resolver(spark, folder):
+    """The cleaning job with a resolver for regions and segments that answers some values outside the vocabulary."""
+
+    def answer(batch):
+        known = {"NE": "Northeast", "Global": "International", "W": "The West", "Timber": "Wood Products", "chem": "Chemistry"}
+        return {value: known[value] for value in batch if value in known}
+
+    paths = [fresh_path(spark, name) for name in ("clean", "report", "mapping")]
+    texts = star.dirty_texts(spark, folder)
+    raw = texts.select(*[F.col(c) if c in texts.columns else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS])
+    run_cleaning(raw, *paths, resolvers={"regions": answer, "segments": answer})
+    columns = ["transaction_id", "region", "region_clean", "industry_segment", "industry_segment_clean"]
+    return files.read_clean(spark, paths[0]).select(columns)
 
 
 @query
@@ -397,19 +425,47 @@ def cleaned_pareto(spark, folder):
         "spellings",
     )
     counts = per_spelling.select(F.col("customer_name").alias("dirty"), F.col("row_count").alias("n"))
+    names_found = stage(names.canonical_names(counts), "names")
     mapped = mapping.apply_mapping(
-        per_spelling, "customer_name", stage(names.canonical_names(counts), "names"), measures.CUSTOMER, "customer_name"
+        per_spelling, "customer_name", names_found, measures.CUSTOMER, "customer_name", counts=counts
     )
     return pareto.customer_pareto(mapped)
 
 
+@query
+def odd_amounts(spark, folder):
+    """Amounts that are too large, infinite or no number at all: nothing stops, and every row is accounted for."""
+    kind = F.col("l_orderkey") % 50
+    amount = (
+        F.when(kind == 0, 1e20)
+        .when(kind == 1, F.lit(float("nan")))
+        .when(kind == 2, F.lit(float("inf")))
+        .when(kind == 3, F.lit(float("-inf")))
+        .when(kind == 4, numeric.parse_money(F.lit("5e400")))
+        .when(kind == 5, -F.col("l_extendedprice"))
+        .otherwise(F.col("l_extendedprice"))
+    )
+    lines = star.table(spark, folder, "lineitem").select(
+        star.transaction_id().alias("transaction_id"),
+        F.col("l_returnflag").alias(measures.CUSTOMER),
+        F.lit(None).cast("string").alias(measures.REGION),
+        F.col("l_linestatus").alias(measures.SEGMENT),
+        F.col("l_shipdate").cast("date").alias(measures.DAY),
+        amount.alias("revenue_usd_clean"),
+    )
+    counts = measures.exclusion_counts(lines)
+    kept = summary.dataset_summary(measures.to_measures(measures.analyzable(lines)))
+    return counts.withColumn("total_revenue", kept.select("total_revenue").scalar())
+
+
 # --- quality checks ------------------------------------------------------------
 
 
 @query
 def dq_checks(spark, folder):
-    expected = star.table(spark, folder, "lineitem").count()
-    return quality.quality_checks(star.dirty_transactions(spark, folder), expected)
+    # the sender's count: one row for each line of an order
+    expected = star.table(spark, folder, "lineitem").agg(F.count(F.lit(1))).scalar()
+    return quality.quality_checks(star.dirty_texts(spark, folder), expected, RAW_OF_TEXTS)
 
 
 @query
@@ -427,6 +483,24 @@ def scan_raw_csv(spark, folder):
     return files.read_raw_csv(spark, path)
 
 
+@query
+def scan_csv_reordered(spark, folder):
+    """Columns in another order, and one that nobody asked for: bound by their names."""
+    path = fresh_path(spark, "raw-csv")
+    raw = star.dirty_transactions(spark, folder)
+    files.write_csv(raw.select(*reversed(raw.columns), F.lit("x").alias("more")), path)
+    return files.read_raw_csv(spark, path)
+
+
+@query
+def scan_csv_missing_column(spark, folder):
+    """What the scan says about a file without two of the columns."""
+    path = fresh_path(spark, "raw-csv")
+    files.write_csv(star.dirty_texts(spark, folder), path)
+    header = spark.read.option("header", True).csv(path)
+    return quality.column_check(header).select("column_name", "present", "filled_rows")
+
+
 @query
 def scan_weekly_csv(spark, folder):
     path = fresh_path(spark, "weekly-csv")
@@ -485,16 +559,52 @@ def _published_weeks(spark, folder):
     return path
 
 
+def _listed_reports(spark, folder):
+    """The weekly table published as text once per year, in lines of one width, so that sizes are known."""
+    path = fresh_path(spark, "reports")
+    weeks = _staged_weeks(spark, folder)
+    line = F.rpad(F.concat_ws(" ", F.col(measures.DAY).cast("string"), F.col("transactions").cast("string")), 39, " ")
+    year_end = F.make_date(F.year(measures.DAY), F.lit(12), F.lit(31))
+    publication.publish(weeks.withColumn("value", line), path, "weekly_report", year_end, "text", ["value"])
+    return publication.report_files(spark, path)
+
+
 @query
 def report_catalog(spark, folder):
-    path = _published_weeks(spark, folder)
-    return publication.report_catalog(publication.report_files(spark, path))
+    return publication.report_catalog(_listed_reports(spark, folder))
 
 
 @query
 def report_years(spark, folder):
-    path = _published_weeks(spark, folder)
-    return publication.catalog_by_year(publication.report_files(spark, path))
+    return publication.catalog_by_year(_listed_reports(spark, folder))
+
+
+def _delivered(spark, folder):
+    """Analysis, report and delivery, one job after the other; returns the folder of the reports and the log."""
+    results, reports, log = (fresh_path(spark, name) for name in ("results", "reports", "log"))
+    orders = stage(star.order_measures(spark, folder), "orders")
+    analysis.run_analysis(star.with_customers(spark, folder, orders), orders, results)
+    reporting.deliver(spark, f"{results}/analysis_results", f"{results}/weekly_revenue", reports, log)
+    return reports, log
+
+
+@query
+def delivered_report(spark, folder):
+    reports, _ = _delivered(spark, folder)
+    return publication.latest(spark, f"{reports}/customers").select(
+        "rank", measures.CUSTOMER, "revenue", "share", "report_date"
+    )
+
+
+@query
+def delivery_entries(spark, folder):
+    _, log = _delivered(spark, folder)
+    return files.read_delivery_log(spark, log).select(
+        "report_path",
+        dates.date_in_name(F.col("report_path")).alias("report_date"),
+        dates.report_year(F.col("report_path")).alias("year"),
+        F.col("upload.status").alias("upload_status"),
+    )
 
 
 @query
@@ -509,11 +619,11 @@ def latest_report(spark, folder):
 def triage_errors(spark, folder):
     kind = F.col("event_id") % 5
     message = F.concat(
-        F.when(kind == 0, F.lit("Server returned 401 Unauthorized for user "))
-        .when(kind == 1, F.lit("403 Forbidden on upload by user "))
-        .when(kind == 2, F.lit("404 Not Found: site asked for by user "))
-        .when(kind == 3, F.lit("Failed to resolve hostname for user "))
-        .otherwise(F.lit("Connection reset while serving user ")),
+        F.when(kind == 0, F.lit("login refused (401) for user "))
+        .when(kind == 1, F.lit("upload not allowed (403) for user "))
+        .when(kind == 2, F.lit("no such address (404) asked for by user "))
+        .when(kind == 3, F.lit("the host lookup failed to resolve for user "))
+        .otherwise(F.lit("the line broke off while serving user ")),
         F.col("user_id").cast("string"),
         F.lit(" "),
         F.repeat(F.col("props"), 30),

@@ -7,23 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbook import schemas
-from clearbook.operators.mapping import only_new
+from clearbook.operators.mapping import one_pair_each, only_new
 
 
 def read_mapping(spark: SparkSession, path: str, domain: str | None = None) -> DataFrame:
-    """Stored mapping rows, of one domain if given; an empty frame where nothing was stored yet."""
+    """Stored pairs, of one domain if given; an empty frame where nothing was stored yet.
+
+    There is one pair for each domain and dirty value: the one stored first, even
+    where two jobs stored different ones side by side.
+    """
     try:
         mapping = spark.read.schema(schemas.MAPPING).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         mapping = spark.createDataFrame([], schemas.MAPPING)
-    mapping = mapping.select("domain", "dirty", "clean")
-    return mapping if domain is None else mapping.where(F.col("domain") == domain)
+    mapping = mapping if domain is None else mapping.where(F.col("domain") == domain)
+    first = F.min_by("clean", F.struct("stored_at", "clean"))
+    return mapping.groupBy("domain", "dirty").agg(first.alias("clean"))
 
 
 def append_mapping(new: DataFrame, path: str, domain: str) -> None:
-    """Store the pairs whose dirty value has no stored mapping yet; stored pairs always win."""
+    """Store the pairs whose dirty value has no stored mapping yet, one for each; stored pairs always win."""
     stored = read_mapping(new.sparkSession, path, domain)
-    fresh = only_new(new, stored).select(F.lit(domain).alias("domain"), "dirty", "clean")
-    fresh.write.mode("append").partitionBy("domain").parquet(path)
+    fresh = one_pair_each(only_new(new, stored))
+    dated = fresh.select(F.lit(domain).alias("domain"), "dirty", "clean", F.current_timestamp().alias("stored_at"))
+    dated.write.mode("append").partitionBy("domain").parquet(path)

@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a fresh temporary one only for a local session without it."""
@@ -26,7 +31,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/clearbook/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/clearbook/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside the block is deleted when it ends; for jobs whose output is written by then."""
+    paths: list[str] = []
+    token = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:

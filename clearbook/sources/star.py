@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearbook.functions.vocabulary import COMPANIES, REGIONS, SEGMENTS
+from clearbook.functions.vocabulary import REGIONS, SEGMENTS
 from clearbook.operators import dirt
 from clearbook.operators.measures import CUSTOMER, DAY, REGION, SEGMENT, measures_of, roll_up
 
@@ -74,34 +74,27 @@ def _picked(values: list[str], position: Column) -> Column:
     return F.try_element_at(F.split(F.lit("\n".join(values)), "\n"), (position + 1).cast("int"))
 
 
-def spread_out(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a table that comes in fewer splits than there are cores out over all cores.
-
-    Only a small table ever does; a large one stays where its splits are. The
-    keys should identify a row, so that the parts come out even.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def base_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per line item with the true company, region and segment behind its dirty texts.
+    """One row per line item with the true customer, region and segment behind its texts.
 
-    The true values follow from the keys: company and region from the
-    customer, segment from the part.
+    The customer's name follows from its key (``c_name`` is written that way,
+    which a test checks), so that it needs no join. Line items meet the orders in
+    a shuffled join, whose hot keys Spark can split; its plan is the same for a
+    file of one split and for thousands.
     """
-    # the text expressions built on these rows cost far more than moving a small table
     lines = table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice")
-    lines = spread_out(lines, *LINE_KEYS)
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", order_day().alias("order_day"))
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", order_day().alias("order_day")
+    )
+    name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .drop("o_orderkey")
         .withColumns(
             {
                 "transaction_id": transaction_id(),
-                "company": _picked(COMPANIES, F.col("o_custkey") % len(COMPANIES)),
-                "true_region": _picked(REGIONS, F.floor(F.col("o_custkey") / len(COMPANIES)) % len(REGIONS)),
+                "company": name,
+                "true_region": _picked(REGIONS, F.col("o_custkey") % len(REGIONS)),
                 "true_segment": _picked(SEGMENTS, F.col("l_partkey") % len(SEGMENTS)),
             }
         )
@@ -112,35 +105,30 @@ def _line_selector(bound: int, *weights: int) -> Column:
     return dirt.selector(bound, *zip(LINE_KEYS, weights))
 
 
-def dirty_name_column() -> Column:
-    # 8 % of the rows may draw the twelfth variant, a left-out letter
-    draws_typo = _line_selector(100, 3, 17, 7, 29) < 8
-    variants = dirt.NAME_VARIANTS
-    variant = F.when(draws_typo, _line_selector(variants + 1, 5, 3, 11, 7)).otherwise(
-        _line_selector(variants, 7, 13, 3, 5)
-    )
-    typo = F.col("l_partkey") % (F.length("company") - 2) + 2
-    return dirt.dirty_name(F.col("company"), variant, typo.cast("int"))
+def name_column() -> Column:
+    # a letter of the word before the number, from the second one on
+    position = (_line_selector(7, 2, 3, 5, 1) + 2).cast("int")
+    return dirt.written_name(F.col("company"), _line_selector(100, 31, 17, 7, 13), position)
 
 
-def dirty_region_column() -> Column:
-    return dirt.dirty_region(F.col("true_region"), _line_selector(30, 7, 1, 13, 11))
+def region_column() -> Column:
+    return dirt.written_region(F.col("true_region"), _line_selector(30, 7, 1, 13, 11))
 
 
-def dirty_segment_column() -> Column:
-    return dirt.dirty_segment(F.col("true_segment"), F.floor(_line_selector(180, 11, 3, 1, 7) / 6))
+def segment_column() -> Column:
+    return dirt.written_segment(F.col("true_segment"), F.floor(_line_selector(180, 11, 3, 1, 7) / 6))
 
 
-def dirty_date_column() -> Column:
-    return dirt.dirty_date(F.col("order_day"), _line_selector(5, 1, 2, 3, 4))
+def date_column() -> Column:
+    return dirt.written_date(F.col("order_day"), _line_selector(6, 1, 5, 3, 4))
 
 
-def dirty_revenue_column() -> Column:
-    return dirt.dirty_revenue(F.col("l_extendedprice"), _line_selector(100, 13, 5, 19, 23))
+def amount_column() -> Column:
+    return dirt.written_amount(F.col("l_extendedprice"), _line_selector(1000, 13, 57, 19, 23))
 
 
 def note_column() -> Column:
-    return dirt.note(_line_selector(10, 3, 7, 1, 9))
+    return dirt.written_note(F.col("o_orderpriority"), _line_selector(70, 3, 7, 1, 9))
 
 
 def dirty_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,13 +141,13 @@ def dirty_transactions(spark: SparkSession, folder: str) -> DataFrame:
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
         .select(
             "transaction_id",
-            dirty_name_column().alias("customer_name"),
-            dirty_region_column().alias("region"),
-            dirty_segment_column().alias("industry_segment"),
+            name_column().alias("customer_name"),
+            region_column().alias("region"),
+            segment_column().alias("industry_segment"),
             F.col("p_brand").alias("product_sku"),
-            dirty_date_column().alias("order_date"),
+            date_column().alias("order_date"),
             F.col("l_quantity").cast("long").cast("string").alias("quantity"),
-            dirty_revenue_column().alias("revenue_usd"),
+            amount_column().alias("revenue_usd"),
             F.col("s_name").alias("sales_rep"),
             note_column().alias("notes"),
         )
@@ -170,9 +158,9 @@ def dirty_texts(spark: SparkSession, folder: str) -> DataFrame:
     """The raw table without the columns that need the part and supplier joins."""
     return base_transactions(spark, folder).select(
         "transaction_id",
-        dirty_name_column().alias("customer_name"),
-        dirty_region_column().alias("region"),
-        dirty_segment_column().alias("industry_segment"),
-        dirty_date_column().alias("order_date"),
-        dirty_revenue_column().alias("revenue_usd"),
+        name_column().alias("customer_name"),
+        region_column().alias("region"),
+        segment_column().alias("industry_segment"),
+        date_column().alias("order_date"),
+        amount_column().alias("revenue_usd"),
     )

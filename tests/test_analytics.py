@@ -120,7 +120,7 @@ def test_analyzable_rows_and_their_counts(spark):
     assert analyzable(df).count() == 2
     assert analyzable(df, include_refunds=True).count() == 3
     assert exclusion_counts(df).first().asDict() == {
-        "rows": 4, "null_revenue": 1, "negative_revenue": 1, "analyzable": 2,
+        "rows": 4, "null_revenue": 1, "oversized_revenue": 0, "negative_revenue": 1, "analyzable": 2,
     }
     assert exclusion_counts(df, include_refunds=True).first().analyzable == 3
 

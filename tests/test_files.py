@@ -1,10 +1,11 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from clearbook import schemas
-from clearbook.operators import profile, quality, triage
+from clearbook.operators import measures, pareto, profile, quality, triage
 from clearbook.plans import analysis, cleaning, reporting
 from clearbook.operators.measures import to_measures
 from clearbook.sources import files, publication, staging
@@ -30,10 +31,112 @@ def test_raw_csv_round_trip_and_missing_tokens(spark, tmp_path):
     values = ['a,b', 'say "hi"', "two\nlines", "  blanks  ", "NA", "null", "None", "n/a", "", "nan", "Nancy"]
     rows = [(str(i), v, None, None, None, None, None, None, None, None) for i, v in enumerate(values)]
     files.write_csv(spark.createDataFrame(rows, schemas.RAW), str(tmp_path / "raw"))
-    found = files.read_raw_csv(spark, str(tmp_path / "raw")).collect()
+    found = files.read_raw_csv(spark, str(tmp_path / "raw"), multi_line=True).collect()
     by_id = {int(r.transaction_id): r.customer_name for r in found}
     assert [by_id[i] for i in range(len(values))] == values[:4] + [None] * 6 + ["Nancy"]
-    assert files.read_raw_csv(spark, str(tmp_path / "raw"), missing_tokens=[""]).where("customer_name = 'NA'").count() == 1
+    kept = files.read_raw_csv(spark, str(tmp_path / "raw"), missing_tokens=[""], multi_line=True)
+    assert kept.where("customer_name = 'NA'").count() == 1
+    # a quoted line break cuts a record in two: loud, also where few columns are asked for
+    for columns in (["transaction_id"], schemas.RAW_COLUMNS):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            files.read_raw_csv(spark, str(tmp_path / "raw")).select(columns).collect()
+
+
+def write_text(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text, encoding="utf-8")
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    header = list(reversed(schemas.RAW_COLUMNS)) + ["more"]
+    write_text(tmp_path / "raw", "a.csv", ",".join(header) + "\n" + ",".join(f"the {name}" for name in header) + "\n")
+    row = files.read_raw_csv(spark, str(tmp_path / "raw")).first()
+    assert row.asDict() == {name: f"the {name}" for name in schemas.RAW_COLUMNS}
+    write_text(tmp_path / "raw", "b.csv", ",".join(schemas.RAW_COLUMNS + ["more"]) + "\n" + ",".join("x" * 11) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_raw_csv(spark, str(tmp_path / "raw")).collect()
+
+
+def test_a_missing_csv_column_is_named(spark, tmp_path):
+    short = [name for name in schemas.RAW_COLUMNS if name != "region"]
+    write_text(tmp_path / "raw", "a.csv", ",".join(short) + "\n" + ",".join("x" for _ in short) + "\n")
+    with pytest.raises(ValueError, match="region"):
+        files.read_raw_csv(spark, str(tmp_path / "raw"))
+
+
+def test_clean_csv_values_that_are_none(spark, tmp_path):
+    names = schemas.CLEAN.fieldNames()
+    values = {"revenue_usd_clean": ["1.5", "NaN", "inf", "-Infinity", "x", ""], "order_date_clean": ["2024-01-02", "soon", "", "", "", ""]}
+    lines = [",".join(values.get(name, ["t"] * 6)[i] for name in names) for i in range(6)]
+    write_text(tmp_path / "clean", "a.csv", "\n".join([",".join(names), *lines]) + "\n")
+    rows = files.read_clean_csv(spark, str(tmp_path / "clean")).collect()
+    assert [r.revenue_usd_clean for r in rows] == [1.5] + [None] * 5
+    assert [r.order_date_clean for r in rows] == [dt.date(2024, 1, 2)] + [None] * 5
+    parquet = spark.createDataFrame(
+        [("c", "r", "s", dt.date(2024, 1, 1), float("nan"))],
+        "customer_name_clean string, region_clean string, industry_segment_clean string, order_date_clean date, "
+        "revenue_usd_clean double",
+    )
+    parquet.write.parquet(str(tmp_path / "parquet"))
+    assert files.read_clean(spark, str(tmp_path / "parquet")).first().revenue_usd_clean is None
+
+
+def staged_tables(spark):
+    root = Path(staging.shared_folder(spark).removeprefix("file:")) / "clearbook"
+    return {p.name for p in root.iterdir()} if root.exists() else set()
+
+
+def test_jobs_delete_what_they_staged(spark, tmp_path, eight_rows):
+    before = staged_tables(spark)
+    paths = [str(tmp_path / name) for name in ("clean", "report", "mapping")]
+    cleaning.run_cleaning(raw_rows(spark, RAW), *paths)
+    cleaning.run_cleaning(raw_rows(spark, RAW), *paths[:2])
+    rows = to_measures(eight_rows)
+    analysis.run_analysis(rows, rows, str(tmp_path / "results"))
+    assert staged_tables(spark) == before
+
+
+def test_resolvers_in_the_job(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def regions(batch):
+        calls.add(len(batch))
+        return {"NE": "Northeast", "Pacific": "The Pacific", "W": "West"}
+
+    def customers(batch):
+        calls.add(len(batch))
+        return {name: "Acme" for name in batch if name.lower().startswith("acme")}
+
+    arguments = (raw_rows(spark, RAW), *(str(tmp_path / name) for name in ("clean", "report", "mapping")))
+    resolvers = {"regions": regions, "customers": customers}
+    report = cleaning.run_cleaning(*arguments, resolvers=resolvers).first()
+    rows = files.read_clean(spark, str(tmp_path / "clean")).orderBy("transaction_id").collect()
+    # answers outside the vocabulary, and values without one, fall back to containment in order
+    assert [r.region_clean for r in rows] == ["Northeast", "Northeast", "Northeast", "Northeast", "West", "West"]
+    assert [r.customer_name_clean for r in rows] == ["Acme"] * 3 + ["Tidewater Chemical Co", "Tidewater Chemical C", "Tidewater Chemical Co"]
+    assert [r.industry_segment_clean for r in rows][2:4] == ["Mining", "Chemical Processing"]
+    assert report.method == "resolver: customers, regions" and calls.value == 9
+    cleaning.run_cleaning(*arguments, resolvers=resolvers)
+    assert calls.value == 9
+    with pytest.raises(ValueError, match="mapping_path"):
+        cleaning.run_cleaning(*arguments[:3], resolvers=resolvers)
+
+
+def test_odd_amounts_neither_stop_nor_distort_the_analysis(spark):
+    amounts = [10.0, 1e20, float("nan"), float("inf"), float("-inf"), None, -5.0, 1e11, 2e11]
+    rows = [(str(i), "c", "r", "s", dt.date(2024, 1, 1), a) for i, a in enumerate(amounts)]
+    clean = spark.createDataFrame(
+        rows, "transaction_id string, customer_name_clean string, region_clean string, industry_segment_clean string, "
+        "order_date_clean date, revenue_usd_clean double",
+    )
+    counts = measures.exclusion_counts(clean).first().asDict()
+    assert counts == {"rows": 9, "null_revenue": 4, "oversized_revenue": 2, "negative_revenue": 1, "analyzable": 2}
+    refunds = measures.exclusion_counts(clean, include_refunds=True).first()
+    assert (refunds.negative_revenue, refunds.analyzable) == (0, 3)
+    assert {r.transaction_id for r in measures.analyzable(clean).collect()} == {"0", "7"}
+    for frame in (clean, measures.analyzable(clean)):
+        row = pareto.customer_pareto(to_measures(frame)).first()
+        assert row.revenue == (1e11 + 5 if frame is clean else 1e11 + 10)
 
 
 def test_missing_files_are_named_with_a_hint(spark, tmp_path):
@@ -58,7 +161,7 @@ def test_staging_goes_to_the_shared_folder(spark):
 
 def test_cleaning_job(spark, tmp_path):
     out, report = str(tmp_path / "clean"), str(tmp_path / "report")
-    document = cleaning.run_cleaning(raw_rows(spark, RAW), out, report, str(tmp_path / "mapping")).first()
+    document = cleaning.run_cleaning(raw_rows(spark, RAW), out, report, str(tmp_path / "mapping"), ratio=2.0).first()
     clean = files.read_clean(spark, out).orderBy("transaction_id").collect()
     assert [r.customer_name_clean for r in clean] == ["Acme Industrial Corp"] * 3 + ["Tidewater Chemical Co"] * 3
     assert [r.region_clean for r in clean] == ["Northeast"] * 3 + ["West"] * 3
@@ -90,8 +193,8 @@ def test_blank_texts_stay_as_they_are(spark):
 def test_analysis_report_and_delivery(spark, tmp_path, eight_rows):
     results, log = str(tmp_path / "results"), str(tmp_path / "log")
     reports = str(tmp_path / "reports")
-    measures = to_measures(eight_rows)
-    analysis.run_analysis(measures, measures, results)
+    rows = to_measures(eight_rows)
+    analysis.run_analysis(rows, rows, results)
     document = files.read_results(spark, f"{results}/analysis_results").first()
     assert [r.customer_name_clean for r in document.top_customers] == ["A", "B", "C"]
     assert [r.region_clean for r in document.region_breakdown] == ["East", "West"]
@@ -109,6 +212,7 @@ def test_analysis_report_and_delivery(spark, tmp_path, eight_rows):
     assert [e.report_path for e in entries] == ["weekly_report_2024-01-23"] * 2
     catalog = publication.report_catalog(publication.report_files(spark, reports)).collect()
     assert {(r.year, r.report_date.isoformat()) for r in catalog} == {(2024, "2024-01-23")} and len(catalog) == 8
+    assert "customers_2024-01-23" in {r.name for r in catalog}
     assert all(r.size.endswith(" KB") and r.bytes > 0 for r in catalog)
 
 
@@ -120,7 +224,8 @@ def test_publication_keeps_other_dates(spark, tmp_path):
     # the newest date, not the last one published
     assert [(r.value, r.report_date) for r in publication.latest(spark, path).collect()] == [(2, dt.date(2024, 12, 31))]
     years = publication.catalog_by_year(publication.report_files(spark, str(tmp_path))).collect()
-    assert [(r.year, r.reports) for r in years] == [(2024, 2), (2023, 1)]
+    assert [(r.year, r.reports) for r in years] == [(2024, 2), (2023, 1), (None, 3)]
+    assert years[2].bytes == years[0].bytes + years[1].bytes
 
 
 def test_a_damaged_log_line_spoils_no_other(spark, tmp_path):

@@ -18,11 +18,13 @@ def dirty(spark):
 def test_lookup_falls_back_to_the_value(spark, dirty, with_counts, threshold):
     pairs = [("a", "A", 1000), ("b", "B", 1), ("7", "seven", 1000)]
     known = spark.createDataFrame(pairs, "dirty string, clean string, n long")
-    known = known if with_counts else known.drop("n")
+    counts = known.select("dirty", "n") if with_counts else None
+    # a repeated and a conflicting pair: the smallest clean value wins, and no row is doubled
+    known = known.drop("n").union(spark.createDataFrame([("a", "A"), ("b", "C")], "dirty string, clean string"))
     default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        found = mapping.apply_mapping(dirty, "v", known, "clean_v", spread_by="id").collect()
+        found = mapping.apply_mapping(dirty, "v", known, "clean_v", spread_by="id", counts=counts).collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
     # row 6 is spread by its id, which must not be looked up as a value
@@ -34,12 +36,30 @@ def test_lookup_falls_back_to_the_value(spark, dirty, with_counts, threshold):
 
 def test_only_hot_values_are_broadcast(spark):
     rows = spark.range(10).select(F.col("id"), F.col("id").cast("string").alias("v"))
-    known = spark.range(5000).select(
-        F.col("id").cast("string").alias("dirty"), F.lit("x").alias("clean"), F.lit(1).cast("long").alias("n")
-    )
-    hot = known.where(F.col("n") >= known.agg(F.sum("n")).scalar() * mapping.HOT_SHARE)
+    known = spark.range(5000).select(F.col("id").cast("string").alias("dirty"), F.lit("x").alias("clean"))
+    counts = known.select("dirty", F.lit(1).cast("long").alias("n"))
+    hot = counts.where(F.col("n") >= counts.agg(F.sum("n")).scalar() * mapping.HOT_SHARE)
     assert hot.count() == 0
-    assert mapping.apply_mapping(rows, "v", known, "c", "id").where("c = 'x'").count() == 10
+    assert mapping.apply_mapping(rows, "v", known, "c", "id", counts).where("c = 'x'").count() == 10
+
+
+def test_rows_without_a_spreading_id_are_spread_by_themselves(spark):
+    rows = spark.range(50).select(F.lit(None).cast("string").alias("id"), F.col("id").cast("string").alias("v"))
+    known = spark.createDataFrame([("1", "one")], "dirty string, clean string")
+    found = mapping.apply_mapping(rows, "v", known, "c", "id")
+    assert found.where("c = 'one'").count() == 1 and found.count() == 50
+
+
+def test_conflicting_appends_leave_one_pair(spark, tmp_path):
+    path = str(tmp_path / "mapping")
+    # two jobs that have both read the empty mapping
+    for clean, at in (("B", "2024-01-02"), ("A", "2024-01-03")):
+        pair = spark.createDataFrame([("regions", "x", clean)], "domain string, dirty string, clean string")
+        pair.withColumn("stored_at", F.lit(at).cast("timestamp")).write.mode("append").partitionBy("domain").parquet(path)
+    assert [(r.dirty, r.clean) for r in read_mapping(spark, path, "regions").collect()] == [("x", "B")]
+    twice = spark.createDataFrame([("y", "2"), ("y", "1"), ("x", "C")], "dirty string, clean string")
+    append_mapping(twice, path, "regions")
+    assert {tuple(r) for r in read_mapping(spark, path).collect()} == {("regions", "x", "B"), ("regions", "y", "1")}
 
 
 def test_unmapped_merge_and_vocabulary(spark, dirty):
@@ -67,7 +87,9 @@ def test_stored_mapping_grows_and_keeps_what_it_has(spark, tmp_path):
 
 def test_a_rerun_resolves_only_new_names(spark, tmp_path):
     path = str(tmp_path / "names")
-    first = spark.createDataFrame([("Acme Industrial Corp",), ("ACME INDUSTRIAL CORP",), ("Acme Industrial Corp",)], "customer_name string")
+    first = spark.createDataFrame(
+        [("Acme Industrial Corp",), ("ACME INDUSTRIAL CORP",), ("Acme Industrial Corp",)], "customer_name string"
+    )
     assert {r.clean for r in refresh_names(first, path).collect()} == {"Acme Industrial Corp"}
     files = sorted(p.name for p in (tmp_path / "names").rglob("*.parquet"))
     refresh_names(first, path)

@@ -1,9 +1,9 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from clearbook.functions.vocabulary import COMPANIES
 from clearbook.operators import names
 
 
@@ -20,19 +20,33 @@ def counted(spark, pairs):
     return spark.createDataFrame(list(pairs), "dirty string, n long")
 
 
-def spellings_of(name):
-    yield from {
-        name.upper(), name.lower(), name.replace("Corp", "Corporation"), name.replace("Inc", "Incorporated"),
-        name.replace("LLC", "L.L.C."), name.replace("Co", "Company"), f"  {name}  ", name.replace(" ", "  "),
-        name.replace("&", "and"), *(name[:i] + name[i + 1 :] for i in range(1, len(name))),
-    } - {name}
+TRUE_NAMES = ["Harbour Lights Trading Corp", "Blue Fern & Sons Inc", "Stone Mill Bakery", "Quartz Optics Group", "Delta 7 Freight"]
 
 
-def test_all_spellings_of_twenty_companies(spark):
-    truth = {s: name for name in COMPANIES for s in spellings_of(name)} | {name: name for name in COMPANIES}
-    found = names.canonical_names(counted(spark, ((s, 5 if s == t else 1) for s, t in truth.items()))).collect()
-    assert len(found) == len(truth) > 500
+def test_spellings_of_some_companies(spark):
+    truth = {}
+    for name in TRUE_NAMES:
+        written = {name, name.swapcase(), f" {name}\t", name.replace(" ", "   "), name.replace("&", "and"), name.replace(" ", "-")}
+        lost = {name[:i] + name[i + 1 :] for i, c in enumerate(name) if not c.isdigit()}
+        doubled = {name[:i] + "e" + name[i:] for i in range(2, len(name))}
+        truth |= {spelling: name for spelling in written | lost | doubled}
+    counts = [(s, 50 if s == t else 1) for s, t in truth.items()]
+    found = names.canonical_names(counted(spark, counts)).collect()
+    assert len(found) == len(truth) > 200
     assert {r.dirty: r.clean for r in found} == truth
+    assert {r.merged_by for r in found} == {"same", "spelling", "edit"}
+
+
+def test_frequent_near_equal_companies_stay_apart(spark):
+    pairs = [("Bartec Industries", 1000), ("Bartek Industries", 990), ("Cargo Air Lines", 500), ("Cargo Aid Lines", 500), ("Cargo Air Line", 2)]
+    found = {r.dirty: (r.clean, r.merged_by) for r in names.canonical_names(counted(spark, pairs)).collect()}
+    assert found == {
+        "Bartec Industries": ("Bartec Industries", "same"), "Bartek Industries": ("Bartek Industries", "same"),
+        "Cargo Air Lines": ("Cargo Air Lines", "same"), "Cargo Aid Lines": ("Cargo Aid Lines", "same"),
+        "Cargo Air Line": ("Cargo Air Lines", "edit"),
+    }
+    merged = names.canonical_names(counted(spark, pairs[:2]), ratio=1.0).collect()
+    assert {r.clean for r in merged} == {"Bartec Industries"}
 
 
 def test_names_that_differ_in_digits_stay_apart(spark):
@@ -44,28 +58,30 @@ def test_names_that_differ_in_digits_stay_apart(spark):
     }
 
 
-def test_short_names_are_not_matched_fuzzily(spark):
-    found = {r.dirty: r.clean for r in names.canonical_names(counted(spark, [("Abcde", 9), ("Abcd", 1)])).collect()}
-    assert found == {"Abcde": "Abcde", "Abcd": "Abcd"}
+def test_short_names_are_listed_and_not_matched_fuzzily(spark):
+    counts = counted(spark, [("Abcde", 9), ("Abcd", 1), (" ", 5), (None, 5)])
+    found = {r.dirty: (r.clean, r.merged_by) for r in names.canonical_names(counts).collect()}
+    assert found == {"Abcde": ("Abcde", "short"), "Abcd": ("Abcd", "short")}
+    found = {r.dirty: (r.clean, r.merged_by) for r in names.canonical_names(counts, min_length=4).collect()}
+    assert found == {"Abcde": ("Abcde", "same"), "Abcd": ("Abcde", "edit")}
 
 
-def test_chains_lead_to_one_head(spark):
-    chain = [("abcdefghij"[:n], 100 + n) for n in range(6, 11)]
-    links = names.nearest_names(spark.createDataFrame(chain, "key string, n long"))
-    assert {r.key: r.parent for r in links.collect()}["abcdef"] == "abcdefg"
-    heads = names.follow_to_heads(links)
-    assert {r.head for r in heads.collect()} == {"abcdefghij"}
-    found = names.canonical_names(counted(spark, chain)).collect()
-    assert {r.clean for r in found} == {"abcdefghij"}
+def test_nothing_is_merged_over_more_than_one_edit(spark):
+    chain = [("abcdefghij"[:n], 10**n) for n in range(6, 11)]
+    found = {r.key: r.parent for r in names.nearest_names(spark.createDataFrame(chain, "key string, n long")).collect()}
+    assert found == {**{key: key for key, _ in chain}, "abcdefghi": "abcdefghij"}
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_nearest_names_against_all_pairs(spark, separate_partitions, seed):
+@pytest.mark.parametrize("ratio", [1.0, 2.0])
+def test_nearest_names_against_all_pairs(spark, separate_partitions, seed, ratio):
     rng = random.Random(seed)
-    keys = {"".join(rng.choice("ab1") for _ in range(rng.randint(4, 8))): rng.randint(1, 4) for _ in range(250)}
-    found = names.nearest_names(spark.createDataFrame(list(keys.items()), "key string, n long"))
+    keys = {"".join(rng.choice("ab1") for _ in range(rng.randint(4, 8))): rng.randint(1, 9) for _ in range(250)}
+    known = {key for key in keys if rng.random() < 0.05}
+    rows = [(key, n, key in known) for key, n in keys.items()]
+    found = names.nearest_names(spark.createDataFrame(rows, "key string, n long, known boolean"), ratio=ratio)
     digits = lambda k: "".join(c for c in k if c.isdigit())
-    expected = {}
+    wish = {}
     for key in keys:
         near = [
             other
@@ -73,18 +89,34 @@ def test_nearest_names_against_all_pairs(spark, separate_partitions, seed):
             if other == key
             or (len(key) >= 6 and len(other) >= 6 and digits(key) == digits(other) and edit_distance(key, other) == 1)
         ]
-        expected[key] = min(near, key=lambda k: (-keys[k], k))
+        best = min(near, key=lambda k: (k not in known, -keys[k], k))
+        if best != key and key not in known and (best in known or keys[best] >= ratio * keys[key]):
+            wish[key] = best
+    expected = {key: wish[key] if key in wish and wish[key] not in wish else key for key in keys}
     assert {r.key: r.parent for r in found.collect()} == expected
 
 
 def test_known_names_attract_new_spellings(spark):
     known = spark.createDataFrame([("Acme Industrial Corp",)], "clean string")
-    found = names.canonical_names(counted(spark, [("Acme Industral Corp", 50), ("New Name Works", 1)]), known).collect()
+    counts = counted(spark, [("Acme Industral Corp", 10**13), ("New Name Works", 1)])
+    found = names.canonical_names(counts, known).collect()
     assert {r.dirty: r.clean for r in found} == {
         "Acme Industral Corp": "Acme Industrial Corp", "New Name Works": "New Name Works",
     }
 
 
-def test_pairs_are_never_joined(spark):
-    plan = names.nearest_names(spark.range(1).select(F.lit("abcdefgh").alias("key"), F.lit(1).alias("n")))
-    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+def test_very_long_names_take_linear_room(spark):
+    rng = random.Random(1)
+    long = ["".join(rng.choices("abcdefgh", k=20_000)) for _ in range(40)]
+    counts = [(name, 10) for name in long] + [(name[:777] + name[778:], 1) for name in long]
+    started = time.time()
+    found = names.canonical_names(counted(spark, counts))
+    assert found.where("merged_by = 'edit'").count() == 40
+    assert time.time() - started < 120
+
+
+def test_a_single_name(spark):
+    found = names.nearest_names(
+        spark.range(1).select(F.lit("abcdefgh").alias("key"), F.lit(1).cast("long").alias("n"))
+    )
+    assert found.count() == 1

@@ -1,8 +1,12 @@
+import re
+
 import pytest
 from conftest import SMALL
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from clearbook.plans import oracle, registry
+from clearbook.sources import star
 
 
 @pytest.fixture(scope="module")
@@ -11,14 +15,40 @@ def connection():
         yield opened
 
 
-def test_only_the_file_sizes_have_no_twin():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"report_catalog"}
+def test_every_query_of_the_library_has_a_twin():
+    assert set(registry.QUERIES) == set(oracle.ORACLES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_customer_names_follow_from_their_keys(spark):
+    customers = spark.read.parquet(f"{SMALL}/customer.parquet")
+    assert customers.where("c_name <> concat('Customer#', lpad(c_custkey, 9, '0'))").count() == 0
+
+
+def test_the_plan_does_not_depend_on_the_number_of_splits(spark, tmp_path):
+    def shape(folder):
+        plan = star.dirty_texts(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        return re.sub(r"#\d+L?|\[.*?\]|parquet.*", "", plan)
+
+    for name in ("lineitem", "orders"):
+        table = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        table.repartition(100).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert shape(SMALL) == shape(str(tmp_path))
+
+
+def test_cheap_quality_checks(spark):
+    """Line items and orders alone, joined once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.dq_checks(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.split("Initial Plan")[0].count("SortMergeJoin") == 1 and "p_partkey" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(oracle.ORACLES))
 def test_query_equals_its_sql_twin(spark, connection, name):
-    rows, difference = compare(entry.queries()[name](spark, SMALL), connection, entry.oracle_sql()[name])
+    rows, difference = compare(registry.QUERIES[name](spark, SMALL), connection, oracle.ORACLES[name])
     assert difference is None
     assert rows > 0
 
