@@ -209,10 +209,9 @@ UNION ALL SELECT 5, 'REVENUE CONCENTRATION', pareto_revenue_pct || '% of revenue
 UNION ALL SELECT 6, 'AVG WEEKLY REVENUE',
        '$' || format('{{:,}}', CAST(round_even(avg_weekly_revenue, 0) AS BIGINT)) FROM facts""",
     takeaway=f"""WITH {_PARETO}, {_PARETO_SUMMARY}
-SELECT 'The top ' || pareto_customers || ' customer(s) (' || pareto_customer_pct || '% of all customers) generate '
-  || pareto_revenue_pct || '% of total revenue. The #1 customer alone, ' || top_1_customer || ', represents '
-  || printf('%.1f', top_1_revenue_pct) || '% of revenue -- indicating significant concentration risk '
-  || 'and a clear priority list for account management.' AS takeaway FROM pareto_summary""",
+SELECT pareto_customers || ' customer(s), ' || pareto_customer_pct || ' % of them all, bring ' || pareto_revenue_pct
+  || ' % of the revenue; ' || top_1_customer || ' alone brings ' || printf('%.1f', top_1_revenue_pct)
+  || ' % and is the account to look after first.' AS takeaway FROM pareto_summary""",
     report_customers=f"""WITH {_PARETO}
 SELECT rank, customer_name_clean, revenue, transactions, avg_order_value, pct_of_total / 100 AS share,
        cumulative_pct / 100 AS cumulative_share, is_pareto_80 AS is_vip FROM ({_TOP})""",
