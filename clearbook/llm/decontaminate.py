@@ -6,8 +6,8 @@ ignored ones. The masks below are lossless for their purpose: any 20 aligned
 tokens with at least 16 equal ones share a seed of some mask (a test goes
 through all patterns of up to four substitutions).
 
-Documents emit only seeds that may occur in the benchmark, told by a bitmap of
-fixed size, and the tokens around them. These seeds are joined with those of the
+Documents emit only seeds that may occur in the benchmark, told by a Bloom
+filter of fixed size, and the tokens around them. These seeds are joined with those of the
 benchmark, and every alignment that a shared seed proposes is verified on the
 tokens themselves. What is shuffled grows with the overlaps, not with the corpus.
 """
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.llm.common import arrow_schema, letter_words, text_slices, unused_name, word_hashes
@@ -30,6 +30,7 @@ SHARE = 0.8  # of them that have to be equal
 MIN_ITEM = 8  # shorter benchmark items would match ordinary prose and are not looked for
 
 SLOT_BITS = 24  # the bitmap of benchmark seeds has 2 ** SLOT_BITS bits (2 MB), whatever the benchmark
+PROBES = 2  # bits that a seed sets and is looked up by
 
 _HITS = "key long, region int, start int, tokens binary, hits array<struct<pos:int,seed:long>>"
 _CHECKED = "key long, item long, begin int, size int, equal int"
@@ -109,10 +110,12 @@ def _document_rows(masks: list[str], bitmap: bytes):
                 found, spans, seeds = [], [], []
                 for number, mask in enumerate(masks):
                     at, seed = seeds_of(hashes, rows, mask, number)
-                    may = there[seed >> np.uint64(64 - SLOT_BITS)]
-                    found.append(at[may])
-                    spans.append(np.full(int(may.sum()), len(mask)))
-                    seeds.append(seed[may])
+                    for probe in range(PROBES):
+                        may = there[(seed << np.uint64(SLOT_BITS * probe)) >> np.uint64(64 - SLOT_BITS)]
+                        at, seed = at[may], seed[may]
+                    found.append(at)
+                    spans.append(np.full(len(at), len(mask)))
+                    seeds.append(seed)
                 at, span, seed = np.concatenate(found), np.concatenate(spans), np.concatenate(seeds)
                 if not len(at):
                     continue
@@ -175,11 +178,14 @@ def _verifier():
 
 
 def _slots(seeds: DataFrame) -> bytes:
-    """A bitmap of the leading bits of all seeds, put together from at most 2 ** (SLOT_BITS - 15) pieces."""
-    slot = F.shiftrightunsigned(F.col("seed"), 64 - SLOT_BITS)
+    """A Bloom filter of all seeds, put together from at most 2 ** (SLOT_BITS - 15) pieces."""
+    slots = [
+        F.shiftrightunsigned(F.shiftleft("seed", SLOT_BITS * probe), 64 - SLOT_BITS) for probe in range(PROBES)
+    ]
     pieces = (
-        seeds.groupBy(F.shiftright(slot, 15).cast("int").alias("piece"))
-        .agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(32767))).alias("bits"))
+        seeds.select(F.explode(F.array(*slots)).alias("slot"))
+        .groupBy(F.shiftright("slot", 15).cast("int").alias("piece"))
+        .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(32767))).alias("bits"))
         .collect()
     )
     bitmap = bytearray(1 << (SLOT_BITS - 3))
@@ -221,9 +227,8 @@ def overlaps(
     one_each = named.join(classes.select("item"), "item", "left_semi").groupBy("item").agg(F.min("text").alias("text"))
     seeds = stage(one_each.mapInArrow(_item_rows(masks), "item long, place int, seed long"), "seeds")
 
-    key = unused_name("key", [])
     docs = documents.select(
-        F.monotonically_increasing_id().alias(key),
+        F.monotonically_increasing_id().alias("key"),
         F.col(f"`{id_column}`").alias("id"),
         F.col(f"`{text_column}`").cast("string").alias("text"),
     )
@@ -282,12 +287,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_column: str = "d
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents that overlap with no benchmark item, all columns as they are."""
+    bad_id, bad_digest = (unused_name(name, documents.columns) for name in ("_bad_id", "_bad_digest"))
     bad = contaminated(documents, benchmark, id_column, text_column=text_column).select(
-        F.col(id_column).alias("_bad_id"), F.col("digest").alias("_bad_digest")
+        F.col(f"`{id_column}`").alias(bad_id), F.col("digest").alias(bad_digest)
     )
-    bad = stage(bad, "contaminated")
-    return documents.join(bad, _same(F.col(f"`{id_column}`"), F.col(f"`{text_column}`")), "left_anti")
-
-
-def _same(identity: Column, text: Column) -> Column:
-    return identity.eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text.cast("string")) == F.col("_bad_digest"))
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col(bad_id)) & (
+        F.xxhash64(F.col(f"`{text_column}`").cast("string")) == F.col(bad_digest)
+    )
+    return documents.join(stage(bad, "contaminated"), same, "left_anti")
