@@ -501,9 +501,11 @@ FROM lineitem""",
     load_clean_rows=f"""WITH {_BASE}, {_NAMES} SELECT transaction_id, clean AS customer_name_clean,
   true_segment AS industry_segment_clean, clean_revenue AS revenue_usd_clean
 FROM dirty JOIN names ON customer_name = names.dirty WHERE {_COUNTABLE}""",
-    cleaned_pareto=f"""WITH {_BASE}, {_NAMES}, tx AS (
+    # names are clustered among the rows that the analysis uses
+    cleaned_pareto=f"""WITH {_BASE}, used AS (SELECT * FROM dirty WHERE {_COUNTABLE}),
+{_NAMES.replace("FROM dirty", "FROM used")}, tx AS (
   SELECT transaction_id, clean AS customer_name_clean, CAST(clean_revenue AS DECIMAL(18,2)) AS amount
-  FROM dirty JOIN names ON customer_name = names.dirty WHERE {_COUNTABLE}
+  FROM used JOIN names ON customer_name = names.dirty
 ), {_PARETO_OVER_TX} SELECT * FROM pareto""",
     dq_checks=f"""WITH {_BASE}, metrics AS (
   SELECT count(*) AS n, (SELECT count(*) FROM lineitem) AS expected, count(DISTINCT customer_name) AS customers,
