@@ -21,6 +21,11 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(has_text(value)).groupBy(value.alias("dirty")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def sorted_values(df: DataFrame, column: str) -> DataFrame:
+    """The same in the order of the values, as a resolver is best asked: spellings of one name come together."""
+    return distinct_values(df, column).orderBy("dirty")
+
+
 def one_pair_each(mapping: DataFrame) -> DataFrame:
     """(dirty, clean) with one row per dirty value, the smallest clean one; null values are left out."""
     pairs = mapping.where(F.col("dirty").isNotNull() & F.col("clean").isNotNull())

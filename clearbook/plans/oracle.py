@@ -443,6 +443,8 @@ ORACLES.update(
     dirty_triples=f"""WITH {_BASE} SELECT DISTINCT customer_name AS dirty_customer, region AS dirty_region,
   industry_segment AS dirty_segment FROM dirty""",
     distinct_dirty=f"WITH {_BASE} SELECT region AS dirty, CAST(count(*) AS BIGINT) AS n FROM dirty GROUP BY 1",
+    sorted_dirty=f"""WITH {_BASE} SELECT industry_segment AS dirty, CAST(count(*) AS BIGINT) AS n FROM dirty
+GROUP BY 1 ORDER BY 1""",
     parse_dates=f"""WITH {_BASE} SELECT transaction_id, order_date, clean_day AS order_date_clean, is_ambiguous
 FROM dirty""",
     parse_revenue=f"WITH {_BASE} SELECT transaction_id, revenue_usd, clean_revenue AS revenue_usd_clean FROM dirty",

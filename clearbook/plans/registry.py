@@ -212,6 +212,11 @@ def distinct_dirty(spark, folder):
     return mapping.distinct_values(star.dirty_texts(spark, folder), "region")
 
 
+@query
+def sorted_dirty(spark, folder):
+    return mapping.sorted_values(star.dirty_texts(spark, folder), "industry_segment")
+
+
 # --- scalar parsing ---------------------------------------------------------
 
 

@@ -62,6 +62,10 @@ def test_conflicting_appends_leave_one_pair(spark, tmp_path):
     assert {tuple(r) for r in read_mapping(spark, path).collect()} == {("regions", "x", "B"), ("regions", "y", "1")}
 
 
+def test_values_in_order(spark, dirty):
+    assert [(r.dirty, r.n) for r in mapping.sorted_values(dirty, "v").collect()] == [("7", 1), ("a", 2), ("b", 1), ("c", 1)]
+
+
 def test_unmapped_merge_and_vocabulary(spark, dirty):
     stored = spark.createDataFrame([("a", "A")], "dirty string, clean string")
     assert {(r.dirty, r.n) for r in mapping.unmapped_values(dirty, "v", stored).collect()} == {
