@@ -30,7 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from clearbook.llm.common import arrow_schema, binary_array, bytes_of, ragged, text_bytes, text_slices, unused_name
+from clearbook.llm.common import (
+    arrow_schema,
+    binary_array,
+    bytes_of,
+    ragged,
+    text_bytes,
+    text_slices,
+    tidy,
+    unused_name,
+)
 
 BLOCK_TOKENS = 4_000_000
 
@@ -288,19 +297,19 @@ def encode(
 
     word_schema = "block long, seq int, word binary"
     words = docs.select(part, f"`{text_column}`").mapInArrow(
-        _cut_blocks(WORD, text_column, part, pattern, block_tokens, arrow_schema(word_schema)), word_schema
+        tidy(_cut_blocks(WORD, text_column, part, pattern, block_tokens, arrow_schema(word_schema))), word_schema
     )
     answers = (
         words.repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encode_sorted(table, pattern), "block long, payload binary, size int")
+        .mapInArrow(tidy(_encode_sorted(table, pattern)), "block long, payload binary, size int")
     )
 
     text_schema = StructType(
         [*StructType.fromDDL("block long, seq int, payload binary, size int"), StructField("carried", kept)]
     )
     texts = docs.mapInArrow(
-        _cut_blocks(TEXT, text_column, part, pattern, block_tokens, arrow_schema(text_schema)), text_schema
+        tidy(_cut_blocks(TEXT, text_column, part, pattern, block_tokens, arrow_schema(text_schema))), text_schema
     )
     nothing = F.lit(None).cast(kept)
     rows = answers.withColumns(
@@ -310,7 +319,7 @@ def encode(
     return (
         rows.repartition("block")
         .sortWithinPartitions("block", "kind", "seq")
-        .mapInArrow(_assemble(arrow_schema(out)), out)
+        .mapInArrow(tidy(_assemble(arrow_schema(out))), out)
     )
 
 
@@ -341,7 +350,7 @@ def decode(
                 decoded = binary_array(data, at).cast(pa.binary())
                 yield pa.record_batch([*rows.columns, decoded], schema=arrow)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(tidy(run), schema)
 
 
 def digests(decoded: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -1,13 +1,15 @@
 """What the operators of this package share: texts as bytes, words as codes, batches of bounded size.
 
 Python workers get Arrow batches of thousands of rows. The helpers here cut
-them into slices of a few megabytes of text, so that the memory of a worker
-does not depend on how long the texts of a batch happen to be.
+them into slices of some megabytes of text, so that the memory of a worker does
+not depend on how long the texts of a batch happen to be, and give memory back
+between batches: Spark keeps its workers for later tasks of other operators.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 # Letters, digits and all bytes of characters beyond ASCII.
 _IN_WORD = np.ones(256, dtype=bool)
@@ -33,6 +35,30 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def _give_back() -> None:
+    """Return free memory to the system, where the C library knows how."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The task, giving memory back after each batch and at its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def one_by_one() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                _give_back()
+
+        yield from task(one_by_one())
+        _give_back()
+
+    return run
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

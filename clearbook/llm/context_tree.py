@@ -35,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from clearbook.llm.common import LOWER, arrow_schema, pack, text_bytes, text_slices, unpack, words_in
+from clearbook.llm.common import LOWER, arrow_schema, pack, text_bytes, text_slices, tidy, unpack, words_in
 from clearbook.sources.staging import stage
 
 DEPTH = 5
@@ -293,7 +293,7 @@ def probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     counts = counts.withColumn("suffix", _suffix(F.col("gram"), top))
     node_type = "key long, zeros double, ones double, weighted double"
     nodes = stage(
-        counts.repartition("suffix").sortWithinPartitions("suffix").mapInArrow(_upwards(depth, top), node_type), "nodes"
+        counts.repartition("suffix").sortWithinPartitions("suffix").mapInArrow(tidy(_upwards(depth, top)), node_type), "nodes"
     )
     above = nodes.select("key", F.lit(0.0).alias("mass"), F.lit(1.0).alias("rest"))
     level, levels = nodes, []
@@ -303,7 +303,7 @@ def probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         summed = level.groupBy(key.alias("key")).agg(
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below")
         )
-        level = stage(summed.mapInArrow(_weighed, f"{node_type}, own double, probability double"), "nodes")
+        level = stage(summed.mapInArrow(tidy(_weighed), f"{node_type}, own double, probability double"), "nodes")
         levels.append((size, level))
     for size, level in reversed(levels):
         node = F.col("key").bitwiseAND(F.lit(0xFF))
@@ -327,7 +327,7 @@ def probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         )
     )
     ordered = rows.repartition("suffix").sortWithinPartitions("suffix")
-    return ordered.mapInArrow(_downwards(depth, top), "gram long, logp double")
+    return ordered.mapInArrow(tidy(_downwards(depth, top)), "gram long, logp double")
 
 
 def _pack_answers(kind: int):
@@ -478,7 +478,7 @@ def score(
         F.col(f"`{text_column}`").cast("string").alias("text"),
         F.coalesce(train, F.lit(False)).alias("train"),
     )
-    asked = stage(docs.drop("id").mapInArrow(_list_blocks(depth, block_bytes), _ASKED), "asked", "kind")
+    asked = stage(docs.drop("id").mapInArrow(tidy(_list_blocks(depth, block_bytes)), _ASKED), "asked", "kind")
 
     per_word = W.partitionBy("word")  # a row for each block that has the word
     words = asked.where(F.col("kind") == WORDS).select(
@@ -487,7 +487,7 @@ def score(
         F.sum("n").over(per_word).alias("value"),
         (F.col("block") == F.min("block").over(per_word)).alias("first"),
     )
-    word_answers = stage(words.mapInArrow(_pack_answers(WORDS), _ANSWER), "word-counts")
+    word_answers = stage(words.mapInArrow(tidy(_pack_answers(WORDS)), _ANSWER), "word-counts")
     totals = [unpack(r.payload, 2) for r in word_answers.where("block = -1").collect()]  # one row for each task
     train_words, train_tokens = (int(sum(t[i] for t in totals)) for i in (0, 1))
 
@@ -495,12 +495,12 @@ def score(
     counts = stage(pairs.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     model = probabilities(counts, depth)
     found = pairs.drop("n").join(model, "gram").select("block", F.col("gram").alias("place"), F.col("logp").alias("value"))
-    gram_answers = found.mapInArrow(_pack_answers(GRAMS), _ANSWER)
+    gram_answers = found.mapInArrow(tidy(_pack_answers(GRAMS)), _ANSWER)
 
     text_schema = StructType(
         [*StructType.fromDDL("block long, seq long").fields, docs.schema["id"], docs.schema["text"]]
     )
-    texts = docs.mapInArrow(_mark_blocks(block_bytes, arrow_schema(text_schema)), text_schema)
+    texts = docs.mapInArrow(tidy(_mark_blocks(block_bytes, arrow_schema(text_schema))), text_schema)
     id_type = docs.schema["id"].dataType
     answers = word_answers.where("block >= 0").unionByName(gram_answers).withColumns(
         {"seq": F.lit(0).cast("long"), "id": F.lit(None).cast(id_type), "text": F.lit(None).cast("string")}
@@ -521,6 +521,6 @@ def score(
     scored = (
         rows.repartition("block")
         .sortWithinPartitions("block", "kind", "seq")
-        .mapInArrow(_score(arrow_schema(out), depth, train_tokens, train_words), out)
+        .mapInArrow(tidy(_score(arrow_schema(out), depth, train_tokens, train_words)), out)
     )
     return scored.withColumn("train_tokens", F.lit(train_tokens).cast("long")).withColumnRenamed("id", id_column)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.llm.common import arrow_schema, letter_words, text_slices, unused_name, word_hashes
+from clearbook.llm.common import arrow_schema, letter_words, text_slices, tidy, unused_name, word_hashes
 from clearbook.sources.staging import stage
 
 MASKS = ("1101111", "1100010111", "1111011")
@@ -216,7 +216,7 @@ def overlaps(
     )
     tokens = "item long, size int, tokens binary"
     classes = stage(
-        named.mapInArrow(_item_rows(None), tokens)
+        named.mapInArrow(tidy(_item_rows(None)), tokens)
         .where(F.col("size") >= MIN_ITEM)
         .groupBy("tokens", "size")
         .agg(F.min("item").alias("item")),
@@ -225,7 +225,7 @@ def overlaps(
     lengths = [row[0] for row in classes.where(F.col("size") < WINDOW).select("size").distinct().collect()]
     masks = all_masks(lengths)  # at most WINDOW - MIN_ITEM more
     one_each = named.join(classes.select("item"), "item", "left_semi").groupBy("item").agg(F.min("text").alias("text"))
-    seeds = stage(one_each.mapInArrow(_item_rows(masks), "item long, place int, seed long"), "seeds")
+    seeds = stage(one_each.mapInArrow(tidy(_item_rows(masks)), "item long, place int, seed long"), "seeds")
 
     docs = documents.select(
         F.monotonically_increasing_id().alias("key"),
@@ -244,7 +244,7 @@ def overlaps(
         proposed.join(regions.select("key", "region", "start", "tokens"), ["key", "region"])
         .join(classes.select("item", F.col("tokens").alias("item_tokens")), "item")
         .select("key", "item", "offset", "start", "tokens", "item_tokens")
-        .mapInArrow(_verifier(), _CHECKED)
+        .mapInArrow(tidy(_verifier()), _CHECKED)
         .groupBy("key", "item")
         .agg(F.min_by(F.struct("begin", "size", "equal"), F.struct(-F.col("equal") / F.col("size"), "begin")).alias("best"))
     )
@@ -266,7 +266,7 @@ def _with_ids(docs: DataFrame, masks: list[str], bitmap: bytes) -> DataFrame:
                 extra = [batch.column("id").take(at), batch.column("digest").take(at)]
                 yield pa.record_batch([*rows.columns, *extra], names=[*rows.schema.names, "id", "digest"])
 
-    return docs.withColumn("digest", F.xxhash64("text")).mapInArrow(run, f"{_HITS}, id {schema}, digest long")
+    return docs.withColumn("digest", F.xxhash64("text")).mapInArrow(tidy(run), f"{_HITS}, id {schema}, digest long")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **columns: str) -> DataFrame:

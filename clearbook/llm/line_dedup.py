@@ -19,7 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clearbook.llm.common import IS_WHITE, arrow_schema, cased_words, text_bytes, text_slices, unused_name, word_hashes
+from clearbook.llm.common import (
+    IS_WHITE,
+    arrow_schema,
+    cased_words,
+    text_bytes,
+    text_slices,
+    tidy,
+    unused_name,
+    word_hashes,
+)
 from clearbook.sources.staging import stage
 
 MIN_WORDS = 6  # shorter units repeat by chance and stay
@@ -106,7 +115,7 @@ def units(
                 values = [pa.array(v, arrow.field(i + 2).type) for i, v in enumerate(_narrow(found))]
                 yield pa.record_batch([part.column("id").take(at), part.column("digest").take(at), *values], schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def _narrow(found: list[np.ndarray]) -> list[np.ndarray]:

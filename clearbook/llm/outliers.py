@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clearbook.llm.common import arrow_schema, binary_array, text_bytes, text_slices, unused_name, words_in
+from clearbook.llm.common import arrow_schema, binary_array, text_bytes, text_slices, tidy, unused_name, words_in
 from clearbook.sources.staging import stage
 
 MIN_WORDS = 50
@@ -142,7 +142,7 @@ def statistics(documents: DataFrame, text_column: str = "text") -> DataFrame:
                 found = [pa.array(x.astype(np.int64)) for x in statistics_of(rows.column(text_column))]
                 yield pa.record_batch([*rows.columns[:-1], *found], schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def base_failed() -> Column:

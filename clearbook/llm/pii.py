@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clearbook.llm.common import arrow_schema, unused_name
+from clearbook.llm.common import arrow_schema, tidy, unused_name
 from clearbook.sources.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -265,7 +265,7 @@ def train(
                 yield pa.record_batch([[list(map(float, f)) for f, _ in found], [y for _, y in found]], schema=schema)
 
     examples = sample.select(F.col(f"`{text_column}`").cast("string").alias("text"))
-    rows = stage(examples.mapInArrow(run, "features array<double>, label int"), "examples")
+    rows = stage(examples.mapInArrow(tidy(run), "features array<double>, label int"), "examples")
     rows = rows.withColumn("held_out", F.pmod(F.xxhash64("features"), F.lit(4)) == 0)
     fitted = rows.where("NOT held_out").groupBy("label").count().collect()
     if len(fitted) < 2 or min(r["count"] for r in fitted) < LEAST_EXAMPLES:
@@ -331,7 +331,7 @@ def find(documents: DataFrame, trees: Trees | None, text_column: str = "text", s
                 found.append([dict(zip(names, s, strict=True)) for s in spans_of(text, trees)] if hit else [])
             yield pa.record_batch([*batch.columns, pa.array(found, arrow.field(spans_column).type)], schema=arrow)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def redact(found: DataFrame, text_column: str = "text", spans_column: str = "spans") -> DataFrame:
@@ -358,7 +358,7 @@ def redact(found: DataFrame, text_column: str = "text", spans_column: str = "spa
             columns[place] = pa.array(texts, arrow.field(place).type)
             yield pa.record_batch(columns, schema=arrow)
 
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(tidy(run), schema)
 
 
 def digests(found: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -35,6 +35,7 @@ from clearbook.llm.common import (
     arrow_schema,
     text_bytes,
     text_slices,
+    tidy,
     unused_name,
     words_in,
 )
@@ -100,7 +101,7 @@ def with_fingerprints(
                 found = fingerprints_of(rows.column(text_column), shingle).view(np.int64)
                 yield pa.record_batch([*rows.columns[:-1], pa.array(found)], schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def _signed(number: int) -> int:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from clearbook.llm.common import arrow_schema, letter_words, text_slices, unused_name, word_hashes
+from clearbook.llm.common import arrow_schema, letter_words, text_slices, tidy, unused_name, word_hashes
 
 SAMPLE_ROWS = 20_000  # labelled documents that training reads, about
 FEATURE_BITS = 20  # weights number 2 ** FEATURE_BITS at most
@@ -133,7 +133,7 @@ def train(
         rows.repartition(1)
         .sortWithinPartitions("order", "id", F.xxhash64("text"))
         .select("text", "label")
-        .mapInArrow(_train, "feature long, weight double")
+        .mapInArrow(tidy(_train), "feature long, weight double")
     )
     return [(row.feature, row.weight) for row in learned.collect()]
 
@@ -161,7 +161,7 @@ def score(
                 sums = np.bincount(rows, weights=table[features], minlength=part.num_rows) + table[-1]
                 yield pa.record_batch([*part.columns, pa.array(_sigmoid(sums))], schema=arrow)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def toxicity(
