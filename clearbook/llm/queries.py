@@ -82,8 +82,8 @@ def op10_token_files(spark, folder):
         vocabulary = file.read()
     path = fresh_path(spark, "tokens")
     token_files.write(token_files.tokenize(documents(spark, folder).select("doc_id", "text"), vocabulary, end_id=2), path)
-    rows = token_files.checksums(token_files.read(spark, path))
-    return token_files.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    rows = token_files.with_starts(token_files.read(spark, path))
+    return token_files.checksums(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query

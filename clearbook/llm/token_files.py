@@ -17,19 +17,21 @@ stream of all ids is that and the total of all shards before its own.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from clearbook.llm.common import arrow_schema, ragged, text_bytes, text_slices, words_in
+from clearbook.llm.common import LOWER, arrow_schema, binary_array, ragged, text_bytes, text_slices, tidy, unused_name
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 1 << 20
@@ -37,29 +39,108 @@ PAGE_BYTES = 1 << 20
 IDS, SIZE, SHARD, BEFORE = "ids", "n_tokens", "shard", "before"
 
 
-def _encode_words(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, number of ids of each): every distinct word of the texts is encoded once."""
-    words = words_in(*text_bytes(texts))
-    codes, distinct = words.coded()
-    if not len(codes):
-        return np.empty(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
-    encoded = tokenizer.encode_batch(distinct.cast(pa.large_string()).to_pylist(), add_special_tokens=False)
-    lengths = np.array([len(e) for e in encoded], dtype=np.int64)
-    flat = np.array([i for e in encoded for i in e.ids], dtype=np.int32)
-    ends = np.concatenate([[0], np.cumsum(lengths[codes])])[words.first]
-    return ragged(lengths, flat, codes), np.diff(ends)
+# A text is cut into pieces wherever the tokenizer's own pattern cuts for certain: around white space, and between an
+# ASCII letter and ASCII punctuation. An apostrophe may join letters, and other characters are left to the tokenizer.
+_WHITE, _LETTER, _MARK, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, dtype=np.uint8)
+_CLASS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = _WHITE
+_CLASS[ord("a") : ord("z") + 1] = _LETTER
+_CLASS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = _MARK
+_CUTS = np.zeros(16, dtype=bool)
+for _left in range(4):
+    for _right in range(4):
+        _CUTS[4 * _left + _right] = (_left == _WHITE) != (_right == _WHITE) or {_left, _right} == {_LETTER, _MARK}
+
+# Words of small Latin letters are what the normaliser and the pattern leave as they are: the model alone encodes them.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+CACHED_PIECES = 400_000  # that a Python worker remembers; the frequent ones come first, others are encoded again
+
+
+def _byte_characters() -> list[str]:
+    """The characters that byte-level vocabularies write bytes as: printable ones as they are, others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (chr(256 + n) for n in range(256))
+    return [chr(b) if b in shown else next(others) for b in range(256)]
+
+
+class _Pieces:
+    """The ids of the pieces that a worker has met; a remembered piece is encoded once."""
+
+    def __init__(self, vocabulary: str) -> None:
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.characters = _byte_characters()
+        self.numbers: dict[bytes, int] = {}
+        self.lengths = np.empty(0, dtype=np.int64)
+        self.ids = np.empty(0, dtype=np.int32)
+
+    def _encoded(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        """(number of ids of each piece, all ids)."""
+        tokenize, characters = self.tokenizer.model.tokenize, self.characters
+        lengths, ids = [], []
+        for piece in pieces:
+            text = piece.decode()
+            if _PLAIN.fullmatch(text):
+                own = [t.id for t in tokenize(text if len(text) == len(piece) else "".join([characters[b] for b in piece]))]
+            else:
+                own = self.tokenizer.encode(text, add_special_tokens=False).ids
+            lengths.append(len(own))
+            ids.extend(own)
+        return lengths, ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        data, offsets = text_bytes(texts)
+        data = LOWER[data]
+        kinds = _CLASS[data]
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        if len(data):
+            cut[1:-1] = _CUTS[4 * kinds[:-1] + kinds[1:]]
+            cut[offsets[offsets < len(data)]] = True
+        bounds = np.append(np.flatnonzero(cut[:-1]), len(data))
+        if len(bounds) < 2:
+            return np.empty(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
+        filled = kinds[bounds[:-1]] != _WHITE
+        coded = binary_array(data, bounds).dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)[filled]
+        used = np.unique(codes)
+        pieces = coded.dictionary.take(pa.array(used)).to_pylist()
+        known = self.numbers
+        new = [p for p in pieces if p not in known]
+        places = {p: len(known) + n for n, p in enumerate(new)}
+        lengths, ids = self._encoded(new)
+        all_lengths = np.concatenate([self.lengths, np.array(lengths, dtype=np.int64)])
+        all_ids = np.concatenate([self.ids, np.array(ids, dtype=np.int32)])
+        number = np.zeros(len(coded.dictionary), dtype=np.int64)
+        number[used] = [known[p] if p in known else places[p] for p in pieces]
+        if len(known) + len(new) <= CACHED_PIECES:
+            known.update(places)
+            self.lengths, self.ids = all_lengths, all_ids
+        picks = number[codes]
+        ends = np.concatenate([[0], np.cumsum(all_lengths[picks])])
+        return ragged(all_lengths, all_ids, picks), np.diff(ends[np.searchsorted(bounds[:-1][filled], offsets)])
+
+
+_REMEMBERED: dict[str, _Pieces] = {}  # of this Python worker, by vocabulary
+
+
+def _pieces_of(vocabulary: str) -> _Pieces:
+    key = xxhash.xxh64_hexdigest(vocabulary.encode())
+    if key not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[key] = _Pieces(vocabulary)
+    return _REMEMBERED[key]
 
 
 def _tokenize(schema: pa.Schema, text_column: str, vocabulary: str, end_id: int):
     """Task over documents: the ids in place of the text, the end id behind those of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_str(vocabulary)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        done = 0
+        pieces, done = _pieces_of(vocabulary), 0
         for batch in batches:
             for rows in text_slices(batch, text_column):
-                ids, counts = _encode_words(tokenizer, rows.column(text_column))
+                ids, counts = pieces.encode(rows.column(text_column))
                 ends = np.cumsum(counts)
                 whole = np.insert(ids, ends, end_id).astype(np.int32)
                 offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
@@ -81,8 +162,9 @@ def tokenize(
 ) -> DataFrame:
     """(all columns but the text, n_tokens, before, ids, shard), in ranges of ``id_column``, sorted within each.
 
-    ``vocabulary`` is the tokenizer as JSON; it has to drop white space and to
-    encode words parted by it one by one, as word vocabularies do. No special
+    ``vocabulary`` is the tokenizer as JSON; it has to lower-case, to drop white
+    space, and to encode runs of letters and of punctuation one by one, as word
+    vocabularies do. No special
     token is added but ``end_id``, one behind each document; a null or empty
     text has that alone. Null ids come first, equal ids in the order of their
     texts' hashes. Older columns named like a new one are replaced.
@@ -96,7 +178,7 @@ def tokenize(
     fields = [f for f in docs.schema.fields if f.name in kept]
     counts = [StructField(SIZE, LongType()), StructField(BEFORE, LongType())]
     schema = StructType([*fields, *counts, StructField(IDS, ArrayType(IntegerType()))])
-    encoded = docs.mapInArrow(_tokenize(arrow_schema(schema), text_column, vocabulary, end_id), schema)
+    encoded = docs.mapInArrow(tidy(_tokenize(arrow_schema(schema), text_column, vocabulary, end_id)), schema)
     return encoded.withColumn(SHARD, F.spark_partition_id())
 
 
@@ -129,10 +211,11 @@ def with_starts(tokens: DataFrame) -> DataFrame:
     The totals of the shards come from the metadata columns alone, a row for
     each shard.
     """
-    sizes = tokens.groupBy(SHARD).agg(F.sum(SIZE).alias("_sum"))
+    offset = unused_name("_offset", tokens.columns)
+    sizes = tokens.groupBy(SHARD).agg(F.sum(SIZE).alias("size"))
     earlier = W.orderBy(SHARD).rowsBetween(W.unboundedPreceding, -1)  # as many rows as there are files
-    offsets = sizes.select(SHARD, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    return tokens.join(offsets, SHARD).withColumn("start", F.col(BEFORE) + F.col("_offset")).drop("_offset", BEFORE)
+    offsets = sizes.select(SHARD, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias(offset))
+    return tokens.join(offsets, SHARD).withColumn("start", F.col(BEFORE) + F.col(offset)).drop(offset, BEFORE)
 
 
 def checksums(tokens: DataFrame, column: str = "ids_crc32") -> DataFrame:
@@ -150,4 +233,4 @@ def checksums(tokens: DataFrame, column: str = "ids_crc32") -> DataFrame:
             others = [batch.column(f.name) for f in kept]
             yield pa.record_batch([*others, pa.array(sums, pa.int64())], schema=arrow)
 
-    return tokens.mapInArrow(run, schema)
+    return tokens.mapInArrow(tidy(run), schema)
