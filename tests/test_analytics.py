@@ -185,7 +185,7 @@ def test_report_texts(spark):
     tiles = report_tables.kpi_tiles(dataset, tier, weeks).orderBy("position").collect()
     assert [r.value for r in tiles] == ["$1,234,568", "1,000", "3", "1 customers", "80.0% of revenue", "$250"]
     sentence = report_tables.takeaway(tier).first().takeaway
-    assert sentence.startswith(
-        "The top 1 customer(s) (33.3% of all customers) generate 80.0% of total revenue. "
-        "The #1 customer alone, Customer A, represents 80.2% of revenue"
+    assert sentence == (
+        "1 customer(s), 33.3 % of them all, bring 80.0 % of the revenue; Customer A alone brings 80.2 % "
+        "and is the account to look after first."
     )
