@@ -28,7 +28,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from clearbook.llm.common import (
     arrow_schema,
@@ -277,9 +277,13 @@ def encode(
     text_column: str = "text",
     ids_column: str = "ids",
     block_tokens: int = BLOCK_TOKENS,
+    decoded_column: str | None = None,
 ) -> DataFrame:
     """The documents with ``ids_column`` (array of int) in place of their text.
 
+    With ``decoded_column`` the ids are also decoded, in the task that puts them
+    together, as ``decode`` would do it later.
+
     One row comes out for each row that goes in, whatever ids it repeats; all
     other columns are carried along, null or not. A null or empty text has no
     ids. An older column named like ``ids_column`` is replaced.
@@ -288,7 +292,7 @@ def encode(
     as a scan of files does; write the result of a shuffle to a table first. A
     block that differs stops the job.
     """
-    replaced = {text_column.lower(), ids_column.lower()}
+    replaced = {text_column.lower(), ids_column.lower(), (decoded_column or ids_column).lower()}
     carried = [c for c in documents.columns if c.lower() not in replaced]
     part = unused_name("_part", documents.columns)
     docs = documents.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_column}`").cast("string"))
@@ -316,41 +320,53 @@ def encode(
         {"kind": F.lit(WORD), "seq": F.lit(0), "carried": F.lit(None).cast(kept)}
     ).unionByName(texts.withColumn("kind", F.lit(TEXT)))
     out = StructType([*kept.fields, StructField(ids_column, ArrayType(IntegerType(), True))])
-    return (
-        rows.repartition("block")
-        .sortWithinPartitions("block", "kind", "seq")
-        .mapInArrow(tidy(_assemble(arrow_schema(out))), out)
-    )
+    task = _assemble(arrow_schema(out))
+    if decoded_column is not None:
+        out = _with_bytes(out, decoded_column)
+        assemble, decode_ids = task, _decode_task(table, ids_column, arrow_schema(out))
 
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return decode_ids(assemble(batches))
 
-def decode(
-    encoded: DataFrame, table: list[bytes], ids_column: str = "ids", bytes_column: str = "decoded"
-) -> DataFrame:
-    """Add ``bytes_column``: the joined bytes of the ids, looked up in the token-byte table.
+    return rows.repartition("block").sortWithinPartitions("block", "kind", "seq").mapInArrow(tidy(task), out)
 
-    The table is the vocabulary and goes to every task. No ids, or null, gives
-    empty bytes; an id outside the table stops the job. An older column named
-    like ``bytes_column`` is replaced.
-    """
-    encoded = encoded.drop(bytes_column)
-    schema = StructType([*encoded.schema.fields, *StructType.fromDDL(f"`{bytes_column}` binary").fields])
-    arrow = arrow_schema(schema)
+
+def _with_bytes(schema: StructType, column: str) -> StructType:
+    return StructType([*schema.fields, StructField(column, BinaryType())])
+
+
+def _decode_task(table: list[bytes], ids_column: str, schema: pa.Schema):
+    """Task over rows with ids: the same rows and the bytes of the ids, joined from the token-byte table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = pa.array(table, pa.large_binary())
         for batch in batches:
             sizes = pc.fill_null(pc.list_value_length(batch.column(ids_column)), 0).to_numpy(zero_copy_only=False)
             before = np.cumsum(sizes, dtype=np.int64) - sizes
-            begins = np.flatnonzero(np.diff(before // 1_000_000, prepend=-1))
+            begins = np.flatnonzero(np.diff(before // 500_000, prepend=-1))
             for begin, end in zip(begins, [*begins[1:], batch.num_rows], strict=True):
                 rows = batch.slice(begin, end - begin)
                 flat = tokens.take(rows.column(ids_column).flatten())
                 data, offsets = bytes_of(flat)
                 at = offsets[np.concatenate([[0], np.cumsum(sizes[begin:end], dtype=np.int64)])]
                 decoded = binary_array(data, at).cast(pa.binary())
-                yield pa.record_batch([*rows.columns, decoded], schema=arrow)
+                yield pa.record_batch([*rows.columns, decoded], schema=schema)
 
-    return encoded.mapInArrow(tidy(run), schema)
+    return run
+
+
+def decode(
+    encoded: DataFrame, table: list[bytes], ids_column: str = "ids", bytes_column: str = "decoded"
+) -> DataFrame:
+    """Add ``bytes_column``: the joined bytes of the ids, looked up in the token-byte table.
+
+    The table is the vocabulary and goes to every task. No ids, or null, gives
+    empty bytes; an id outside the table stops the job. An older column named
+    like ``bytes_column`` is replaced.
+    """
+    encoded = encoded.drop(bytes_column)
+    schema = _with_bytes(encoded.schema, bytes_column)
+    return encoded.mapInArrow(tidy(_decode_task(table, ids_column, arrow_schema(schema))), schema)
 
 
 def digests(decoded: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -39,7 +39,7 @@ def query(function: Query) -> Query:
 def op2_byte_bpe(spark, folder):
     table = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = documents(spark, folder).select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, table, public_tokenizers.PATTERN), table))
+    return bpe.digests(bpe.encode(docs, table, public_tokenizers.PATTERN, decoded_column="decoded"))
 
 
 @query

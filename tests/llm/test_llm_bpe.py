@@ -29,10 +29,11 @@ def test_messy_rows_encode_as_in_the_library(spark, messy, table, encoding):
     assert encoded.columns == [c for c in messy.columns if c not in ("text", "ids")] + ["ids"]
     found = sorted((str(r.doc_id), r.ids) for r in encoded.collect())
     assert found == sorted((str(r.doc_id), encoding.encode_ordinary(r.text or "")) for r in messy.collect())
-    decoded = bpe.decode(encoded, table).select("doc_id", "decoded").collect()
-    assert sorted((str(r.doc_id), bytes(r.decoded)) for r in decoded) == sorted(
-        (str(r.doc_id), (r.text or "").encode()) for r in messy.collect()
-    )
+    at_once = bpe.encode(messy, table, public_tokenizers.PATTERN, block_tokens=500, decoded_column="decoded")
+    for decoded in (bpe.decode(encoded, table), at_once):
+        assert sorted((str(r.doc_id), bytes(r.decoded)) for r in decoded.select("doc_id", "decoded").collect()) == sorted(
+            (str(r.doc_id), (r.text or "").encode()) for r in messy.collect()
+        )
 
 
 def test_white_space_runs_are_cut_as_the_pattern_does(spark, tmp_path, table, encoding):
