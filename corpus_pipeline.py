@@ -37,8 +37,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids in place of the text, their number, and the digest of what they decode to."""
     table = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    decoded = bpe.decode(bpe.encode(docs, table, public_tokenizers.PATTERN), table)
-    return decoded.select(
+    encoded = bpe.encode(docs, table, public_tokenizers.PATTERN, decoded_column="decoded")
+    return encoded.select(
         "doc_id",
         "lang",
         "source",
