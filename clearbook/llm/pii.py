@@ -66,7 +66,10 @@ _HINTS = {
 _DATE = re.compile(r"(?:19|20)\d\d[-./]\d\d?[-./]\d\d?|\d\d?[-./]\d\d?[-./](?:19|20)?\d\d(?!\d)")
 _NUMBERS = re.compile(r"[0-9]+")
 _DOT_WORD = re.compile(r"\bdot\b", re.IGNORECASE)
-_MAY_HOLD = re.compile(r"[0-9@]|\bdot\b", re.IGNORECASE)
+# every candidate has a digit or some form of "at"; texts with neither need no generator
+_BARE_AT = re.compile(r"\sat\s", re.IGNORECASE)
+_SPACED_STOP = re.compile(r"\s\.|\.\s")
+_MAY_HOLD = re.compile(r"[0-9@]|[(\[{]\s?at\s?[)\]}]|\sat\s", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -149,6 +152,9 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(bool(_HINTS[kind].search(before))),
         sum(c.isdigit() for c in around) / (len(around) or 1),
         float(bool(_DATE.search(span))),
+        # the end of one sentence and the beginning of the next look like a spaced-out domain
+        float(bool(_BARE_AT.search(span))),
+        len(_SPACED_STOP.findall(span)),
     ]
 
 

@@ -86,3 +86,16 @@ def test_redaction_leaves_the_rest(spark):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert pii.redact(pii.find(docs, None)).first().text == "é mail [EMAIL], ip [IP] and again [EMAIL]."
     assert pii.digests(pii.find(docs, None)).first().n_email == 2
+
+
+def test_the_prefilter_passes_every_text_with_a_candidate(spark):
+    rng = random.Random(5)
+    pieces = ["jane.doe", "mail", ".", " ", " at ", "(at)", "[ AT ]", "{at}", "@", " dot ", "[dot]", "com", "\u00a0at\u2003", "7", "+", "\n"]
+    texts = ["".join(rng.choices(pieces, k=8)) for _ in range(20_000)]
+    proposed = [t for t in texts if pii.candidates(t)]
+    assert len(proposed) > 1_000 and all(pii._MAY_HOLD.search(t) for t in proposed)
+    # no digit, no @, no "dot"
+    trees = pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    text = "Onesthre orshin the edhawh write to jane.doe(at)mail.example.com anth erthing anre ouinsh ed."
+    row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), trees).first()
+    assert [(x.kind, text[x.start : x.end]) for x in row.spans] == [("email", "jane.doe(at)mail.example.com")]
