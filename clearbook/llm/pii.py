@@ -5,10 +5,12 @@ and context features describe each one, boosted trees give it a probability, and
 a threshold per kind, calibrated on held-out candidates, decides. Strict matches
 of the base patterns are always kept; candidates only add to them.
 
-There are no hand-made labels. The trees learn from a bounded sample of
-documents: strict matches, and the same strings rewritten in looser ways within
-their own context, are positive; other candidates of the text and number-like
-strings that are no personal data are negative.
+There are no hand-made labels. The trees learn from two bounded samples of
+documents, one of all and one of those that hold strict matches: strict matches,
+and the same strings rewritten in looser ways within their own context, are
+positive; other candidates of the text and made-up strings that are no personal
+data are negative. The thresholds come from histograms of the scores in
+all other documents. A kind without a threshold is decided by a fixed rule.
 
 Scoring is one pass over the documents in place: the trees are small enough to
 go to every task, and nothing is shuffled.
@@ -33,10 +35,13 @@ from clearbook.sources.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
 
-SAMPLE_ROWS = 20_000  # documents that training reads, about
-LEAST_EXAMPLES = 50  # of either class; with fewer there is no model and nothing is added
+SAMPLE_ROWS = 20_000  # documents that the trees learn from, about
+STRICT_SHARE = 0.25  # of that number are drawn besides, from the documents that hold strict matches
+LEAST_HELD_OUT = 20  # candidates that a threshold rests on; a kind with fewer is decided by its rule
+BINS = 1024  # of scores; a power of two, so that their edges are exact
 TREES, DEPTH = 20, 4
 PRECISION = 0.99  # that the threshold of a kind reaches on held-out candidates
+RULE_SCORE = 0.5  # of a span that a rule adds
 
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean,score:double>>"
 
@@ -72,6 +77,14 @@ _SPACED_STOP = re.compile(r"\s\.|\.\s")
 _MAY_HOLD = re.compile(r"[0-9@]|[(\[{]\s?at\s?[)\]}]|\sat\s", re.IGNORECASE)
 
 
+_RULE_EMAIL = re.compile(
+    r"[\w.%+-]+(?:\s{0,2}@\s{0,2}|\s{0,2}[(\[{]\s?at\s?[)\]}]\s{0,2}|\sat\s(?=\S+(?:\sdot\s|\s?[(\[{]\s?dot)))"
+    r"[A-Za-z0-9-]+(?:(?:\.|\s{0,2}[(\[{]\s?dot\s?[)\]}]\s{0,2}|\sdot\s)[A-Za-z0-9-]+)*"
+    r"(?:\.|\s{0,2}[(\[{]\s?dot\s?[)\]}]\s{0,2}|\sdot\s)[A-Za-z]{2,}",
+    re.IGNORECASE,
+)
+
+
 def luhn(digits: str) -> bool:
     total = sum(int(d) for d in digits[-1::-2])
     return (total + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
@@ -158,6 +171,23 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     ]
 
 
+def rule_end(text: str, kind: str, start: int, end: int) -> int | None:
+    """Where a candidate ends that is personal data by its form alone; None if it is not."""
+    span = text[start:end]
+    digits, numbers = _digits(span), _NUMBERS.findall(span)
+    if kind == "email":  # a candidate may run on into the next sentence
+        found = _RULE_EMAIL.match(text, start, end)
+        return found.end() if found else None
+    if kind == "ip":
+        sure = "," not in span and all(int(n) <= 255 for n in numbers)
+    elif kind == "card":
+        sure = luhn(digits) and len(set(_NUMBERS.split(span)[1:-1])) <= 1
+    else:
+        hint = bool(_HINTS[kind].search(text[max(0, start - 30) : start]))
+        sure = not _DATE.search(span) and (hint or 9 <= len(digits) <= 15 and span.startswith(("+", "(", "00")))
+    return end if sure else None
+
+
 def _loosened(kind: str, span: str, turn: int) -> str:
     """The same personal data as people write it to please themselves or to hide it."""
     if kind == "email":
@@ -177,7 +207,7 @@ def _loosened(kind: str, span: str, turn: int) -> str:
 
 
 def _harmless(digits: str, turn: int) -> str:
-    """Number-like text that is no personal data, made from the digits of a span."""
+    """Text that looks like personal data and is none, made from the digits of a span."""
     d = (digits * 24)[:24]
     year = 1900 + int(d[:3]) % 130
     return [
@@ -189,7 +219,8 @@ def _harmless(digits: str, turn: int) -> str:
         f"{d[:2]}.{d[2:12]}",
         f"{int(d[3:5]) % 28 + 1}/{int(d[5:7]) % 12 + 1}/{year}",
         f"{d[:3]}-{d[3]}-{d[4:6]}-{d[6:12]}-{d[12]}",
-    ][turn % 8]
+        f"at {('the', 'a', 'that', 'every', 'one')[int(d[0]) % 5]} dot",
+    ][turn % 9]
 
 
 def _examples(text: str) -> Iterator[tuple[list[float], int]]:
@@ -215,11 +246,11 @@ def _examples(text: str) -> Iterator[tuple[list[float], int]]:
 
 
 class Trees:
-    """Boosted trees as plain arrays, and the threshold of each kind."""
+    """Boosted trees as plain arrays, and the thresholds of the kinds that have one."""
 
     def __init__(self, trees: list[list[tuple[int, float, int, int, float]]], weights: list[float]) -> None:
         self.trees, self.weights = trees, weights
-        self.thresholds = {kind: 2.0 for kind in KINDS}
+        self.thresholds: dict[str, float] = {}
 
     def probability(self, rows: np.ndarray) -> np.ndarray:
         margin = np.zeros(len(rows))
@@ -250,69 +281,121 @@ def _flat(node) -> list[tuple[int, float, int, int, float]]:
     return rows
 
 
+def _examples_of(rows: DataFrame, schema: str, packed, shares: tuple[int, int], fitted: bool) -> DataFrame:
+    """What ``packed`` makes of the labelled candidates of all texts, those the trees learn from or all others.
+
+    ``rows`` has text, order and held_out. A document is learned from if it is not
+    held out and its order is below the first share, or below the second if it
+    holds a strict match.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[list[tuple[list[float], int]]]:
+            for batch in batches:
+                examples = []
+                for text, order, held_out in zip(*(batch.column(c) for c in ("text", "order", "held_out")), strict=True):
+                    text, order = text.as_py(), order.as_py()
+                    if text and _MAY_HOLD.search(text):
+                        learned = order < shares[0] or order < shares[1] and bool(base_spans(text))
+                        if (learned and not held_out.as_py()) == fitted:
+                            examples += _examples(text)
+                if examples:
+                    yield examples
+
+        yield from packed(found())
+
+    return rows.mapInArrow(tidy(run), schema)
+
+
 def train(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = SAMPLE_ROWS
 ) -> Trees | None:
-    """Trees fitted on the candidates of about ``sample_rows`` documents, chosen by a hash of id and text.
+    """Trees fitted on the candidates of about ``sample_rows`` documents, and STRICT_SHARE as many with strict matches.
 
-    Every fourth example is held out and sets the thresholds. None if the
-    sample has fewer than LEAST_EXAMPLES examples of either class.
+    Both samples are chosen by a hash of id and text, without a quarter of all
+    texts, which is held out. All documents that are not in a sample set the
+    thresholds. None if a class has no examples; the rules decide then.
     """
-    total = documents.count()
     ticks = 1 << 30
-    order = F.pmod(F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text_column}`")), F.lit(ticks))
-    sample = documents.where(order < min(ticks, ticks * sample_rows // max(total, 1)))
+    text, whole = F.col(f"`{text_column}`").cast("string"), (F.col(f"`{id_column}`"), F.col(f"`{text_column}`"))
+    rows = documents.select(
+        text.alias("text"),
+        F.pmod(F.xxhash64(*whole), F.lit(ticks)).alias("order"),
+        (F.pmod(F.xxhash64(text), F.lit(4)) == 0).alias("held_out"),
+    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(bool(base_spans(t.as_py())) for batch in batches for t in batch.column("text"))
+        yield pa.record_batch([pa.array([n], pa.int64())], names=["n"])
+
+    possible = F.col("text").rlike("[0-9@]")  # a strict match has either
+    strict = rows.where(possible).select("text").mapInArrow(tidy(count), "n long").agg(F.sum("n")).first()[0] or 0
+    shares = (
+        ticks * sample_rows // max(documents.count(), 1),
+        ticks * int(sample_rows * STRICT_SHARE) // max(strict, 1),
+    )
+
     schema = arrow_schema("features array<double>, label int")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [e for t in batch.column("text") if (s := t.as_py()) and _MAY_HOLD.search(s) for e in _examples(s)]
-            if found:
-                yield pa.record_batch([[list(map(float, f)) for f, _ in found], [y for _, y in found]], schema=schema)
-
-    examples = sample.select(F.col(f"`{text_column}`").cast("string").alias("text"))
-    rows = stage(examples.mapInArrow(tidy(run), "features array<double>, label int"), "examples")
-    rows = rows.withColumn("held_out", F.pmod(F.xxhash64("features"), F.lit(4)) == 0)
-    fitted = rows.where("NOT held_out").groupBy("label").count().collect()
-    if len(fitted) < 2 or min(r["count"] for r in fitted) < LEAST_EXAMPLES:
+    def listed(found: Iterator[list]) -> Iterator[pa.RecordBatch]:
+        for examples in found:
+            yield pa.record_batch([[list(map(float, f)) for f, _ in examples], [y for _, y in examples]], schema=schema)
+
+    sample = rows.where(~F.col("held_out") & ((F.col("order") < shares[0]) | ((F.col("order") < shares[1]) & possible)))
+    learned = stage(_examples_of(sample, "features array<double>, label int", listed, shares, True), "examples")
+    if learned.select("label").distinct().count() < 2:
         return None
-    training = rows.where("NOT held_out").select(array_to_vector("features").alias("features"), F.col("label").cast("double"))
+    training = learned.select(array_to_vector("features").alias("features"), F.col("label").cast("double"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(training.coalesce(4))
     trees = Trees([_flat(t._java_obj.rootNode()) for t in model.trees], list(model.treeWeights))
-    _calibrate(trees, rows.where("held_out").select("features", "label").collect())  # a quarter of the sample
+
+    def binned(found: Iterator[list]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(KINDS) * BINS * 2, dtype=np.int64)
+        for examples in found:
+            features = np.array([f for f, _ in examples], dtype=np.float64)
+            bins = np.minimum(np.floor(trees.probability(features) * BINS), BINS - 1).astype(np.int64)
+            slots = (features[:, 0].astype(np.int64) * BINS + bins) * 2 + np.array([y for _, y in examples])
+            counts += np.bincount(slots, minlength=len(counts))
+        used = np.flatnonzero(counts)
+        yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+
+    histogram = _examples_of(rows, "slot long, n long", binned, shares, False).groupBy("slot").agg(F.sum("n").alias("n"))
+    _calibrate(trees, [tuple(row) for row in histogram.collect()])  # at most two rows for each kind and bin
     return trees
 
 
-def _calibrate(trees: Trees, held_out: list) -> None:
-    """The lowest threshold of each kind from which on held-out candidates reach the precision; else none passes."""
-    if not held_out:
-        return
-    rows, labels = np.array([r.features for r in held_out]), np.array([r.label for r in held_out])
-    scores = trees.probability(rows)
-    for number, kind in enumerate(KINDS):
-        own = rows[:, 0] == number
-        order = np.argsort(-scores[own], kind="stable")
-        score, label = scores[own][order], labels[own][order]
-        precision = np.cumsum(label) / np.arange(1, len(label) + 1)
-        last_of_score = np.append(score[1:] != score[:-1], True)
-        good = np.flatnonzero((precision >= PRECISION) & last_of_score)
+def _calibrate(trees: Trees, histogram: list[tuple[int, int]]) -> None:
+    """The lowest threshold of each kind from which on held-out candidates reach the precision, if enough of them do."""
+    counts = np.zeros(len(KINDS) * BINS * 2, dtype=np.int64)
+    for slot, n in histogram:
+        counts[slot] = n
+    for kind, (harmless, personal) in zip(KINDS, counts.reshape(len(KINDS), BINS, 2).transpose(0, 2, 1), strict=True):
+        right, wrong = np.cumsum(personal[::-1])[::-1], np.cumsum(harmless[::-1])[::-1]
+        enough = (right >= PRECISION * (right + wrong)) & (right + wrong >= LEAST_HELD_OUT)
+        good = np.flatnonzero(enough & (personal + harmless > 0))
         if len(good):
-            trees.thresholds[kind] = max(0.5, float(score[good[-1]]))
+            trees.thresholds[kind] = max(0.5, int(good[0]) / BINS)
 
 
 def spans_of(text: str, trees: Trees | None) -> list[tuple[str, int, int, bool, float]]:
     """All spans of a text by kind, then start; an added one overlaps neither a strict one nor a better added one."""
     strict = base_spans(text)
     spans = [(kind, a, b, True, 1.0) for kind, a, b in strict]
-    proposed = candidates(text) if trees else []
-    if proposed:
-        scores = trees.probability(np.array([features(text, *c) for c in proposed], dtype=np.float64))
+    proposed = candidates(text)
+    passed = []
+    if trees and proposed:
+        scores = trees.probability(np.array([features(text, *c) for c in proposed], dtype=np.float64)).tolist()
+        passed = [(s, c) for s, c in zip(scores, proposed, strict=True) if s >= trees.thresholds.get(c[0], 2.0)]
+    for kind, a, b in proposed:
+        if (not trees or kind not in trees.thresholds) and (end := rule_end(text, kind, a, b)):
+            passed.append((RULE_SCORE, (kind, a, end)))
+    if passed:
         taken = sorted((a, b) for _, a, b in strict)
-        best = sorted(zip(scores.tolist(), proposed, strict=True), key=lambda x: (-x[0], x[1][1] - x[1][2], x[1]))
+        best = sorted(passed, key=lambda x: (-x[0], x[1][1] - x[1][2], x[1]))
         for score, (kind, a, b) in best:
             at = bisect_left(taken, (a, b))
             free = (at == len(taken) or b <= taken[at][0]) and (at == 0 or max(y for _, y in taken[max(0, at - 4) : at]) <= a)
-            if score >= trees.thresholds[kind] and free:
+            if free:
                 spans.append((kind, a, b, False, score))
                 taken.insert(at, (a, b))
     return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))

@@ -99,3 +99,20 @@ def test_the_prefilter_passes_every_text_with_a_candidate(spark):
     text = "Onesthre orshin the edhawh write to jane.doe(at)mail.example.com anth erthing anre ouinsh ed."
     row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), trees).first()
     assert [(x.kind, text[x.start : x.end]) for x in row.spans] == [("email", "jane.doe(at)mail.example.com")]
+
+
+def test_rare_strict_spans_are_enough_and_rules_stand_in_for_the_rest(spark):
+    plain = [(i, f"Onesthre orshin {i % 9} edhawh anre ouinsh, the {i % 7}.{i % 5} of 19{i % 90 + 10}-05-0{i % 9 + 1} anth.") for i in range(4000)]
+    rare = [(10_000 + i, f"Onesthre write to user{i}.name@mail{i % 9}.example.com anre ouinsh ed {i % 8}.") for i in range(160)]
+    docs = spark.createDataFrame(plain + rare, "doc_id long, text string")
+    # a sample of 400 documents by chance alone would hold about 15 of these
+    trees = pii.train(docs, sample_rows=400)
+    assert trees is not None and "email" in trees.thresholds and "card" not in trees.thresholds
+    text = "Onesthre write to some.body(at)mail7.example.com or 4539.1488.0343.6467, not 4539.1488.0343.6468, in 2024-03-15 10:30."
+    wanted = [("email", "some.body(at)mail7.example.com"), ("card", "4539.1488.0343.6467")]
+    assert [(k, text[a:b]) for k, a, b, _, _ in pii.spans_of(text, trees)] == wanted
+    assert [(k, text[a:b]) for k, a, b, _, _ in pii.spans_of(text, None)] == wanted
+    assert pii.spans_of("We met at the dot. Then 1,234,567.89 of 1990-1995, no. 12345678 at home. Then", None) == []
+    text = "jane at mail dot example dot com. Then call 555 234 5678"
+    wanted = ["jane at mail dot example dot com", "555 234 5678"]
+    assert [text[a:b] for _, a, b, _, _ in pii.spans_of(text, None)] == wanted
