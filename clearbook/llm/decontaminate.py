@@ -208,24 +208,29 @@ def overlaps(
     ones; an item of 8 to 19 tokens has to occur whole. ``begin`` is the first
     token of the best such window in the document, ``digest`` the hash of its
     text. Tokens are lower-case runs of letters and digits. Items with equal
-    tokens are one class under their smallest id. Null or empty texts overlap
-    with nothing; null ids are carried along as they are.
+    tokens are one class under their smallest id; all texts of an id that repeats
+    are looked for, and those of null ids. Null or empty texts overlap with
+    nothing; null ids are carried along as they are.
     """
+    # an item is known by its number among the classes: ids may repeat or be null
     named = benchmark.select(
-        F.col(f"`{item_column}`").cast("long").alias("item"), F.col(f"`{item_text}`").cast("string").alias("text")
+        F.struct(
+            F.col(f"`{item_column}`").cast("long").alias("id"), F.col(f"`{item_text}`").cast("string").alias("text")
+        ).alias("item"),
+        F.col(f"`{item_text}`").cast("string").alias("text"),
     )
-    tokens = "item long, size int, tokens binary"
+    tokens = "item struct<id:long,text:string>, size int, tokens binary"
     classes = stage(
         named.mapInArrow(tidy(_item_rows(None)), tokens)
         .where(F.col("size") >= MIN_ITEM)
         .groupBy("tokens", "size")
-        .agg(F.min("item").alias("item")),
+        .agg(F.min("item.id").alias("item_id"), F.min("item.text").alias("text"))
+        .withColumn("item", F.monotonically_increasing_id()),
         "items",
     )
     lengths = [row[0] for row in classes.where(F.col("size") < WINDOW).select("size").distinct().collect()]
     masks = all_masks(lengths)  # at most WINDOW - MIN_ITEM more
-    one_each = named.join(classes.select("item"), "item", "left_semi").groupBy("item").agg(F.min("text").alias("text"))
-    seeds = stage(one_each.mapInArrow(tidy(_item_rows(masks)), "item long, place int, seed long"), "seeds")
+    seeds = stage(classes.select("item", "text").mapInArrow(tidy(_item_rows(masks)), "item long, place int, seed long"), "seeds")
 
     docs = documents.select(
         F.monotonically_increasing_id().alias("key"),
@@ -249,7 +254,12 @@ def overlaps(
         .agg(F.min_by(F.struct("begin", "size", "equal"), F.struct(-F.col("equal") / F.col("size"), "begin")).alias("best"))
     )
     ids = regions.select("key", "id", "digest").dropDuplicates(["key"])
-    return checked.join(ids, "key").select("id", "digest", F.col("item").alias("item_id"), "best.*")
+    # two classes of one id are one item, with the better of their overlaps
+    best = F.min_by("best", F.struct(-F.col("best.equal") / F.col("best.size"), "best.begin"))
+    named_best = (
+        checked.join(classes.select("item", "item_id"), "item").groupBy("key", "item_id").agg(best.alias("best"))
+    )
+    return named_best.join(ids, "key").select("id", "digest", "item_id", "best.*")
 
 
 def _with_ids(docs: DataFrame, masks: list[str], bitmap: bytes) -> DataFrame:
@@ -280,7 +290,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_column: str = "d
     return (
         overlaps(documents, benchmark, id_column, **columns)
         .groupBy("id", "digest")
-        .agg(best.alias("best"), F.countDistinct("item_id").alias("n_items"))
+        .agg(best.alias("best"), F.count(F.lit(1)).alias("n_items"))
         .select(F.col("id").alias(id_column), "digest", "best.*", "n_items")
     )
 

@@ -86,3 +86,12 @@ def test_query_against_all_alignments(spark):
                 expected.add(doc.doc_id)
                 break
     assert found == expected
+
+
+def test_items_whose_ids_repeat_or_are_null_are_looked_for(spark):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(25)) for name in "abc")
+    bench = spark.createDataFrame([(1, a), (1, b), (1, "aa"), (None, c)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {a} y"), (2, f"x {b} y"), (3, f"x {c} y"), (4, "x y"), (5, f"{a} {b} {c}")], "doc_id long, text string")
+    found = {r.doc_id: (r.item_id, r.n_items) for r in d.contaminated(docs, bench).collect()}
+    assert found.keys() == {1, 2, 3, 5} and (found[1], found[2], found[3]) == ((1, 1), (1, 1), (None, 1))
+    assert found[5][1] == 2 and [r.doc_id for r in d.decontaminate(docs, bench).collect()] == [4]
