@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbook.llm import (
     bpe,
     context_tree,
     decontaminate,
+    filter_audit,
     line_dedup,
+    mixing,
     outliers,
+    periodic_runs,
     pii,
     revisits,
     simhash,
@@ -165,3 +168,102 @@ def op5_context_tree(spark, folder):
         "score",
         "bits_per_byte",
     )
+
+
+@query
+def op11_mixing(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, mixing.by_rank(docs, [3, 1, 2]), share=1.5, passes=2)
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", mixing.words_taken().alias("taken"), F.size("pieces").alias("n_pieces")
+    )
+
+
+@query
+def op12_filter_audit(spark, folder):
+    filters = {
+        "A": "n_words < 50",
+        "B": "100 * n_distinct < 65 * n_words",
+        "C": "100 * n_upper > 5 * n_points",
+        "D": "has_symbol",
+    }
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return filter_audit.audit(documents(spark, folder), labels, filters, copies="E")
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), marked AS (
+  SELECT part, t.doc_id,
+         CAST(len(words) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 65 * len(words) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS INT)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+         + 16 * CAST(coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false) AS INT) AS mask
+  FROM texts t
+), flags AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY 1
+), cells AS (
+  SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM marked LEFT JOIN flags USING (doc_id) GROUP BY 1, 2
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(letter, bit)
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), walks AS (
+  SELECT filter_order, step, letter, bit,
+         coalesce(sum(bit) OVER (PARTITION BY filter_order ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+  FROM orders, range(1, 6) r(step), letters WHERE letter = filter_order[step]
+), told AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN mask & (CAST(earlier AS INT) | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & CAST(earlier AS INT) = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & CAST(earlier AS INT) <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & CAST(earlier AS INT) = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & CAST(earlier AS INT) = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, walks GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS BIGINT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM told
+"""
+
+
+def _looped(doc_id: Column, text: Column) -> Column:
+    """The text, or for every tenth document by checksum its words with a tail that goes in circles."""
+    number = F.crc32(doc_id.cast("string"))
+    words = F.regexp_extract_all(text, F.lit(mixing.WORD), F.lit(0))
+    n, g = F.greatest(F.size(words), F.lit(1)), F.floor(number / 10)
+    at = g % n
+    period = 1 + F.floor((n - at) / (3 + g % 8))
+    places = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.when(i < at, i).otherwise(at + (i - at) % period))
+    looped = F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " ")
+    return F.when((number % 10 == 0) & (F.size(words) > 0), looped).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    docs = documents(spark, folder).select("doc_id", _looped(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.collapse_runs(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    longest = F.struct(longest["length"].alias("length"), (-longest["col2"]).alias("start"), (-longest["col3"]).alias("period"))
+    lines = F.transform(
+        "runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest["start"].alias("start"),
+        longest["length"].alias("length"),
+        longest["period"].alias("period"),
+        F.floor(1000 * longest["length"] / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("collapsed_sha256"),
+    )
