@@ -1,7 +1,6 @@
 import heapq
 import re
 from collections import Counter, defaultdict
-from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -29,13 +28,13 @@ def targets_of(sizes, weights, share, passes):
 def seats_of(values, house, most=None):
     """Seat by seat to the highest quotient, the smaller key first."""
     quotas = dict.fromkeys(values, 0)
-    bids = [(-Fraction(v), key) for key, v in values.items() if v > 0 and (most is None or most[key])]
+    bids = [(-float(v), key) for key, v in values.items() if v > 0 and (most is None or most[key])]
     heapq.heapify(bids)
     for _ in range(house):
         _, key = heapq.heappop(bids)
         quotas[key] += 1
         if most is None or quotas[key] < most[key]:
-            heapq.heappush(bids, (-Fraction(values[key]) / (2 * quotas[key] + 1), key))
+            heapq.heappush(bids, (-float(values[key]) / (2 * quotas[key] + 1), key))
     return quotas
 
 
