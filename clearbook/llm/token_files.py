@@ -64,12 +64,36 @@ def _byte_characters() -> list[str]:
     return [chr(b) if b in shown else next(others) for b in range(256)]
 
 
+def _special_strings(tokenizer: Tokenizer) -> re.Pattern[bytes] | None:
+    """What finds the strings that the tokenizer takes for one token wherever they stand, as they are written."""
+    tokens = tokenizer.get_added_tokens_decoder().values()
+    if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens):
+        raise ValueError("Added tokens of this vocabulary depend on what stands around them.")
+    strings = sorted((t.content for t in tokens), key=len, reverse=True)
+    return re.compile(b"|".join(re.escape(s.encode()) for s in strings)) if strings else None
+
+
+def _occurrences(special: re.Pattern[bytes] | None, data: np.ndarray, offsets: np.ndarray) -> tuple[list[int], list[int]]:
+    """(begins, ends) of the special strings, from left to right; none crosses from one text into the next."""
+    begins, ends = [], []
+    raw, at = data.tobytes() if special else b"", 0
+    while special and (found := special.search(raw, at)):
+        begin, end = found.span()
+        if offsets[np.searchsorted(offsets, begin, "right")] < end:
+            at = begin + 1
+        else:
+            begins.append(begin)
+            ends.append(end)
+            at = end
+    return begins, ends
+
+
 class _Pieces:
     """The ids of the pieces that a worker has met; a remembered piece is encoded once."""
 
     def __init__(self, vocabulary: str) -> None:
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = _special_strings(self.tokenizer)
         self.characters = _byte_characters()
         self.numbers: dict[bytes, int] = {}
         self.lengths = np.empty(0, dtype=np.int64)
@@ -91,12 +115,18 @@ class _Pieces:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
-        data, offsets = text_bytes(texts)
-        data = LOWER[data]
+        raw, offsets = text_bytes(texts)
+        begins, ends = _occurrences(self.special, raw, offsets)
+        data = LOWER[raw]
+        for begin, end in zip(begins, ends, strict=True):
+            data[begin:end] = raw[begin:end]
         kinds = _CLASS[data]
         cut = np.zeros(len(data) + 1, dtype=bool)
         if len(data):
             cut[1:-1] = _CUTS[4 * kinds[:-1] + kinds[1:]]
+            for begin, end in zip(begins, ends, strict=True):
+                cut[begin + 1 : end] = False
+                cut[[begin, end]] = True
             cut[offsets[offsets < len(data)]] = True
         bounds = np.append(np.flatnonzero(cut[:-1]), len(data))
         if len(bounds) < 2:
@@ -164,9 +194,9 @@ def tokenize(
 
     ``vocabulary`` is the tokenizer as JSON; it has to lower-case, to drop white
     space, and to encode runs of letters and of punctuation one by one, as word
-    vocabularies do. No special
-    token is added but ``end_id``, one behind each document; a null or empty
-    text has that alone. Null ids come first, equal ids in the order of their
+    vocabularies do. Strings of its special tokens in a text become these
+    tokens, as the tokenizer itself has it. No special token is added but
+    ``end_id``, one behind each document; a null or empty text has that alone. Null ids come first, equal ids in the order of their
     texts' hashes. Older columns named like a new one are replaced.
     """
     made = {IDS, SIZE, SHARD, BEFORE, text_column.lower()}

@@ -1,3 +1,4 @@
+import random
 import zlib
 from pathlib import Path
 
@@ -15,9 +16,7 @@ VOCABULARY = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encodin
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_str(VOCABULARY)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_str(VOCABULARY)
 
 
 def test_messy_rows(spark, messy, tokenizer, tmp_path):
@@ -37,6 +36,17 @@ def test_messy_rows(spark, messy, tokenizer, tmp_path):
     assert {"lang", "source", "n_chars"} <= set(rows[0].asDict())
 
 
+def test_special_strings_in_texts(spark, tokenizer):
+    rng = random.Random(5)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "<|ENDOFTEXT|>", "<", "|>", "a", "'s", " ", "É", "\n"]
+    texts = ["a text <|endoftext|> more"] + ["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(3000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r.ids for r in token_files.tokenize(rows, VOCABULARY, 2, shards=1).collect()}
+    assert found[0] == [320, 4160, 49407, 750, 2]
+    for number, text in enumerate(texts):
+        assert found[number] == tokenizer.encode(text, add_special_tokens=False).ids + [2]
+
+
 @pytest.mark.parametrize("dictionary", [False, True])
 def test_layout_of_the_files(spark, messy, tmp_path, dictionary):
     path = tmp_path / "tokens"
