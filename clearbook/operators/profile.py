@@ -132,8 +132,8 @@ def cleaning_report(profile: DataFrame) -> DataFrame:
     )
 
 
-def report_document(report: DataFrame, method: str = "rules") -> DataFrame:
-    """The cleaning report as one nested row, for JSON."""
+def report_document(report: DataFrame, method: str = "rules", rejected: int = 0) -> DataFrame:
+    """The cleaning report as one nested row, for JSON; ``rejected`` records of the input were damaged and are no rows."""
     return report.select(
         F.struct(
             "rows",
@@ -152,4 +152,5 @@ def report_document(report: DataFrame, method: str = "rules") -> DataFrame:
         F.struct("customers_pct", "regions_pct", "segments_pct").alias("reductions"),
         F.lit(method).alias("method"),
         F.col("rows").alias("rows_processed"),
+        F.lit(rejected).cast("long").alias("records_rejected"),
     )

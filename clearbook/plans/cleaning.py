@@ -14,8 +14,9 @@ from clearbook.operators.mapping import apply_mapping, distinct_values, only_new
 from clearbook.operators.measures import analyzable
 from clearbook.operators.names import canonical_names
 from clearbook.operators.profile import cleaning_report, profile_of_clean, report_document
-from clearbook.operators.resolver import Resolver, resolve_batches, resolve_closed
-from clearbook.sources.files import read_clean
+from clearbook.operators.resolver import Resolver, closed_answers
+from clearbook.sources.answers import resolve_into
+from clearbook.sources.files import read_clean, scan_raw_records
 from clearbook.sources.mapping_table import append_mapping, read_mapping
 from clearbook.sources.staging import stage, staged_until_done
 
@@ -33,17 +34,17 @@ def refresh_names(raw: DataFrame, mapping_path: str, resolver: Resolver | None =
 
     They are clustered, with ``options`` of ``canonical_names``, or asked of the
     ``resolver`` if there is one. Returns the stored mapping together with how
-    often each name occurs in the table: (dirty, clean, n).
+    often each name occurs in the table: (dirty, clean, n). If calls of the
+    resolver fail, what the others answered is stored before the error is raised.
     """
     spark = raw.sparkSession
     stored = read_mapping(spark, mapping_path, CUSTOMERS)
     values = stage(distinct_values(raw, "customer_name"), "values")
     unseen = only_new(values, stored)
     if resolver is None:
-        new = canonical_names(unseen, known=stored.select("clean"), **options)
+        append_mapping(canonical_names(unseen, known=stored.select("clean"), **options), mapping_path, CUSTOMERS)
     else:
-        new = stage(resolve_batches(unseen, resolver), "answers")
-    append_mapping(new, mapping_path, CUSTOMERS)
+        resolve_into(unseen, mapping_path, CUSTOMERS, resolver)
     return read_mapping(spark, mapping_path, CUSTOMERS).join(values, "dirty").select("dirty", "clean", "n")
 
 
@@ -55,9 +56,9 @@ def refresh_closed(raw: DataFrame, mapping_path: str, domain: str, resolver: Res
     unseen = only_new(values, read_mapping(spark, mapping_path, domain))
     if resolver is None:
         new = unseen.select("dirty", match_closed(F.col("dirty"), vocabulary, aliases).alias("clean"))
+        append_mapping(new, mapping_path, domain)
     else:
-        new = stage(resolve_closed(unseen, resolver, vocabulary), "answers")
-    append_mapping(new, mapping_path, domain)
+        resolve_into(unseen, mapping_path, domain, resolver, lambda answers: closed_answers(answers, vocabulary))
     return read_mapping(spark, mapping_path, domain).join(values, "dirty").select("dirty", "clean", "n")
 
 
@@ -80,11 +81,15 @@ def run_cleaning(
     report_path: str,
     mapping_path: str | None = None,
     resolvers: Mapping[str, Resolver] | None = None,
+    land: bool = True,
+    rejected: int = 0,
     **name_options,
 ) -> DataFrame:
     """Write the clean table (parquet) and the report (JSON); returns the report read back.
 
-    The raw table is read once and landed. With ``mapping_path`` the mappings of
+    The raw table is read several times: unless ``land`` is false, as it should
+    be for a stored parquet table, it is landed first. ``rejected`` is how many
+    damaged records the scan set aside, for the report. With ``mapping_path`` the mappings of
     all three texts are kept there and only unseen values are worked on;
     ``resolvers`` may name an external resolver for any of ``customers``,
     ``regions`` and ``segments`` and needs that path, so that a rerun asks for
@@ -94,7 +99,7 @@ def run_cleaning(
     if resolvers and mapping_path is None:
         raise ValueError("Resolvers need a mapping_path, or every run would ask for all values again.")
     with staged_until_done(spark):
-        raw = stage(raw, "raw")
+        raw = stage(raw, "raw") if land else raw
         if mapping_path is None:
             cleaned = clean_transactions(raw, name_mapping(raw, **name_options))
         else:
@@ -104,10 +109,31 @@ def run_cleaning(
         cleaned.write.mode("overwrite").parquet(output_path)
         report = cleaning_report(profile_of_clean(read_clean(spark, output_path)))
         method = "rules" if not resolvers else "resolver: " + ", ".join(sorted(resolvers))
-        report_document(report, method).write.mode("overwrite").json(report_path)
+        report_document(report, method, rejected).write.mode("overwrite").json(report_path)
     return spark.read.json(report_path)
 
 
+def run_cleaning_file(
+    spark: SparkSession,
+    raw_path: str,
+    output_path: str,
+    report_path: str,
+    rejected_path: str | None = None,
+    tolerated: float = 0.0,
+    **options,
+) -> DataFrame:
+    """The cleaning job over raw CSV files, of which up to the share ``tolerated`` of the records may be damaged.
+
+    The damaged ones are written to ``rejected_path`` (parquet), if given, and
+    counted in the report. ``options`` are those of ``run_cleaning``.
+    """
+    with staged_until_done(spark):
+        scan = scan_raw_records(spark, raw_path, tolerated)
+        if rejected_path is not None:
+            scan.rejected.write.mode("overwrite").parquet(rejected_path)
+        return run_cleaning(scan.rows, output_path, report_path, land=False, rejected=scan.n_rejected, **options)
+
+
 def load_clean(spark: SparkSession, path: str, include_refunds: bool = False) -> DataFrame:
     """Rows of a clean table that the analysis uses."""
     return analyzable(read_clean(spark, path), include_refunds)

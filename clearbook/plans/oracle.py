@@ -565,3 +565,89 @@ SELECT event_id, {branches(0)} ELSE {_text(OTHER[0])} END AS cause, {branches(2)
 
 
 ORACLES["triage_errors"] = _triage()
+
+
+# --- calls of a resolver, damaged files, whole reports ---------------------------
+
+_CALLS = """
+listed AS (SELECT customer_name AS dirty, row_number() OVER (ORDER BY customer_name) - 1 AS place
+           FROM dirty GROUP BY customer_name),
+calls AS (SELECT dirty, place // 50 AS batch, min(dirty) OVER (PARTITION BY place // 50) AS first_value FROM listed),
+failing AS (SELECT min(batch) // 200 AS wave FROM calls WHERE length(first_value) % 3 = 0)"""
+
+_DAMAGED = """
+lines AS (SELECT *, l_orderkey % 11 AS kind, '"' || coalesce(notes, '') || '"' AS note,
+  list_transform([{first}], lambda v: '"' || coalesce(v, '') || '"') AS shown
+  FROM raw)""".format(first=", ".join(_RAW_COLUMNS[:-1]))
+
+_REPORT_COLUMNS = ["label", "day", "amount", "count", "share", "more", "text"]
+
+
+def _published(name: str, origin: str, **columns: str) -> str:
+    kinds = ["VARCHAR", "DATE", "DOUBLE", "BIGINT", "DOUBLE", "DOUBLE", "VARCHAR"]
+    shown = ", ".join(
+        f"CAST({columns.get(column, 'NULL')} AS {kind}) AS {column}"
+        for column, kind in zip(_REPORT_COLUMNS, kinds, strict=True)
+    )
+    return f"SELECT '{name}' AS report_table, {shown}, (SELECT max(day) FROM tx) AS report_date FROM ({origin}) AS t"
+
+
+ORACLES.update(
+    resolver_calls=f"""WITH {_BASE}, {_CALLS}
+SELECT batch, CAST(count(*) AS BIGINT) AS size, min(dirty) AS first_value, max(dirty) AS last_value FROM calls GROUP BY 1""",
+    restarted_resolver=f"""WITH {_BASE}, {_CALLS}
+SELECT 'customers' AS domain, dirty, CASE WHEN length(first_value) % 3 = 0 OR batch // 200 > (SELECT wave FROM failing)
+  THEN 'second ' ELSE 'first ' END || dirty AS clean FROM calls""",
+    scan_damaged_csv=f"""WITH {_RAW}
+SELECT * REPLACE ({_MISSING_TEXTS}) FROM (SELECT {_RAW_LIST} FROM raw WHERE l_orderkey % 11 > 3)""",
+    rejected_records=f"""WITH {_RAW}, {_DAMAGED}
+SELECT array_to_string(shown[:8], ',') AS record, 'number of fields' AS problem FROM lines WHERE kind = 0
+UNION ALL SELECT array_to_string(shown, ',') || ',' || note || ',more', 'number of fields' FROM lines WHERE kind = 1
+UNION ALL SELECT array_to_string(shown, ',') || ',"cut', 'open quote' FROM lines WHERE kind = 2
+UNION ALL SELECT shown[1] || ',"cut', 'open quote' FROM lines WHERE kind = 3
+UNION ALL SELECT 'in two"', 'open quote' FROM lines WHERE kind = 2
+UNION ALL SELECT 'in two",' || array_to_string(shown[3:], ',') || ',' || note, 'open quote' FROM lines WHERE kind = 3""",
+    clean_damaged_csv=f"""WITH {_BASE}
+SELECT CAST(count(*) FILTER (l_orderkey % 11 > 3) AS BIGINT) AS rows_processed,
+  CAST(sum(CASE l_orderkey % 11 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 2 ELSE 0 END) AS BIGINT) AS records_rejected,
+  CAST(count(*) FILTER (l_orderkey % 11 > 3 AND clean_revenue IS NULL) AS BIGINT) AS null_revenues,
+  CAST(count(DISTINCT region) FILTER (l_orderkey % 11 > 3) AS BIGINT) AS unique_regions FROM dirty""",
+    scan_errors=f"""WITH {_BASE}
+SELECT 'nothing written' AS step, '<path> not found. Write the raw transactions first.' AS outcome, CAST(NULL AS BIGINT) AS rows
+UNION ALL SELECT 'columns missing', '<path> is missing expected columns: [''notes'', ''product_sku'', ''quantity'', ''sales_rep'']. '
+  || 'Re-run the step that writes it.', NULL
+UNION ALL SELECT 'all there', 'read', count(*) FROM dirty""",
+    published_segments=f"""WITH {_BASE}
+SELECT 'Segment ' || l_suppkey AS industry_segment_clean, {_round('sum(l_extendedprice::DECIMAL(18,2))::DOUBLE')} AS revenue,
+  CAST(count(*) AS BIGINT) AS transactions, CAST(count(DISTINCT company) AS BIGINT) AS unique_customers,
+  {_pct('sum(l_extendedprice::DECIMAL(18,2))::DOUBLE', '(SELECT sum(l_extendedprice::DECIMAL(18,2))::DOUBLE FROM base)')} / 100 AS share,
+  (SELECT max(order_day) FROM base) AS report_date
+FROM base GROUP BY l_suppkey""",
+    published_tables=f"WITH {_TX} "
+    + " UNION ALL ".join(
+        [
+            _published("kpi_tiles", ORACLES["kpi_tiles"], label="label", text="value"),
+            _published("takeaway", ORACLES["takeaway"], text="takeaway"),
+            _published(
+                "customers", ORACLES["report_customers"], label="customer_name_clean", amount="revenue",
+                count="transactions", share="share", more="cumulative_share",
+            ),
+            *[
+                _published(
+                    name, ORACLES[f"report_{name}"], label=dimension, amount="revenue", count="transactions",
+                    share="share", more="unique_customers",
+                )
+                for name, dimension in (("segments", _SEGMENT), ("regions", _REGION))
+            ],
+            _published(
+                "weekly", ORACLES["weekly_report"], day="week_ending", amount="revenue", count="transactions",
+                share="wow_change", text="note",
+            ),
+            _published("weekly_chart", ORACLES["weekly_complete"], day="week_ending", amount="revenue"),
+            _published(
+                "pareto_curve", ORACLES["pareto_curve"], label="customer_name_clean", share="cumulative_share",
+                more="threshold_line",
+            ),
+        ]
+    ),
+)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +28,10 @@ from clearbook.operators import (
     weekly,
 )
 from clearbook.plans import analysis, reporting
-from clearbook.plans.cleaning import load_clean, run_cleaning
+from clearbook.plans.cleaning import load_clean, run_cleaning, run_cleaning_file
 from clearbook.schemas import RAW_COLUMNS
 from clearbook.sources import files, publication, star
+from clearbook.sources.answers import ResolverError, resolve_into
 from clearbook.sources.mapping_table import append_mapping, read_mapping
 from clearbook.sources.staging import fresh_path, stage
 
@@ -340,6 +343,30 @@ def resolve_batches(spark, folder):
     return resolver.resolve_batches(values, answer)
 
 
+@query
+def resolver_calls(spark, folder):
+    """The calls that an external resolver would get for all spellings of customers: 50 values each, in order."""
+    values = mapping.distinct_values(star.dirty_texts(spark, folder), "customer_name")
+    return resolver.batch_sizes(resolver.batches_of(values))
+
+
+@query
+def restarted_resolver(spark, folder):
+    """Two runs into one stored mapping: in the first some calls fail, the second asks for the values without an answer."""
+    path = fresh_path(spark, "mapping")
+    values = stage(mapping.distinct_values(star.dirty_texts(spark, folder), "customer_name"), "values")
+
+    def failing(batch):
+        if len(batch[0]) % 3 == 0:
+            raise TimeoutError("the service is down")
+        return {value: f"first {value}" for value in batch}
+
+    with contextlib.suppress(ResolverError):
+        resolve_into(values, path, "customers", failing)
+    resolve_into(values, path, "customers", lambda batch: {value: f"second {value}" for value in batch})
+    return read_mapping(spark, path, "customers")
+
+
 def _answers(spark, folder):
     """One JSON answer per customer; every seventh is cut short, every eleventh is empty."""
     customers = star.table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -506,6 +533,71 @@ def scan_csv_missing_column(spark, folder):
     return quality.column_check(header).select("column_name", "present", "filled_rows")
 
 
+def _damaged_csv(spark, folder):
+    """Raw transactions as CSV lines of which some lack fields, have too many, or are cut in two within a quoted value."""
+    raw = star.dirty_transactions(spark, folder)
+    path = fresh_path(spark, "raw-csv")
+    number = F.try_element_at(F.split("transaction_id", "-"), F.lit(1)).cast("long") % 11
+    values = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in RAW_COLUMNS]
+    cut = F.lit('"cut\nin two"')
+    line = (
+        F.when(number == 0, F.concat_ws(",", *values[:-2]))
+        .when(number == 1, F.concat_ws(",", *values, F.lit("more")))
+        .when(number == 2, F.concat_ws(",", *values[:-1], cut))
+        .when(number == 3, F.concat_ws(",", values[0], cut, *values[2:]))
+        .otherwise(F.concat_ws(",", *values))
+    )
+    # written as they are, under a column whose name is the header, so that every file begins with it
+    as_they_are = {"sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines = raw.select(F.explode(F.split(line, "\n")).alias(",".join(RAW_COLUMNS)))
+    lines.write.options(header=True, **as_they_are).csv(path)
+    return path
+
+
+@query
+def scan_damaged_csv(spark, folder):
+    return files.scan_raw_records(spark, _damaged_csv(spark, folder), tolerated=0.6).rows
+
+
+@query
+def rejected_records(spark, folder):
+    scan = files.scan_raw_records(spark, _damaged_csv(spark, folder), tolerated=0.6)
+    return scan.rejected.select("record", "problem")
+
+
+@query
+def clean_damaged_csv(spark, folder):
+    """What the report of the cleaning job says about a file with damaged records."""
+    paths = [fresh_path(spark, name) for name in ("clean", "report")]
+    report = run_cleaning_file(spark, _damaged_csv(spark, folder), *paths, tolerated=0.6)
+    return report.select("rows_processed", "records_rejected", "after.null_revenues", "before.unique_regions")
+
+
+@query
+def scan_errors(spark, folder):
+    """What the scans say about input that is not there yet, or lacks columns, and how many rows they find otherwise."""
+    path = fresh_path(spark, "raw-csv")
+
+    def outcome(step):
+        try:
+            return spark.createDataFrame([(step, "read")], "step string, outcome string").withColumn(
+                "rows", F.lit(files.read_raw_csv(spark, path).count())
+            )
+        except (FileNotFoundError, ValueError) as error:
+            said = str(error).replace(path, "<path>")
+            return spark.createDataFrame([(step, said)], "step string, outcome string").withColumn(
+                "rows", F.lit(None).cast("long")
+            )
+
+    found = outcome("nothing written")
+    raw = star.dirty_texts(spark, folder)
+    files.write_csv(raw, path)
+    found = found.unionByName(outcome("columns missing"))
+    lacking = [F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS if c not in raw.columns]
+    files.write_csv(raw.select("*", *lacking), path)
+    return found.unionByName(outcome("all there"))
+
+
 @query
 def scan_weekly_csv(spark, folder):
     path = fresh_path(spark, "weekly-csv")
@@ -601,6 +693,61 @@ def delivered_report(spark, folder):
     )
 
 
+@query
+def published_tables(spark, folder):
+    """All eight tables of a delivered report, as they were published, in one form."""
+    reports, _ = _delivered(spark, folder)
+    columns = {
+        "kpi_tiles": {"label": "label", "text": "value"},
+        "takeaway": {"text": "takeaway"},
+        "customers": {
+            "label": measures.CUSTOMER, "amount": "revenue", "count": "transactions", "share": "share",
+            "more": "cumulative_share",
+        },
+        "segments": {
+            "label": measures.SEGMENT, "amount": "revenue", "count": "transactions", "share": "share",
+            "more": "unique_customers",
+        },
+        "regions": {
+            "label": measures.REGION, "amount": "revenue", "count": "transactions", "share": "share",
+            "more": "unique_customers",
+        },
+        "weekly": {"day": "week_ending", "amount": "revenue", "count": "transactions", "share": "wow_change", "text": "note"},
+        "weekly_chart": {"day": "week_ending", "amount": "revenue"},
+        "pareto_curve": {"label": measures.CUSTOMER, "share": "cumulative_share", "more": "threshold_line"},
+    }
+    kinds = {"label": "string", "day": "date", "amount": "double", "count": "long", "share": "double", "more": "double", "text": "string"}
+    tables = []
+    for name, own in columns.items():
+        published = publication.latest(spark, f"{reports}/{name}")
+        values = [
+            (F.col(own[column]) if column in own else F.lit(None)).cast(kind).alias(column) for column, kind in kinds.items()
+        ]
+        tables.append(published.select(F.lit(name).alias("report_table"), *values, "report_date"))
+    return functools.reduce(DataFrame.unionByName, tables)
+
+
+@query
+def published_segments(spark, folder):
+    """A published breakdown with as many values as there are suppliers."""
+    results, reports, log = (fresh_path(spark, name) for name in ("results", "reports", "log"))
+    lines = star.base_transactions(spark, folder)
+    measured = measures.to_measures(
+        lines.select(
+            "transaction_id",
+            F.col("company").alias(measures.CUSTOMER),
+            F.col("true_region").alias(measures.REGION),
+            F.concat(F.lit("Segment "), F.col("l_suppkey").cast("string")).alias(measures.SEGMENT),
+            F.col("order_day").alias(measures.DAY),
+            F.col("l_extendedprice").alias("revenue_usd_clean"),
+        )
+    )
+    by_day = stage(measures.roll_up(measured, measures.DAY), "days")
+    analysis.run_analysis(measured, by_day, results)
+    reporting.deliver(spark, f"{results}/analysis_results", f"{results}/weekly_revenue", reports, log)
+    return publication.latest(spark, f"{reports}/segments").drop("year")
+
+
 @query
 def delivery_entries(spark, folder):
     _, log = _delivered(spark, folder)

@@ -6,17 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbook.operators import report_tables
+from clearbook.operators.measures import REGION, SEGMENT
 from clearbook.sources import files
 from clearbook.sources.publication import publish
 
 
-def _rows_of(document: DataFrame, array: str) -> DataFrame:
-    return document.select(F.inline(array))
-
-
-def report_from(document: DataFrame, weeks: DataFrame) -> dict[str, DataFrame]:
-    """The report tables by name."""
-    top = _rows_of(document, "top_customers")
+def report_from(document: DataFrame, weeks: DataFrame, segments: DataFrame, regions: DataFrame) -> dict[str, DataFrame]:
+    """The report tables by name. The breakdowns are whole tables; the document shows their largest values only."""
+    top = document.select(F.inline("top_customers"))
     summaries = [
         document.select(f"{name}.*") for name in ("dataset_summary", "pareto_summary", "weekly_summary")
     ]
@@ -24,22 +21,35 @@ def report_from(document: DataFrame, weeks: DataFrame) -> dict[str, DataFrame]:
         "kpi_tiles": report_tables.kpi_tiles(*summaries),
         "takeaway": report_tables.takeaway(summaries[1]),
         "customers": report_tables.report_customers(top),
-        "segments": report_tables.report_breakdown(_rows_of(document, "segment_breakdown")),
-        "regions": report_tables.report_breakdown(_rows_of(document, "region_breakdown")),
+        "segments": report_tables.report_breakdown(segments),
+        "regions": report_tables.report_breakdown(regions),
         "weekly": report_tables.weekly_report(weeks),
         "weekly_chart": report_tables.weekly_complete(weeks),
         "pareto_curve": report_tables.pareto_curve(top),
     }
 
 
-def run_report(spark: SparkSession, results_path: str, weekly_path: str, folder: str) -> list[str]:
-    """Publish every report table under the last day of the data; returns the table paths."""
+def run_report(
+    spark: SparkSession,
+    results_path: str,
+    weekly_path: str,
+    folder: str,
+    segments_path: str | None = None,
+    regions_path: str | None = None,
+) -> list[str]:
+    """Publish every report table under the last day of the data; returns the table paths.
+
+    The breakdowns are read where the analysis job writes them, beside the
+    result document, unless other paths are given.
+    """
+    beside = results_path.rstrip("/").rpartition("/")[0]
     document = files.read_results(spark, results_path)
     weeks = files.read_weekly_csv(spark, weekly_path)
+    segments = files.read_breakdown(spark, segments_path or f"{beside}/segment_breakdown", SEGMENT)
+    regions = files.read_breakdown(spark, regions_path or f"{beside}/region_breakdown", REGION)
     last_day = document.select(F.col("dataset_summary.date_range_end").cast("date")).scalar()
-    return [
-        publish(table, folder, name, last_day) for name, table in report_from(document, weeks).items()
-    ]
+    tables = report_from(document, weeks, segments, regions)
+    return [publish(table, folder, name, last_day) for name, table in tables.items()]
 
 
 def deliver(

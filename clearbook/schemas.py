@@ -39,11 +39,12 @@ _CUSTOMER_ROW = (
 )
 
 
+def breakdown(dimension: str) -> str:
+    return f"{dimension} string, revenue double, transactions bigint, unique_customers bigint, pct_of_total double"
+
+
 def _breakdown_row(dimension: str) -> str:
-    return (
-        f"struct<{dimension}: string, revenue: double, transactions: bigint, "
-        "unique_customers: bigint, pct_of_total: double>"
-    )
+    return f"struct<{breakdown(dimension).replace(' ', ': ').replace(',: ', ', ')}>"
 
 
 RESULTS = (

@@ -30,6 +30,15 @@ def read_mapping(spark: SparkSession, path: str, domain: str | None = None) -> D
 def append_mapping(new: DataFrame, path: str, domain: str) -> None:
     """Store the pairs whose dirty value has no stored mapping yet, one for each; stored pairs always win."""
     stored = read_mapping(new.sparkSession, path, domain)
-    fresh = one_pair_each(only_new(new, stored))
-    dated = fresh.select(F.lit(domain).alias("domain"), "dirty", "clean", F.current_timestamp().alias("stored_at"))
-    dated.write.mode("append").partitionBy("domain").parquet(path)
+    write_pairs(one_pair_each(only_new(new, stored)), path, domain)
+
+
+def write_pairs(pairs: DataFrame, path: str, domain: str, as_tasks_end: bool = False) -> None:
+    """Add (dirty, clean) pairs as they are.
+
+    With ``as_tasks_end`` each task's pairs are there when it ends, even if the
+    job fails later; else they all appear when the job ends.
+    """
+    dated = pairs.select(F.lit(domain).alias("domain"), "dirty", "clean", F.current_timestamp().alias("stored_at"))
+    committer = "mapreduce.fileoutputcommitter.algorithm.version"
+    dated.write.mode("append").option(committer, "2" if as_tasks_end else "1").partitionBy("domain").parquet(path)

@@ -21,13 +21,15 @@ def publish(
 ) -> str:
     """Write a report table, or some ``columns`` of it, under ``<table>/year=/report_date=``, a file for each date.
 
-    Publishing the same date again replaces that date and leaves the others.
+    Publishing the same date again replaces that date and leaves the others. A
+    date's rows are dealt to its file by Spark's rebalancing: a date with more
+    than a partition should hold gets several files.
     """
     path = f"{folder.rstrip('/')}/{table}"
     shown = report.columns if columns is None else list(columns)
     dated = report.select(*shown, F.year(report_date).alias("year"), report_date.alias("report_date"))
     (
-        dated.repartition("year", "report_date")
+        dated.hint("rebalance", "year", "report_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "report_date")

@@ -64,6 +64,63 @@ def test_a_missing_csv_column_is_named(spark, tmp_path):
         files.read_raw_csv(spark, str(tmp_path / "raw"))
 
 
+def test_damaged_records_are_set_aside(spark, tmp_path):
+    names = ["a", "b c", "n"]
+    header = 'a,"b c",n'
+    good = ["1,x,5", '2,"x, y",6', '"3","say ""hi""",7', "4,,", '5,z,"8"', "6,  blanks  ,9", "7,NA,x"]
+    bad = ["8,short", "9,x,5,long", '10,"cut', 'in two",5', '11,x,"cut', 'at the end"', "lonely"]
+    write_text(tmp_path / "raw", "a.csv", "\n".join([header, *good[:4], *bad[:3], "", " "]) + "\n")
+    write_text(tmp_path / "raw", "b.csv", "\r\n".join([header, *bad[3:], *good[4:], header]) + "\r\n")
+    schema = "n int, `b c` string, a string"
+    scan = files.scan_csv(spark, str(tmp_path / "raw"), schema, missing_tokens=["NA"], tolerated=0.6)
+    assert scan.rows.columns == ["n", "b c", "a"] and set(names) == set(scan.rows.columns)
+    assert sorted(map(tuple, scan.rows.collect()), key=lambda r: r[2]) == [
+        (5, "x", "1"), (6, "x, y", "2"), (7, 'say "hi"', "3"), (None, None, "4"), (8, "z", "5"), (9, "  blanks  ", "6"),
+        (None, None, "7"),
+    ]
+    assert sorted(r.record for r in scan.rejected.collect()) == sorted(bad)
+    assert (scan.n_rows, scan.n_rejected) == (len(good), len(bad))
+    problems = {r.record: r.problem for r in scan.rejected.collect()}
+    assert problems["8,short"] == "number of fields" and problems['11,x,"cut'] == "open quote"
+    assert {Path(r.file).name for r in scan.rejected.where("record = 'lonely'").collect()} == {"b.csv"}
+    with pytest.raises(files.DamagedRecords, match="7 of 14 records"):
+        files.scan_csv(spark, str(tmp_path / "raw"), schema, tolerated=0.4)
+    with pytest.raises(ValueError, match="missing.*other"):
+        files.scan_csv(spark, str(tmp_path / "raw"), "other string")
+    with pytest.raises(FileNotFoundError, match="first"):
+        files.scan_csv(spark, str(tmp_path / "no"), schema, "Write it first.")
+    write_text(tmp_path / "raw", "c.csv", 'n,"b c",a\n1,2,3\n')
+    with pytest.raises(ValueError, match="c.csv has not the header"):
+        files.scan_csv(spark, str(tmp_path / "raw"), schema, tolerated=1.0)
+
+
+def test_scans_without_damage_or_without_rows(spark, tmp_path):
+    rows = [(str(i), f'a "{i}", b', " x ", None, None, None, None, None, None, "é") for i in range(50)]
+    raw = spark.createDataFrame(rows, schemas.RAW).repartition(4)
+    files.write_csv(raw, str(tmp_path / "raw"))
+    scan = files.scan_raw_records(spark, str(tmp_path / "raw"))
+    assert sorted(scan.rows.collect()) == sorted(files.read_raw_csv(spark, str(tmp_path / "raw")).collect())
+    assert (scan.n_rows, scan.n_rejected, scan.rejected.count()) == (50, 0, 0)
+    write_text(tmp_path / "none", "a.csv", ",".join(schemas.RAW_COLUMNS) + "\n")
+    assert files.scan_raw_records(spark, str(tmp_path / "none")).rows.count() == 0
+
+
+def test_the_cleaning_job_counts_rejected_records(spark, tmp_path):
+    files.write_csv(raw_rows(spark, RAW).coalesce(1), str(tmp_path / "raw"))
+    write_text(tmp_path / "raw", "more.csv", ",".join(schemas.RAW_COLUMNS) + "\nT9,half a record\n")
+    paths = [str(tmp_path / name) for name in ("clean", "report")]
+    before = staged_tables(spark)
+    with pytest.raises(files.DamagedRecords):
+        cleaning.run_cleaning_file(spark, str(tmp_path / "raw"), *paths)
+    report = cleaning.run_cleaning_file(
+        spark, str(tmp_path / "raw"), *paths, rejected_path=str(tmp_path / "rejected"), tolerated=0.2
+    ).first()
+    assert (report.rows_processed, report.records_rejected) == (6, 1)
+    assert spark.read.parquet(str(tmp_path / "rejected")).first().record == "T9,half a record"
+    assert spark.read.parquet(paths[0]).count() == 6
+    assert staged_tables(spark) == before
+
+
 def test_clean_csv_values_that_are_none(spark, tmp_path):
     names = schemas.CLEAN.fieldNames()
     values = {"revenue_usd_clean": ["1.5", "NaN", "inf", "-Infinity", "x", ""], "order_date_clean": ["2024-01-02", "soon", "", "", "", ""]}
@@ -216,6 +273,25 @@ def test_analysis_report_and_delivery(spark, tmp_path, eight_rows):
     assert all(r.size.endswith(" KB") and r.bytes > 0 for r in catalog)
 
 
+def test_breakdowns_are_published_whole(spark, tmp_path):
+    rows = [(f"T{i}", f"C{i % 3}", f"R{i % 60}", f"S{i}", 10.0 + i, dt.date(2024, 1, 1 + i % 20)) for i in range(80)]
+    names = (
+        "transaction_id customer_name_clean region_clean industry_segment_clean revenue_usd_clean order_date_clean"
+    ).split()
+    measured = to_measures(spark.createDataFrame(rows, names))
+    results, reports = str(tmp_path / "results"), str(tmp_path / "reports")
+    analysis.run_analysis(measured, measured, results)
+    reporting.deliver(spark, f"{results}/analysis_results", f"{results}/weekly_revenue", reports, str(tmp_path / "log"))
+    segments = publication.latest(spark, f"{reports}/segments")
+    assert {r.industry_segment_clean: r.revenue for r in segments.collect()} == {r[3]: r[4] for r in rows}
+    assert publication.latest(spark, f"{reports}/regions").count() == 60
+    reporting.run_report(
+        spark, f"{results}/analysis_results", f"{results}/weekly_revenue", str(tmp_path / "again"),
+        f"{results}/segment_breakdown", f"{results}/region_breakdown",
+    )
+    assert spark.read.parquet(str(tmp_path / "again" / "segments")).count() == 80
+
+
 def test_publication_keeps_other_dates(spark, tmp_path):
     for day, value in [("2023-03-15", 1), ("2024-12-31", 2), ("2024-01-07", 3), ("2023-03-15", 4)]:
         report = spark.createDataFrame([(value,)], "value int")
