@@ -239,13 +239,21 @@ FROM told
 def _looped(doc_id: Column, text: Column) -> Column:
     """The text, or for every tenth document by checksum its words with a tail that goes in circles."""
     number = F.crc32(doc_id.cast("string"))
-    words = F.regexp_extract_all(text, F.lit(mixing.WORD), F.lit(0))
-    n, g = F.greatest(F.size(words), F.lit(1)), F.floor(number / 10)
-    at = g % n
-    period = 1 + F.floor((n - at) / (3 + g % 8))
-    places = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.when(i < at, i).otherwise(at + (i - at) % period))
-    looped = F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " ")
-    return F.when((number % 10 == 0) & (F.size(words) > 0), looped).otherwise(text)
+
+    def in_circles(words: Column) -> Column:
+        n, g = F.greatest(F.size(words), F.lit(1)), F.floor(number / 10)
+        at = g % n
+        period = 1 + F.floor((n - at) / (3 + g % 8))
+        places = F.transform(
+            F.sequence(F.lit(0).cast("long"), n.cast("long") - 1),
+            lambda i: F.when(i < at, i).otherwise(at + (i - at) % period),
+        )
+        return F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " ")
+
+    # the words become a variable of the lambda, or they would be cut out of the text anew for every place
+    words = F.array(F.regexp_extract_all(text, F.lit(mixing.WORD), F.lit(0)))
+    looped = F.transform(words, lambda own: F.when(F.size(own) > 0, in_circles(own)))[0]
+    return F.when(number % 10 == 0, F.coalesce(looped, text)).otherwise(text)
 
 
 @query
