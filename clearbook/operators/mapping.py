@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.text import has_text
+from clearbook.names import unused_name
 from clearbook.sources.staging import stage
 
 # A value is hot when it holds at least this share of all rows; at most
@@ -52,19 +53,20 @@ def apply_mapping(
     total = counts.agg(F.sum("n")).scalar()
     hot = counts.where(F.col("n") >= total * HOT_SHARE).select("dirty").join(pairs, "dirty")
     spread = F.coalesce(F.col(spread_by).cast("string"), F.xxhash64(*df.columns).cast("string"))
+    hot_value, hot_clean, is_open, key, other, other_clean = (
+        unused_name(name, [*df.columns, target]) for name in ("hot", "hot_clean", "open", "key", "other", "other_clean")
+    )
     looked_up = df.join(
-        F.broadcast(hot.select(F.col("dirty").alias("_hot"), F.col("clean").alias("_hot_clean"))),
-        value == F.col("_hot"),
+        F.broadcast(hot.select(F.col("dirty").alias(hot_value), F.col("clean").alias(hot_clean))),
+        value == F.col(hot_value),
         "left",
     )
-    found = F.col("_hot_clean")
-    is_open = has_text(value) & found.isNull()
-    keyed = looked_up.withColumns({"_open": is_open, "_key": F.when(is_open, value).otherwise(spread)})
-    others = pairs.select(F.col("dirty").alias("_dirty"), F.col("clean").alias("_clean"))
-    joined = keyed.join(others, (F.col("_key") == F.col("_dirty")) & F.col("_open"), "left")
-    return joined.withColumn(target, F.coalesce(found, F.col("_clean"), value)).drop(
-        "_open", "_key", "_hot", "_hot_clean", "_dirty", "_clean"
-    )
+    opened = has_text(value) & F.col(hot_clean).isNull()
+    keyed = looked_up.withColumns({is_open: opened, key: F.when(opened, value).otherwise(spread)})
+    others = pairs.select(F.col("dirty").alias(other), F.col("clean").alias(other_clean))
+    joined = keyed.join(others, (F.col(key) == F.col(other)) & F.col(is_open), "left")
+    found = F.coalesce(hot_clean, other_clean, value)
+    return joined.withColumn(target, found).drop(hot_value, hot_clean, is_open, key, other, other_clean)
 
 
 def only_new(values: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -580,6 +580,21 @@ lines AS (SELECT *, l_orderkey % 11 AS kind, '"' || coalesce(notes, '') || '"' A
   list_transform([{first}], lambda v: '"' || coalesce(v, '') || '"') AS shown
   FROM raw)""".format(first=", ".join(_RAW_COLUMNS[:-1]))
 
+_MISTYPED = """
+ones AS (SELECT *, substr(c_name, 1, 1) || substr(c_name, 3) AS one FROM customer),
+twos AS (SELECT *, CASE c_custkey % 3 WHEN 0 THEN substr(one, 1, 3) || substr(one, 5) WHEN 1 THEN substr(one, 1, 3) || 'x' || substr(one, 5)
+           ELSE substr(one, 1, 5) || 'x' || substr(one, 6) END AS two FROM ones),
+forms AS (SELECT c_name, unnest([c_name, one, two, substr(two, 1, 1) || 'z' || substr(two, 3)]) AS dirty,
+          unnest([90, 30, 9, 2]) AS rows FROM twos),
+mistyped AS (SELECT dirty, min(c_name) AS c_name, CAST(sum(rows) AS BIGINT) AS n FROM forms GROUP BY dirty)"""
+
+
+def _mistyped(joins: str, where: str = "true") -> str:
+    return f"""WITH {_MISTYPED}
+SELECT dirty, CASE WHEN {joins} THEN c_name ELSE dirty END AS clean, n,
+  CASE WHEN n < 90 AND {joins} THEN 'edit' ELSE 'same' END AS merged_by FROM mistyped WHERE {where}"""
+
+
 _REPORT_COLUMNS = ["label", "day", "amount", "count", "share", "more", "text"]
 
 
@@ -598,6 +613,16 @@ SELECT batch, CAST(count(*) AS BIGINT) AS size, min(dirty) AS first_value, max(d
     restarted_resolver=f"""WITH {_BASE}, {_CALLS}
 SELECT 'customers' AS domain, dirty, CASE WHEN length(first_value) % 3 = 0 OR batch // 200 > (SELECT wave FROM failing)
   THEN 'second ' ELSE 'first ' END || dirty AS clean FROM calls""",
+    two_edit_names=_mistyped("n >= 9", "n <> 30"),
+    chained_names=_mistyped("true"),
+    unchained_names=_mistyped("n >= 30"),
+    vocabulary_match="""WITH texts AS (
+  SELECT DISTINCT CASE l_partkey % 4 WHEN 0 THEN 'via SUPPLIER#' || number || ' today' WHEN 1 THEN 'plier#' || number
+    WHEN 2 THEN right(number, 4) ELSE 'depot ' || l_partkey END AS dirty
+  FROM (SELECT l_partkey, lpad(CAST(l_partkey // 16 AS VARCHAR), 9, '0') AS number FROM lineitem)),
+entries AS (SELECT s_suppkey * 7919 % 100003 AS ordinal, s_name AS entry FROM supplier)
+SELECT dirty, arg_min(entry, ordinal) AS entry, min(ordinal) AS ordinal
+FROM texts LEFT JOIN entries ON contains(lower(dirty), lower(entry)) OR contains(lower(entry), lower(dirty)) GROUP BY dirty""",
     scan_damaged_csv=f"""WITH {_RAW}
 SELECT * REPLACE ({_MISSING_TEXTS}) FROM (SELECT {_RAW_LIST} FROM raw WHERE l_orderkey % 11 > 3)""",
     rejected_records=f"""WITH {_RAW}, {_DAMAGED}

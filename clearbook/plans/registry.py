@@ -15,6 +15,7 @@ from clearbook.functions.vocabulary import REGION_SPELLINGS, REGIONS, SEGMENTS
 from clearbook.operators import (
     breakdown,
     cleaning,
+    containment,
     mapping,
     measures,
     names,
@@ -333,6 +334,59 @@ def canonical_customers(spark, folder):
     return names.canonical_names(values)
 
 
+def _mistyped_names(spark, folder):
+    """Customer names with their number of rows: the name itself, and forms with one edit more each, each rarer."""
+    name = F.col("c_name")
+
+    def without(letters, place):
+        return F.concat(F.substring(letters, 1, place), F.substring(letters, place + 2, 999))
+
+    one = without(name, 1)
+    two = F.when(F.col("c_custkey") % 3 == 0, without(one, 3)).when(
+        F.col("c_custkey") % 3 == 1, F.overlay(one, F.lit("x"), F.lit(4))
+    ).otherwise(F.concat(F.substring(one, 1, 5), F.lit("x"), F.substring(one, 6, 999)))
+    three = F.overlay(two, F.lit("z"), F.lit(2))
+    forms = [F.struct(form.alias("dirty"), F.lit(n).alias("n")) for form, n in ((name, 90), (one, 30), (two, 9), (three, 2))]
+    customers = star.table(spark, folder, "customer")
+    return customers.select(F.inline(F.array(*forms))).groupBy("dirty").agg(F.sum("n").alias("n"))
+
+
+@query
+def two_edit_names(spark, folder):
+    """What is within two edits of a far more frequent name joins it; three edits are too many."""
+    counts = _mistyped_names(spark, folder).where(F.col("n") != 30)
+    return names.canonical_names(counts, distance=2)
+
+
+@query
+def chained_names(spark, folder):
+    """Each form is one edit from the one before; followed from one to the next, all lead to the name."""
+    return names.canonical_names(_mistyped_names(spark, folder), chains=True)
+
+
+@query
+def unchained_names(spark, folder):
+    """The same forms with one edit allowed: the third and fourth form stay apart."""
+    return names.canonical_names(_mistyped_names(spark, folder))
+
+
+@query
+def vocabulary_match(spark, folder):
+    """Texts about suppliers against the table of suppliers: the first entry that holds the text, or is held by it."""
+    suppliers = star.table(spark, folder, "supplier")
+    entries = suppliers.select((F.col("s_suppkey") * 7919 % 100003).alias("ordinal"), F.col("s_name").alias("entry"))
+    part = F.col("l_partkey")
+    number = F.lpad(F.floor(part / 16).cast("string"), 9, "0")
+    text = (
+        F.when(part % 4 == 0, F.concat(F.lit("via SUPPLIER#"), number, F.lit(" today")))
+        .when(part % 4 == 1, F.concat(F.lit("plier#"), number))
+        .when(part % 4 == 2, F.right(number, F.lit(4)))
+        .otherwise(F.concat(F.lit("depot "), part.cast("string")))
+    )
+    values = star.table(spark, folder, "lineitem").select(text.alias("dirty"))
+    return containment.first_containing(values, entries)
+
+
 @query
 def resolve_batches(spark, folder):
     values = mapping.distinct_values(star.dirty_texts(spark, folder), "customer_name")

@@ -34,6 +34,16 @@ def test_lookup_falls_back_to_the_value(spark, dirty, with_counts, threshold):
     assert len(found) == len(ROWS) and found[0].asDict().keys() == {"id", "v", "clean_v"}
 
 
+def test_no_column_name_is_reserved(spark, dirty):
+    known = spark.createDataFrame([("a", "A")], "dirty string, clean string")
+    extra = ["_key", "_open", "_hot", "_hot_clean", "_dirty", "_clean", "hot", "Hot_Clean", "open", "KEY", "other", "other_clean"]
+    named = dirty.select("*", *[F.lit(name).alias(name) for name in extra])
+    found = mapping.apply_mapping(named, "v", known, "clean_v", spread_by="id")
+    assert found.columns == [*named.columns, "clean_v"]
+    assert all([r[name] for name in extra] == extra for r in found.collect())
+    assert found.where("clean_v = 'A'").count() == 2
+
+
 def test_only_hot_values_are_broadcast(spark):
     rows = spark.range(10).select(F.col("id"), F.col("id").cast("string").alias("v"))
     known = spark.range(5000).select(F.col("id").cast("string").alias("dirty"), F.lit("x").alias("clean"))
