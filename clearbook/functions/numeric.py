@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.text import strip
 
+CENTS = "decimal(38,0)"
+
 # What a plain number is written with. Other letters are kept out, since the
 # cast would read "1d", "1f", "nan" and "inf" as numbers.
 NUMBER_CHARACTERS = "0123456789+-.eE"
 
-# Amounts beyond this are no revenue of one transaction. Within it, cents of some
-# hundred thousand transactions of the largest size still add up in a long.
-LARGEST_AMOUNT = 1e11
+# Cents of amounts up to this are added up as longs, which hold those of some hundred million transactions of that
+# size. Larger ones are added up as decimals of 38 digits, which hold a billion transactions of the largest size.
+ORDINARY_AMOUNT = 1e9
+LARGEST_AMOUNT = 1e25
 
 
 def round_half_even(value: Column, digits: int) -> Column:
@@ -39,17 +42,23 @@ def is_countable(amount: Column) -> Column:
 
 
 def to_cents(amount: Column) -> Column:
-    """Whole cents as a long: sums are exact and independent of the partitioning. Null if not countable."""
-    return F.when(is_countable(amount), F.rint(amount * 100).cast("long"))
+    """Whole cents as a long: sums are exact and independent of the partitioning. Null beyond ORDINARY_AMOUNT."""
+    return F.when(F.abs(amount) <= ORDINARY_AMOUNT, F.rint(amount * 100).cast("long"))
+
+
+def to_large_cents(amount: Column) -> Column:
+    """Whole cents as a decimal for the countable amounts that ``to_cents`` leaves out; null for all others."""
+    is_large = is_countable(amount) & (F.abs(amount) > ORDINARY_AMOUNT)
+    return F.when(is_large, F.rint(amount * 100).cast(CENTS))
 
 
 def cents_to_amount(cents: Column) -> Column:
     return cents.cast("double") / 100
 
 
-def wide(cents: Column) -> Column:
-    """Cents as a decimal, for sums over groups whose total might leave a long."""
-    return cents.cast("decimal(20,0)")
+def all_cents(cents: Column, large: Column) -> Column:
+    """Cents of ordinary and of large amounts together, as a decimal, for sums that might leave a long."""
+    return F.when(large.isNull(), cents.cast(CENTS)).otherwise(F.coalesce(cents, F.lit(0)).cast(CENTS) + large)
 
 
 def percent_of(part: Column, whole: Column) -> Column:

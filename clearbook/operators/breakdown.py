@@ -1,15 +1,78 @@
-"""Revenue by any dimension."""
+"""Revenue by any dimension, or by several at once."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.functions.numeric import cents_to_amount, percent_of, round_half_even, wide
-from clearbook.operators.measures import CUSTOMER, REGION, SEGMENT
+from clearbook.functions.numeric import all_cents, cents_to_amount, percent_of, round_half_even
+from clearbook.operators.measures import CUSTOMER, REGION, SEGMENT, distinct_estimate, roll_up
 from clearbook.sources.staging import stage
 
 
+def _figures(cents: Column, total: Column) -> list[Column]:
+    revenue = cents_to_amount(cents)
+    return [
+        round_half_even(revenue, 2).alias("revenue"),
+        F.col("transactions"),
+        F.col("unique_customers"),
+        round_half_even(percent_of(revenue, total), 2).alias("pct_of_total"),
+    ]
+
+
+def breakdowns(measures: DataFrame, dimensions: Sequence[str], approximate: bool = False) -> DataFrame:
+    """(dimension, value, revenue, transactions, unique_customers, pct_of_total): all ``dimensions`` out of one pass.
+
+    Each row is expanded once for each dimension, and added up by it and the
+    customer; the total is a grouping set of its own. So one large value is
+    spread over the tasks of its customers, and the customers of a value are
+    counted by adding up. ``approximate`` estimates them out of sketches, by the
+    dimensions alone. Values are texts. Rows without a value count towards the
+    total but get no row of their own, so the shares may add up to less than 100.
+    """
+    if CUSTOMER in dimensions:
+        raise ValueError("Customers are what is counted; see pareto for revenue by customer.")
+    counted = [] if approximate else [CUSTOMER]
+    sets = [[dimension, *counted] for dimension in dimensions]
+    kept = [*dimensions, *counted]
+    sums = [F.sum(name).alias(name) for name in ("revenue_cents", "large_cents", "transactions")]
+    if approximate:
+        measures = roll_up(measures, *dimensions, sketched=[CUSTOMER])
+        sums.append(F.hll_union_agg(f"{CUSTOMER}_sketch").alias(f"{CUSTOMER}_sketch"))
+    grouped = measures.groupingSets([*sets, []], *kept)
+    grouped = grouped.agg(*sums, *[F.grouping(name).alias(f"without_{i}") for i, name in enumerate(dimensions)])
+    dimension, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, name in enumerate(dimensions):
+        within = F.col(f"without_{i}") == 0
+        dimension = F.when(within, F.lit(name)).otherwise(dimension)
+        value = F.when(within, F.col(name).cast("string")).otherwise(value)
+    named = grouped.withColumns({"dimension": dimension, "value": value})
+    if approximate:
+        named = named.withColumn("unique_customers", distinct_estimate(CUSTOMER))
+    else:
+        named = named.groupBy("dimension", "value").agg(
+            *[F.sum(name).alias(name) for name in ("revenue_cents", "large_cents", "transactions")],
+            F.count(CUSTOMER).alias("unique_customers"),
+        )
+    # a row for each value is staged; the total is read from there
+    groups = stage(named, "breakdowns")
+    cents = all_cents(F.col("revenue_cents"), F.col("large_cents"))
+    total = cents_to_amount(groups.where("dimension IS NULL").agg(F.first(cents)).scalar())
+    return (
+        groups.where("dimension IS NOT NULL AND value IS NOT NULL")
+        .orderBy("dimension", cents.desc(), "value")
+        .select("dimension", "value", *_figures(cents, total))
+    )
+
+
+def one_breakdown(all_of_them: DataFrame, dimension: str) -> DataFrame:
+    """The rows of one dimension out of ``breakdowns``, largest first, in a column of its name."""
+    rows = all_of_them.where(F.col("dimension") == dimension).drop("dimension").withColumnRenamed("value", dimension)
+    return rows.orderBy(F.desc("revenue"), dimension)
+
+
 def revenue_by(measures: DataFrame, dimension: str) -> DataFrame:
     """Revenue, transactions, distinct customers and share per value, largest first.
 
@@ -19,26 +82,19 @@ def revenue_by(measures: DataFrame, dimension: str) -> DataFrame:
     # The distinct count first shuffles by (dimension, customer), so one large
     # dimension value is spread over many tasks. A row for each value is staged,
     # and the total is read from those rows: a dimension may have many values.
-    groups = stage(
-        measures.groupBy(dimension).agg(
-            F.sum("revenue_cents").alias("revenue_cents"),
-            F.sum("transactions").alias("transactions"),
-            F.count_distinct(CUSTOMER).alias("unique_customers"),
-        ),
-        "breakdown",
+    sums = measures.groupBy(dimension).agg(
+        F.sum("revenue_cents").alias("revenue_cents"),
+        F.sum("large_cents").alias("large_cents"),
+        F.sum("transactions").alias("transactions"),
+        F.count_distinct(CUSTOMER).alias("unique_customers"),
     )
-    total = cents_to_amount(groups.agg(F.sum(wide(F.col("revenue_cents")))).scalar())
-    revenue = cents_to_amount(F.col("revenue_cents"))
+    cents = all_cents(F.col("revenue_cents"), F.col("large_cents"))
+    groups = stage(sums.withColumn("revenue_cents", cents).drop("large_cents"), "breakdown")
+    total = cents_to_amount(groups.agg(F.sum("revenue_cents")).scalar())
     return (
         groups.where(F.col(dimension).isNotNull())
         .orderBy(F.desc("revenue_cents"), dimension)
-        .select(
-            dimension,
-            round_half_even(revenue, 2).alias("revenue"),
-            "transactions",
-            "unique_customers",
-            round_half_even(percent_of(revenue, total), 2).alias("pct_of_total"),
-        )
+        .select(dimension, *_figures(F.col("revenue_cents"), total))
     )
 
 

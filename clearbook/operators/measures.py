@@ -4,22 +4,32 @@ A measure frame holds, next to the dimensions, partial aggregates at some
 grain: one row per transaction, per order, per customer, or any other. Sums of
 partials are exact (whole cents), so a caller may aggregate before a join or a
 shuffle and get the same results from far fewer rows.
+
+A frame may also hold sketches of the values of a dimension. They are partials
+like the sums: ``roll_up`` unites them, and ``distinct_estimate`` reads them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.functions.numeric import finite, is_countable, to_cents
+from clearbook.functions.numeric import all_cents, finite, is_countable, to_cents, to_large_cents
 
 CUSTOMER = "customer_name_clean"
 REGION = "region_clean"
 SEGMENT = "industry_segment_clean"
 DAY = "order_date_clean"
 
+# revenue_cents and large_cents: those of ordinary amounts and of large ones (null where there are none);
 # row_count: rows; transactions: rows with an id; priced_rows: rows with revenue
-SUMS = ["revenue_cents", "row_count", "transactions", "priced_rows"]
+SUMS = ["revenue_cents", "large_cents", "row_count", "transactions", "priced_rows"]
+
+# Sketches have 2 ** SKETCH_BITS registers: 4 KB, and a standard error below 1.7 %. Few values are counted exactly.
+SKETCH_BITS = 12
+SKETCH = "_sketch"
 
 
 def measures_of(
@@ -28,6 +38,7 @@ def measures_of(
     """The measure columns of a single transaction."""
     return {
         "revenue_cents": to_cents(revenue),
+        "large_cents": to_large_cents(revenue),
         "row_count": F.lit(1).cast("long"),
         "transactions": F.when(transaction_id.isNotNull(), 1).otherwise(0).cast("long"),
         "priced_rows": F.when(is_countable(revenue), 1).otherwise(0).cast("long"),
@@ -42,15 +53,33 @@ def to_measures(clean: DataFrame) -> DataFrame:
     return clean.select(CUSTOMER, REGION, SEGMENT, DAY, *[c.alias(name) for name, c in measures.items()])
 
 
-def roll_up(measures: DataFrame, *keys: str) -> DataFrame:
-    """Add partials up to a coarser grain; partials combine map-side before the shuffle."""
+def roll_up(measures: DataFrame, *keys: str, sketched: Sequence[str] = ()) -> DataFrame:
+    """Add partials up to a coarser grain; partials combine map-side before the shuffle.
+
+    For each dimension in ``sketched`` there is a sketch of its values; sketches
+    that the frame already has are united.
+    """
+    older = [name for name in measures.columns if name.endswith(SKETCH)]
+    newer = [name for name in sketched if f"{name}{SKETCH}" not in older]
     return measures.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in SUMS],
         F.min("first_day").alias("first_day"),
         F.max("last_day").alias("last_day"),
+        *[F.hll_union_agg(name).alias(name) for name in older],
+        *[F.hll_sketch_agg(F.col(name), SKETCH_BITS).alias(f"{name}{SKETCH}") for name in newer],
     )
 
 
+def distinct_estimate(dimension: str) -> Column:
+    """About how many values of a dimension the sketch has seen."""
+    return F.coalesce(F.hll_sketch_estimate(f"{dimension}{SKETCH}"), F.lit(0))
+
+
+def revenue_sum() -> Column:
+    """Aggregate: all cents of a group, ordinary and large, as a decimal."""
+    return all_cents(F.sum("revenue_cents"), F.sum("large_cents"))
+
+
 def analyzable(clean: DataFrame, include_refunds: bool = False) -> DataFrame:
     """Rows the analysis uses: revenue countable and, unless refunds are wanted, not negative."""
     revenue = F.col("revenue_usd_clean")

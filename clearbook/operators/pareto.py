@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clearbook.functions.numeric import cents_to_amount, percent_of, round_half_even, wide
+from clearbook.functions.numeric import CENTS, all_cents, cents_to_amount, percent_of, round_half_even
 from clearbook.operators.measures import CUSTOMER, roll_up
 from clearbook.sources.staging import stage
 
@@ -22,8 +22,9 @@ PARETO_COLUMNS = [
 
 
 def customer_totals(measures: DataFrame) -> DataFrame:
-    """One measure row per named customer."""
-    return roll_up(measures.where(F.col(CUSTOMER).isNotNull()), CUSTOMER)
+    """One measure row per named customer; its cents are ordinary and large ones together."""
+    totals = roll_up(measures.where(F.col(CUSTOMER).isNotNull()), CUSTOMER)
+    return totals.withColumn("revenue_cents", all_cents(F.col("revenue_cents"), F.col("large_cents")))
 
 
 def _average(revenue_cents: Column, priced_rows: Column) -> Column:
@@ -42,8 +43,7 @@ def customer_revenue(measures: DataFrame) -> DataFrame:
 
 def _reached(running: Column, total: Column, threshold: float) -> Column:
     """Whether a running sum has the wanted share of the total (never, for a zero total)."""
-    # 28 digits leave room for the product and are far beyond any sum of cents
-    running, total = running.cast("decimal(28,0)"), total.cast("decimal(28,0)")
+    running, total = running.cast(CENTS), total.cast(CENTS)
     goal = total * F.lit(Decimal(str(threshold)))
     return F.when(total > 0, running >= goal).when(total < 0, running <= goal).otherwise(F.lit(False))
 
@@ -76,7 +76,7 @@ def customer_pareto(measures: DataFrame, threshold: float = THRESHOLD) -> DataFr
     The tier holds every customer up to and including the first whose running
     sum reaches the threshold; if none does, all customers.
     """
-    cents = wide(F.col("revenue_cents"))
+    cents = F.col("revenue_cents")
     order = [F.desc("revenue_cents"), F.asc(CUSTOMER)]
     sliced = stage(
         customer_totals(measures)
@@ -133,11 +133,11 @@ def top_customers(measures: DataFrame, count: int = TOP_CUSTOMERS, threshold: fl
     totals = stage(
         customer_totals(measures).select(CUSTOMER, "revenue_cents", "transactions", "priced_rows"), "totals"
     )
-    total = totals.agg(F.sum(wide(F.col("revenue_cents")))).scalar()
+    total = totals.agg(F.sum("revenue_cents")).scalar()
     order = [F.desc("revenue_cents"), F.asc(CUSTOMER)]
     # at most ``count`` rows reach the windows
     from_first = W.orderBy(*order)
-    running = F.sum(wide(F.col("revenue_cents"))).over(from_first.rowsBetween(W.unboundedPreceding, 0))
+    running = F.sum("revenue_cents").over(from_first.rowsBetween(W.unboundedPreceding, 0))
     ranked = (
         totals.orderBy(*order)
         .limit(count)

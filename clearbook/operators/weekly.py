@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.dates import week_ending
 from clearbook.functions.numeric import cents_to_amount, percent_change, round_half_even
-from clearbook.operators.measures import DAY
+from clearbook.operators.measures import DAY, revenue_sum
 
 PARTIAL_SHARE = 0.40
 
@@ -23,7 +23,7 @@ def weekly_revenue(measures: DataFrame) -> DataFrame:
     weeks = (
         measures.where(F.col(DAY).isNotNull())
         .groupBy(week_ending(F.col(DAY)).alias("week"))
-        .agg(F.sum("revenue_cents").alias("revenue_cents"), F.sum("priced_rows").alias("priced_rows"))
+        .agg(revenue_sum().alias("revenue_cents"), F.sum("priced_rows").alias("priced_rows"))
     )
     # each week also emits the empty weeks between itself and the next one
     last_of_run = F.coalesce(F.date_sub(F.lead("week").over(by_week), 7), F.col("week"))

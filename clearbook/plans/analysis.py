@@ -37,13 +37,14 @@ def analyze(by_customer: DataFrame, by_day: DataFrame) -> Analysis:
     cube = stage(roll_up(by_customer, CUSTOMER, REGION, SEGMENT), "cube")
     customers = stage(pareto.customer_pareto(cube), "customers")
     weeks = stage(weekly.weekly_revenue(by_day), "weeks")
+    parts = stage(breakdown.breakdowns(cube, [SEGMENT, REGION]), "parts")
     return Analysis(
         dataset=summary.dataset_summary(cube),
         customers=customers,
         customer_summary=pareto.pareto_summary(customers),
         top=customers.where(F.col("rank") <= pareto.TOP_CUSTOMERS).orderBy("rank"),
-        segments=breakdown.segment_breakdown(cube),
-        regions=breakdown.region_breakdown(cube),
+        segments=breakdown.one_breakdown(parts, SEGMENT),
+        regions=breakdown.one_breakdown(parts, REGION),
         weeks=weeks,
         week_summary=weekly.weekly_summary(weeks),
     )

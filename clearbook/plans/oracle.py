@@ -310,7 +310,15 @@ dirty AS (
   FROM picked
 )"""
 
-_COUNTABLE = "clean_revenue BETWEEN 0 AND 1e11"
+_COUNTABLE = "clean_revenue BETWEEN 0 AND 1e25"
+
+# the same over whole cents, where amounts may have more digits than a decimal can hold with cents
+_PARETO_OVER_CENTS = (
+    _PARETO_OVER_TX.replace("CAST(sum(amount) AS DOUBLE)", "CAST(sum(amount) AS DOUBLE) / 100")
+    .replace("CAST(total AS DOUBLE)", "(CAST(total AS DOUBLE) / 100)")
+    .replace("CAST(running AS DOUBLE)", "(CAST(running AS DOUBLE) / 100)")
+    .replace("running >= 0.80 * total", "5 * running >= 4 * total")
+)
 
 # Spellings of one customer number, compared pair by pair: a key joins its most frequent neighbour within one edit if
 # that has three times its rows and joins none itself.
@@ -490,25 +498,43 @@ SELECT *, {_reduction('customers')}, {_reduction('regions')}, {_reduction('segme
   clean_day AS order_date_clean, clean_revenue AS revenue_usd_clean FROM dirty WHERE {_COUNTABLE}""",
     exclusion_counts=f"""WITH {_BASE} SELECT CAST(count(*) AS BIGINT) AS rows,
   CAST(count(*) FILTER (clean_revenue IS NULL) AS BIGINT) AS null_revenue,
-  CAST(count(*) FILTER (clean_revenue > 1e11) AS BIGINT) AS oversized_revenue,
+  CAST(count(*) FILTER (clean_revenue > 1e25) AS BIGINT) AS oversized_revenue,
   CAST(count(*) FILTER (clean_revenue < 0) AS BIGINT) AS negative_revenue,
   CAST(count(*) FILTER ({_COUNTABLE}) AS BIGINT) AS analyzable FROM dirty""",
     odd_amounts="""SELECT CAST(count(*) AS BIGINT) AS rows,
   CAST(count(*) FILTER (l_orderkey % 50 BETWEEN 1 AND 4) AS BIGINT) AS null_revenue,
-  CAST(count(*) FILTER (l_orderkey % 50 = 0) AS BIGINT) AS oversized_revenue,
+  CAST(0 AS BIGINT) AS oversized_revenue,
   CAST(count(*) FILTER (l_orderkey % 50 = 5) AS BIGINT) AS negative_revenue,
-  CAST(count(*) FILTER (l_orderkey % 50 > 5) AS BIGINT) AS analyzable,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_orderkey % 50 > 5) AS DOUBLE) AS total_revenue
+  CAST(count(*) FILTER (l_orderkey % 50 = 0 OR l_orderkey % 50 > 5) AS BIGINT) AS analyzable,
+  round_even(CAST(sum(CASE WHEN l_orderkey % 50 = 0 THEN 10000000000000000000000::HUGEINT
+    ELSE CAST(round(l_extendedprice * 100) AS HUGEINT) END) FILTER (l_orderkey % 50 = 0 OR l_orderkey % 50 > 5) AS DOUBLE)
+    / 100 * 100, 0) / 100 AS total_revenue
 FROM lineitem""",
+    all_breakdowns=f"""WITH {_TX}, wide AS (
+  SELECT *, right(customer_name_clean, 1) AS last_digit FROM tx),
+listed AS (SELECT 'industry_segment_clean' AS dimension, industry_segment_clean AS value, * FROM wide
+  UNION ALL SELECT 'region_clean', region_clean, * FROM wide UNION ALL SELECT 'last_digit', last_digit, * FROM wide)
+SELECT dimension, value, {_round('CAST(sum(amount) AS DOUBLE)')} AS revenue, CAST(count(transaction_id) AS BIGINT) AS transactions,
+  CAST(count(DISTINCT customer_name_clean) AS BIGINT) AS unique_customers,
+  {_pct('CAST(sum(amount) AS DOUBLE)', '(SELECT CAST(sum(amount) AS DOUBLE) FROM tx)')} AS pct_of_total
+FROM listed WHERE value IS NOT NULL GROUP BY 1, 2""",
+    approximate_breakdown=f"""WITH {_TX}
+SELECT region_clean, CAST(count(transaction_id) AS BIGINT) AS transactions, CAST(count(DISTINCT customer_name_clean) AS BIGINT)
+  AS customers, true AS estimate_within_5_percent FROM tx GROUP BY 1""",
+    approximate_summary=f"""WITH {_TX}, {_DATASET}
+SELECT total_revenue, total_transactions, date_range_start, date_range_end, unique_segments, unique_regions,
+  true AS customers_within_5_percent FROM dataset_summary""",
+    typical_amounts="""SELECT l_returnflag, CAST(count(l_extendedprice) AS BIGINT) AS priced_rows,
+  unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS share, true AS rank_within_1_percent FROM lineitem GROUP BY l_returnflag""",
     load_clean_rows=f"""WITH {_BASE}, {_NAMES} SELECT transaction_id, clean AS customer_name_clean,
   true_segment AS industry_segment_clean, clean_revenue AS revenue_usd_clean
 FROM dirty JOIN names ON customer_name = names.dirty WHERE {_COUNTABLE}""",
     # names are clustered among the rows that the analysis uses
     cleaned_pareto=f"""WITH {_BASE}, used AS (SELECT * FROM dirty WHERE {_COUNTABLE}),
 {_NAMES.replace("FROM dirty", "FROM used")}, tx AS (
-  SELECT transaction_id, clean AS customer_name_clean, CAST(clean_revenue AS DECIMAL(18,2)) AS amount
+  SELECT transaction_id, clean AS customer_name_clean, CAST(round(clean_revenue * 100) AS HUGEINT) AS amount
   FROM used JOIN names ON customer_name = names.dirty
-), {_PARETO_OVER_TX} SELECT * FROM pareto""",
+), {_PARETO_OVER_CENTS} SELECT * FROM pareto""",
     dq_checks=f"""WITH {_BASE}, metrics AS (
   SELECT count(*) AS n, (SELECT count(*) FROM lineitem) AS expected, count(DISTINCT customer_name) AS customers,
          count(DISTINCT region) AS regions, count(*) - count(revenue_usd) AS nulls,

@@ -22,6 +22,7 @@ from clearbook.operators import (
     pareto,
     profile,
     quality,
+    quantiles,
     report_tables,
     resolver,
     summary,
@@ -97,6 +98,55 @@ def top_regions(spark, folder):
     return breakdown.top_rows(region_breakdown(spark, folder))
 
 
+@query
+def all_breakdowns(spark, folder):
+    """Three breakdowns and the total out of one pass over the measures."""
+    rows = star.customer_measures(spark, folder).withColumn("last_digit", F.right(measures.CUSTOMER, F.lit(1)))
+    return breakdown.breakdowns(rows, [measures.SEGMENT, measures.REGION, "last_digit"])
+
+
+@query
+def approximate_breakdown(spark, folder):
+    """Customers of each region out of sketches that were made by region and segment, against the exact number."""
+    rows = star.customer_measures(spark, folder)
+    fine = measures.roll_up(rows, measures.REGION, measures.SEGMENT, sketched=[measures.CUSTOMER])
+    about = measures.roll_up(fine, measures.REGION).withColumn("about", measures.distinct_estimate(measures.CUSTOMER))
+    exact = rows.groupBy(F.col(measures.REGION).alias("region")).agg(F.count_distinct(measures.CUSTOMER).alias("customers"))
+    joined = about.join(exact, F.col(measures.REGION).eqNullSafe(F.col("region")))
+    within = F.abs(F.col("about") - F.col("customers")) <= 0.05 * F.col("customers")
+    return joined.select(measures.REGION, "transactions", "customers", within.alias("estimate_within_5_percent"))
+
+
+@query
+def approximate_summary(spark, folder):
+    """The summary without counting each customer; the few segments and regions are counted exactly even so."""
+    rows = star.customer_measures(spark, folder)
+    exact = rows.agg(F.count_distinct(measures.CUSTOMER)).scalar()
+    about = summary.dataset_summary(rows, approximate=True)
+    within = F.abs(F.col("unique_customers") - exact) <= 0.05 * exact
+    return about.withColumn("customers_within_5_percent", within).drop("unique_customers")
+
+
+@query
+def typical_amounts(spark, folder):
+    """Quantiles of amounts out of sketches by flag and status, united by flag, against their true ranks."""
+    lines = star.table(spark, folder, "lineitem")
+    sketches = quantiles.amount_sketches(lines, ["l_returnflag", "l_linestatus"], F.col("l_extendedprice"))
+    shares = [0.1, 0.5, 0.9]
+    found = quantiles.quantiles(quantiles.unite(sketches, "l_returnflag"), shares)
+    # a sketch gives another quantile each time it is made, so the one that is judged is kept
+    found = stage(found.select("*", F.posexplode("quantiles")).withColumnsRenamed({"pos": "place", "col": "value"}), "quantiles")
+    asked = found.groupBy("l_returnflag").agg(F.map_from_entries(F.collect_list(F.struct("place", "value"))).alias("values"))
+    below = [F.count_if(F.col("l_extendedprice") <= F.col("values")[i]).alias(f"below_{i}") for i in range(len(shares))]
+    # a row for each flag
+    ranks = lines.join(F.broadcast(asked), "l_returnflag").groupBy("l_returnflag").agg(*below)
+    rank = F.array(*[f"below_{i}" for i in range(len(shares))])[F.col("place")] / F.col("priced_rows")
+    share = F.array(*[F.lit(share) for share in shares])[F.col("place")]
+    return found.join(ranks, "l_returnflag").select(
+        "l_returnflag", "priced_rows", share.alias("share"), (F.abs(rank - share) <= 0.01).alias("rank_within_1_percent")
+    )
+
+
 @query
 def weekly_revenue(spark, folder):
     return weekly.weekly_revenue(star.order_measures(spark, folder))
@@ -520,7 +570,7 @@ def cleaned_pareto(spark, folder):
 
 @query
 def odd_amounts(spark, folder):
-    """Amounts that are too large, infinite or no number at all: nothing stops, and every row is accounted for."""
+    """Amounts that are very large, infinite or no number at all: nothing stops, and every row is accounted for."""
     kind = F.col("l_orderkey") % 50
     amount = (
         F.when(kind == 0, 1e20)

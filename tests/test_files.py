@@ -180,20 +180,22 @@ def test_resolvers_in_the_job(spark, tmp_path):
 
 
 def test_odd_amounts_neither_stop_nor_distort_the_analysis(spark):
-    amounts = [10.0, 1e20, float("nan"), float("inf"), float("-inf"), None, -5.0, 1e11, 2e11]
+    amounts = [10.0, 1e26, float("nan"), float("inf"), float("-inf"), None, -5.0, 1e11, 2e20]
     rows = [(str(i), "c", "r", "s", dt.date(2024, 1, 1), a) for i, a in enumerate(amounts)]
     clean = spark.createDataFrame(
         rows, "transaction_id string, customer_name_clean string, region_clean string, industry_segment_clean string, "
         "order_date_clean date, revenue_usd_clean double",
     )
     counts = measures.exclusion_counts(clean).first().asDict()
-    assert counts == {"rows": 9, "null_revenue": 4, "oversized_revenue": 2, "negative_revenue": 1, "analyzable": 2}
+    assert counts == {"rows": 9, "null_revenue": 4, "oversized_revenue": 1, "negative_revenue": 1, "analyzable": 3}
     refunds = measures.exclusion_counts(clean, include_refunds=True).first()
-    assert (refunds.negative_revenue, refunds.analyzable) == (0, 3)
-    assert {r.transaction_id for r in measures.analyzable(clean).collect()} == {"0", "7"}
+    assert (refunds.negative_revenue, refunds.analyzable) == (0, 4)
+    assert {r.transaction_id for r in measures.analyzable(clean).collect()} == {"0", "7", "8"}
     for frame in (clean, measures.analyzable(clean)):
         row = pareto.customer_pareto(to_measures(frame)).first()
-        assert row.revenue == (1e11 + 5 if frame is clean else 1e11 + 10)
+        assert row.revenue == (2e20 + 1e11 + 5 if frame is clean else 2e20 + 1e11 + 10)
+        ordinary = frame.where("transaction_id <> '8'")
+        assert pareto.customer_pareto(to_measures(ordinary)).first().revenue == (1e11 + 5 if frame is clean else 1e11 + 10)
 
 
 def test_missing_files_are_named_with_a_hint(spark, tmp_path):
