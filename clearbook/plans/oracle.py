@@ -634,6 +634,9 @@ def _published(name: str, origin: str, **columns: str) -> str:
 
 
 ORACLES.update(
+    bucketed_lookup=f"""WITH {_BASE} SELECT transaction_id, customer_name, CASE length(customer_name) % 3
+  WHEN 0 THEN upper(trim(customer_name, ' ' || chr(9))) WHEN 2 THEN 'later' ELSE customer_name END AS customer_name_clean
+FROM dirty""",
     resolver_calls=f"""WITH {_BASE}, {_CALLS}
 SELECT batch, CAST(count(*) AS BIGINT) AS size, min(dirty) AS first_value, max(dirty) AS last_value FROM calls GROUP BY 1""",
     restarted_resolver=f"""WITH {_BASE}, {_CALLS}

@@ -34,6 +34,7 @@ from clearbook.plans.cleaning import load_clean, run_cleaning, run_cleaning_file
 from clearbook.schemas import RAW_COLUMNS
 from clearbook.sources import files, publication, star
 from clearbook.sources.answers import ResolverError, resolve_into
+from clearbook.sources.mapping_store import MappingStore
 from clearbook.sources.mapping_table import append_mapping, read_mapping
 from clearbook.sources.staging import fresh_path, stage
 
@@ -346,6 +347,21 @@ def stored_mapping(spark, folder):
     return read_mapping(spark, path, "regions")
 
 
+@query
+def bucketed_lookup(spark, folder):
+    """Customer names looked up in a stored table in buckets that was filled in two steps and compacted."""
+    dirty = star.dirty_texts(spark, folder).select("transaction_id", "customer_name")
+    store = MappingStore(spark, fresh_path(spark, "store"), buckets=8)
+    values = stage(mapping.distinct_values(dirty, "customer_name"), "values")
+    upper = values.select("dirty", F.upper(text.strip(F.col("dirty"))).alias("clean"))
+    store.append(upper.where(F.length("dirty") % 3 == 0), "customers")
+    store.append(upper.where(F.length("dirty") % 3 != 1).withColumn("clean", F.lit("later")), "customers")
+    store.compact()
+    return mapping.apply_mapping(
+        dirty, "customer_name", store.read("customers"), "customer_name_clean", "transaction_id", counts=values
+    )
+
+
 @query
 def out_of_vocab(spark, folder):
     return mapping.out_of_vocabulary(star.dirty_texts(spark, folder), "region", REGIONS)
