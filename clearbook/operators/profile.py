@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.dates import parse_date
+from clearbook.functions.matching import match_closed
 from clearbook.functions.numeric import parse_money, round_half_even
 from clearbook.functions.vocabulary import REGIONS, SEGMENTS
-from clearbook.operators.cleaning import clean_transactions
-from clearbook.operators.mapping import distinct_values
+from clearbook.operators.cleaning import REGION_ALIASES, SEGMENT_ALIASES
+from clearbook.operators.mapping import distinct_values, one_pair_each
 from clearbook.operators.names import canonical_names
 from clearbook.sources.staging import stage
 
@@ -30,61 +31,72 @@ def dirty_triples(raw: DataFrame) -> DataFrame:
 def cleaning_profile(raw: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """One row: rows, distinct values before and after, missing revenues, unparseable dates.
 
-    The rows are first reduced to the distinct text combinations; name
-    clustering, cleaning and the six distinct counts then work on those only.
+    One pass adds up the rows by the values of each of the three text columns,
+    and over all, as grouping sets; what is left is a row for each spelling.
+    Name clustering, cleaning and the distinct counts work on those.
     """
-    money, day = parse_money(F.col("revenue_usd")), parse_date(F.col("order_date"))
-    combinations = stage(
-        raw.groupBy(*DIRTY_COLUMNS).agg(
+    facts = raw.select(
+        *DIRTY_COLUMNS,
+        F.col("revenue_usd").isNull().alias("no_revenue"),
+        parse_money(F.col("revenue_usd")).isNull().alias("no_clean_revenue"),
+        parse_date(F.col("order_date")).isNull().alias("no_date"),
+    )
+    sets = [[column] for column in DIRTY_COLUMNS]
+    spellings = stage(
+        facts.groupingSets([*sets, []], *DIRTY_COLUMNS).agg(
+            *[F.grouping(column).alias(f"without_{column}") for column in DIRTY_COLUMNS],
             F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("revenue_usd").isNull()).alias("no_revenue"),
-            F.count_if(money.isNull()).alias("no_clean_revenue"),
-            F.count_if(day.isNull()).alias("no_date"),
+            *[F.count_if(column).alias(column) for column in ("no_revenue", "no_clean_revenue", "no_date")],
         ),
-        "combinations",
+        "spellings",
     )
+
+    def values(column: str) -> DataFrame:
+        """(dirty, n) of one column, null included."""
+        return spellings.where(F.col(f"without_{column}") == 0).select(F.col(column).alias("dirty"), F.col("rows").alias("n"))
+
+    customers = values("customer_name")
     if names is None:
-        counts = combinations.groupBy(F.col("customer_name").alias("dirty")).agg(F.sum("rows").alias("n"))
-        names = stage(canonical_names(counts), "names")
-    spread = combinations.withColumns(
-        {
-            "transaction_id": F.xxhash64(*DIRTY_COLUMNS),
-            "order_date": F.lit(None).cast("string"),
-            "revenue_usd": F.lit(None).cast("string"),
-        }
+        names = stage(canonical_names(customers), "names")
+    named = customers.join(one_pair_each(names), "dirty", "left").select(F.coalesce("clean", "dirty").alias("clean"))
+    dirty = F.col("dirty")
+    after = {
+        "customers": named,
+        "regions": values("region").select(match_closed(dirty, REGIONS, REGION_ALIASES).alias("clean")),
+        "segments": values("industry_segment").select(match_closed(dirty, SEGMENTS, SEGMENT_ALIASES).alias("clean")),
+    }
+    everything = spellings.where(" AND ".join(f"without_{column} = 1" for column in DIRTY_COLUMNS))
+
+    def distinct(frame: DataFrame, column: str):
+        return frame.agg(F.count_distinct(column)).scalar()
+
+    # with no rows there is no row for all of them either
+    return everything.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        *[
+            F.any_value(distinct(values(column), "dirty")).alias(f"before_{name}")
+            for name, column in zip(after, DIRTY_COLUMNS, strict=True)
+        ],
+        F.coalesce(F.sum("no_revenue"), F.lit(0)).alias("before_null_revenues"),
+        *[F.any_value(distinct(frame, "clean")).alias(f"after_{name}") for name, frame in after.items()],
+        F.coalesce(F.sum("no_clean_revenue"), F.lit(0)).alias("after_null_revenues"),
+        F.coalesce(F.sum("no_date"), F.lit(0)).alias("unparseable_dates"),
     )
-    return _counted(clean_transactions(spread, names))
 
 
 def profile_of_clean(clean: DataFrame) -> DataFrame:
     """The same profile out of a clean table, which holds the old texts beside the new ones."""
-    cleaned = [f"{name}_clean" for name in DIRTY_COLUMNS]
-    return _counted(
-        stage(
-            clean.groupBy(*DIRTY_COLUMNS, *cleaned).agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if(F.col("revenue_usd").isNull()).alias("no_revenue"),
-                F.count_if(F.col("revenue_usd_clean").isNull()).alias("no_clean_revenue"),
-                F.count_if(F.col("order_date_clean").isNull()).alias("no_date"),
-            ),
-            "combinations",
-        )
-    )
-
-
-def _counted(combinations: DataFrame) -> DataFrame:
-    """The profile row out of distinct text combinations, old and new, with their row counts."""
-    return combinations.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+    return clean.agg(
+        F.count(F.lit(1)).alias("rows"),
         F.count_distinct("customer_name").alias("before_customers"),
         F.count_distinct("region").alias("before_regions"),
         F.count_distinct("industry_segment").alias("before_segments"),
-        F.coalesce(F.sum("no_revenue"), F.lit(0)).alias("before_null_revenues"),
+        F.count_if(F.col("revenue_usd").isNull()).alias("before_null_revenues"),
         F.count_distinct("customer_name_clean").alias("after_customers"),
         F.count_distinct("region_clean").alias("after_regions"),
         F.count_distinct("industry_segment_clean").alias("after_segments"),
-        F.coalesce(F.sum("no_clean_revenue"), F.lit(0)).alias("after_null_revenues"),
-        F.coalesce(F.sum("no_date"), F.lit(0)).alias("unparseable_dates"),
+        F.count_if(F.col("revenue_usd_clean").isNull()).alias("after_null_revenues"),
+        F.count_if(F.col("order_date_clean").isNull()).alias("unparseable_dates"),
     )
 
 
