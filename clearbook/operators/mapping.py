@@ -22,6 +22,22 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(has_text(value)).groupBy(value.alias("dirty")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def values_of(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """The same for several columns out of one pass: each row is expanded once for each column, then added up.
+
+    The values of all columns are staged together, in a folder for each column.
+    """
+    counts = df.select(*columns).groupingSets([[column] for column in columns], *columns)
+    counts = counts.agg(F.count(F.lit(1)).alias("n"), *[F.grouping(c).alias(f"without_{i}") for i, c in enumerate(columns)])
+    number, dirty = F.lit(None).cast("int"), F.lit(None).cast("string")
+    for i, column in enumerate(columns):
+        within = F.col(f"without_{i}") == 0
+        number, dirty = F.when(within, F.lit(i)).otherwise(number), F.when(within, F.col(column)).otherwise(dirty)
+    named = counts.select(dirty.alias("dirty"), "n", number.alias("number"))
+    stored = stage(named.where(has_text(F.col("dirty"))), "values", "number")
+    return {column: stored.where(F.col("number") == i).select("dirty", "n") for i, column in enumerate(columns)}
+
+
 def sorted_values(df: DataFrame, column: str) -> DataFrame:
     """The same in the order of the values, as a resolver is best asked: spellings of one name come together."""
     return distinct_values(df, column).orderBy("dirty")

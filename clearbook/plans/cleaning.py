@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clearbook.functions.matching import match_closed
 from clearbook.functions.vocabulary import REGIONS, SEGMENTS
 from clearbook.operators.cleaning import REGION_ALIASES, SEGMENT_ALIASES, clean_transactions, clean_values, name_mapping
-from clearbook.operators.mapping import apply_mapping, distinct_values, only_new
+from clearbook.operators.mapping import apply_mapping, distinct_values, only_new, values_of
 from clearbook.operators.measures import analyzable
 from clearbook.operators.names import canonical_names
 from clearbook.operators.profile import cleaning_report, profile_of_clean, report_document
@@ -29,17 +29,24 @@ CLOSED = {
 }
 
 
-def refresh_names(raw: DataFrame, mapping_path: str, resolver: Resolver | None = None, **options) -> DataFrame:
+def refresh_names(
+    raw: DataFrame,
+    mapping_path: str,
+    resolver: Resolver | None = None,
+    values: DataFrame | None = None,
+    **options,
+) -> DataFrame:
     """Bring the stored name mapping up to date with a raw table; only unseen names are worked on.
 
     They are clustered, with ``options`` of ``canonical_names``, or asked of the
     ``resolver`` if there is one. Returns the stored mapping together with how
     often each name occurs in the table: (dirty, clean, n). If calls of the
     resolver fail, what the others answered is stored before the error is raised.
+    ``values`` is (dirty, n), the names of the table, if they are known already.
     """
     spark = raw.sparkSession
     stored = read_mapping(spark, mapping_path, CUSTOMERS)
-    values = stage(distinct_values(raw, "customer_name"), "values")
+    values = stage(distinct_values(raw, "customer_name"), "values") if values is None else values
     unseen = only_new(values, stored)
     if resolver is None:
         append_mapping(canonical_names(unseen, known=stored.select("clean"), **options), mapping_path, CUSTOMERS)
@@ -48,11 +55,17 @@ def refresh_names(raw: DataFrame, mapping_path: str, resolver: Resolver | None =
     return read_mapping(spark, mapping_path, CUSTOMERS).join(values, "dirty").select("dirty", "clean", "n")
 
 
-def refresh_closed(raw: DataFrame, mapping_path: str, domain: str, resolver: Resolver | None = None) -> DataFrame:
+def refresh_closed(
+    raw: DataFrame,
+    mapping_path: str,
+    domain: str,
+    resolver: Resolver | None = None,
+    values: DataFrame | None = None,
+) -> DataFrame:
     """The same for a closed vocabulary; an answer outside it is replaced by the containment match."""
     column, vocabulary, aliases = CLOSED[domain]
     spark = raw.sparkSession
-    values = stage(distinct_values(raw, column), "values")
+    values = stage(distinct_values(raw, column), "values") if values is None else values
     unseen = only_new(values, read_mapping(spark, mapping_path, domain))
     if resolver is None:
         new = unseen.select("dirty", match_closed(F.col("dirty"), vocabulary, aliases).alias("clean"))
@@ -103,8 +116,13 @@ def run_cleaning(
         if mapping_path is None:
             cleaned = clean_transactions(raw, name_mapping(raw, **name_options))
         else:
-            names = stage(refresh_names(raw, mapping_path, resolvers.get(CUSTOMERS), **name_options), "names")
-            closed = {d: stage(refresh_closed(raw, mapping_path, d, resolvers.get(d)), d) for d in CLOSED}
+            values = values_of(raw, ["customer_name", *(column for column, *_ in CLOSED.values())])
+            names = refresh_names(raw, mapping_path, resolvers.get(CUSTOMERS), values["customer_name"], **name_options)
+            names = stage(names, "names")
+            closed = {
+                domain: stage(refresh_closed(raw, mapping_path, domain, resolvers.get(domain), values[column]), domain)
+                for domain, (column, *_) in CLOSED.items()
+            }
             cleaned = clean_with_mappings(raw, names, closed)
         cleaned.write.mode("overwrite").parquet(output_path)
         report = cleaning_report(profile_of_clean(read_clean(spark, output_path)))

@@ -8,7 +8,6 @@ gives the planner true sizes to choose joins by.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,12 +19,13 @@ _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a fresh temporary one only for a local session without it."""
+    """The cluster's checkpoint folder; for a session in one process without it, a folder beside its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
-        folder = tempfile.mkdtemp(prefix="clearbook-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 

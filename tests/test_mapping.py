@@ -72,6 +72,14 @@ def test_conflicting_appends_leave_one_pair(spark, tmp_path):
     assert {tuple(r) for r in read_mapping(spark, path).collect()} == {("regions", "x", "B"), ("regions", "y", "1")}
 
 
+def test_values_of_several_columns(spark, dirty):
+    rows = dirty.withColumns({"w": F.when(F.col("id") > 3, "b").otherwise(F.col("v")), "x": F.lit(None).cast("string")})
+    found = mapping.values_of(rows, ["v", "w", "x"])
+    for column, values in found.items():
+        expected = mapping.distinct_values(rows, column).collect()
+        assert sorted(map(tuple, values.collect())) == sorted(map(tuple, expected))
+
+
 def test_values_in_order(spark, dirty):
     assert [(r.dirty, r.n) for r in mapping.sorted_values(dirty, "v").collect()] == [("7", 1), ("a", 2), ("b", 1), ("c", 1)]
 
