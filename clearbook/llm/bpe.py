@@ -4,7 +4,7 @@ Encoding runs in three passes:
 
 1. Every task cuts its texts into pre-tokens and keeps, for each block of
    texts, a list of distinct pre-tokens and the place of each occurrence in
-   that list. A block is bounded by its number of pre-tokens, not by rows.
+   that list. A block is bounded by its bytes of text, not by rows.
 2. The distinct pre-tokens of all blocks meet by their bytes. Each one is
    encoded once and the ids go back to every block that holds it.
 3. Blocks are put together again: the ids of a block's pre-tokens arrive
@@ -19,18 +19,22 @@ by one block.
 from __future__ import annotations
 
 import base64
+import random
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import tiktoken
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from clearbook.llm.common import (
+    SLICE_BYTES,
     arrow_schema,
     binary_array,
     bytes_of,
@@ -43,8 +47,27 @@ from clearbook.llm.common import (
 
 BLOCK_TOKENS = 4_000_000
 
+TOKEN_BYTES = 6  # of an average pre-token, by which the size of a block is told
+
+NOT_WHOLE = "The pattern leaves out characters; every one has to be part of a match."
+
+CHANGED = "The documents changed between two reads; write them to a table first."
+
 WORD, TEXT = 0, 1
 
+# Kinds of bytes. Marks are the printable ASCII signs but the apostrophe, which may begin a pre-token of letters.
+_LETTER, _DIGIT, _MARK, _BLANK, _OTHER = range(5)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[0x20] = _BLANK
+for _byte in range(33, 127):
+    _sign = chr(_byte)
+    _KIND[_byte] = _LETTER if _sign.isalpha() else _DIGIT if _sign.isdigit() else _OTHER if _sign == "'" else _MARK
+
+# Second bytes of the letters from U+00C0 to U+00FF; two of these characters are signs.
+_SECOND_OF_LETTER = np.zeros(256, dtype=bool)
+_SECOND_OF_LETTER[0x80:0xC0] = True
+_SECOND_OF_LETTER[[0x97, 0xB7]] = False
+
 # A chunk may begin at a blank if the byte behind it cannot begin a white character of Unicode:
 # it is no ASCII white space or separator and no first byte of a longer white character.
 _MAY_FOLLOW = np.ones(256, dtype=bool)
@@ -64,44 +87,90 @@ def read_ranks(path: str) -> list[bytes]:
     return table
 
 
-def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Texts cut before single blanks: (chunks, number of the first chunk of each text and of all).
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """What each byte is part of: a blank, an ASCII letter or one of U+00C0 to U+00FF, a digit, a mark, or anything else."""
+    kinds = _KIND[data]
+    if len(data):
+        latin = (data[:-1] == 0xC3) & _SECOND_OF_LETTER[data[1:]]
+        kinds[:-1][latin] = _LETTER
+        kinds[1:][latin] = _LETTER
+    return kinds
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray, pattern) -> np.ndarray:
+    """Where the pre-tokens of texts begin, and the end.
 
-    Every pre-token lies within one chunk, and cutting a chunk gives the same
-    pre-tokens as cutting the text.
+    The texts are cut before single blanks and between letters, digits and
+    marks. Every pre-token lies within one such chunk. A chunk of letters alone,
+    or digits or marks, with a blank before them or not, is a pre-token; the
+    pattern cuts each distinct one of the others.
     """
-    data, offsets = text_bytes(texts)
-    cut = np.zeros(len(data) + 1, dtype=bool)
-    if len(data):
-        cut[:-2] = (data[:-1] == 0x20) & _MAY_FOLLOW[data[1:]]
-        cut[offsets[offsets < len(data)]] = True
-    bounds = np.append(np.flatnonzero(cut[:-1]), len(data))
-    # an empty text owns no chunk: its chunks begin and end at the same place
-    return binary_array(data, bounds), np.searchsorted(bounds[:-1], offsets)
-
-
-class _Block:
-    """Distinct pre-tokens of the texts so far and where they occur."""
-
-    def __init__(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.tokens = 0
-
-    def positions(self, texts: pa.Array, pattern) -> list[np.ndarray]:
-        chunks, first = _chunks(texts)
-        coded = chunks.dictionary_encode()
-        found: list[int] = []
-        lengths = np.empty(len(coded.dictionary), dtype=np.int64)
-        numbers = self.numbers
-        for at, chunk in enumerate(coded.dictionary.cast(pa.large_string()).to_pylist()):
-            pieces = pattern.findall(chunk)
-            lengths[at] = len(pieces)
-            found.extend([numbers.setdefault(piece, len(numbers)) for piece in pieces])
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        flat = ragged(lengths, np.array(found, dtype=np.int32), codes)
-        ends = np.concatenate([[0], np.cumsum(lengths[codes])])[first]
-        self.tokens += len(flat)
-        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    size = len(data)
+    if not size:
+        return np.zeros(1, dtype=np.int64)
+    kinds = _kinds(data)
+    cut = np.zeros(size, dtype=bool)
+    cut[:-1] = (data[:-1] == 0x20) & _MAY_FOLLOW[data[1:]]
+    last = offsets[1:][offsets[1:] > 0] - 1
+    cut[last] = False  # what follows the last blank of a text is not of that text
+    cut[1:] |= (kinds[1:] != kinds[:-1]) & (kinds[1:] <= _MARK) & (kinds[:-1] <= _MARK)
+    cut[offsets[offsets < size]] = True
+    begins = np.flatnonzero(cut)
+    bounds = np.append(begins, size)
+    blank, other = kinds == _BLANK, kinds == _OTHER
+    odd = np.add.reduceat(other, begins, dtype=np.int64) > 0
+    blanks = np.add.reduceat(blank, begins, dtype=np.int64)
+    odd |= (blanks > 1) | ((blanks == 1) & (~blank[begins] | (np.diff(bounds) == 1)))
+    chosen = np.flatnonzero(odd)
+    if not len(chosen):
+        return bounds
+    # every second piece of these bounds is a chunk that the pattern has to cut
+    ends = np.empty(2 * len(chosen), dtype=np.int64)
+    ends[0::2], ends[1::2] = bounds[chosen], bounds[chosen + 1]
+    coded = binary_array(data, ends).dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)[0::2]
+    used = np.zeros(len(coded.dictionary), dtype=bool)
+    used[codes] = True
+    counts = np.zeros(len(used), dtype=np.int64)
+    lengths: list[int] = []
+    for at, chunk in zip(np.flatnonzero(used), coded.dictionary.filter(pa.array(used)).to_pylist(), strict=True):
+        own = [len(piece.encode()) for piece in pattern.findall(chunk.decode())]
+        if sum(own) != len(chunk):
+            raise ValueError(NOT_WHOLE)
+        counts[at] = len(own)
+        lengths.extend(own)
+    # where the pieces of each chunk begin, within the chunk
+    flat = np.array(lengths, dtype=np.int64)
+    within = np.cumsum(flat) - flat
+    first = np.cumsum(counts) - counts
+    within -= np.repeat(within[np.minimum(first, len(flat) - 1)], counts)
+    more = ragged(counts, within, codes) + np.repeat(bounds[chosen], counts[codes])
+    cut[more] = True
+    return np.append(np.flatnonzero(cut), size)
+
+
+def _check(pattern: str) -> None:
+    """Raise for a pattern whose pre-tokens cross the cuts; tried on short texts of all kinds of characters."""
+    compiled, rng = regex.compile(pattern), random.Random(0)
+    signs = "abST09.,#-_'\" \n\t\x1c\xa0éÀ÷中٣\u0301" + "    aaa"
+    texts = ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(2000)]
+    data, offsets = text_bytes(pa.array(texts))
+    bounds = _pieces(data, offsets, compiled)
+    raw = data.tobytes()
+    found = [raw[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    if found != [piece for text in texts for piece in compiled.findall(text)]:
+        raise ValueError("This pattern joins what the texts are cut between: blanks, letters, digits and marks.")
+
+
+def _hashes(data: np.ndarray, offsets: np.ndarray) -> list[int]:
+    """A 64-bit hash of each piece of ``data`` between consecutive offsets, as a signed number."""
+    whole = memoryview(np.ascontiguousarray(data))
+    digests = np.fromiter(
+        (xxhash.xxh64_intdigest(whole[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)),
+        dtype=np.uint64,
+        count=len(offsets) - 1,
+    )
+    return digests.view(np.int64).tolist()
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -120,55 +189,64 @@ def _cut_blocks(kind: int, text_column: str, part_column: str, pattern: str, blo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
-        block, block_number, sequence = _Block(), 0, 0
-
-        def name(part: int) -> int:
-            return (part << 32) + block_number
+        block_number = sequence = 0
 
-        def word_rows(part: int) -> Iterator[pa.RecordBatch]:
-            words = list(block.numbers)
+        def word_rows(words: pa.Array, name: int) -> Iterator[pa.RecordBatch]:
             for begin in range(0, len(words), 50_000):
-                some = pa.array(words[begin : begin + 50_000], pa.string()).cast(pa.binary())
+                some = words.slice(begin, 50_000).cast(pa.binary())
+                places = np.arange(begin, begin + len(some), dtype=np.int32)
+                yield pa.record_batch([pa.array(np.full(len(some), name)), pa.array(places), some], schema=schema)
+
+        for rows in _blocks(batches, text_column, TOKEN_BYTES * block_tokens):
+            name = (rows.column(part_column)[0].as_py() << 32) + block_number
+            block_number += 1
+            data, offsets = text_bytes(rows.column(text_column).combine_chunks())
+            bounds = _pieces(data, offsets, compiled)
+            coded = binary_array(data, bounds).dictionary_encode()
+            if kind == WORD:
+                yield from word_rows(coded.dictionary, name)
+                continue
+            places = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+            ends = np.searchsorted(bounds[:-1], offsets)
+            kept = rows.drop_columns([text_column, part_column]).combine_chunks()
+            hashes = _hashes(data, offsets)
+            for begin in range(0, rows.num_rows, 4096):
+                end = min(begin + 4096, rows.num_rows)
+                positions = [places[a:b] for a, b in zip(ends[begin:end], ends[begin + 1 : end + 1], strict=True)]
+                carried = [column.chunk(0).slice(begin, end - begin) for column in kept.columns]
                 yield pa.record_batch(
                     [
-                        pa.array(np.full(len(some), name(part))),
-                        pa.array(np.arange(begin, begin + len(some), dtype=np.int32)),
-                        some,
+                        pa.array(np.full(end - begin, name)),
+                        pa.array(np.arange(sequence, sequence + end - begin, dtype=np.int32)),
+                        pa.array([_pack(p) for p in positions], pa.binary()),
+                        pa.array([len(p) for p in positions], pa.int32()),
+                        pa.array(hashes[begin:end], pa.int64()),
+                        pa.StructArray.from_arrays(carried, fields=list(kept.schema))
+                        if carried
+                        else pa.nulls(end - begin, pa.struct([])),
                     ],
                     schema=schema,
                 )
-
-        part = None
-        for batch in batches:
-            for rows in text_slices(batch, text_column):
-                if part is None:
-                    part = rows.column(part_column)[0].as_py()
-                if block.tokens >= block_tokens:
-                    if kind == WORD:
-                        yield from word_rows(part)
-                    block, block_number = _Block(), block_number + 1
-                positions = block.positions(rows.column(text_column), compiled)
-                if kind == TEXT:
-                    kept = rows.drop_columns([text_column, part_column])
-                    yield pa.record_batch(
-                        [
-                            pa.array(np.full(len(positions), name(part))),
-                            pa.array(np.arange(sequence, sequence + len(positions), dtype=np.int32)),
-                            pa.array([_pack(p) for p in positions], pa.binary()),
-                            pa.array([len(p) for p in positions], pa.int32()),
-                            pa.StructArray.from_arrays(kept.columns, fields=list(kept.schema))
-                            if kept.num_columns
-                            else pa.nulls(len(positions), pa.struct([])),
-                        ],
-                        schema=schema,
-                    )
-                    sequence += len(positions)
-        if kind == WORD and block.numbers:
-            yield from word_rows(part)
+                sequence += end - begin
 
     return run
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], text_column: str, block_bytes: int) -> Iterator[pa.Table]:
+    """Consecutive rows with about ``block_bytes`` of text together, or one longer text."""
+    held, size = [], 0
+    for batch in batches:
+        for rows in text_slices(batch, text_column, min(block_bytes, SLICE_BYTES)):
+            own = pc.sum(pc.fill_null(pc.binary_length(rows.column(text_column)), 0)).as_py()
+            if held and size + own > block_bytes:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            held.append(rows)
+            size += own
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _encode_sorted(table: list[bytes], pattern: str, flush_rows: int = 500_000):
     """Task over (block, seq, word) sorted by word: every word is encoded when it first comes.
 
@@ -176,14 +254,12 @@ def _encode_sorted(table: list[bytes], pattern: str, flush_rows: int = 500_000):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = {token: rank for rank, token in enumerate(table) if token}
-        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        last, ids = None, []
-        blocks, places, lengths, found = [], [], [], []
+        encode = _encoder(table, pattern).encode_ordinary
+        blocks, places, lengths, found, waiting = [], [], [], [], 0
 
         def answers() -> pa.RecordBatch:
             block, place = np.concatenate(blocks), np.concatenate(places)
-            sizes, flat = np.array(lengths, dtype=np.int64), np.array(found, dtype=np.int32)
+            sizes, flat = np.concatenate(lengths), np.concatenate(found)
             order = np.lexsort((place, block))
             block, place = block[order], place[order]
             begins = np.flatnonzero(np.diff(block, prepend=-1))
@@ -199,27 +275,46 @@ def _encode_sorted(table: list[bytes], pattern: str, flush_rows: int = 500_000):
             )
 
         for batch in batches:
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last = word
-                    ids = encoding.encode_ordinary(word.decode())
-                lengths.append(len(ids))
-                found.extend(ids)
+            # equal words follow each other, so a word is encoded once, or twice where a batch ends between
+            coded = batch.column("word").dictionary_encode()
+            own = [encode(word.decode()) for word in coded.dictionary.to_pylist()]
+            sizes = np.fromiter(map(len, own), np.int64, len(own))
+            flat = np.fromiter(chain.from_iterable(own), np.int32, int(sizes.sum()))
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            lengths.append(sizes[codes])
+            found.append(ragged(sizes, flat, codes))
             blocks.append(batch.column("block").to_numpy(zero_copy_only=False))
             places.append(batch.column("seq").to_numpy(zero_copy_only=False))
-            if len(lengths) >= flush_rows:
+            waiting += batch.num_rows
+            if waiting >= flush_rows:
                 yield answers()
-                blocks, places, lengths, found = [], [], [], []
-        if lengths:
+                blocks, places, lengths, found, waiting = [], [], [], [], 0
+        if waiting:
             yield answers()
 
     return run
 
 
-def _assemble(schema: pa.Schema):
-    """Task over rows sorted by (block, kind, seq): pre-token ids first, then the texts that use them."""
+_ENCODERS: dict[tuple[int, str], tiktoken.Encoding] = {}  # of this Python worker
+
+
+def _encoder(table: list[bytes], pattern: str) -> tiktoken.Encoding:
+    key = xxhash.xxh64_intdigest(b"".join(b"%d:%b" % (len(token), token) for token in table)), pattern
+    if key not in _ENCODERS:
+        ranks = {token: rank for rank, token in enumerate(table) if token}
+        _ENCODERS.clear()
+        _ENCODERS[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return _ENCODERS[key]
+
+
+def _assemble(table: list[bytes], schema: pa.Schema, with_bytes: bool):
+    """Task over rows sorted by (block, kind, seq): pre-token ids first, then the texts that use them.
+
+    The ids of a text are decoded and compared with the text's hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = pa.array(table, pa.large_binary())
         block, answers, lengths, values = None, [], None, None
         for batch in batches:
             blocks = batch.column("block").to_numpy(zero_copy_only=False)
@@ -236,7 +331,7 @@ def _assemble(schema: pa.Schema):
                 if lengths is None:
                     lengths, values = _by_place(answers)
                     answers = []
-                yield from _texts(rows, lengths, values)
+                yield from _texts(rows, lengths, values, tokens)
 
     def _by_place(answers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids, the ids) of all words of a block, in the order of its list."""
@@ -247,7 +342,9 @@ def _assemble(schema: pa.Schema):
         order = np.argsort(places)
         return lengths[order], ragged(lengths, flat, order)
 
-    def _texts(rows: pa.RecordBatch, lengths: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def _texts(
+        rows: pa.RecordBatch, lengths: np.ndarray, values: np.ndarray, tokens: pa.Array
+    ) -> Iterator[pa.RecordBatch]:
         sizes = rows.column("size").to_numpy(zero_copy_only=False)
         before = np.cumsum(sizes, dtype=np.int64) - sizes
         begins = np.flatnonzero(np.diff(before // 500_000, prepend=-1))
@@ -259,13 +356,17 @@ def _assemble(schema: pa.Schema):
             ]
             flat = np.concatenate(picks)
             if len(flat) and flat.max() >= len(lengths):
-                raise RuntimeError("The documents changed between two reads; write them to a table first.")
-            ids = ragged(lengths, values, flat)
-            per_text = np.array([lengths[p].sum() for p in picks], dtype=np.int64)
-            offsets = np.concatenate([[0], np.cumsum(per_text)]).astype(np.int32)
-            carried = some.column("carried").flatten()
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
-            yield pa.record_batch([*carried, lists], schema=schema)
+                raise RuntimeError(CHANGED)
+            ids = ragged(lengths, values, flat).astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(lengths[flat])])
+            offsets = ends[np.concatenate([[0], np.cumsum([len(p) for p in picks])])]
+            data, at = bytes_of(tokens.take(pa.array(ids)))
+            if _hashes(data, at[offsets]) != some.column("hash").to_pylist():
+                raise RuntimeError(CHANGED)
+            made = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+            if with_bytes:
+                made.append(binary_array(data, at[offsets]).cast(pa.binary()))
+            yield pa.record_batch([*some.column("carried").flatten(), *made], schema=schema)
 
     return run
 
@@ -281,8 +382,13 @@ def encode(
 ) -> DataFrame:
     """The documents with ``ids_column`` (array of int) in place of their text.
 
-    With ``decoded_column`` the ids are also decoded, in the task that puts them
-    together, as ``decode`` would do it later.
+    The ids of every text are decoded in the task that puts them together, and
+    compared with the text's hash. With ``decoded_column`` the bytes are kept, as
+    ``decode`` would give them later.
+
+    Every character has to be part of a match of ``pattern``, and its matches may
+    not cross from letters to digits or marks, or from one of these to the next
+    blank; a pattern for which that does not hold raises ValueError.
 
     One row comes out for each row that goes in, whatever ids it repeats; all
     other columns are carried along, null or not. A null or empty text has no
@@ -290,12 +396,13 @@ def encode(
 
     ``documents`` is read twice and has to give the same rows in the same order,
     as a scan of files does; write the result of a shuffle to a table first. A
-    block that differs stops the job.
+    text whose ids do not decode to it, because a block differed, stops the job.
     """
     replaced = {text_column.lower(), ids_column.lower(), (decoded_column or ids_column).lower()}
     carried = [c for c in documents.columns if c.lower() not in replaced]
     part = unused_name("_part", documents.columns)
     docs = documents.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text_column}`").cast("string"))
+    _check(pattern)
     docs = docs.withColumn(part, F.spark_partition_id().cast("long"))
     kept = StructType([field for field in docs.schema if field.name in carried])
 
@@ -310,24 +417,18 @@ def encode(
     )
 
     text_schema = StructType(
-        [*StructType.fromDDL("block long, seq int, payload binary, size int"), StructField("carried", kept)]
+        [*StructType.fromDDL("block long, seq int, payload binary, size int, hash long"), StructField("carried", kept)]
     )
     texts = docs.mapInArrow(
         tidy(_cut_blocks(TEXT, text_column, part, pattern, block_tokens, arrow_schema(text_schema))), text_schema
     )
-    nothing = F.lit(None).cast(kept)
     rows = answers.withColumns(
-        {"kind": F.lit(WORD), "seq": F.lit(0), "carried": F.lit(None).cast(kept)}
+        {"kind": F.lit(WORD), "seq": F.lit(0), "hash": F.lit(None).cast("long"), "carried": F.lit(None).cast(kept)}
     ).unionByName(texts.withColumn("kind", F.lit(TEXT)))
     out = StructType([*kept.fields, StructField(ids_column, ArrayType(IntegerType(), True))])
-    task = _assemble(arrow_schema(out))
     if decoded_column is not None:
         out = _with_bytes(out, decoded_column)
-        assemble, decode_ids = task, _decode_task(table, ids_column, arrow_schema(out))
-
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return decode_ids(assemble(batches))
-
+    task = _assemble(table, arrow_schema(out), decoded_column is not None)
     return rows.repartition("block").sortWithinPartitions("block", "kind", "seq").mapInArrow(tidy(task), out)
 
 
