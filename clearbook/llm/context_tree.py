@@ -43,10 +43,14 @@ SUBTREE = 2  # levels below the root of a subtree
 BLOCK_BYTES = 32 << 20
 SLICE = 2 << 20  # bytes of text that are worked on at once
 
+AT_ONCE = 250_000  # grams that are weighted together, if their suffixes do not have more
+
 EDGE = 0xFF  # stands before and behind every text; no byte of UTF-8
 
 WORDS, GRAMS, TEXTS = 0, 1, 2
 
+CHANGED = "The documents changed between two reads; write them to a table first."
+
 _ASKED = "kind int, block long, place int, word binary, gram long, n long"
 _ANSWER = "kind int, block long, payload binary, size int"
 
@@ -100,20 +104,42 @@ def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_numpy(zero_copy_only=False)
 
 
-class _WordList:
-    """The distinct words of a block, numbered in the order they first come; word 0 is the end of a text."""
+def _counted(grams: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct grams in order, how many of each are for training)."""
+    keys = np.sort((grams << 1) | train)  # a gram has at most seven bytes
+    begins = np.flatnonzero(np.diff(keys >> 1, prepend=-1))
+    return keys[begins] >> 1, np.add.reduceat(keys & 1, begins) if len(begins) else begins
+
+
+class _BlockWords:
+    """The words of a block's slices, numbered in the order of their bytes; word 0, the empty one, is the end of a text.
+
+    The numbers depend on the distinct words alone, so texts of a block that
+    come in another order on the second read do no harm.
+    """
 
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {b"": 0}
+        self.codes: list[np.ndarray] = []
+        self.firsts: list[np.ndarray] = []
+        self.lists = [pa.array([b""], pa.large_binary())]
 
-    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(number of each word, first word of each text)."""
+    def add(self, texts: pa.Array) -> None:
         data, offsets = text_bytes(texts)
         words = words_in(LOWER[data], offsets)
         codes, distinct = words.coded()
-        numbers = self.numbers
-        known = np.array([numbers.setdefault(w, len(numbers)) for w in distinct.to_pylist()], dtype=np.int64)
-        return known[codes], words.first
+        self.codes.append(codes.astype(np.int32))
+        self.firsts.append(words.first)
+        self.lists.append(distinct)
+
+    def numbered(self) -> tuple[pa.Array, list[np.ndarray]]:
+        """(the distinct words, for each slice the number of each of its words)."""
+        coded = pa.concat_arrays(self.lists).dictionary_encode()
+        order = pc.sort_indices(coded.dictionary)
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        places = rank[coded.indices.to_numpy(zero_copy_only=False)]
+        before = np.cumsum([len(own) for own in self.lists])
+        return coded.dictionary.take(order), [places[at:][codes] for at, codes in zip(before, self.codes, strict=False)]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, int, pa.RecordBatch]]:
@@ -134,11 +160,19 @@ def _list_blocks(depth: int, limit: int):
     """Task over documents: the distinct words and grams of each block, with their training counts."""
     schema = arrow_schema(_ASKED)
 
-    def rows_of(block: int, words: _WordList, counts: np.ndarray, grams: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys = pa.array(list(words.numbers), pa.binary())
-        total = _added([counts], len(keys))
-        found, at = np.unique(np.concatenate(grams[0]), return_inverse=True)
-        number = np.bincount(at, np.concatenate(grams[1]), len(found)).astype(np.int64)
+    def rows_of(
+        block: int, words: _BlockWords, trains: list[np.ndarray], grams: list[tuple[np.ndarray, np.ndarray]]
+    ) -> Iterator[pa.RecordBatch]:
+        keys, numbers = words.numbered()
+        keys = keys.cast(pa.binary())
+        total = np.zeros(len(keys), dtype=np.int64)
+        for own, first, train in zip(numbers, words.firsts, trains, strict=True):
+            total += np.bincount(own[np.repeat(train, np.diff(first))], minlength=len(keys))
+            total[0] += int(train.sum())
+        found, number = (np.concatenate(part) for part in zip(*grams, strict=True))
+        order = np.argsort(found)
+        begins = np.flatnonzero(np.diff(found[order], prepend=-1))
+        found, number = found[order][begins], np.add.reduceat(number[order], begins)
         nothing = np.zeros(len(found), dtype=np.int32)
         for kind, place, word, gram, n in (
             (WORDS, np.arange(len(keys), dtype=np.int32), keys, pa.nulls(len(keys), pa.int64()), total),
@@ -160,34 +194,23 @@ def _list_blocks(depth: int, limit: int):
                 )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, words, counts, grams = None, None, None, None
+        last, words, trains, grams = None, None, [], []
         for block, _, rows in _blocks(batches, limit):
             if block != last:
                 if words:
-                    yield from rows_of(last, words, counts, grams)
-                last, words, counts, grams = block, _WordList(), np.zeros(1, dtype=np.int64), ([], [])
+                    yield from rows_of(last, words, trains, grams)
+                last, words, trains, grams = block, _BlockWords(), [], []
             train = rows.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            numbers, first = words.of(rows.column("text"))
-            learned = np.bincount(numbers[np.repeat(train, np.diff(first))], minlength=1)
-            learned[0] += int(train.sum())
-            counts = _added([counts, learned], 0)
+            words.add(rows.column("text"))
+            trains.append(train)
             own, first = grams_of(rows.column("text"), depth)
-            codes, distinct = _distinct(own)
-            grams[0].append(distinct)
-            grams[1].append(np.bincount(codes[np.repeat(train, np.diff(first))], minlength=len(distinct)))
+            grams.append(_counted(own, np.repeat(train, np.diff(first))))
         if words:
-            yield from rows_of(last, words, counts, grams)
+            yield from rows_of(last, words, trains, grams)
 
     return run
 
 
-def _added(parts: list[np.ndarray], size: int) -> np.ndarray:
-    total = np.zeros(max([size, *map(len, parts)]), dtype=np.int64)
-    for part in parts:
-        total[: len(part)] += part
-    return total
-
-
 class _Subtrees:
     """All nodes below some suffixes, by level; ``grams`` are distinct, with their counts."""
 
@@ -223,11 +246,11 @@ class _Subtrees:
 
 
 def _by_suffix(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
-    """Rows sorted by the column ``suffix``, some whole suffixes at a time, at least a million rows if there are."""
+    """Rows sorted by the column ``suffix``, some whole suffixes at a time, at least AT_ONCE rows if there are."""
     held: list[list[np.ndarray]] = []
     for batch in batches:
         columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-        if sum(len(h[0]) for h in held) > 1_000_000 and held[-1][0][-1] != columns[0][-1]:
+        if sum(len(h[0]) for h in held) > AT_ONCE and held[-1][0][-1] != columns[0][-1]:
             cut = int(np.searchsorted(columns[0], held[-1][0][-1], side="right"))
             held.append([c[:cut] for c in columns])
             yield [np.concatenate(c) for c in zip(*held, strict=True)]
@@ -396,48 +419,61 @@ def _score(schema: pa.Schema, depth: int, train_tokens: int, train_words: int):
         order = np.argsort(places)
         return places[order], values[order].view(kind)
 
+    base = np.log10(train_tokens + train_words + 1)
+
+    def scored(
+        rows: list[pa.RecordBatch], words: _BlockWords, answers: dict[int, list[np.ndarray]]
+    ) -> Iterator[pa.RecordBatch]:
+        """The texts of a block, slice by slice."""
+        _, counts = by_place(answers[WORDS], np.int64)
+        keys, logs = by_place(answers[GRAMS], np.float64)
+        listed, numbers = words.numbered()
+        if len(listed) != len(counts) or not len(keys):
+            raise RuntimeError(CHANGED)
+        end_count = int(counts[0])
+        for some, own_numbers, first in zip(rows, numbers, words.firsts, strict=True):
+            own, first_gram = grams_of(some.column("text"), depth)
+            codes, distinct = _distinct(own)
+            at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+            if (keys[at] != distinct).any():
+                raise RuntimeError(CHANGED)
+            count = counts[own_numbers]
+            known = _sums((count > 0).astype(np.int64), first) + int(end_count > 0)
+            tokens = np.diff(first) + 1
+            basic = _sums(np.log10(count + 1.0), first) + np.log10(end_count + 1.0) - tokens * base
+            score = _sums(logs[at][codes], first_gram)
+            yield pa.record_batch(
+                [
+                    some.column("id"),
+                    pa.array(tokens.astype(np.int64)),
+                    pa.array(known),
+                    pa.array(basic),
+                    pa.array(score),
+                    pa.array(-score * np.log2(10) / np.diff(first_gram)),
+                ],
+                schema=schema,
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, words, answers, tables = None, None, None, None
-        base = np.log10(train_tokens + train_words + 1)
+        last, held, words, answers = None, [], _BlockWords(), {WORDS: [], GRAMS: []}
         for batch in batches:
             blocks, kinds = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("block", "kind"))
             begins = np.flatnonzero((np.diff(blocks, prepend=-2) != 0) | (np.diff(kinds, prepend=-1) != 0))
             for begin, end in zip(begins, [*begins[1:], batch.num_rows], strict=True):
                 rows = batch.slice(begin, end - begin)
                 if blocks[begin] != last:
-                    last, words, answers, tables = blocks[begin], _WordList(), {WORDS: [], GRAMS: []}, None
+                    if held:
+                        yield from scored(held, words, answers)
+                    last, held, words, answers = blocks[begin], [], _BlockWords(), {WORDS: [], GRAMS: []}
                 if kinds[begin] != TEXTS:
                     packed = zip(rows.column("payload").to_pylist(), rows.column("size").to_pylist(), strict=True)
                     answers[kinds[begin]] += [unpack(p, n) for p, n in packed]
                     continue
-                if tables is None:
-                    _, counts = by_place(answers[WORDS], np.int64)
-                    keys, logs = by_place(answers[GRAMS], np.float64)
-                    tables, answers = True, {WORDS: [], GRAMS: []}
-                for some in text_slices(rows, "text", SLICE):
-                    numbers, first = words.of(some.column("text"))
-                    own, first_gram = grams_of(some.column("text"), depth)
-                    codes, distinct = _distinct(own)
-                    at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
-                    if len(words.numbers) > len(counts) or not len(keys) or (keys[at] != distinct).any():
-                        raise RuntimeError("The documents changed between two reads; write them to a table first.")
-                    count = counts[numbers]
-                    end_count = int(counts[0])
-                    known = _sums((count > 0).astype(np.int64), first) + int(end_count > 0)
-                    tokens = np.diff(first) + 1
-                    basic = _sums(np.log10(count + 1.0), first) + np.log10(end_count + 1.0) - tokens * base
-                    score = _sums(logs[at][codes], first_gram)
-                    yield pa.record_batch(
-                        [
-                            some.column("id"),
-                            pa.array(tokens.astype(np.int64)),
-                            pa.array(known),
-                            pa.array(basic),
-                            pa.array(score),
-                            pa.array(-score * np.log2(10) / np.diff(first_gram)),
-                        ],
-                        schema=schema,
-                    )
+                for some in text_slices(rows.select(["id", "text"]), "text", SLICE):
+                    held.append(some)
+                    words.add(some.column("text"))
+        if held:
+            yield from scored(held, words, answers)
 
     return run
 
