@@ -112,8 +112,9 @@ def train(
 
     ``labels`` are the rows to learn from: (id, 0 or 1). Null ids and labels are
     left out, the larger of repeated labels counts. About ``sample_rows`` of the
-    ids are taken, by their hash, so the same ones whatever the partitions. No
-    labels give no weights, and every score is one half.
+    ids are taken, by their hash, so the same ones whatever the partitions. Rows
+    that repeat id and text are learned from once. No labels give no weights, and
+    every score is one half.
     """
     known = (
         labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").cast("int").alias("label"))
@@ -127,11 +128,13 @@ def train(
     share = min(ticks, ticks * sample_rows // max(total, 1))
     sample = known.where(order < share)
     docs = documents.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
-    # the sample has about sample_rows small rows, whatever the input
-    rows = docs.join(F.broadcast(sample), "id").withColumn("order", order)
+    # the sample has about sample_rows small rows, whatever the input; rows that repeat id and text are one example,
+    # combined before they move
+    rows = docs.join(F.broadcast(sample), "id").groupBy("id", F.xxhash64("text").alias("digest"))
+    rows = rows.agg(F.first("text").alias("text"), F.first("label").alias("label")).withColumn("order", order)
     learned = (
         rows.repartition(1)
-        .sortWithinPartitions("order", "id", F.xxhash64("text"))
+        .sortWithinPartitions("order", "id", "digest")
         .select("text", "label")
         .mapInArrow(tidy(_train), "feature long, weight double")
     )
