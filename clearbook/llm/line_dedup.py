@@ -4,6 +4,12 @@ Texts are cut into units, and a unit's digest is taken of its words alone, in
 lower case. Digests are grouped over the whole corpus; the occurrence that ranks
 first stays, all others are removed, each with its place in the original text.
 
+A unit of few words repeats by chance, so it is hashed together with the units that
+follow it, until there are enough words, and once more with those before it. Each
+unit begins such a stretch, and each short one ends one, whatever stands around: a
+passage of short units has the same stretches wherever it is copied to, and they
+cover it.
+
 The occurrences of a digest are never gathered: an aggregation finds the first
 one, combined before the shuffle, and only digests that occur again are joined
 back, in a join that Spark can split where one unit is very frequent.
@@ -31,7 +37,10 @@ from clearbook.llm.common import (
 )
 from clearbook.sources.staging import stage
 
-MIN_WORDS = 6  # shorter units repeat by chance and stay
+MIN_WORDS = 6  # shorter units repeat by chance and are hashed with the next ones
+JOINED_WORDS = 20  # that they need together: a few short units follow each other by chance more often than a long one recurs
+
+SLICE = 1 << 19  # bytes of text at once; words of short units are held several times
 
 UNITS = ("line", "paragraph", "sentence")
 
@@ -60,11 +69,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def units_of(texts: pa.Array, unit: str, min_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(row, [number, start, end, high, low]) of all units with enough words.
+def units_of(texts: pa.Array, unit: str, min_words: int, joined_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(row, [number, start, end, high, low]) of all units, short ones with those behind or before them.
 
     ``start`` and ``end`` are code points of the text, from the first to behind the
-    last character that is not white. A digest is 128 bits of the words and their order.
+    last character that is not white. A digest is 128 bits of the words and their
+    order. Short units of a text that has fewer than ``joined_words`` have no row.
     """
     data, offsets = text_bytes(texts)
     words = cased_words(texts)
@@ -72,29 +82,50 @@ def units_of(texts: pa.Array, unit: str, min_words: int) -> tuple[np.ndarray, li
     if not len(words.starts):
         return np.empty(0, dtype=np.int64), [np.empty(0, dtype=np.int64)] * 5
     of_word = np.searchsorted(begins, words.starts, side="right") - 1
-    firsts = np.flatnonzero(np.diff(of_word, prepend=-1))
-    counts = np.diff(np.append(firsts, len(of_word)))
-    place = (np.arange(len(of_word)) - np.repeat(firsts, counts)).astype(np.uint64)
-    hashes = word_hashes(words, lower=True)
+    firsts = np.flatnonzero(np.diff(of_word, prepend=-1))  # first words of the units that have any
+    ends = np.append(firsts[1:], len(of_word))
+    texts_of = words.rows()[firsts]
+    text_begin, text_end = words.first[texts_of], words.first[texts_of + 1]
+    # long units alone; from each short one on as far as is needed, and to the end of it from as far back
+    short = ends - firsts < min_words
+    alone = np.flatnonzero(~short)
+    ahead = np.flatnonzero(short & (firsts + joined_words <= text_end))
+    back = np.flatnonzero(short & (ends - joined_words >= text_begin))
+    begin = np.concatenate([alone, ahead, np.searchsorted(firsts, ends[back] - joined_words, side="right") - 1])
+    last = np.concatenate([alone, np.searchsorted(ends, firsts[ahead] + joined_words), back])
+    begin, last = np.divmod(np.unique(begin * (len(firsts) + 1) + last), len(firsts) + 1)
+    firsts, counts = firsts[begin], ends[last] - firsts[begin]
+    owner = np.repeat(np.arange(len(firsts)), counts)
+    place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes = word_hashes(words, lower=True)[firsts[owner] + place]
+    place = place.astype(np.uint64)
+    begun = np.cumsum(counts) - counts
     with np.errstate(over="ignore"):
-        digests = [np.add.reduceat(_mixed(hashes + (place + np.uint64(1)) * f), firsts) for f in _FACTORS[:2]]
-    chosen = counts >= min_words
-    units = of_word[firsts][chosen]
+        digests = [
+            np.add.reduceat(_mixed(hashes + (place + np.uint64(1)) * f), begun) if len(begun) else np.empty(0, dtype=np.uint64)
+            for f in _FACTORS[:2]
+        ]
+    units = of_word[firsts]
     row = np.searchsorted(offsets, begins[units], side="right") - 1
-    ends = np.append(begins[1:], len(data))[units]
+    behind = np.append(begins[1:], len(data))[of_word[ends[last] - 1]]
     # trim white space at both ends
     ink = np.flatnonzero(~IS_WHITE[data])
     left = ink[np.searchsorted(ink, begins[units])]
-    right = ink[np.searchsorted(ink, ends) - 1] + 1
+    right = ink[np.searchsorted(ink, behind) - 1] + 1
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     base = points[offsets[row]]
     number = units - np.searchsorted(begins, offsets[row])
     found = [number, points[left] - base, points[right] - base]
-    return row, [*found, *(d[chosen].view(np.int64) for d in digests)]
+    return row, [*found, *(d.view(np.int64) for d in digests)]
 
 
 def units(
-    documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    documents: DataFrame,
+    unit: str = "line",
+    min_words: int = MIN_WORDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    joined_words: int = JOINED_WORDS,
 ) -> DataFrame:
     """(id, digest, no, start, end, high, low): the units of all texts; ``digest`` is the hash of the whole text."""
     if unit not in UNITS:
@@ -109,8 +140,8 @@ def units(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
-                row, found = units_of(part.column("text"), unit, min_words)
+            for part in text_slices(batch, "text", SLICE):
+                row, found = units_of(part.column("text"), unit, min_words, joined_words)
                 at = pa.array(row)
                 values = [pa.array(v, arrow.field(i + 2).type) for i, v in enumerate(_narrow(found))]
                 yield pa.record_batch([part.column("id").take(at), part.column("digest").take(at), *values], schema=arrow)
@@ -123,7 +154,12 @@ def _narrow(found: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def repeats(
-    documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    documents: DataFrame,
+    unit: str = "line",
+    min_words: int = MIN_WORDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    joined_words: int = JOINED_WORDS,
 ) -> DataFrame:
     """(id, digest, removed): for each document that loses something, the places of all units to remove, in order.
 
@@ -131,7 +167,8 @@ def repeats(
     text hash, then the first in its text; null ids rank last. Rows that repeat id
     and text are one document and lose the same. Null and empty texts have no units.
     """
-    rows = stage(units(documents, unit, min_words, id_column, text_column).distinct(), "units")
+    # rows of a document that comes several times rank the same, so neither of them is later than the other
+    rows = stage(units(documents, unit, min_words, id_column, text_column, joined_words), "units")
     rank = F.struct(F.col("id").isNull().alias("last"), "id", "digest", "no")
     again = (
         rows.groupBy("high", "low")
@@ -140,11 +177,39 @@ def repeats(
         .select("high", "low", "first")
     )
     later = rows.join(again, ["high", "low"]).where(~rank.eqNullSafe(F.col("first")))
-    return later.groupBy("id", "digest").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    places = later.groupBy("id", "digest").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
+    return places.mapInArrow(tidy(_united), places.schema)
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task over rows with sorted places: places that overlap become one."""
+    for batch in batches:
+        lists = batch.column("removed")
+        flat = lists.flatten()
+        sizes = np.diff(lists.offsets.to_numpy())
+        row = np.repeat(np.arange(batch.num_rows), sizes)
+        start, end = (flat.field(name).to_numpy().astype(np.int64) for name in ("start", "end"))
+        # rows stand one behind the other on one line, so that none reaches into the next
+        shift = row * (int(end.max(initial=0)) + 1)
+        furthest = np.maximum.accumulate(end + shift) if len(end) else end
+        opens = np.ones(len(start), dtype=bool)
+        opens[1:] = (start + shift)[1:] > furthest[:-1]
+        firsts = np.flatnonzero(opens)
+        lasts = np.append(firsts[1:], len(start)) - 1
+        kind = flat.type
+        values = [pa.array(start[firsts]).cast(kind[0].type), pa.array((furthest - shift)[lasts]).cast(kind[1].type)]
+        offsets = np.searchsorted(row[firsts], np.arange(batch.num_rows + 1)).astype(np.int32)
+        united = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, fields=list(kind)))
+        yield pa.record_batch([batch.column("id"), batch.column("digest"), united.cast(lists.type)], names=["id", "digest", "removed"])
 
 
 def remove(
-    documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text"
+    documents: DataFrame,
+    unit: str = "line",
+    min_words: int = MIN_WORDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    joined_words: int = JOINED_WORDS,
 ) -> DataFrame:
     """The documents without the units that occurred before, and ``removed``: their places in the original text.
 
@@ -152,7 +217,7 @@ def remove(
     has no places. An older column ``removed`` is replaced.
     """
     lost_id, lost_digest = (unused_name(name, documents.columns) for name in ("_lost_id", "_lost_digest"))
-    lost = repeats(documents, unit, min_words, id_column, text_column).withColumnsRenamed(
+    lost = repeats(documents, unit, min_words, id_column, text_column, joined_words).withColumnsRenamed(
         {"id": lost_id, "digest": lost_digest}
     )
     docs = documents.drop("removed")
