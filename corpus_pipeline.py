@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbook.llm import bpe, decontaminate, pii, simhash, toxicity
-from clearbook.sources.staging import stage
+from clearbook.sources.staging import stage, staged_until_done
 
 SHINGLE, RADIUS = 3, 2  # words, differing bits
 
@@ -66,3 +66,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def write(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write what ``run`` returns to ``path`` (parquet); all that was staged on the way is deleted then."""
+    with staged_until_done(spark):
+        run(spark, sf_dir).write.mode("overwrite").parquet(path)

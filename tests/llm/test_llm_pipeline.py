@@ -1,4 +1,5 @@
 import hashlib
+from pathlib import Path
 
 import corpus_pipeline
 import public_tokenizers
@@ -6,6 +7,7 @@ import tiktoken
 from conftest import SMALL
 
 from clearbook.llm import bpe, pii, simhash
+from clearbook.sources.staging import shared_folder
 
 
 def test_stages_and_their_effects(spark):
@@ -41,6 +43,14 @@ def test_run_applies_all_stages(spark):
     assert rows.count() > 100 and "ids" in rows.columns
 
 
+def test_the_job_deletes_what_it_staged(spark, tmp_path):
+    root = Path(shared_folder(spark).removeprefix("file:")) / "clearbook"
+    before = set(root.iterdir()) if root.exists() else set()
+    corpus_pipeline.write(spark, SMALL, str(tmp_path / "corpus"))
+    assert spark.read.parquet(str(tmp_path / "corpus")).count() > 100
+    assert set(root.iterdir()) == before
+
+
 def test_messy_rows_pass_through(spark, messy, empty):
     import __spark_entry__ as entry
 
