@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# The names of the columns here and below, which files of other writers have too.
 RAW_COLUMNS = [
     "transaction_id", "customer_name", "region", "industry_segment", "product_sku",
     "order_date", "quantity", "revenue_usd", "sales_rep", "notes",

@@ -28,7 +28,7 @@ def separate_partitions(spark):
 
 @pytest.fixture
 def eight_rows(spark):
-    """Customer A has 800, B 150 and C 50 of a total of 1000."""
+    """Customer A has 800, B 150 and C 50 of a total of 1000. Fixed values."""
     rows = [
         ("T1", "A", "East", "Paper", 200.0, "2024-01-02"),
         ("T2", "A", "East", "Paper", 200.0, "2024-01-09"),
