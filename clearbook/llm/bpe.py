@@ -184,69 +184,79 @@ def _unpack(packed: bytes, size: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
+class _Block:
+    """The pre-tokens of a block's slices: numbers for each slice, and the distinct ones they number."""
+
+    def __init__(self, name: int) -> None:
+        self.name, self.bytes = name, 0
+        self.lists: list[pa.Array] = []
+        self.slices: list[tuple[np.ndarray, np.ndarray, list[int], list[pa.Array]]] = []
+
+    def add(self, rows: pa.RecordBatch, text_column: str, part_column: str, pattern) -> None:
+        data, offsets = text_bytes(rows.column(text_column))
+        bounds = _pieces(data, offsets, pattern)
+        coded = binary_array(data, bounds).dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+        kept = rows.drop_columns([text_column, part_column]).columns
+        self.lists.append(coded.dictionary)
+        self.slices.append((codes, np.searchsorted(bounds[:-1], offsets), _hashes(data, offsets), kept))
+        self.bytes += len(data)
+
+    def numbered(self) -> tuple[pa.Array, list[np.ndarray]]:
+        """(distinct pre-tokens in the order they first come, their numbers where each slice's own ones begin)."""
+        coded = pa.concat_arrays(self.lists).dictionary_encode()
+        places = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+        before = np.cumsum([0, *(len(own) for own in self.lists)])
+        return coded.dictionary, [places[at:] for at in before[:-1]]
+
+
 def _cut_blocks(kind: int, text_column: str, part_column: str, pattern: str, block_tokens: int, schema: pa.Schema):
     """Task over documents with their split: rows of one kind, the pre-tokens or the texts of its blocks."""
 
+    def word_rows(block: _Block) -> Iterator[pa.RecordBatch]:
+        words, _ = block.numbered()
+        for begin in range(0, len(words), 50_000):
+            some = words.slice(begin, 50_000).cast(pa.binary())
+            places = np.arange(begin, begin + len(some), dtype=np.int32)
+            yield pa.record_batch([pa.array(np.full(len(some), block.name)), pa.array(places), some], schema=schema)
+
+    def text_rows(block: _Block, sequence: int) -> Iterator[pa.RecordBatch]:
+        fields = list(schema.field("carried").type)
+        _, numbers = block.numbered()
+        for (codes, ends, hashes, kept), own in zip(block.slices, numbers, strict=True):
+            places, size = own[codes], len(hashes)
+            positions = [places[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.record_batch(
+                [
+                    pa.array(np.full(size, block.name)),
+                    pa.array(np.arange(sequence, sequence + size, dtype=np.int32)),
+                    pa.array([_pack(p) for p in positions], pa.binary()),
+                    pa.array([len(p) for p in positions], pa.int32()),
+                    pa.array(hashes, pa.int64()),
+                    pa.StructArray.from_arrays(kept, fields=fields) if kept else pa.nulls(size, pa.struct([])),
+                ],
+                schema=schema,
+            )
+            sequence += size
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
-        block_number = sequence = 0
-
-        def word_rows(words: pa.Array, name: int) -> Iterator[pa.RecordBatch]:
-            for begin in range(0, len(words), 50_000):
-                some = words.slice(begin, 50_000).cast(pa.binary())
-                places = np.arange(begin, begin + len(some), dtype=np.int32)
-                yield pa.record_batch([pa.array(np.full(len(some), name)), pa.array(places), some], schema=schema)
-
-        for rows in _blocks(batches, text_column, TOKEN_BYTES * block_tokens):
-            name = (rows.column(part_column)[0].as_py() << 32) + block_number
-            block_number += 1
-            data, offsets = text_bytes(rows.column(text_column).combine_chunks())
-            bounds = _pieces(data, offsets, compiled)
-            coded = binary_array(data, bounds).dictionary_encode()
-            if kind == WORD:
-                yield from word_rows(coded.dictionary, name)
-                continue
-            places = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-            ends = np.searchsorted(bounds[:-1], offsets)
-            kept = rows.drop_columns([text_column, part_column]).combine_chunks()
-            hashes = _hashes(data, offsets)
-            for begin in range(0, rows.num_rows, 4096):
-                end = min(begin + 4096, rows.num_rows)
-                positions = [places[a:b] for a, b in zip(ends[begin:end], ends[begin + 1 : end + 1], strict=True)]
-                carried = [column.chunk(0).slice(begin, end - begin) for column in kept.columns]
-                yield pa.record_batch(
-                    [
-                        pa.array(np.full(end - begin, name)),
-                        pa.array(np.arange(sequence, sequence + end - begin, dtype=np.int32)),
-                        pa.array([_pack(p) for p in positions], pa.binary()),
-                        pa.array([len(p) for p in positions], pa.int32()),
-                        pa.array(hashes[begin:end], pa.int64()),
-                        pa.StructArray.from_arrays(carried, fields=list(kept.schema))
-                        if carried
-                        else pa.nulls(end - begin, pa.struct([])),
-                    ],
-                    schema=schema,
-                )
-                sequence += end - begin
+        block, number, sequence = None, 0, 0
+        for batch in batches:
+            for rows in text_slices(batch, text_column, min(SLICE_BYTES, TOKEN_BYTES * block_tokens)):
+                if block is not None and block.bytes >= TOKEN_BYTES * block_tokens:
+                    yield from word_rows(block) if kind == WORD else text_rows(block, sequence)
+                    sequence += sum(len(hashes) for _, _, hashes, _ in block.slices)
+                    block, number = None, number + 1
+                if block is None:
+                    block = _Block((rows.column(part_column)[0].as_py() << 32) + number)
+                block.add(rows, text_column, part_column, compiled)
+        if block is not None:
+            yield from word_rows(block) if kind == WORD else text_rows(block, sequence)
 
     return run
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], text_column: str, block_bytes: int) -> Iterator[pa.Table]:
-    """Consecutive rows with about ``block_bytes`` of text together, or one longer text."""
-    held, size = [], 0
-    for batch in batches:
-        for rows in text_slices(batch, text_column, min(block_bytes, SLICE_BYTES)):
-            own = pc.sum(pc.fill_null(pc.binary_length(rows.column(text_column)), 0)).as_py()
-            if held and size + own > block_bytes:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-            held.append(rows)
-            size += own
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _encode_sorted(table: list[bytes], pattern: str, flush_rows: int = 500_000):
     """Task over (block, seq, word) sorted by word: every word is encoded when it first comes.
 
