@@ -176,6 +176,8 @@ def repeats(
         .where("n > 1")
         .select("high", "low", "first")
     )
+    # staged, as Spark divides a hot digest only if both sides of the join come straight from a shuffle
+    again = stage(again, "again")
     later = rows.join(again, ["high", "low"]).where(~rank.eqNullSafe(F.col("first")))
     places = later.groupBy("id", "digest").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
     return places.mapInArrow(tidy(_united), places.schema)
