@@ -25,6 +25,8 @@ RATIO = 3.0
 # Keys that are linked over several steps are one name if the last one has at least this share of their rows.
 HEAD_SHARE = 0.5
 
+KEYS_OF_A_TASK = 2_000  # at least, unless there are fewer in all
+
 _CHUNK = 1 << 20  # characters, or pairs of them, that a task works on at once
 
 _PARTS = "rank long, high long, low long, kind int, at long, then long"
@@ -123,6 +125,12 @@ def _parts(distance: int):
     return run
 
 
+def _spread(keys: DataFrame) -> DataFrame:
+    """The keys dealt to tasks by their number: a key is small next to its parts, so files of keys make too few tasks."""
+    most = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keys.repartition(max(1, min(most, keys.count() // KEYS_OF_A_TASK)), "rank")
+
+
 def _best_neighbours(ranked: DataFrame, distance: int) -> DataFrame:
     """(rank, best): the smallest rank among the keys within ``distance`` edits, its own included.
 
@@ -135,7 +143,9 @@ def _best_neighbours(ranked: DataFrame, distance: int) -> DataFrame:
     best member of each kind, and pairs are never listed. A group has as many
     keys as there are ways to put the characters back.
     """
-    parts = ranked.select("rank", "key").mapInArrow(_parts(distance), _PARTS)
+    parts = _spread(ranked.select("rank", "key")).mapInArrow(_parts(distance), _PARTS)
+    # sorted once, as the finest of the windows needs it, which does for the others
+    parts = parts.repartition("high", "low").sortWithinPartitions("high", "low", "at", "then")
     rank, kind = F.col("rank"), F.col("kind")
     same_rest = W.partitionBy("high", "low")
     same_place = W.partitionBy("high", "low", "at")

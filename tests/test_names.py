@@ -191,3 +191,12 @@ def test_a_single_name(spark):
         spark.range(1).select(F.lit("abcdefgh").alias("key"), F.lit(1).cast("long").alias("n"))
     )
     assert found.count() == 1
+
+
+@pytest.mark.parametrize("distance", [1, 2])
+def test_keys_are_dealt_to_tasks_and_their_parts_sorted_once(spark, distance):
+    keys = spark.range(20_000).select("id", F.concat(F.lit("customer"), F.col("id").cast("string")).alias("key"))
+    ranked = keys.withColumnRenamed("id", "rank").coalesce(1)
+    plan = names._best_neighbours(ranked, distance)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
+    assert "hashpartitioning(rank" in plan.split("MapInArrow")[1]
