@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clearbook.functions.text import strip
+from clearbook.functions.text import WHITE_SPACE, strip
 
 CENTS = "decimal(38,0)"
 
-# What a plain number is written with. Other letters are kept out, since the
-# cast would read "1d", "1f", "nan" and "inf" as numbers.
-NUMBER_CHARACTERS = "0123456789+-.eE"
+# What the cast would read beside plain numbers, as in "1d", "0x1p3", "nan" and "inf", or leave out at either end:
+# letters, and control characters that are no white space. They are turned into what it reads nowhere.
+NO_NUMBER = "".join(sorted({*"dfinpxDFINPX", *map(chr, range(0x20)), "\x7f"} - {*WHITE_SPACE}))
 
 # Cents of amounts up to this are added up as longs, which hold those of some hundred million transactions of that
 # size. Larger ones are added up as decimals of 38 digits, which hold a billion transactions of the largest size.
@@ -26,9 +28,13 @@ def round_half_even(value: Column, digits: int) -> Column:
 
 
 def parse_money(text: Column) -> Column:
-    """``"$1,234.50"`` -> 1234.5; anything that is not a plain finite number -> null."""
-    digits = strip(F.translate(text, "$,", ""))
-    return F.when(F.translate(digits, NUMBER_CHARACTERS, "") == "", finite(digits.try_cast("double")))
+    """``"$1,234.50"`` -> 1234.5; anything that is not a plain finite number -> null.
+
+    The text is named as few times as can be: a filter on the amount is moved
+    to where the text is made, which is then made anew for each mention.
+    """
+    digits = strip(F.translate(text, f"{NO_NUMBER}$,", "_" * len(NO_NUMBER)))
+    return finite(digits.try_cast("double"))
 
 
 def finite(amount: Column) -> Column:
@@ -41,6 +47,15 @@ def is_countable(amount: Column) -> Column:
     return F.coalesce(F.abs(amount) <= LARGEST_AMOUNT, F.lit(False))
 
 
+def is_countable_gain(amount: Column) -> Column:
+    """True for countable amounts that are not negative. The amount is named once, see ``parse_money``.
+
+    There is one bucket, from 0 to LARGEST_AMOUNT; NaN is in none.
+    """
+    beyond = math.nextafter(LARGEST_AMOUNT, math.inf)
+    return F.coalesce(F.width_bucket(amount, F.lit(0.0), F.lit(beyond), F.lit(1)) == 1, F.lit(False))
+
+
 def to_cents(amount: Column) -> Column:
     """Whole cents as a long: sums are exact and independent of the partitioning. Null beyond ORDINARY_AMOUNT."""
     return F.when(F.abs(amount) <= ORDINARY_AMOUNT, F.rint(amount * 100).cast("long"))

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.functions.numeric import all_cents, finite, is_countable, to_cents, to_large_cents
+from clearbook.functions.numeric import all_cents, finite, is_countable, is_countable_gain, to_cents, to_large_cents
 
 CUSTOMER = "customer_name_clean"
 REGION = "region_clean"
@@ -83,7 +83,7 @@ def revenue_sum() -> Column:
 def analyzable(clean: DataFrame, include_refunds: bool = False) -> DataFrame:
     """Rows the analysis uses: revenue countable and, unless refunds are wanted, not negative."""
     revenue = F.col("revenue_usd_clean")
-    return clean.where(is_countable(revenue) & (F.lit(include_refunds) | (revenue >= 0)))
+    return clean.where(is_countable(revenue) if include_refunds else is_countable_gain(revenue))
 
 
 def exclusion_counts(clean: DataFrame, include_refunds: bool = False) -> DataFrame:

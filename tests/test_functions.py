@@ -15,6 +15,7 @@ from clearbook.functions.vocabulary import (
     SEGMENTS,
     alias_table,
 )
+from clearbook.operators.measures import analyzable
 
 
 def apply(spark, values, expression, kind="string"):
@@ -139,3 +140,33 @@ def test_display_helpers(spark):
     assert apply(spark, [2.5, 3.5, 1234567.0], text.grouped_number, "double") == ["2", "4", "1,234,567"]
     assert apply(spark, ["x" * 300], text.shorten) == ["x" * 200]
     assert math.isclose(apply(spark, [100], numeric.cents_to_amount, "long")[0], 1.0)
+
+
+def test_frequent_forms_of_dates_are_read_as_by_the_formatter(spark):
+    rng = random.Random(8)
+    months = ["jan", "Feb", "MAR", "may", "Sept", "September", "December", "Foo", "octo"]
+    forms = ["{y}-{a:02}-{b:02}", "{a}/{b}/{y}", "{a:02}.{b}.{y}", "{a}-{b:02}-{y}", "{a}-{b}/{y}", "{a}-{m}-{y}", "{a} {m} {y}",
+             "{m} {a}, {y}", "{m} {a} {y}", "{m}. {a}, {y}", "{m}-{a}-{y}", "{y}-{a}-1T", "{a}, {m} {y}"]
+    texts = [
+        form.format(a=rng.randint(0, 33), b=rng.randint(0, 33), m=rng.choice(months), y=rng.choice(["0000", "1582", "2024"]))
+        for form in forms
+        for _ in range(150)
+    ]
+    both = [dates.parse_date, lambda v: dates._by_formatter(text.strip(v))]
+    found = apply(spark, texts, lambda v: F.struct(*[parse(v).cast("string") for parse in both]))
+    assert [row[0] for row in found] == [row[1] for row in found]
+    assert sum(row[0] is not None for row in found) > 200
+
+
+def test_a_filter_on_amounts_makes_their_text_twice_at_most(spark):
+    made = spark.range(10).select(F.reverse(F.col("id").cast("string")).alias("text"))
+    kept = analyzable(made.select(numeric.parse_money(F.col("text")).alias("revenue_usd_clean")))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    [condition] = [line for line in plan.splitlines() if "Filter" in line]
+    assert condition.count("reverse(") <= 2
+    assert kept.count() == 10
+
+
+def test_letters_and_control_characters_make_no_amount(spark):
+    texts = ["1d", "2F", "0x1p3", "nan", "-Infinity", "inf", "\x001", "1\x08", "5e400", "1 2", "\x1c1\x1f", "1e3", "$ -1,0.5"]
+    assert apply(spark, texts, numeric.parse_money) == [None] * 10 + [1.0, 1000.0, -10.5]
