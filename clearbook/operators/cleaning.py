@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.dates import parse_date
@@ -23,16 +23,19 @@ REGION_ALIASES = alias_table(REGION_SPELLINGS)
 SEGMENT_ALIASES = alias_table(SEGMENT_SPELLINGS)
 
 
+def value_columns() -> dict[str, Column]:
+    """The four clean columns that depend on their row alone."""
+    return {
+        "region_clean": match_closed(F.col("region"), REGIONS, REGION_ALIASES),
+        "industry_segment_clean": match_closed(F.col("industry_segment"), SEGMENTS, SEGMENT_ALIASES),
+        "order_date_clean": parse_date(F.col("order_date")),
+        "revenue_usd_clean": parse_money(F.col("revenue_usd")),
+    }
+
+
 def clean_values(raw: DataFrame) -> DataFrame:
-    """The four clean columns that depend on their row alone; works on streams as well."""
-    return raw.withColumns(
-        {
-            "region_clean": match_closed(F.col("region"), REGIONS, REGION_ALIASES),
-            "industry_segment_clean": match_closed(F.col("industry_segment"), SEGMENTS, SEGMENT_ALIASES),
-            "order_date_clean": parse_date(F.col("order_date")),
-            "revenue_usd_clean": parse_money(F.col("revenue_usd")),
-        }
-    )
+    """The raw rows with these four; works on streams as well."""
+    return raw.withColumns(value_columns())
 
 
 def name_mapping(raw: DataFrame, **options) -> DataFrame:
@@ -47,8 +50,9 @@ def clean_transactions(raw: DataFrame, names: DataFrame | None = None) -> DataFr
     """Raw transactions plus the five clean columns.
 
     ``names`` is (dirty, clean, n) and defaults to clustering the table itself.
+    The names are looked up first, so that the rows are moved without the other clean columns.
     """
     names = name_mapping(raw) if names is None else names
-    return apply_mapping(
-        clean_values(raw), "customer_name", names, "customer_name_clean", spread_by="transaction_id", counts=names
-    )
+    named = apply_mapping(raw, "customer_name", names, "customer_name_clean", spread_by="transaction_id", counts=names)
+    cleaned = clean_values(named)
+    return cleaned.select(*[c for c in cleaned.columns if c != "customer_name_clean"], "customer_name_clean")

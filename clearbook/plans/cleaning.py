@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.matching import match_closed
 from clearbook.functions.vocabulary import REGIONS, SEGMENTS
-from clearbook.operators.cleaning import REGION_ALIASES, SEGMENT_ALIASES, clean_transactions, clean_values, name_mapping
+from clearbook.operators.cleaning import REGION_ALIASES, SEGMENT_ALIASES, clean_transactions, name_mapping, value_columns
 from clearbook.operators.mapping import apply_mapping, distinct_values, only_new, values_of
 from clearbook.operators.measures import analyzable
 from clearbook.operators.names import canonical_names
@@ -76,16 +76,18 @@ def refresh_closed(
 
 
 def clean_with_mappings(raw: DataFrame, names: DataFrame, closed: Mapping[str, DataFrame]) -> DataFrame:
-    """Raw transactions plus the five clean columns, the three texts by their stored mappings (dirty, clean, n)."""
-    cleaned = clean_values(raw)
-    order = cleaned.columns
+    """Raw transactions plus the five clean columns, the three texts by their stored mappings (dirty, clean, n).
+
+    The names, of which there are most, are looked up first, so that the rows are moved without the other clean columns.
+    """
+    values = value_columns()
+    order = raw.withColumns(values).columns
+    mapped = apply_mapping(raw, "customer_name", names, "customer_name_clean", "transaction_id", counts=names)
     for domain, pairs in closed.items():
         column = CLOSED[domain][0]
-        cleaned = apply_mapping(
-            cleaned.drop(f"{column}_clean"), column, pairs, f"{column}_clean", "transaction_id", counts=pairs
-        )
-    named = apply_mapping(cleaned, "customer_name", names, "customer_name_clean", "transaction_id", counts=names)
-    return named.select(*order, "customer_name_clean")
+        mapped = apply_mapping(mapped, column, pairs, f"{column}_clean", "transaction_id", counts=pairs)
+        values.pop(f"{column}_clean")
+    return mapped.withColumns(values).select(*order, "customer_name_clean")
 
 
 def run_cleaning(

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clearbook.operators import mapping, resolver
-from clearbook.plans.cleaning import refresh_names
+from clearbook.operators.cleaning import clean_transactions
+from clearbook.plans.cleaning import clean_with_mappings, refresh_names
 from clearbook.sources.mapping_table import append_mapping, read_mapping
 
 ROWS = [("1", "a"), ("2", "a"), ("3", "b"), ("4", "c"), ("5", " "), ("6", None), ("7", "7")]
@@ -142,3 +143,21 @@ def test_answers_in_json(spark):
         ("a", "A", True), ("b co", "B Co", False), ("c", "C", False), ("d", "D", False),
     }
     assert sorted(map(str, (r.dirty for r in resolver.mapping_rows(df, "answer").collect()))) == ["None", "None", "a", "x"]
+
+
+def test_rows_are_moved_to_their_names_without_the_other_clean_columns(spark):
+    columns = ["transaction_id", "customer_name", "region", "industry_segment", "order_date", "revenue_usd"]
+    raw = spark.createDataFrame([("1", "acme  co", "NE", "Timber", "03/15/2024", "$ 5")], ", ".join(f"{c} string" for c in columns))
+    names = spark.createDataFrame([("acme  co", "Acme Co", 1)], "dirty string, clean string, n long")
+    regions = spark.createDataFrame([("NE", "Northeast", 1)], "dirty string, clean string, n long")
+    segments = spark.createDataFrame([("Timber", "Mining", 1)], "dirty string, clean string, n long")
+    plain = clean_transactions(raw, names)
+    mapped = clean_with_mappings(raw, names, {"regions": regions, "segments": segments})
+    for cleaned, segment in ((plain, "Wood Products"), (mapped, "Mining")):
+        clean = ["region_clean", "industry_segment_clean", "order_date_clean", "revenue_usd_clean", "customer_name_clean"]
+        assert cleaned.columns == columns + clean
+        [row] = cleaned.select(*clean).collect()
+        assert (row[0], row[1], str(row[2]), row[3], row[4]) == ("Northeast", segment, "2024-03-15", 5.0, "Acme Co")
+        lines = cleaned._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        first_join = next(i for i, line in enumerate(lines) if "Join" in line)
+        assert not any("order_date_clean" in line for line in lines[first_join:])
