@@ -53,6 +53,15 @@ def to_measures(clean: DataFrame) -> DataFrame:
     return clean.select(CUSTOMER, REGION, SEGMENT, DAY, *[c.alias(name) for name, c in measures.items()])
 
 
+def partials() -> list[Column]:
+    """Aggregates: the measure columns of a group."""
+    return [
+        *[F.sum(name).alias(name) for name in SUMS],
+        F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day"),
+    ]
+
+
 def roll_up(measures: DataFrame, *keys: str, sketched: Sequence[str] = ()) -> DataFrame:
     """Add partials up to a coarser grain; partials combine map-side before the shuffle.
 
@@ -62,9 +71,7 @@ def roll_up(measures: DataFrame, *keys: str, sketched: Sequence[str] = ()) -> Da
     older = [name for name in measures.columns if name.endswith(SKETCH)]
     newer = [name for name in sketched if f"{name}{SKETCH}" not in older]
     return measures.groupBy(*keys).agg(
-        *[F.sum(name).alias(name) for name in SUMS],
-        F.min("first_day").alias("first_day"),
-        F.max("last_day").alias("last_day"),
+        *partials(),
         *[F.hll_union_agg(name).alias(name) for name in older],
         *[F.hll_sketch_agg(F.col(name), SKETCH_BITS).alias(f"{name}{SKETCH}") for name in newer],
     )

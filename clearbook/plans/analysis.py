@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.operators import breakdown, pareto, summary, weekly
-from clearbook.operators.measures import CUSTOMER, DAY, REGION, SEGMENT, roll_up
+from clearbook.operators.measures import DAY, REGION, SEGMENT, roll_up
 from clearbook.sources.files import write_csv, write_results
 from clearbook.sources.staging import stage, staged_until_done
 
@@ -27,19 +27,25 @@ class Analysis:
     week_summary: DataFrame
 
 
-def analyze(by_customer: DataFrame, by_day: DataFrame) -> Analysis:
+def analyze(by_customer: DataFrame, by_day: DataFrame | None = None) -> Analysis:
     """All tables from measures that hold the three dimensions, and measures that hold the day.
 
-    Both inputs may come from the same transactions (``to_measures``) or be
-    added up beforehand. The customer side is reduced to one row per customer,
-    region and segment once; five of the tables work on that.
+    Both may be added up beforehand. Without ``by_day`` the days are those of
+    ``by_customer``. It is read once, and added up by segment, by region and
+    customer, and by day; all tables work on these rows, of which there are as
+    many as values and customers, not as combinations of segment and customer.
     """
-    cube = stage(roll_up(by_customer, CUSTOMER, REGION, SEGMENT), "cube")
-    customers = stage(pareto.customer_pareto(cube), "customers")
+    days = [DAY] if by_day is None else []
+    cube = stage(breakdown.by_each(by_customer, counted=[SEGMENT], named=[REGION], plain=days), "cube")
+    by_region = cube.where(F.col("dimension") == REGION).drop(SEGMENT)
+    by_day = roll_up(cube.where(F.col("dimension") == DAY), DAY) if by_day is None else by_day
+    customers = stage(pareto.customer_pareto(by_region), "customers")
     weeks = stage(weekly.weekly_revenue(by_day), "weeks")
-    parts = stage(breakdown.breakdowns(cube, [SEGMENT, REGION]), "parts")
+    parts = stage(breakdown.breakdowns_of(cube, [SEGMENT, REGION]), "parts")
+    # all sums, customers and regions are in the rows by region; each segment comes once more, without sums
+    segments = parts.where(F.col("dimension") == SEGMENT).select(F.col("value").alias(SEGMENT))
     return Analysis(
-        dataset=summary.dataset_summary(cube),
+        dataset=summary.dataset_summary(by_region.unionByName(segments, allowMissingColumns=True)),
         customers=customers,
         customer_summary=pareto.pareto_summary(customers),
         top=customers.where(F.col("rank") <= pareto.TOP_CUSTOMERS).orderBy("rank"),
@@ -81,8 +87,11 @@ def result_document(analysis: Analysis) -> DataFrame:
     )
 
 
-def run_analysis(by_customer: DataFrame, by_day: DataFrame, folder: str) -> None:
-    """Write the four tables as CSV and the document as JSON into ``folder``; what was staged is deleted."""
+def run_analysis(by_customer: DataFrame, by_day: DataFrame | None, folder: str) -> None:
+    """Write the four tables as CSV and the document as JSON into ``folder``; what was staged is deleted.
+
+    Without ``by_day`` the days are those of ``by_customer``.
+    """
     with staged_until_done(by_customer.sparkSession):
         analysis = analyze(by_customer, by_day)
         write_csv(analysis.customers.orderBy("rank"), f"{folder}/customer_pareto")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clearbook import schemas
-from clearbook.operators import measures, pareto, profile, quality, triage
+from clearbook.operators import breakdown, measures, pareto, profile, quality, summary, triage, weekly
 from clearbook.plans import analysis, cleaning, reporting
 from clearbook.operators.measures import to_measures
 from clearbook.sources import files, publication, staging
@@ -275,6 +275,52 @@ def test_analysis_report_and_delivery(spark, tmp_path, eight_rows):
     assert all(r.size.endswith(" KB") and r.bytes > 0 for r in catalog)
 
 
+def test_analysis_adds_up_in_one_pass(spark, tmp_path, monkeypatch):
+    """What is staged has a row for each value, customer of a region and day, not for each segment of a customer."""
+    names = (
+        "transaction_id customer_name_clean region_clean industry_segment_clean revenue_usd_clean order_date_clean"
+    ).split()
+    amounts = [float(i) for i in range(396)] + [None, 2e9, -3.5, float("nan")]
+    rows = [
+        (
+            None if i % 7 == 0 else f"T{i}", None if i % 20 == 0 else f"C{i % 20}", None if i % 9 == 0 else f"R{i % 3}",
+            None if i % 31 == 0 else f"S{i // 20 % 10}", amount, None if i % 13 == 0 else dt.date(2024, 1, 1 + i % 28),
+        )
+        for i, amount in enumerate(amounts)
+    ]
+    measured = to_measures(spark.createDataFrame(rows, names))
+    staged, plans, stage = {}, {}, analysis.stage
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(analysis, "stage", noted)
+    measured.write.parquet(str(tmp_path / "measured"))
+    measured = spark.read.parquet(str(tmp_path / "measured"))
+    separate = analysis.analyze(measured, measured)
+    together = analysis.analyze(measured)
+    by_value = {(r[2], r[1]) for r in rows}, {r[3] for r in rows}, {r[5] for r in rows}
+    assert staged["cube"].count() == sum(map(len, by_value)) < len({(r[1], r[2], r[3]) for r in rows})
+    assert plans["cube"].count("FileScan") == 1
+    assert not any("measured" in plan for name, plan in plans.items() if name != "cube")
+
+    def same(found, expected):
+        assert found.columns == expected.columns
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+    for result in (separate, together):
+        same(result.dataset, summary.dataset_summary(measured))
+        same(result.customers, pareto.customer_pareto(measured))
+        same(result.segments, breakdown.segment_breakdown(measured))
+        same(result.regions, breakdown.region_breakdown(measured))
+        same(result.weeks, weekly.weekly_revenue(measured))
+    nothing = analysis.analyze(measured.limit(0))
+    same(nothing.dataset, summary.dataset_summary(measured.limit(0)))
+    assert nothing.segments.count() == nothing.customers.count() == nothing.weeks.count() == 0
+
+
 def test_breakdowns_are_published_whole(spark, tmp_path):
     rows = [(f"T{i}", f"C{i % 3}", f"R{i % 60}", f"S{i}", 10.0 + i, dt.date(2024, 1, 1 + i % 20)) for i in range(80)]
     names = (
