@@ -50,9 +50,9 @@ def clean_transactions(raw: DataFrame, names: DataFrame | None = None) -> DataFr
     """Raw transactions plus the five clean columns.
 
     ``names`` is (dirty, clean, n) and defaults to clustering the table itself.
-    The names are looked up first, so that the rows are moved without the other clean columns.
+    The names are looked up first, so that the rows are moved without the other clean columns, their texts packed.
     """
     names = name_mapping(raw) if names is None else names
-    named = apply_mapping(raw, "customer_name", names, "customer_name_clean", spread_by="transaction_id", counts=names)
+    named = apply_mapping(raw, "customer_name", names, "customer_name_clean", "transaction_id", counts=names, packed=True)
     cleaned = clean_values(named)
     return cleaned.select(*[c for c in cleaned.columns if c != "customer_name_clean"], "customer_name_clean")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.text import has_text
 from clearbook.names import unused_name
+from clearbook.operators.packing import pack, text_columns, unpack
 from clearbook.sources.staging import stage
 
 # A value is hot when it holds at least this share of all rows; at most
@@ -50,7 +51,13 @@ def one_pair_each(mapping: DataFrame) -> DataFrame:
 
 
 def apply_mapping(
-    df: DataFrame, column: str, mapping: DataFrame, target: str, spread_by: str, counts: DataFrame | None = None
+    df: DataFrame,
+    column: str,
+    mapping: DataFrame,
+    target: str,
+    spread_by: str,
+    counts: DataFrame | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """Add ``target``: the mapped value of ``column``, or the value itself where it has no mapping.
 
@@ -61,7 +68,9 @@ def apply_mapping(
     spread out by ``spread_by`` (a column of many values, such as the row id; by
     the whole row where it is null). So no key of a shuffled join gathers a
     large share of the rows, whichever value is hot. ``counts`` is (dirty, n) as
-    ``distinct_values`` gives it, for callers who have it already.
+    ``distinct_values`` gives it, for callers who have it already. ``packed``
+    packs the texts of the rows for the second join: for callers who use all
+    columns of the result, as one that is not used is moved then, too.
     """
     value = F.col(column)
     pairs = one_pair_each(mapping)
@@ -76,13 +85,24 @@ def apply_mapping(
         F.broadcast(hot.select(F.col("dirty").alias(hot_value), F.col("clean").alias(hot_clean))),
         value == F.col(hot_value),
         "left",
-    )
+    ).drop(hot_value)
     opened = has_text(value) & F.col(hot_clean).isNull()
     keyed = looked_up.withColumns({is_open: opened, key: F.when(opened, value).otherwise(spread)})
+    texts = [c for c in text_columns(df) if c != target] if packed else []
+    if texts:
+        box = unused_name("packed", [*keyed.columns, target])
+        # an open value is its key already
+        boxed = [F.when(~F.col(is_open), value) if c == column else F.col(c) for c in texts] + [F.col(hot_clean)]
+        keyed = keyed.withColumn(box, pack(boxed)).drop(*texts, hot_clean)
     others = pairs.select(F.col("dirty").alias(other), F.col("clean").alias(other_clean))
     joined = keyed.join(others, (F.col(key) == F.col(other)) & F.col(is_open), "left")
+    if texts:
+        joined = unpack(joined, box, [*texts, hot_clean])
+        whole = {c: F.when(F.col(is_open), F.col(key)).otherwise(value) if c == column else F.col(c) for c in texts}
+        whole = {c: text if df.schema[c].nullable else F.coalesce(text, F.lit("")) for c, text in whole.items()}
+        joined = joined.withColumns(whole).select(*df.columns, hot_clean, is_open, key, other, other_clean)
     found = F.coalesce(hot_clean, other_clean, value)
-    return joined.withColumn(target, found).drop(hot_value, hot_clean, is_open, key, other, other_clean)
+    return joined.withColumn(target, found).drop(hot_clean, is_open, key, other, other_clean)
 
 
 def only_new(values: DataFrame, mapping: DataFrame) -> DataFrame:

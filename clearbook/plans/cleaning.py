@@ -78,11 +78,12 @@ def refresh_closed(
 def clean_with_mappings(raw: DataFrame, names: DataFrame, closed: Mapping[str, DataFrame]) -> DataFrame:
     """Raw transactions plus the five clean columns, the three texts by their stored mappings (dirty, clean, n).
 
-    The names, of which there are most, are looked up first, so that the rows are moved without the other clean columns.
+    The names, of which there are most, are looked up first, so that the rows are moved without the other clean
+    columns, their texts packed.
     """
     values = value_columns()
     order = raw.withColumns(values).columns
-    mapped = apply_mapping(raw, "customer_name", names, "customer_name_clean", "transaction_id", counts=names)
+    mapped = apply_mapping(raw, "customer_name", names, "customer_name_clean", "transaction_id", counts=names, packed=True)
     for domain, pairs in closed.items():
         column = CLOSED[domain][0]
         mapped = apply_mapping(mapped, column, pairs, f"{column}_clean", "transaction_id", counts=pairs)
@@ -114,7 +115,7 @@ def run_cleaning(
     if resolvers and mapping_path is None:
         raise ValueError("Resolvers need a mapping_path, or every run would ask for all values again.")
     with staged_until_done(spark):
-        raw = stage(raw, "raw") if land else raw
+        raw = stage(raw, "raw", compression="zstd") if land else raw
         if mapping_path is None:
             cleaned = clean_transactions(raw, name_mapping(raw, **name_options))
         else:

@@ -74,15 +74,20 @@ def _picked(values: list[str], position: Column) -> Column:
     return F.try_element_at(F.split(F.lit("\n".join(values)), "\n"), (position + 1).cast("int"))
 
 
-def base_transactions(spark: SparkSession, folder: str) -> DataFrame:
+def line_items(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice")
+
+
+def base_transactions(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """One row per line item with the true customer, region and segment behind its texts.
 
     The customer's name follows from its key (``c_name`` is written that way,
     which a test checks), so that it needs no join. Line items meet the orders in
     a shuffled join, whose hot keys Spark can split; its plan is the same for a
-    file of one split and for thousands.
+    file of one split and for thousands. ``lines`` are the line items, if they
+    have met other tables before.
     """
-    lines = table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice")
+    lines = line_items(spark, folder) if lines is None else lines
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", order_day().alias("order_day")
     )
@@ -132,25 +137,30 @@ def note_column() -> Column:
 
 
 def dirty_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw table: ten text columns, dirty in the ways the cleaning job has to undo."""
+    """The raw table: ten text columns, dirty in the ways the cleaning job has to undo.
+
+    Line items meet the parts and suppliers before the orders, so that no join
+    moves the texts, which are made last.
+    """
     parts = table(spark, folder, "part").select("p_partkey", "p_brand")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name")
-    return (
-        base_transactions(spark, folder)
+    lines = (
+        line_items(spark, folder)
         .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .select(
-            "transaction_id",
-            name_column().alias("customer_name"),
-            region_column().alias("region"),
-            segment_column().alias("industry_segment"),
-            F.col("p_brand").alias("product_sku"),
-            date_column().alias("order_date"),
-            F.col("l_quantity").cast("long").cast("string").alias("quantity"),
-            amount_column().alias("revenue_usd"),
-            F.col("s_name").alias("sales_rep"),
-            note_column().alias("notes"),
-        )
+        .drop("p_partkey", "s_suppkey")
+    )
+    return base_transactions(spark, folder, lines).select(
+        "transaction_id",
+        name_column().alias("customer_name"),
+        region_column().alias("region"),
+        segment_column().alias("industry_segment"),
+        F.col("p_brand").alias("product_sku"),
+        date_column().alias("order_date"),
+        F.col("l_quantity").cast("long").cast("string").alias("quantity"),
+        amount_column().alias("revenue_usd"),
+        F.col("s_name").alias("sales_rep"),
+        note_column().alias("notes"),
     )
 
 

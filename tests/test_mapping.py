@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clearbook.operators import mapping, resolver
+from clearbook.operators import mapping, packing, resolver
 from clearbook.operators.cleaning import clean_transactions
 from clearbook.plans.cleaning import clean_with_mappings, refresh_names
 from clearbook.sources.mapping_table import append_mapping, read_mapping
@@ -161,3 +161,46 @@ def test_rows_are_moved_to_their_names_without_the_other_clean_columns(spark):
         lines = cleaned._jdf.queryExecution().optimizedPlan().toString().splitlines()
         first_join = next(i for i, line in enumerate(lines) if "Join" in line)
         assert not any("order_date_clean" in line for line in lines[first_join:])
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    rows = [("a", "x", None, ""), ("b", None, "\x1f", "\x1e"), ("c", "", " ", "�"), ("d", None, None, None), ("e", "\x1e", "", None)]
+    df = spark.createDataFrame(rows, "id string, p string, q string, r string")
+    bad = F.when(F.col("id") == "a", F.unhex(F.lit("61C3")).cast("string")).otherwise(F.col("r"))  # bytes that are no text
+    df = df.withColumn("r", bad)
+    packed = df.select("id", packing.pack([F.col(c) for c in "pqr"]).alias("packed"))
+    found = packing.unpack(packed, "packed", ["p", "q", "r"])
+    assert found.columns == ["id", "p", "q", "r"]
+    # the bytes of each text, and its absence
+    hexes = [F.hex(F.col(c).cast("binary")).alias(c) for c in df.columns]
+    assert sorted(map(tuple, found.select(hexes).collect()), key=str) == sorted(map(tuple, df.select(hexes).collect()), key=str)
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_a_packed_lookup_gives_the_same_rows(spark, dirty, threshold):
+    known = spark.createDataFrame([("a", "A", 1000), ("b", "B", 1)], "dirty string, clean string, n long")
+    rows = dirty.withColumns({"packed": F.lit("p"), "parts": F.upper("v"), "number": F.lit(1)}).select("number", "parts", "v", "id", "packed")
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plain, packed = (
+            mapping.apply_mapping(rows, "v", known, "clean_v", "id", counts=known, packed=packed) for packed in (False, True)
+        )
+        assert packed.schema == plain.schema
+        assert sorted(map(tuple, packed.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+        # a text that is the target as well is replaced
+        assert mapping.apply_mapping(rows, "v", known, "v", "id", counts=known, packed=True).where("v = 'A'").count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+
+
+def test_rows_meet_their_names_with_packed_texts(spark):
+    raw = spark.createDataFrame([("1", "acme  co", "NE", "Timber", "03/15/2024", "$ 5")],
+                                "transaction_id string, customer_name string, region string, industry_segment string, "
+                                "order_date string, revenue_usd string")
+    names = spark.createDataFrame([("acme  co", "Acme Co", 1)], "dirty string, clean string, n long")
+    plan = clean_transactions(raw, names)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    moved = plan.children().head().output().mkString(" ")
+    assert "packed" in moved and not any(c in moved for c in ("region", "industry_segment", "order_date", "revenue_usd"))

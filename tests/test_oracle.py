@@ -55,3 +55,11 @@ def test_query_equals_its_sql_twin(spark, connection, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 150
+
+
+def test_no_join_moves_the_texts_of_the_raw_table(spark):
+    plan = star.dirty_transactions(spark, SMALL)._jdf.queryExecution().optimizedPlan()
+    lines = plan.toString().splitlines()
+    first_join = next(i for i, line in enumerate(lines) if "Join" in line)
+    # the texts follow from keys and figures, so they are made above all joins
+    assert not any(text in line for line in lines[first_join:] for text in ("transaction_id", "company", "true_region"))
