@@ -52,13 +52,14 @@ def staged_until_done(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *partition_by: str, compression: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and return it as a scan of what was written.
 
     With ``partition_by`` there is a folder for each value of these columns, and
-    a filter on them reads no other.
+    a filter on them reads no other. ``compression`` is for whole raw tables,
+    which take most of the disk; all else is written as the session has it.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)

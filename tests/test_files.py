@@ -2,13 +2,14 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from clearbook import schemas
 from clearbook.operators import breakdown, measures, pareto, profile, quality, summary, triage, weekly
-from clearbook.plans import analysis, cleaning, reporting
+from clearbook.plans import analysis, cleaning, registry, reporting
 from clearbook.operators.measures import to_measures
-from clearbook.sources import files, publication, staging
+from clearbook.sources import files, publication, staging, star
 
 
 def raw_rows(spark, rows):
@@ -389,3 +390,15 @@ def test_error_triage(spark):
     found = triage.triage(df, "message").collect()
     assert [r.cause for r in found] == ["authentication", "permission", "site", "network", "other", "other"]
     assert all(r.hint for r in found) and len(found[5].reason) == 200
+
+
+def test_whole_raw_tables_are_written_compressed(spark):
+    path = registry._damaged_csv(spark, SMALL)
+    lines = spark.read.text(path)
+    assert all(name.endswith(".csv.gz") for name in lines.inputFiles())
+    n = star.table(spark, SMALL, "lineitem").count()
+    scan = files.scan_raw_records(spark, path, tolerated=0.6)
+    assert scan.n_rows == scan.rows.count() and scan.n_rejected == scan.rejected.count()
+    # every line is a row or rejected; two damaged kinds of records are two lines each
+    assert n < scan.n_rows + scan.n_rejected < 2 * n
+    assert all(name.endswith(".zstd.parquet") for name in scan.rows.inputFiles() + scan.rejected.inputFiles())
