@@ -10,6 +10,7 @@ stores them, batch by batch).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,11 +49,12 @@ def batch_sizes(batches: DataFrame) -> DataFrame:
 
 
 def ask(batches: DataFrame, resolver: Resolver, attempts: int = 1) -> DataFrame:
-    """(batch, dirty, answer, error): what ``resolver`` says to the values of each batch, one call for a batch.
+    """(batch, dirty, answer, error, seconds): what ``resolver`` says to the values of each batch, one call for a batch.
 
     A value without an answer has null. A call that raises is made ``attempts``
-    times in all; then its batch is one row with the error and no value. Stage or
-    store the result before using it twice, or the calls repeat.
+    times in all; then its batch is one row with the error and no value.
+    ``seconds`` is how long that took. Stage or store the result before using it
+    twice, or the calls repeat.
     """
 
     def answer(frames):
@@ -61,12 +63,14 @@ def ask(batches: DataFrame, resolver: Resolver, attempts: int = 1) -> DataFrame:
         for frame in frames:
             for batch, values in zip(frame["batch"], frame["dirty_values"], strict=True):
                 dirty, error, mapping = [str(value) for value in values], None, {}
+                begun = time.monotonic()
                 for _ in range(attempts):
                     try:
                         mapping, error = resolver(dirty), None
                         break
                     except Exception as raised:
                         error = f"{type(raised).__name__}: {raised}"
+                seconds = time.monotonic() - begun
                 told = [None] if error else dirty
                 yield pd.DataFrame(
                     {
@@ -74,11 +78,12 @@ def ask(batches: DataFrame, resolver: Resolver, attempts: int = 1) -> DataFrame:
                         "dirty": told,
                         "answer": [None] if error else [mapping.get(value) for value in dirty],
                         "error": [error] * len(told),
+                        "seconds": [seconds] * len(told),
                     }
                 )
 
     return batches.select("batch", "dirty_values").mapInPandas(
-        answer, "batch long, dirty string, answer string, error string"
+        answer, "batch long, dirty string, answer string, error string, seconds double"
     )
 
 

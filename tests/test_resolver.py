@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from clearbook.operators import resolver
 from clearbook.plans.cleaning import run_cleaning
 from clearbook.schemas import RAW
+from clearbook.sources import answers
 from clearbook.sources.answers import ResolverError, resolve_into
 from clearbook.sources.mapping_table import append_mapping, read_mapping
+from clearbook.sources.staging import stage
 
 
 @pytest.fixture
@@ -105,6 +107,54 @@ def test_a_lost_worker_loses_its_own_batch_alone(spark, values, tmp_path):
     assert calls(asked) == [("name 150", "8")]
 
 
+def test_fast_calls_share_tasks(spark, values, tmp_path):
+    asked, path = tmp_path / "asked", tmp_path / "mapping"
+    asked.mkdir()
+    done = resolve_into(values, str(path), "names", noting(asked), batch_size=2, at_once=20)
+    assert (done.calls, done.stored) == (79, 158)
+    # each batch is still one call of its own
+    assert calls(asked) == [(f"name {i:03}", "2") for i in range(0, 158, 2)]
+    # the first wave has a task for each batch, as nothing is known of the calls; the other three have few tasks
+    assert 20 < len(list(path.rglob("*.parquet"))) <= 20 + 3 * 5
+    assert spark.read.parquet(str(path)).count() == 158
+
+
+def test_slow_calls_are_tasks_of_their_own(spark, values, tmp_path):
+    def slow(batch):
+        time.sleep(answers.TASK_SECONDS + 0.1)
+        return {value: value.upper() for value in batch}
+
+    path = tmp_path / "mapping"
+    assert resolve_into(values, str(path), "names", slow, batch_size=20, at_once=4).calls == 8
+    assert len(list(path.rglob("*.parquet"))) == 8
+
+
+def test_a_task_has_as_many_batches_as_half_a_second_answers():
+    found = [answers._batches_of_a_task(seconds) for seconds in (100.0, 0.6, 0.26, 0.1, 0.01, 0.0)]
+    assert found == [1, 1, 1, 5, 25, 25]
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 200, 1000])
+def test_a_wave_reads_its_own_folder(spark, values, tmp_path, monkeypatch, at_once):
+    staged = []
+
+    def noted(*args):
+        staged.append(stage(*args))
+        return staged[-1]
+
+    monkeypatch.setattr(answers, "stage", noted)
+    monkeypatch.setattr(answers, "AT_ONCE", 4)
+    many = spark.range(60).select(F.col("id").cast("string").alias("dirty"))
+    # nothing is asked, as the first wave fails
+    with pytest.raises(ResolverError):
+        resolve_into(many, str(tmp_path / "mapping"), "names", noting(tmp_path, lambda batch: True), batch_size=2, at_once=at_once)
+    [batches] = staged
+    folders = batches.groupBy("folder").agg(F.min("batch").alias("first"), F.count("*").alias("n")).orderBy("folder").collect()
+    size = {1: 4, 3: 3, 200: 200, 1000: 1000}[at_once]
+    assert [(r["first"], r["n"]) for r in folders] == [(i, min(size, 30 - i)) for i in range(0, 30, size)]
+    assert len(batches.inputFiles()) == len(folders)
+
+
 def test_attempts(spark, values, tmp_path):
     asked = tmp_path / "asked"
     asked.mkdir()
