@@ -402,3 +402,5 @@ def test_whole_raw_tables_are_written_compressed(spark):
     # every line is a row or rejected; two damaged kinds of records are two lines each
     assert n < scan.n_rows + scan.n_rejected < 2 * n
     assert all(name.endswith(".zstd.parquet") for name in scan.rows.inputFiles() + scan.rejected.inputFiles())
+    # folders for rows and rejected records would have each task sort all it reads
+    assert not any("kind=" in name for name in scan.rows.inputFiles())
